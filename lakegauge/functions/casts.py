@@ -102,5 +102,6 @@ def as_bool(value: Column, value_kind: Column) -> Column:
 def as_timestamp(value: Column, value_kind: Column, raw_number: Column) -> Column:
     return (
         F.when(value_kind == "string", iso_ts(F.try_variant_get(value, "$", "string")))
-        .when(value_kind == "number", iso_ts(number_text(raw_number)))
+        # the only number that reads as a date is a run of eight digits, yyyymmdd
+        .when((value_kind == "number") & raw_number.rlike(r"^\d{8}\z"), F.try_to_timestamp(raw_number, F.lit("yyyyMMdd")))
     )

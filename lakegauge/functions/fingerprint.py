@@ -11,91 +11,109 @@ and no intermediate VARIANT leaves the expression.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakegauge.functions.strict_json import kind
-
 LENGTH = 12
 EMPTY_SHAPE = "4f53cda18c2b"  # fixed value: the fingerprint of {}
 _MAX_DEPTH = 1001  # the JSON reader refuses deeper nesting
 
-# path: dotted path so far; owner: id of the outermost array around the node,
-# NULL outside arrays; leaf: final text once known; node: value still to open.
+# done: leaves found so far, each with the id of the outermost array around it
+# (NULL outside arrays). open: containers still to look into.
+_DONE = "array<struct<owner:bigint,leaf:string>>"
+_OPEN = "array<struct<path:string,owner:bigint,node:variant>>"
 _NODE = "struct<path:string,owner:bigint,leaf:string,node:variant>"
-_NODES = f"array<{_NODE}>"
+_STATE = f"struct<done:{_DONE},open:{_OPEN}>"
 
 
-def _node(path: Column, owner: Column, leaf: Column, value: Column) -> Column:
-    return F.struct(
-        path.cast("string").alias("path"),
-        owner.cast("bigint").alias("owner"),
-        leaf.cast("string").alias("leaf"),
-        value.alias("node"),
+def _quick_kind(value: Column) -> Column:
+    """Like ``kind``, but looks one level deep, so repeated use stays linear."""
+    schema = F.schema_of_variant(value)
+    return (
+        F.when(value.try_cast("map<string,variant>").isNotNull(), "object")
+        .when(value.try_cast("array<variant>").isNotNull(), "array")
+        .when(schema == "STRING", "string")
+        .when(schema == "BOOLEAN", "bool")
+        .when(schema == "VOID", "null")
+        .otherwise("number")
     )
 
 
-def _none(type_name: str) -> Column:
-    return F.lit(None).cast(type_name)
+def _node(path: Column, owner: Column, leaf: Column, value: Column) -> Column:
+    return F.struct(path.alias("path"), owner.alias("owner"), leaf.alias("leaf"), value.alias("node"))
+
+
+def _visit(path: Column, owner: Column, value: Column) -> Column:
+    """A child: finished if it is a scalar, to be opened otherwise."""
+    found = _quick_kind(value)
+    return F.transform(
+        F.array(found),
+        lambda k: _node(path, owner, F.when(~k.isin("object", "array"), F.concat(path, F.lit(":"), k)), value),
+    )[0]
 
 
-def _open(x: Column, fresh_owner: Column) -> Column:
-    """One node -> its children, or its leaf."""
+def _children(x: Column, fresh_owner: Column) -> Column:
+    """Everything directly below one open container."""
     path, owner, value = x["path"], x["owner"], x["node"]
 
     def member(entry: Column) -> Column:
         child = F.when(path == "", entry["key"]).otherwise(F.concat(path, F.lit("."), entry["key"]))
-        return _node(child, owner, _none("string"), entry["value"])
+        return _visit(child, owner, entry["value"])
 
-    members = F.transform(F.map_entries(value.try_cast("map<string,variant>")), member)
-
-    def array_nodes(items: Column) -> Column:
+    def elements(items: Column) -> Column:
         below = F.concat(path, F.lit("[]"))
         group = F.coalesce(owner, fresh_owner)
-        kinds = F.sort_array(F.array_distinct(F.transform(items, kind)))
+        kinds = F.sort_array(F.array_distinct(F.transform(items, _quick_kind)))
         label = F.when(F.size(items) == 0, "empty").otherwise(F.array_join(kinds, "|"))
-        leaf = _node(below, group, F.concat(below, F.lit(":"), label), _none("variant"))
-        inner = F.filter(items, lambda i: kind(i).isin("array", "object"))
-        return F.concat(F.array(leaf), F.transform(inner, lambda i: _node(below, group, _none("string"), i)))
+        own = _node(below, group, F.concat(below, F.lit(":"), label), F.lit(None).cast("variant"))
+        inner = F.filter(items, lambda i: _quick_kind(i).isin("object", "array"))
+        return F.concat(F.array(own), F.transform(inner, lambda i: _node(below, group, F.lit(None).cast("string"), i)))
 
-    elements = F.flatten(F.transform(F.filter(F.array(value.try_cast("array<variant>")), lambda a: a.isNotNull()), array_nodes))
-    scalar = F.array(_node(path, owner, F.concat(path, F.lit(":"), kind(value)), _none("variant")))
-    return (
-        F.when(x["leaf"].isNotNull(), F.array(x))
-        .when(members.isNotNull(), members)
-        .when(F.size(elements) > 0, elements)
-        .otherwise(scalar)
-    )
+    members = F.transform(F.map_entries(value.try_cast("map<string,variant>")), member)
+    return F.coalesce(members, F.transform(F.array(value.try_cast("array<variant>")), elements)[0])
 
 
 def leaves(value: Column, text: Column) -> Column:
     """Sorted leaves of a VARIANT; ``text`` is its JSON, which bounds the depth."""
     openers = F.char_length(text) - F.char_length(F.translate(text, "{[", ""))
-    rounds = F.sequence(F.lit(1), F.least(openers + 1, F.lit(_MAX_DEPTH)))
-    start = F.array(_node(F.lit(""), F.lit(None), _none("string"), value))
+    rounds = F.sequence(F.lit(1), F.least(openers, F.lit(_MAX_DEPTH)))
+    no_owner = F.lit(None).cast("bigint")
 
-    def step(nodes: Column, level: Column) -> Column:
-        opened = F.flatten(
-            F.transform(nodes, lambda x, i: _open(x, level.cast("bigint") * (1 << 32) + i))
+    def sort_out(nodes: Column, done: Column) -> Column:
+        leaf = F.transform(
+            F.filter(nodes, lambda n: n["leaf"].isNotNull()),
+            lambda n: F.struct(n["owner"].alias("owner"), n["leaf"].alias("leaf")),
         )
-        return F.when(F.exists(nodes, lambda x: x["leaf"].isNull()), opened.cast(_NODES)).otherwise(nodes)
+        to_open = F.transform(
+            F.filter(nodes, lambda n: n["leaf"].isNull()),
+            lambda n: F.struct(n["path"].alias("path"), n["owner"].alias("owner"), n["node"].alias("node")),
+        )
+        return F.struct(F.concat(done, leaf).alias("done"), to_open.alias("open"))
+
+    def step(state: Column, level: Column) -> Column:
+        found = F.flatten(F.transform(state["open"], lambda x, i: _children(x, level.cast("bigint") * (1 << 32) + i)))
+        opened = F.transform(F.array(found), lambda nodes: sort_out(nodes, state["done"]))[0]
+        return F.when(F.size(state["open"]) == 0, state).otherwise(opened)
 
-    def collect(nodes: Column) -> Column:
-        plain = F.transform(F.filter(nodes, lambda x: x["owner"].isNull()), lambda x: x["leaf"])
+    def collect(state: Column) -> Column:
+        plain = F.transform(F.filter(state["done"], lambda x: x["owner"].isNull()), lambda x: x["leaf"])
         # inside one outermost array equal leaves count once
-        owned = F.array_distinct(
-            F.transform(
-                F.filter(nodes, lambda x: x["owner"].isNotNull()),
-                lambda x: F.struct(x["owner"].alias("owner"), x["leaf"].alias("leaf")),
-            )
+        # (as text, which array_distinct hashes; structs it would compare pairwise)
+        owned = F.transform(
+            F.filter(state["done"], lambda x: x["owner"].isNotNull()),
+            lambda x: F.concat(x["owner"].cast("string"), F.lit(" "), x["leaf"]),
         )
-        return F.sort_array(F.concat(plain, F.transform(owned, lambda x: x["leaf"])))
+        owned = F.transform(F.array_distinct(owned), lambda x: F.substr(x, F.instr(x, " ") + 1))
+        return F.sort_array(F.concat(plain, owned))
 
-    return F.aggregate(rounds, start.cast(_NODES), step, collect)
+    root = F.array(_visit(F.lit(""), no_owner, value))
+    start = sort_out(root, F.array().cast(_DONE))
+    # texts without an opening bracket are scalars: no round to run
+    return F.aggregate(F.when(openers > 0, rounds).otherwise(F.array().cast("array<int>")), start, step, collect)
 
 
 def _escaped(leaf: Column) -> Column:
-    """JSON string with every character outside printable ASCII as \\uXXXX."""
+    """Every character outside printable ASCII as \\uXXXX, quotes and backslashes escaped."""
     body = F.regexp_replace(leaf, r'(["\\])', r"\\$1")
 
     def escape(ch: Column) -> Column:
@@ -113,12 +131,77 @@ def _escaped(leaf: Column) -> Column:
 
     chars = F.transform(F.sequence(F.lit(1), F.char_length(body)), lambda i: body.substr(i, F.lit(1)))
     odd = F.array_join(F.transform(chars, escape), "")
-    return F.concat(F.lit('"'), F.when(body.rlike(r"[^ -~]"), odd).otherwise(body), F.lit('"'))
+    return F.when(body.rlike(r"[^ -~]"), odd).otherwise(body)
 
 
 def signature(sorted_leaves: Column) -> Column:
-    return F.concat(F.lit("["), F.array_join(F.transform(sorted_leaves, _escaped), ","), F.lit("]"))
+    """The leaves as a compact JSON array, in ASCII."""
+    plain = F.array_join(sorted_leaves, '","')
+    odd = F.array_join(sorted_leaves, "").rlike(r'[^ -~]|["\\]')
+    text = F.when(odd, F.array_join(F.transform(sorted_leaves, _escaped), '","')).otherwise(plain)
+    return F.when(F.size(sorted_leaves) == 0, "[]").otherwise(F.concat(F.lit('["'), text, F.lit('"]')))
+
+
+def _digest(signed: Column) -> Column:
+    return F.substring(F.sha2(signed, 256), 1, LENGTH)
 
 
 def fingerprint(value: Column, text: Column) -> Column:
-    return F.substring(F.sha2(signature(leaves(value, text)), 256), 1, LENGTH)
+    # bind the leaves once: the signature reads them several times
+    return _digest(F.transform(F.array(leaves(value, text)), signature)[0])
+
+
+# Most sensor payloads are small, hold no arrays and have plain keys. Their shape
+# is fully told by schema_of_variant, which runs compiled; flattening its text is
+# several times cheaper than opening the value.
+_PLAIN_MAX_BYTES = 8192
+_PLAIN_SHAPE = r"^OBJECT<[A-Za-z0-9_,:<> ]*>\z"
+_TOKEN = r"[A-Za-z0-9_]+:(?:[a-z]+|OBJECT<)|>"
+
+
+def _kinds_for_types(schema: Column) -> Column:
+    for types, name in (
+        (r"BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,-?\d+\)", "number"),
+        ("STRING", "string"),
+        ("BOOLEAN", "bool"),
+        ("VOID", "null"),
+    ):
+        schema = F.regexp_replace(schema, rf": (?:{types})(?=[,>])", f":{name}")
+    return F.replace(schema, F.lit(": OBJECT<"), F.lit(":OBJECT<"))
+
+
+def _flattened(shape: Column) -> Column:
+    """OBJECT<a:number, b:OBJECT<c:string>> -> sorted [a:number, b.c:string]."""
+    body = F.substring(shape, 8, 1 << 30)  # after the opening OBJECT<
+
+    def take(state: Column, token: Column) -> Column:
+        prefix, found = state["prefix"], state["found"]
+        deeper = F.concat(prefix, F.substring_index(token, ":", 1), F.lit("."))
+        return (
+            F.when(token == ">", F.struct(F.regexp_replace(prefix, r"[^.]+\.\z", "").alias("prefix"), found.alias("found")))
+            .when(token.endswith("<"), F.struct(deeper.alias("prefix"), found.alias("found")))
+            .otherwise(F.struct(prefix.alias("prefix"), F.concat(found, F.lit(" "), prefix, token).alias("found")))
+        )
+
+    nested = F.aggregate(
+        F.regexp_extract_all(body, F.lit(_TOKEN), F.lit(0)),
+        F.struct(F.lit("").alias("prefix"), F.lit("").alias("found")),
+        take,
+        lambda s: F.substring(s["found"], 2, 1 << 30),
+    )
+    flat = F.replace(F.rtrim(body, F.lit(">")), F.lit(", "), F.lit(" "))
+    return F.sort_array(F.split(F.when(body.contains("<"), nested).otherwise(flat), " "))
+
+
+def with_fingerprint(df: DataFrame, value: str, text: str, out: str) -> DataFrame:
+    """Add ``out``, the fingerprint of the VARIANT in ``value`` parsed from ``text``."""
+    shape = f"__{out}_shape"
+    v, t, s = F.col(value), F.col(text), F.col(shape)
+    small = (F.octet_length(t) <= _PLAIN_MAX_BYTES) & ~t.contains("[")
+    plain = s.rlike(_PLAIN_SHAPE) & ~s.contains("OBJECT<>")
+    signed = F.concat(F.lit('["'), F.array_join(_flattened(s), '","'), F.lit('"]'))
+    return (
+        df.withColumn(shape, F.when(small, _kinds_for_types(F.schema_of_variant(value))))
+        .withColumn(out, F.when(v.isNull(), None).when(plain, _digest(signed)).otherwise(fingerprint(v, t)))
+        .drop(shape)
+    )

@@ -17,11 +17,17 @@ _COMMON = (
 )
 _HAS_ZONE = r"(?:Z|[+-]\d{2}:?\d{2}(?::?\d{2})?|[T ]\d{2}(?::?\d{2}){0,2}[+-]\d{2})\z"
 
-_DATE = r"(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2})|-W(\d{2})(?:-(\d))?|W(\d{2})(\d)?)"
+_DATE = r"(?!0000)(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2})|-W(\d{2})(?:-(\d))?|W(\d{2})(\d)?)"
 _CLOCK = r"(\d{2})(?::(\d{2})(?::(\d{2})(?:[.,](\d+))?)?|(\d{2})(?:(\d{2})(?:[.,](\d+))?)?)?"
-_ZONE = r"(Z|[+-]\d{2}(?::\d{2}(?::\d{2})?|\d{2}(?:\d{2})?)?)"
+_ZONE = r"(?:Z|([+-](?:[01]\d|2[0-3]))(?::([0-5]\d)(?::([0-5]\d))?|([0-5]\d)([0-5]\d)?)?)"
 _ANY = rf"^{_DATE}(?:[^0-9]{_CLOCK}{_ZONE}?)?\z"
-_GROUPS = 17
+
+# How the pieces of _ANY are put back; an absent piece leaves its place empty.
+_TO_DAY = "$1-$2$4-$3$5"
+_TO_WEEK = "$1 $6$8 $7$9"
+_TO_CLOCK = "$10:$11$14:$12$15.$13$16" + "000000"
+_TO_OFFSET = "$17:$18$20:$19$21"
+_EMPTY_PLACE = r"(?<=^|:)(?=:|\.|\z)"
 
 
 def iso_ts(text: Column) -> Column:
@@ -39,39 +45,26 @@ def has_zone(text: Column) -> Column:
 
 
 def _rebuilt(text: Column) -> Column:
-    fields = F.split(F.regexp_replace(text, _ANY, "|".join(f"${i}" for i in range(1, _GROUPS + 1))), r"\|")
-
-    def part(*groups: int, default: str = "") -> Column:
-        # at most one of the alternatives is non-empty
-        joined = F.concat(*[fields[g - 1] for g in groups])
-        return F.when(joined == "", default).otherwise(joined) if default else joined
-
-    year = part(1)
-    week = part(6, 8)
-    hour, minute, second = part(10, default="00"), part(11, 14, default="00"), part(12, 15, default="00")
-    micros = F.rpad(F.substring(part(13, 16), 1, 6), 6, "0")
-
-    jan4 = F.concat(year, F.lit("-01-04")).try_cast("date")
-    weekday = part(7, 9, default="1").try_cast("int")
-    by_week = F.date_add(F.trunc(jan4, "week"), (week.try_cast("int") - 1) * 7 + weekday - 1)
-    week_day = F.when(
-        weekday.between(1, 7) & (F.weekofyear(by_week) == week.try_cast("int")),
-        F.date_format(by_week, "yyyy-MM-dd"),
-    )
-    day = F.when(week != "", week_day).otherwise(F.concat_ws("-", year, part(2, 4), part(3, 5)))
+    def piece(layout: str) -> Column:
+        return F.regexp_replace(text, _ANY, layout)
 
+    clock = F.regexp_replace(F.regexp_replace(piece(_TO_CLOCK), _EMPTY_PLACE, "00"), r"(\.\d{6})\d*\z", "$1")
+    day = F.when(text.contains("W"), _week_day(F.split(piece(_TO_WEEK), " "))).otherwise(piece(_TO_DAY))
     # 24:00 is midnight at the end of the day
-    end_of_day = (hour == "24") & (minute == "00") & (second == "00") & (micros == "000000")
-    clock = F.concat_ws(":", F.when(end_of_day, "00").otherwise(hour), minute, second)
-    instant = F.concat(day, F.lit(" "), clock, F.lit("."), micros, F.lit("Z")).try_cast("timestamp")
-
-    zone = part(17)
-    digits = F.rpad(F.translate(F.substring(zone, 2, 8), ":", ""), 6, "0")
-    hh, mm, ss = (F.substring(digits, p, 2).try_cast("int") for p in (1, 3, 5))
-    seconds = (
-        F.when(zone.isin("", "Z"), 0)
-        .when((hh < 24) & (mm < 60) & (ss < 60), (hh * 3600 + mm * 60 + ss) * F.when(zone.startswith("-"), -1).otherwise(1))
-    )
-    shifted = F.timestamp_add("SECOND", F.when(end_of_day, 86400).otherwise(0) - seconds, instant)
-    in_calendar = (F.year(shifted) >= 1) & (F.year(shifted) <= 9999)
-    return F.when((year != "0000") & in_calendar, shifted)
+    end_of_day = clock == "24:00:00.000000"
+    local = F.concat(
+        day, F.lit(" "), F.when(end_of_day, "00:00:00.000000").otherwise(clock), F.lit("Z")
+    ).try_cast("timestamp")
+    offset = F.regexp_replace(piece(_TO_OFFSET), _EMPTY_PLACE, "00").try_cast("interval hour to second")
+    instant = F.timestamp_add("DAY", F.when(end_of_day, 1).otherwise(0), local) - offset
+    in_calendar = instant.between(F.lit("0001-01-01 00:00:00Z").cast("timestamp"), F.lit("9999-12-31 23:59:59.999999Z").cast("timestamp"))
+    return F.when(in_calendar, instant)
+
+
+def _week_day(fields: Column) -> Column:
+    """Year, ISO week and weekday (Monday if absent) as yyyy-MM-dd, NULL if there is no such week."""
+    week = fields[1].try_cast("int")
+    weekday = F.coalesce(fields[2].try_cast("int"), F.lit(1))
+    jan4 = F.concat(fields[0], F.lit("-01-04")).try_cast("date")
+    day = F.date_add(F.trunc(jan4, "week"), (week - 1) * 7 + weekday - 1)
+    return F.when(weekday.between(1, 7) & (F.weekofyear(day) == week), day.cast("string"))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakegauge.functions.casts import as_bool, as_double, as_long, as_text, as_timestamp
-from lakegauge.functions.fingerprint import EMPTY_SHAPE, fingerprint
+from lakegauge.functions.fingerprint import EMPTY_SHAPE, fingerprint, with_fingerprint
 from lakegauge.functions.isotime import has_zone, iso_ts
 from lakegauge.functions.strict_json import END_MARK, has_path, json_path, kind, path_value, with_json
 
@@ -238,7 +238,11 @@ def python_fingerprint(text):
 
 def spark_fingerprints(spark, cases):
     df = with_json(texts(spark, cases), "t", "v")
-    return column(df.select("i", fingerprint(F.col("v"), F.col("t")).alias("fp")), "fp")
+    df = with_fingerprint(df.withColumn("general", fingerprint(F.col("v"), F.col("t"))), "v", "t", "fp")
+    rows = df.select("i", "t", "general", "fp").orderBy("i").collect()
+    # the shortcut for plain payloads and the general way must never differ
+    assert [r["t"] for r in rows if r["general"] != r["fp"]] == []
+    return [r["fp"] for r in rows]
 
 
 # Shapes and their fingerprints.
@@ -267,6 +271,14 @@ def test_fingerprint_odd_keys(spark):
     assert spark_fingerprints(spark, cases) == [python_fingerprint(c) for c in cases]
 
 
+def test_fingerprint_plain_nesting(spark):
+    cases = [
+        '{"a":1,"a1":2,"a_":{"z":true,"b":{"c":null,"d":{"e":"x"}},"y":1.5},"b":{}}', '{"a: STRING, b":1}', '{"a":{"b":{"c":1}}}', '{"b":{"x":1},"a":{"x":1}}',
+        '{"OBJECT":{"x":1e300},"VOID":"VOID","number":{"string":null}}', '{"a<":{"b>":1}}', '{"a":1,"a":"x"}', '{"Z":1,"a":2,"0":3}', '{"a":{"b":1},"c":{"d":{}}}', '{"a b":1}', '{"`":1,"k":99999999999999999999999999}',
+    ]
+    assert spark_fingerprints(spark, cases) == [python_fingerprint(c) for c in cases]
+
+
 def test_fingerprint_random_nesting(spark):
     rng = random.Random(11)
 
