@@ -1,0 +1,14 @@
+"""Bronze rows to silver frames, lazily."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from lakegauge.mappers import Registry
+from lakegauge.operators.dedup import KEYS, one_per_key
+from lakegauge.operators.transform import map_readings, silver_rows
+
+
+def silver(bronze: DataFrame, registry: Registry, target: str, keys=KEYS, keep: str = "first") -> DataFrame:
+    """The rows of one silver table, one per key."""
+    return one_per_key(silver_rows(map_readings(bronze, registry), registry, target), keys, keep)
