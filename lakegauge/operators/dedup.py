@@ -27,7 +27,7 @@ def one_per_key(rows: DataFrame, keys: Sequence[str] = KEYS, keep: str = "first"
 
 def not_in_table(rows: DataFrame, table: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Rows whose key the table does not have yet. Both sides are partitioned by the key."""
-    return rows.join(table.select(*keys).hint("merge"), list(keys), "left_anti")
+    return rows.join(table.select(*keys), list(keys), "left_anti")
 
 
 def on_days_of(rows: DataFrame, table: DataFrame, day: str, time: str = "event_time") -> DataFrame:

@@ -34,8 +34,11 @@ def to_queue(jobs: DataFrame) -> DataFrame:
 
 
 def retries(outcomes: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """Queue entries for the outcomes of one bronze batch that deserve another try."""
-    return to_queue(outcomes.filter(worth_retrying(max_attempts)))
+    """Queue entries for the outcomes of one bronze batch that deserve another try.
+
+    Only fetching from the landing area can fail that way, so there is no inline data.
+    """
+    return to_queue(outcomes.filter(worth_retrying(max_attempts)).withColumn("data", F.lit(None).cast("string")))
 
 
 def redrive(letters: DataFrame, jobs: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,9 +15,10 @@ BRONZE = "bronze.raw"
 DEAD = "bronze.dead_letter"
 AUDIT = "ops.commits"
 
-# Two streams add dead letters at the same time. Each has a folder of its own:
-# Parquet commits clean up the folder they write to.
+# Two streams add to these at the same time. Each has a folder of its own there:
+# a Parquet commit cleans up the folder it writes to.
 WRITER = "written_by"
+SHARED = (DEAD, AUDIT)
 
 
 class UnknownTable(LookupError):
@@ -50,17 +51,19 @@ class Lake:
     def stored_schema(self, name: str) -> T.StructType:
         """Table columns plus partition columns."""
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in self.schemas[name].fields])
-        if name == DEAD:
+        if name in SHARED:
             schema = schema.add(WRITER, T.StringType())
         if name in self.days:
             schema = schema.add(self.days[name][0], T.DateType())
         return schema
 
-    def ensure(self) -> Lake:
+    def ensure(self, register: bool = True) -> Lake:
         """Create what is missing; a table that exists only ever gains columns."""
         for name in self.tables:
             namespace = name.split(".")[0]
             files.make_dir(self.spark, self.path(name))
+            if not register:
+                continue
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace} LOCATION '{self.root}/{namespace}'")
             partitions = [c for c in self.stored_schema(name).names if c not in self.schemas[name].names]
             by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
@@ -85,22 +88,32 @@ class Lake:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.path(name))
 
-    def append(self, name: str, rows: DataFrame, writer: str = "bronze") -> None:
-        """One commit. Rows are laid out by day with sizes evened out, not one file per task and day."""
-        path = f"{self.path(name)}/{WRITER}={writer}" if name == DEAD else self.path(name)
+    def append(self, name: str, rows: DataFrame, writer: str = "bronze", seen: Observation | None = None) -> None:
+        """One commit; ``seen`` gets the number of rows as ``added``.
+
+        Rows are laid out by day with sizes evened out: neither one file per task
+        and day, nor all of a busy day in one task.
+        """
+        path = f"{self.path(name)}/{WRITER}={writer}" if name in SHARED else self.path(name)
         rows = rows.select(*self.schemas[name].names)
-        if name not in self.days:
-            rows.write.mode("append").parquet(path)
-        else:
+        by = []
+        if name in self.days:
             day, time = self.days[name]
-            dated = rows.withColumn(day, F.to_date(time)).hint("rebalance", day)
-            dated.write.mode("append").partitionBy(day).parquet(path)
+            rows = rows.withColumn(day, F.to_date(time)).hint("rebalance", day)
+            by = [day]
+        if seen is not None:
+            # after the shuffle: rows of a task that ran twice count once
+            rows = rows.observe(seen, F.count(F.lit(1)).alias("added"))
+        rows.write.mode("append").partitionBy(*by).parquet(path)
 
     def refresh(self) -> None:
         """Let SQL over the registered tables see the newest files."""
         for name in self.tables:
-            if self.spark.catalog.tableExists(name):
-                self.spark.catalog.refreshTable(name)
+            if not self.spark.catalog.tableExists(name):
+                continue
+            if len(self.stored_schema(name)) > len(self.schemas[name]):
+                self.spark.catalog.recoverPartitions(name)  # days added since
+            self.spark.catalog.refreshTable(name)
 
 
 def list_tables(spark: SparkSession) -> list[str]:

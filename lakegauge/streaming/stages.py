@@ -20,7 +20,6 @@ from lakegauge.operators.dedup import KEYS, not_in_table, on_days_of, one_per_ke
 from lakegauge.operators.descriptor import parse_jobs
 from lakegauge.operators.redrive import retries
 from lakegauge.operators.transform import map_readings, silver_dead_letters, silver_rows
-from lakegauge.schemas import COMMITS
 from lakegauge.session import shared_dir
 from lakegauge.sources import files, landing
 from lakegauge.sources.lake import AUDIT, BRONZE, DEAD, WRITER, Lake
@@ -39,6 +38,9 @@ class Stage:
         try:
             self.process(rows, batch_id)
             self.may_repeat = False
+        except BaseException:
+            self.may_repeat = True
+            raise
         finally:
             while self._scratch:
                 files.delete(self.lake.spark, self._scratch.pop())
@@ -54,8 +56,8 @@ class Stage:
 
     def append(self, name: str, rows: DataFrame, writer: str) -> int:
         seen = Observation()
-        self.lake.append(name, rows.observe(seen, F.count(F.lit(1)).alias("n")), writer)
-        return seen.get["n"]
+        self.lake.append(name, rows, writer, seen)
+        return seen.get["added"]
 
     def append_letters(self, letters: DataFrame, writer: str) -> int:
         if self.may_repeat:
@@ -68,9 +70,7 @@ class Stage:
             [(stage, batch_id, *c) for c in counts],
             "stage string, batch_id bigint, table_name string, rows_in bigint, added_records bigint, duplicates bigint",
         )
-        rows = rows.withColumn("committed_at", F.current_timestamp()).select(*COMMITS.names)
-        # Two streams commit here; a folder each, as for dead letters.
-        rows.coalesce(1).write.mode("append").parquet(f"{self.lake.path(AUDIT)}/{WRITER}={stage}")
+        self.lake.append(AUDIT, rows.coalesce(1).withColumn("committed_at", F.current_timestamp()), stage)
 
 
 @dataclass
@@ -79,7 +79,8 @@ class BronzeStage(Stage):
     retry_path: str | None = None
 
     def process(self, entries: DataFrame, batch_id: int) -> None:
-        jobs = self.store(parse_jobs(entries), "jobs", "mode")
+        way = F.when(F.col("violations").isNull(), F.col("mode")).otherwise("unusable")
+        jobs = self.store(parse_jobs(entries).withColumn("way", way), "jobs", "way").drop("way")
         objects = landing.objects_for(jobs.filter("violations IS NULL"), self.landing_root) if self.landing_root else None
         verdict = F.when(F.col("reason").isNull(), "good").otherwise("bad")
         outcomes = bronze_outcomes(entries, objects, parsed=jobs).withColumn("verdict", verdict)
