@@ -78,10 +78,14 @@ class BronzeStage(Stage):
     landing_root: str | None = None
     retry_path: str | None = None
 
+    def objects(self, jobs: DataFrame) -> DataFrame | None:
+        """The landed objects these jobs may need."""
+        return landing.objects_for(jobs, self.landing_root) if self.landing_root else None
+
     def process(self, entries: DataFrame, batch_id: int) -> None:
         way = F.when(F.col("violations").isNull(), F.col("mode")).otherwise("unusable")
         jobs = self.store(parse_jobs(entries).withColumn("way", way), "jobs", "way").drop("way")
-        objects = landing.objects_for(jobs.filter("violations IS NULL"), self.landing_root) if self.landing_root else None
+        objects = self.objects(jobs.filter("violations IS NULL"))
         verdict = F.when(F.col("reason").isNull(), "good").otherwise("bad")
         outcomes = bronze_outcomes(entries, objects, parsed=jobs).withColumn("verdict", verdict)
         stored = self.store(outcomes, "outcomes", "verdict")
