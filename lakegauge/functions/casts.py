@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lakegauge.functions.isotime import iso_ts
+from lakegauge.functions.strict_json import once
 
 _BLANK = r"(?U)^[\s\x1c-\x1f]*|[\s\x1c-\x1f]*\z"
 _DIGITS = r"\d+(?:_\d+)*"
@@ -25,6 +26,10 @@ def number_text(raw: Column) -> Column:
 
     ``raw`` is the number as written in the payload.
     """
+    return once(raw, _shortest)
+
+
+def _shortest(raw: Column) -> Column:
     java = raw.try_cast("double").cast("string")
     size = F.abs(raw.try_cast("double"))
     plain = F.regexp_replace(java.try_cast("decimal(38,20)").cast("string"), r"0+\z", "")
@@ -55,37 +60,43 @@ def as_text(value: Column, value_kind: Column, raw_number: Column) -> Column:
     )
 
 
+def _trimmed(value: Column) -> Column:
+    return F.regexp_replace(F.try_variant_get(value, "$", "string"), _BLANK, "")
+
+
 def as_double(value: Column, value_kind: Column) -> Column:
-    text = F.regexp_replace(F.try_variant_get(value, "$", "string"), _BLANK, "")
-    return (
-        F.when(value_kind == "number", F.try_variant_get(value, "$", "double"))
-        .when(value_kind == "bool", F.when(F.try_variant_get(value, "$", "boolean"), 1.0).otherwise(0.0))
-        .when(
-            value_kind == "string",
+    def spelled(text: Column) -> Column:
+        return (
             F.when(text.rlike(_FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
             .when(text.rlike(_INF_TEXT), F.when(text.startswith("-"), float("-inf")).otherwise(float("inf")))
-            .when(text.rlike(_NAN_TEXT), float("nan")),
+            .when(text.rlike(_NAN_TEXT), float("nan"))
         )
+
+    return (
+        F.when(value_kind == "number", F.try_variant_get(value, "$", "double"))
+        .when(value_kind == "bool", F.when(F.try_variant_get(value, "$", "boolean"), 1.0).otherwise(0.0))
+        .when(value_kind == "string", once(_trimmed(value), spelled))
     )
 
 
 def as_long(value: Column, value_kind: Column) -> Column:
     """Numbers are cut toward zero; text must spell an integer; beyond 64 bits is NULL."""
-    text = F.regexp_replace(F.try_variant_get(value, "$", "string"), _BLANK, "")
-    number = F.try_variant_get(value, "$", "decimal(38,10)")
+    def cut(number: Column) -> Column:
+        return F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).try_cast("bigint")
+
+    def spelled(text: Column) -> Column:
+        digits = F.replace(text, F.lit("_"), F.lit(""))
+        return F.when(text.rlike(_INT_TEXT), digits.try_cast("decimal(38,0)").try_cast("bigint"))
+
     return (
         F.when(
             value_kind == "number",
             F.coalesce(
-                F.try_variant_get(value, "$", "bigint"),
-                F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).try_cast("bigint"),
+                F.try_variant_get(value, "$", "bigint"), once(F.try_variant_get(value, "$", "decimal(38,10)"), cut)
             ),
         )
         .when(value_kind == "bool", F.when(F.try_variant_get(value, "$", "boolean"), 1).otherwise(0))
-        .when(
-            (value_kind == "string") & text.rlike(_INT_TEXT),
-            F.replace(text, F.lit("_"), F.lit("")).try_cast("decimal(38,0)").try_cast("bigint"),
-        )
+        .when(value_kind == "string", once(_trimmed(value), spelled))
     )
 
 

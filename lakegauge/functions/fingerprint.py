@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakegauge.functions.strict_json import once
+
 LENGTH = 12
 EMPTY_SHAPE = "4f53cda18c2b"  # fixed value: the fingerprint of {}
 _MAX_DEPTH = 1001  # the JSON reader refuses deeper nesting
@@ -148,7 +150,7 @@ def _digest(signed: Column) -> Column:
 
 def fingerprint(value: Column, text: Column) -> Column:
     # bind the leaves once: the signature reads them several times
-    return _digest(F.transform(F.array(leaves(value, text)), signature)[0])
+    return _digest(once(leaves(value, text), signature))
 
 
 # Most sensor payloads are small, hold no arrays and have plain keys. Their shape

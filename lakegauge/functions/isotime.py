@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lakegauge.functions.strict_json import once
+
 _COMMON = (
     r"^(?!0000|0001|9999)\d{4}-\d{2}-\d{2}[T ](?:[01]\d|2[0-3]):\d{2}:\d{2}(?:\.\d{1,6})?"
     r"(?:Z|[+-](?:0\d|1[0-7]):[0-5]\d)?\z"
@@ -32,7 +34,11 @@ _EMPTY_PLACE = r"(?<=^|:)(?=:|\.|\z)"
 
 def iso_ts(text: Column) -> Column:
     """Naive text is taken as UTC; an offset is converted, not relabelled."""
-    zoned = text.rlike(r"(?:Z|[+-]\d{2}:\d{2})\z")
+    return once(text, _parsed)
+
+
+def _parsed(text: Column) -> Column:
+    zoned = text.endswith("Z") | F.substring(text, -6, 1).isin("+", "-")
     return (
         F.when(text.rlike(_COMMON), F.when(zoned, text).otherwise(F.concat(text, F.lit("Z"))).try_cast("timestamp"))
         .when(text.rlike(_ANY), _rebuilt(text))
@@ -51,14 +57,16 @@ def _rebuilt(text: Column) -> Column:
     clock = F.regexp_replace(F.regexp_replace(piece(_TO_CLOCK), _EMPTY_PLACE, "00"), r"(\.\d{6})\d*\z", "$1")
     day = F.when(text.contains("W"), _week_day(F.split(piece(_TO_WEEK), " "))).otherwise(piece(_TO_DAY))
     # 24:00 is midnight at the end of the day
-    end_of_day = clock == "24:00:00.000000"
-    local = F.concat(
-        day, F.lit(" "), F.when(end_of_day, "00:00:00.000000").otherwise(clock), F.lit("Z")
-    ).try_cast("timestamp")
-    offset = F.regexp_replace(piece(_TO_OFFSET), _EMPTY_PLACE, "00").try_cast("interval hour to second")
-    instant = F.timestamp_add("DAY", F.when(end_of_day, 1).otherwise(0), local) - offset
-    in_calendar = instant.between(F.lit("0001-01-01 00:00:00Z").cast("timestamp"), F.lit("9999-12-31 23:59:59.999999Z").cast("timestamp"))
-    return F.when(in_calendar, instant)
+    def instant(time: Column) -> Column:
+        end_of_day = time == "24:00:00.000000"
+        local = F.concat(
+            day, F.lit(" "), F.when(end_of_day, "00:00:00.000000").otherwise(time), F.lit("Z")
+        ).try_cast("timestamp")
+        offset = F.regexp_replace(piece(_TO_OFFSET), _EMPTY_PLACE, "00").try_cast("interval hour to second")
+        return F.timestamp_add("DAY", F.when(end_of_day, 1).otherwise(0), local) - offset
+
+    first, last = (F.lit(t).cast("timestamp") for t in ("0001-01-01 00:00:00Z", "9999-12-31 23:59:59.999999Z"))
+    return once(once(clock, instant), lambda t: F.when(t.between(first, last), t))
 
 
 def _week_day(fields: Column) -> Column:

@@ -8,42 +8,47 @@ mark. Anything left over after the first value disturbs the mark.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 END_MARK = "~end-of-reading~"
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out a single time, however often it is used.
+
+    It also keeps large bodies out of generated code. Spark fuses a stage into
+    few Java methods, and the JVM never compiles methods beyond 8 KB: a handful
+    of regular expressions per column is enough to make a whole stage crawl.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def with_json(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add ``out``: the VARIANT in column ``text``, or NULL if it is not JSON.
 
-    Two projections on purpose: the wrapped parse is read three times, so the
-    optimizer keeps it apart and each text is parsed once.
+    Separate projections on purpose: what is read more than once stays apart, so
+    each text is parsed once. The array is opened by a cast and not by position:
+    asking a VARIANT for something it does not have is slow.
     """
-    wrapped, mark = f"__{out}_wrapped", f"__{out}_mark"
-    t = F.col(text)
-    # A text that holds the mark itself could fake the end of the array.
+    items, mark = f"__{out}_items", f"__{out}_mark"
+    t, i = F.col(text), F.col(items)
+    wrapped = F.try_parse_json(F.concat(F.lit("["), t, F.lit(',"'), F.col(mark), F.lit('"]')))
+    whole = (F.size(i) == 2) & (F.try_variant_get(F.get(i, 1), "$", "string") == F.col(mark))
     return (
+        # a text that holds the mark itself could fake the end of the array
         df.withColumn(mark, F.when(F.contains(t, F.lit(END_MARK)), F.sha2(t, 256)).otherwise(END_MARK))
-        .withColumn(
-            wrapped,
-            F.try_parse_json(F.concat(F.lit("["), t, F.lit(',"'), F.col(mark), F.lit('"]'))),
-        )
-        .withColumn(
-            out,
-            F.when(
-                (F.try_variant_get(wrapped, "$[1]", "string") == F.col(mark))
-                & F.try_variant_get(wrapped, "$[2]", "variant").isNull(),
-                F.try_variant_get(wrapped, "$[0]", "variant"),
-            ),
-        )
-        .drop(wrapped, mark)
+        .withColumn(items, wrapped.try_cast("array<variant>"))
+        .withColumn(out, F.when(whole, F.get(i, 0)))
+        .drop(items, mark)
     )
 
 
 def is_object_text(text: str | Column) -> Column:
     """True if valid JSON text holds an object; looks at one character only."""
-    return F.col(text).rlike(r"^[ \t\r\n]*\{") if isinstance(text, str) else text.rlike(r"^[ \t\r\n]*\{")
+    return F.ltrim(F.col(text) if isinstance(text, str) else text, F.lit(" \t\r\n")).startswith("{")
 
 
 def json_path(dotted: str) -> str:
@@ -57,25 +62,72 @@ def json_path(dotted: str) -> str:
     return "$" + "".join(steps)
 
 
+def members(value: str | Column) -> Column:
+    """The members of an object as a map, NULL for anything else."""
+    return (F.col(value) if isinstance(value, str) else value).try_cast("map<string,variant>")
+
+
 def path_value(value: str | Column, dotted: str) -> Column:
-    """SQL NULL if the path is absent; a VARIANT null if it is there and null."""
-    return F.try_variant_get(value, json_path(dotted), "variant")
+    """SQL NULL if the path is absent; a VARIANT null if it is there and null.
+
+    Goes down objects only, never into arrays.
+    """
+    for key in dotted.split("."):
+        value = members(value)[key]
+    return value
 
 
 def has_path(value: str | Column, dotted: str) -> Column:
     return path_value(value, dotted).isNotNull()
 
 
+class Paths:
+    """Many paths of one value in one pass: each object on the way is opened once.
+
+    ``pick`` gives a struct to be stored as a column, ``get`` reads a path from it.
+    """
+
+    def __init__(self, paths: Iterable[str]):
+        self.tree: dict = {}
+        for path in paths:
+            node = self.tree
+            for key in path.split("."):
+                node = node.setdefault(key, {})
+
+    def pick(self, value: str | Column) -> Column:
+        return self._open(members(value), self.tree)
+
+    def _open(self, opened: Column, tree: dict) -> Column:
+        def body(m: Column) -> Column:
+            fields = []
+            for n, (key, below) in enumerate(tree.items()):
+                fields.append(m[key].alias(f"v{n}"))
+                if below:
+                    fields.append(self._open(members(m[key]), below).alias(f"s{n}"))
+            return F.struct(*fields)
+
+        return once(opened, body)
+
+    def get(self, picked: str | Column, path: str) -> Column:
+        out = F.col(picked) if isinstance(picked, str) else picked
+        tree, keys = self.tree, path.split(".")
+        for key in keys[:-1]:
+            out = out.getField(f"s{list(tree).index(key)}")
+            tree = tree[key]
+        return out.getField(f"v{list(tree).index(keys[-1])}")
+
+
 def kind(value: str | Column) -> Column:
     """JSON kind of a VARIANT: null, bool, number, string, array or object."""
-    schema = F.schema_of_variant(value)
-    v = F.col(value) if isinstance(value, str) else value
+    return once(F.schema_of_variant(value), _kind_of_schema)
+
+
+def _kind_of_schema(schema: Column) -> Column:
     return (
-        F.when(v.isNull(), None)
-        .when(F.is_variant_null(v), "null")
-        .when(schema == "STRING", "string")
+        F.when(schema == "STRING", "string")
+        .when(schema == "VOID", "null")
         .when(schema == "BOOLEAN", "bool")
         .when(schema.startswith("OBJECT"), "object")
         .when(schema.startswith("ARRAY"), "array")
-        .otherwise("number")
+        .when(schema.isNotNull(), "number")
     )

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge.functions.casts import as_timestamp
 from lakegauge.functions.fingerprint import EMPTY_SHAPE, with_fingerprint
-from lakegauge.functions.strict_json import is_object_text, json_path, kind, path_value, with_json
+from lakegauge.functions.strict_json import is_object_text, json_path, kind, members, once, with_json
 from lakegauge.operators.descriptor import parse_jobs
 from lakegauge.operators.fence import fence
 from lakegauge.operators.redrive import worth_retrying
@@ -20,12 +22,15 @@ EVENT_TIME_KEYS = ("ts", "timestamp", "time")
 def event_time(value: str, text: str, fallback: str | Column) -> Column:
     """First usable time among EVENT_TIME_KEYS of an object; else ``fallback``."""
 
-    def candidate(key: str) -> Column:
-        found = path_value(value, key)
-        return as_timestamp(found, kind(found), F.get_json_object(text, json_path(key)))
-
     fallback = F.col(fallback) if isinstance(fallback, str) else fallback
-    return F.coalesce(*[candidate(k) for k in EVENT_TIME_KEYS], fallback)
+
+    def parsed(key: str) -> Callable[[Column], Column]:
+        return lambda x: as_timestamp(x, kind(x), F.get_json_object(text, json_path(key)))
+
+    def candidates(m: Column) -> Column:
+        return F.coalesce(*[once(m[key], parsed(key)) for key in EVENT_TIME_KEYS])
+
+    return F.coalesce(once(members(value), candidates), fallback)
 
 
 def attach_payload(jobs: DataFrame, landing: DataFrame | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge.functions.isotime import has_zone, iso_ts
-from lakegauge.functions.strict_json import kind, with_json
+from lakegauge.functions.strict_json import kind, members, once, with_json
 from lakegauge.operators.fence import fence
 from lakegauge.schemas import STAGES
 
@@ -23,21 +23,34 @@ PAYLOAD_FIELDS = {
 }
 
 
-def _get(value: str, name: str, type_name: str = "variant") -> Column:
-    return F.try_variant_get(value, f"$.{name}", type_name)
+def _text(value: Column) -> Column:
+    return once(value, lambda x: F.when(kind(x) == "string", F.try_variant_get(x, "$", "string")))
 
 
-def _text(value: str, name: str) -> Column:
-    return F.when(kind(_get(value, name)) == "string", _get(value, name, "string"))
+def _integer(value: Column) -> Column:
+    return once(value, lambda x: F.when(F.schema_of_variant(x) == "BIGINT", F.try_variant_get(x, "$", "bigint")))
 
 
-def _integer(value: str, name: str) -> Column:
-    return F.when(F.schema_of_variant(_get(value, name)) == "BIGINT", _get(value, name, "bigint"))
+def _other_keys(opened: Column, allowed: tuple[str, ...]) -> Column:
+    return F.size(F.array_except(F.map_keys(opened), F.array(*[F.lit(k) for k in allowed]))) > 0
 
 
-def _has_other_keys(value: str, allowed: tuple[str, ...]) -> Column:
-    keys = F.map_keys(F.col(value).try_cast("map<string,variant>"))
-    return F.size(F.array_except(keys, F.array(*[F.lit(k) for k in allowed]))) > 0
+def _payload_fields(p: Column) -> Column:
+    return F.struct(
+        *[_text(p[n]).alias(n) for n in ("mode", "data", "s3_key", "sha256")],
+        _integer(p["size_bytes"]).alias("size_bytes"),
+        *[_other_keys(p, names).alias(f"more_than_{mode}") for mode, names in PAYLOAD_FIELDS.items()],
+    )
+
+
+def _job_fields(j: Column) -> Column:
+    return F.struct(
+        *[_text(j[n]).alias(n) for n in (*REQUIRED_TEXT, *OPTIONAL_TEXT)],
+        *[(~F.coalesce(kind(j[n]), F.lit("null")).isin("null", "string")).alias(f"wrong_{n}") for n in OPTIONAL_TEXT],
+        F.when(j["attempt"].isNull(), F.lit(1).cast("bigint")).otherwise(_integer(j["attempt"])).alias("attempt"),
+        _other_keys(j, FIELDS).alias("more"),
+        once(members(j["payload"]), _payload_fields).alias("payload"),
+    )
 
 
 def parse_jobs(entries: DataFrame) -> DataFrame:
@@ -46,44 +59,32 @@ def parse_jobs(entries: DataFrame) -> DataFrame:
     ``violations`` is NULL for a usable descriptor, else the failed checks joined
     by ';'. Types are strict: a number in quotes is not a number.
     """
-    parsed = with_json(entries, "job", "_job").withColumn("_payload", _get("_job", "payload"))
-    fields = parsed.select(
-        "entry_id",
-        "job",
-        "_job",
-        "_payload",
-        *[_text("_job", n).alias(n) for n in (*REQUIRED_TEXT, *OPTIONAL_TEXT) if n != "received_at"],
-        _text("_job", "received_at").alias("_received"),
-        F.when(_get("_job", "attempt").isNull(), F.lit(1)).otherwise(_integer("_job", "attempt")).alias("_attempt"),
-        _text("_payload", "mode").alias("mode"),
-        _text("_payload", "data").alias("data"),
-        _text("_payload", "s3_key").alias("s3_key"),
-        _integer("_payload", "size_bytes").alias("size_bytes"),
-        _text("_payload", "sha256").alias("sha256"),
-    ).withColumn("received_at", iso_ts(F.col("_received")))
+    parsed = with_json(entries, "job", "_job")
+    opened = parsed.select(
+        "entry_id", "job", once(members("_job"), _job_fields).alias("_f"), members("_job").isNotNull().alias("_is_object")
+    )
+    fields = opened.select(
+        "entry_id", "job", "_is_object", "_f.*", iso_ts(F.col("_f.received_at")).alias("_instant")
+    ).select(
+        "*", "payload.*"
+    ).drop("payload")
 
     inline, reference = F.col("mode") == "inline", F.col("mode") == "reference"
-    is_object = F.col("_job").isNotNull() & (kind("_job") == "object")
-
-    def wrong_optional(name: str) -> Column:
-        return F.coalesce(kind(_get("_job", name)), F.lit("null")).isin("null", "string") == F.lit(False)
-
     checks = [
         *[(f"{n}_missing", F.col(n).isNull()) for n in REQUIRED_TEXT if n != "received_at"],
-        *[(f"{n}_type", wrong_optional(n)) for n in OPTIONAL_TEXT],
-        ("extra_field", _has_other_keys("_job", FIELDS)),
+        *[(f"{n}_type", F.col(f"wrong_{n}")) for n in OPTIONAL_TEXT],
+        ("extra_field", F.col("more")),
         ("stage_unknown", F.col("stage").isNotNull() & ~F.col("stage").isin(*STAGES)),
-        ("received_at_invalid", F.col("received_at").isNull()),
-        ("received_at_naive", F.col("received_at").isNotNull() & ~has_zone(F.col("_received"))),
-        ("attempt_invalid", F.coalesce(F.col("_attempt") < 1, F.lit(True))),
+        ("received_at_invalid", F.col("_instant").isNull()),
+        ("received_at_naive", F.col("_instant").isNotNull() & ~has_zone(F.col("received_at"))),
+        ("attempt_invalid", F.coalesce(F.col("attempt") < 1, F.lit(True))),
         ("mode_unknown", F.col("mode").isNull() | ~F.col("mode").isin(*PAYLOAD_FIELDS)),
         ("size_bytes_invalid", F.coalesce(F.col("size_bytes") < 0, F.lit(True))),
         ("sha256_missing", F.col("sha256").isNull()),
         ("data_missing", inline & F.col("data").isNull()),
         ("size_mismatch", inline & (F.octet_length("data") != F.col("size_bytes"))),
         ("s3_key_missing", reference & F.col("s3_key").isNull()),
-        ("payload_extra_field", inline & _has_other_keys("_payload", PAYLOAD_FIELDS["inline"])),
-        ("payload_extra_field", reference & _has_other_keys("_payload", PAYLOAD_FIELDS["reference"])),
+        ("payload_extra_field", (inline & F.col("more_than_inline")) | (reference & F.col("more_than_reference"))),
     ]
     found = F.concat_ws(";", *[F.when(failed, name) for name, failed in checks])
     checked = fields.select(
@@ -94,16 +95,16 @@ def parse_jobs(entries: DataFrame) -> DataFrame:
         "stage",
         "tenant_id",
         "device_id",
-        "received_at",
+        F.col("_instant").alias("received_at"),
         "pipeline_hint",
         "parent_job_id",
-        F.col("_attempt").cast("int").alias("attempt"),
+        F.col("attempt").cast("int").alias("attempt"),
         "mode",
         "data",
         "s3_key",
         "size_bytes",
         "sha256",
-        F.when(~F.coalesce(is_object, F.lit(False)), "not_an_object")
+        F.when(~F.col("_is_object"), "not_an_object")
         .otherwise(F.nullif(found, F.lit("")))
         .alias("violations"),
     )

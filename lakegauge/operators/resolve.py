@@ -8,28 +8,40 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakegauge.functions.strict_json import has_path, with_json
+from lakegauge.functions.strict_json import Paths, with_json
 from lakegauge.mappers import Mapper, Registry
 
-VALUE = "_v"  # column holding the parsed payload
+VALUE = "_v"  # the parsed payload
+PICKED = "_p"  # its values at every path some mapper names
 
 
-def with_payload(bronze: DataFrame) -> DataFrame:
-    return with_json(bronze, "payload", VALUE)
+def paths_of(registry: Registry) -> Paths:
+    found = [p for m in registry for p in m.required_keys]
+    found += [c.source for m in registry for c in m.columns]
+    found += [p for m in registry for p in (m.event_time_from, m.device_id_from) if p]
+    return Paths(found)
 
 
-def fits(mapper: Mapper) -> Column:
+def with_payload(bronze: DataFrame, registry: Registry) -> DataFrame:
+    """Parse the payload once and pick every path the mappers name."""
+    parsed = with_json(bronze, "payload", VALUE)
+    return parsed.withColumn(PICKED, paths_of(registry).pick(VALUE))
+
+
+def fits(mapper: Mapper, paths: Paths) -> Column:
     """All required keys are there; a null value counts as there."""
-    return reduce(and_, [has_path(VALUE, key) for key in mapper.required_keys])
+    return reduce(and_, [paths.get(PICKED, key).isNotNull() for key in mapper.required_keys])
 
 
 def resolve(parsed: DataFrame, registry: Registry) -> DataFrame:
     """Add ``mapper_id``: a known hint wins, else the first mapper that fits, else NULL."""
+    paths = paths_of(registry)
     by_hint = F.when(F.col("pipeline_hint").isin(registry.ids), F.col("pipeline_hint"))
-    by_keys = [F.when(fits(m), F.lit(m.id)) for m in registry]
+    by_keys = [F.when(fits(m, paths), F.lit(m.id)) for m in registry]
     return parsed.withColumn("mapper_id", F.coalesce(by_hint, *by_keys))
 
 
 def with_match_count(parsed: DataFrame, registry: Registry) -> DataFrame:
     """Add ``matches``: how many mappers fit. Above one, later tables get nothing."""
-    return parsed.withColumn("matches", reduce(lambda a, b: a + b, [fits(m).cast("int") for m in registry]))
+    paths = paths_of(registry)
+    return parsed.withColumn("matches", reduce(lambda a, b: a + b, [fits(m, paths).cast("int") for m in registry]))

@@ -14,11 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge.functions.casts import as_bool, as_double, as_long, as_text, as_timestamp
-from lakegauge.functions.strict_json import is_object_text, json_path, kind, path_value
+from lakegauge.functions.strict_json import is_object_text, json_path, kind, once
 from lakegauge.functions.units import CONVERSIONS
 from lakegauge.mappers import Mapper, MapperColumn, Registry
 from lakegauge.operators.fence import fence
-from lakegauge.operators.resolve import VALUE, resolve, with_payload
+from lakegauge.operators.resolve import PICKED, VALUE, paths_of, resolve, with_payload
 from lakegauge.schemas import SILVER_ENVELOPE
 
 Pair = tuple[Mapper, MapperColumn]
@@ -53,96 +53,49 @@ def map_readings(bronze: DataFrame, registry: Registry) -> DataFrame:
     ``reason`` NULL means the row belongs in ``target_table``.
     """
     slots = _slots(registry)
-    df = resolve(with_payload(bronze), registry)
+    paths = paths_of(registry)
     carried = list(bronze.columns)
 
-    # Raw values, one per slot, and the two envelope overrides.
-    devices = [(m, m.device_id_from) for m in registry if m.device_id_from]
-    times = [(m, m.event_time_from) for m in registry if m.event_time_from]
-    raw = {f"raw{n}": _per_mapper(pairs, lambda c: path_value(VALUE, c.source)) for n, pairs in enumerate(slots)}
-    written = {
-        f"written{n}": _per_mapper(
-            [p for p in pairs if p[1].type in ("string", "timestamp")],
-            lambda c: F.get_json_object("payload", json_path(c.source)),
-        )
-        for n, pairs in enumerate(slots)
+    def written(path: str) -> Column:
+        return F.get_json_object("payload", json_path(path))
+
+    def picked(path: str) -> Column:
+        return paths.get(PICKED, path)
+
+    # The raw value of each slot and of the two envelope overrides.
+    overrides = {
+        "device": [(m, m.device_id_from) for m in registry if m.device_id_from],
+        "time": [(m, m.event_time_from) for m in registry if m.event_time_from],
     }
-    for name, pairs in (("device", devices), ("time", times)):
-        raw[f"raw_{name}"] = _per_mapper(pairs, lambda path: path_value(VALUE, path))
-        written[f"written_{name}"] = _per_mapper(pairs, lambda path: F.get_json_object("payload", json_path(path)))
-    raw = {k: v for k, v in raw.items() if v is not None}
-    is_object = F.col(VALUE).isNotNull() & is_object_text("payload")
+    raw = {f"raw{n}": _per_mapper(pairs, lambda c: picked(c.source)) for n, pairs in enumerate(slots)}
+    raw |= {f"raw_{name}": _per_mapper(pairs, picked) for name, pairs in overrides.items() if pairs}
+    is_object = F.coalesce(F.col(VALUE).isNotNull() & is_object_text("payload"), F.lit(False))
+    df = resolve(with_payload(bronze, registry), registry)
     df = df.select(*carried, "mapper_id", is_object.alias("is_object"), *[v.alias(k) for k, v in raw.items()])
-    df = df.select("*", *[kind(k).alias(k.replace("raw", "kind")) for k in raw])
-
-    # Casts, then convert and scale.
-    cast, value = {}, {}
-    for n, pairs in enumerate(slots):
-        r, k = F.col(f"raw{n}"), F.col(f"kind{n}")
-        text = written[f"written{n}"]
-        text = _null("string") if text is None else text
-        casts = {
-            "double": lambda: as_double(r, k),
-            "int": lambda: as_long(r, k),
-            "string": lambda: as_text(r, k, text),
-            "bool": lambda: as_bool(r, k),
-            "timestamp": lambda: as_timestamp(r, k, text),
-        }
-        for type_name in sorted({c.type for _, c in pairs}):
-            name = slot_column(n, type_name)
-            of_type = [p for p in pairs if p[1].type == type_name]
-            ids = [m.id for m, _ in of_type]
-            cast[name] = F.when(F.col("mapper_id").isin(ids), casts[type_name]())
-            value[name] = _canonical(name, type_name, of_type)
-    envelope = []
-    if devices:
-        declared = as_text(F.col("raw_device"), F.col("kind_device"), written["written_device"])
-        envelope.append(F.coalesce(declared, F.col("device_id")).alias("silver_device_id"))
-    else:
-        envelope.append(F.col("device_id").alias("silver_device_id"))
-    if times:
-        declared = as_timestamp(F.col("raw_time"), F.col("kind_time"), written["written_time"])
-        envelope.append(F.coalesce(declared, F.col("event_time")).alias("silver_event_time"))
-    else:
-        envelope.append(F.col("event_time").alias("silver_event_time"))
-    df = df.select("*", *envelope, *[c.alias(name) for name, c in cast.items()])
-    df = df.withColumns({f"v_{name}": c for name, c in value.items()})
+
+    # Cast, convert, scale and check.
+    device, time = F.col("device_id"), F.col("event_time")
+    if overrides["device"]:
+        number = _per_mapper(overrides["device"], written)
+        device = F.coalesce(once(F.col("raw_device"), lambda x: as_text(x, kind(x), number)), device)
+    if overrides["time"]:
+        digits = _per_mapper(overrides["time"], written)
+        time = F.coalesce(once(F.col("raw_time"), lambda x: as_timestamp(x, kind(x), digits)), time)
+    df = df.select(
+        "*",
+        device.alias("silver_device_id"),
+        time.alias("silver_event_time"),
+        *[_judged(n, pairs, written).alias(f"slot{n}") for n, pairs in enumerate(slots)],
+    )
 
     # The first failing column, in mapper order, decides.
-    reasons, details = [], []
-    for n, pairs in enumerate(slots):
-        reason = _slot_reason(n, pairs)
-        reasons.append(reason.alias(f"reason{n}"))
-    df = df.select("*", *reasons)
-    bad_payload = F.col("mapper_id").isNotNull() & ~F.coalesce(F.col("is_object"), F.lit(False))
+    bad_payload = F.col("mapper_id").isNotNull() & ~F.col("is_object")
     reason = (
         F.when(F.col("mapper_id").isNull(), "unresolved")
         .when(bad_payload, "bad_payload")
-        .otherwise(F.coalesce(*[F.col(f"reason{n}") for n in range(len(slots))]))
-    )
-    for n, pairs in enumerate(slots):
-        names = _per_mapper(pairs, lambda c: F.lit(f"{c.name} <- {c.source}="))
-        bounds = _per_mapper(pairs, lambda c: F.lit(f" not within [{_bound(c.min)}, {_bound(c.max)}]"))
-        shown = F.coalesce(F.to_json(f"raw{n}"), F.lit("absent"))
-        details.append(
-            F.when(
-                F.col(f"reason{n}").isNotNull(),
-                F.concat(names, shown, F.when(F.col(f"reason{n}") == "out_of_range", bounds).otherwise("")),
-            )
-        )
-    detail = (
-        F.when(
-            F.col("mapper_id").isNull(),
-            F.concat(
-                F.lit("no mapper matched: hint="),
-                F.coalesce("pipeline_hint", F.lit("none")),
-                F.lit(", schema_fp="),
-                F.col("schema_fp") if "schema_fp" in carried else F.lit("unknown"),
-            ),
-        )
-        .when(bad_payload, "expected a JSON object")
-        .otherwise(F.coalesce(*details))
+        .otherwise(F.coalesce(*[F.col(f"slot{n}.reason") for n in range(len(slots))]))
     )
+    everyone = [(m, m) for m in registry]
     out = [c for c in carried if c not in ("device_id", "event_time")]
     verdicts = df.select(
         *out,
@@ -150,27 +103,96 @@ def map_readings(bronze: DataFrame, registry: Registry) -> DataFrame:
         F.col("silver_device_id").alias("device_id"),
         F.col("silver_event_time").alias("event_time"),
         "mapper_id",
-        _per_mapper([(m, m) for m in registry], lambda m: F.lit(m.version)).cast("int").alias("mapper_version"),
-        _per_mapper([(m, m) for m in registry], lambda m: F.lit(m.target_table)).alias("target_table"),
-        *[F.col(f"v_{name}").alias(name) for name in value],
+        _per_mapper(everyone, lambda m: F.lit(m.version)).cast("int").alias("mapper_version"),
+        _per_mapper(everyone, lambda m: F.lit(m.target_table)).alias("target_table"),
+        *[
+            F.col(f"slot{n}.{type_name}").alias(slot_column(n, type_name))
+            for n, pairs in enumerate(slots)
+            for type_name in _types(pairs)
+        ],
         reason.alias("reason"),
-        detail.alias("detail"),
+        _detail(slots, "schema_fp" in carried).alias("detail"),
     )
     return fence(verdicts)
 
 
+def _types(pairs: list[Pair]) -> list[str]:
+    return sorted({c.type for _, c in pairs})
+
+
+def _judged(n: int, pairs: list[Pair], written: Callable[[str], Column]) -> Column:
+    """One slot: a value per column type in use, and the reason if it is no good."""
+    types = _types(pairs)
+    as_written = _per_mapper([p for p in pairs if p[1].type in ("string", "timestamp")], lambda c: written(c.source))
+    as_written = _null("string") if as_written is None else as_written
+
+    def cast(x: Column, k: Column) -> Column:
+        casts = {
+            "double": lambda: as_double(x, k),
+            "int": lambda: as_long(x, k),
+            "string": lambda: as_text(x, k, as_written),
+            "bool": lambda: as_bool(x, k),
+            "timestamp": lambda: as_timestamp(x, k, as_written),
+        }
+        if len(types) == 1:
+            return F.struct(casts[types[0]]().alias(types[0]))
+        return F.struct(
+            *[F.when(F.col("mapper_id").isin([m.id for m, c in pairs if c.type == t]), casts[t]()).alias(t) for t in types]
+        )
+
+    def canonical(c: Column) -> Column:
+        return F.struct(*[_canonical(c[t], t, [p for p in pairs if p[1].type == t]).alias(t) for t in types])
+
+    def judge(x: Column) -> Column:
+        return once(
+            kind(x),
+            lambda k: once(
+                cast(x, k),
+                lambda c: once(
+                    canonical(c), lambda v: F.struct(*[v[t].alias(t) for t in types], _reason(pairs, k, c, v).alias("reason"))
+                ),
+            ),
+        )
+
+    return once(F.col(f"raw{n}"), judge)
+
+
+def _detail(slots: list[list[Pair]], has_shape: bool) -> Column:
+    """What was wrong, in words: column, path, value and bounds. NULL for good rows."""
+
+    def told(n: int, pairs: list[Pair]) -> Column:
+        names = _per_mapper(pairs, lambda c: F.lit(f"{c.name} <- {c.source}="))
+        bounds = _per_mapper(pairs, lambda c: F.lit(f" not within [{_bound(c.min)}, {_bound(c.max)}]"))
+        shown = F.coalesce(F.to_json(f"raw{n}"), F.lit("absent"))
+        why = F.col(f"slot{n}.reason")
+        return F.when(why.isNotNull(), F.concat(names, shown, F.when(why == "out_of_range", bounds).otherwise("")))
+
+    no_mapper = F.concat(
+        F.lit("no mapper matched: hint="),
+        F.coalesce("pipeline_hint", F.lit("none")),
+        F.lit(", schema_fp="),
+        F.col("schema_fp") if has_shape else F.lit("unknown"),
+    )
+    # most rows are good and skip all of it
+    return once(
+        F.lit(0),
+        lambda _: F.when(F.col("mapper_id").isNull(), no_mapper)
+        .when(~F.col("is_object"), "expected a JSON object")
+        .otherwise(F.coalesce(*[told(n, pairs) for n, pairs in enumerate(slots)])),
+    )
+
+
 def _bound(limit: float | None) -> str:
     return "" if limit is None else f"{limit:g}"
 
 
-def _canonical(name: str, type_name: str, pairs: list[Pair]) -> Column:
+def _canonical(value: Column, type_name: str, pairs: list[Pair]) -> Column:
     """Convert, then scale; columns that need neither pass through."""
-    value = F.col(name)
     if type_name not in ("double", "int"):
         return value
 
     def change(col: MapperColumn) -> Column | None:
-        if not col.convert and col.scale == 1:
+        if not _changes(col):
             return None
         out = value.cast("double")
         if col.convert:
@@ -178,44 +200,42 @@ def _canonical(name: str, type_name: str, pairs: list[Pair]) -> Column:
         return out * F.lit(float(col.scale)) if col.scale != 1 else out
 
     changed = _per_mapper(pairs, change)
-    if changed is None:
-        return value
-    untouched = [m.id for m, c in pairs if not c.convert and c.scale == 1]
-    if untouched:
-        changed = changed.when(F.col("mapper_id").isin(untouched), value.cast("double"))
-    return changed
+    return value if changed is None else changed.otherwise(value.cast("double"))
+
+
+def _changes(col: MapperColumn) -> bool:
+    return col.convert is not None or col.scale != 1
 
 
-def _slot_reason(n: int, pairs: list[Pair]) -> Column:
-    k = F.col(f"kind{n}")
+def _reason(pairs: list[Pair], k: Column, c: Column, v: Column) -> Column:
+    """``k`` is the kind of the raw value, ``c`` its casts, ``v`` the final values."""
     absent = k.isNull() | (k == "null")
-    required = [m.id for m, c in pairs if c.required]
-    known = [m.id for m, _ in pairs]
+    required = [m.id for m, col in pairs if col.required]
 
     def verdict(col: MapperColumn) -> Column:
-        value = F.col(f"v_{slot_column(n, col.type)}")
-        out = F.when(F.col(slot_column(n, col.type)).isNull(), "bad_value")
+        value = v[col.type]
+        out = F.when(c[col.type].isNull(), "bad_value")
         # NaN is not below and not above anything
-        number = ~F.isnan(value.cast("double")) if col.type == "double" else F.lit(True)
+        number = ~F.isnan(value) if col.type == "double" else F.lit(True)
         if col.min is not None:
             out = out.when(number & (value < F.lit(float(col.min))), "out_of_range")
         if col.max is not None:
             out = out.when(number & (value > F.lit(float(col.max))), "out_of_range")
-        if col.type == "int" and (col.convert or col.scale != 1):
+        if col.type == "int" and _changes(col):
             # a whole-number column cannot hold a fraction
             out = out.when((value != F.floor(value)) | (F.abs(value) >= 2.0**63), "bad_value")
         return out
 
     by_rule: dict[tuple, list[Pair]] = {}
     for mapper, col in pairs:
-        rule = (col.type, col.min, col.max, col.convert is not None or col.scale != 1)
-        by_rule.setdefault(rule, []).append((mapper, col))
-    out = F.when(~F.col("mapper_id").isin(known), _null("string"))
+        by_rule.setdefault((col.type, col.min, col.max, _changes(col)), []).append((mapper, col))
+    mapper_id = F.col("mapper_id")
+    out = F.when(~mapper_id.isin([m.id for m, _ in pairs]), _null("string"))
     if required:
-        out = out.when(absent & F.col("mapper_id").isin(required), "missing_value")
+        out = out.when(absent & mapper_id.isin(required), "missing_value")
     out = out.when(absent, _null("string"))
     for group in by_rule.values():
-        out = out.when(F.col("mapper_id").isin([m.id for m, _ in group]), verdict(group[0][1]))
+        out = out.when(mapper_id.isin([m.id for m, _ in group]), verdict(group[0][1]))
     return out
 
 

@@ -234,13 +234,13 @@ def props_shapes(spark, sf_dir):
 
 @query
 def resolve_counts(spark, sf_dir):
-    resolved = resolve.resolve(resolve.with_payload(readings(spark, sf_dir)), Registry.shipped())
+    resolved = resolve.resolve(resolve.with_payload(readings(spark, sf_dir), Registry.shipped()), Registry.shipped())
     return resolved.groupBy("mapper_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def resolve_ambiguous(spark, sf_dir):
-    counted = resolve.with_match_count(resolve.with_payload(readings(spark, sf_dir)), Registry.shipped())
+    counted = resolve.with_match_count(resolve.with_payload(readings(spark, sf_dir), Registry.shipped()), Registry.shipped())
     return counted.groupBy("matches").agg(F.count(F.lit(1)).alias("n"))
 
 

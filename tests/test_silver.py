@@ -139,7 +139,7 @@ def test_dead_letter_keeps_evidence(spark, registry):
 
 
 def test_match_count_shows_ambiguous_rows(spark, registry):
-    df = with_match_count(with_payload(bronze(spark, [(AIR, None), (AIR | ENERGY, None), ({}, None)])), registry)
+    df = with_match_count(with_payload(bronze(spark, [(AIR, None), (AIR | ENERGY, None), ({}, None)]), registry), registry)
     assert [r["matches"] for r in df.orderBy("job_id").collect()] == [1, 2, 0]
 
 
