@@ -21,40 +21,42 @@ _INF_TEXT = r"(?i)^[+-]?inf(?:inity)?\z"
 _NAN_TEXT = r"(?i)^[+-]?nan\z"
 
 
-def number_text(raw: Column) -> Column:
-    """A JSON number as its shortest decimal text: 21.0 stays 21.0, 1E-7 is 1e-07.
+def number_text(value: Column) -> Column:
+    """A JSON number as text: integers in full, others in their shortest form (21.0, 1e-07)."""
 
-    ``raw`` is the number as written in the payload.
-    """
-    return once(raw, _shortest)
+    def by_type(schema: Column) -> Column:
+        whole = (schema == "BIGINT") | schema.rlike(r"^DECIMAL\((?:19|2\d|3\d),0\)\z")
+        return F.when(whole, F.try_variant_get(value, "$", "string")).otherwise(
+            once(F.try_variant_get(value, "$", "double"), _shortest)
+        )
+
+    return once(F.schema_of_variant(value), by_type)
 
 
-def _shortest(raw: Column) -> Column:
-    java = raw.try_cast("double").cast("string")
-    size = F.abs(raw.try_cast("double"))
+def _shortest(number: Column) -> Column:
+    java = number.cast("string")
+    size = F.abs(number)
     plain = F.regexp_replace(java.try_cast("decimal(38,20)").cast("string"), r"0+\z", "")
     plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
     mantissa = F.regexp_replace(F.split(java, "E")[0], r"\.0\z", "")
     power = F.split(java, "E")[1].try_cast("int")
+    digits = F.abs(power).cast("string")
     scientific = F.concat(
-        mantissa, F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), 2, "0")
+        mantissa, F.when(power < 0, "e-").otherwise("e+"), F.when(F.length(digits) < 2, F.lpad(digits, 2, "0")).otherwise(digits)
     )
-    scientific = F.when(F.abs(power) > 99, F.concat(mantissa, F.when(power < 0, "e").otherwise("e+"), power.cast("string"))).otherwise(scientific)
     return (
-        F.when(raw == "-0", "0")
-        .when(raw.rlike(r"^-?\d+\z"), raw)
-        .when(java == "Infinity", "inf")
+        F.when(java == "Infinity", "inf")
         .when(java == "-Infinity", "-inf")
         .when((size == 0) | ((size >= 1e-4) & (size < 1e16)), F.when(java.contains("E"), plain).otherwise(java))
         .otherwise(scientific)
     )
 
 
-def as_text(value: Column, value_kind: Column, raw_number: Column) -> Column:
+def as_text(value: Column, value_kind: Column) -> Column:
     """Text form of any non-null value; containers give their JSON text."""
     return (
-        F.when(value_kind == "string", value.cast("string"))
-        .when(value_kind == "number", number_text(raw_number))
+        F.when(value_kind == "string", F.try_variant_get(value, "$", "string"))
+        .when(value_kind == "number", number_text(value))
         .when(value_kind == "bool", F.when(F.try_variant_get(value, "$", "boolean"), "True").otherwise("False"))
         .when(value_kind.isin("array", "object"), F.to_json(value))
     )
@@ -110,9 +112,10 @@ def as_bool(value: Column, value_kind: Column) -> Column:
     )
 
 
-def as_timestamp(value: Column, value_kind: Column, raw_number: Column) -> Column:
-    return (
-        F.when(value_kind == "string", iso_ts(F.try_variant_get(value, "$", "string")))
-        # the only number that reads as a date is a run of eight digits, yyyymmdd
-        .when((value_kind == "number") & raw_number.rlike(r"^\d{8}\z"), F.try_to_timestamp(raw_number, F.lit("yyyyMMdd")))
+def as_timestamp(value: Column, value_kind: Column) -> Column:
+    text = F.try_variant_get(value, "$", "string")
+    # the only number that reads as a date is a whole one of eight digits, yyyymmdd
+    eight = (F.schema_of_variant(value) == "BIGINT") & text.rlike(r"^\d{8}\z")
+    return F.when(value_kind == "string", iso_ts(text)).when(
+        (value_kind == "number") & eight, F.try_to_timestamp(text, F.lit("yyyyMMdd"))
     )

@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge.mappers import Registry
+from lakegauge.operators.dedup import KEYS
+
 
+def silver_counts(mapped: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Per table: rows mapped, rows one per key leaves, and those skipped as duplicates.
 
-def silver_counts(mapped: DataFrame, kept: dict[str, DataFrame]) -> DataFrame:
-    """Per table: rows mapped, written and skipped as duplicates."""
-    accepted = mapped.filter("reason IS NULL").groupBy("target_table").agg(F.count(F.lit(1)).alias("mapped"))
-    written = None
-    for target, rows in kept.items():
-        one = rows.agg(F.count(F.lit(1)).alias("written")).select(F.lit(target).alias("target_table"), "written")
-        written = one if written is None else written.unionByName(one)
-    return accepted.join(F.broadcast(written), "target_table", "left").select(
-        "target_table",
-        "mapped",
-        F.coalesce("written", F.lit(0)).alias("written"),
-        (F.col("mapped") - F.coalesce("written", F.lit(0))).alias("duplicates"),
+    Copies are counted per key before they are shuffled, so a hot key costs no more than a rare one.
+    """
+    per_key = mapped.filter("reason IS NULL").groupBy("target_table", *keys).agg(F.count(F.lit(1)).alias("copies"))
+    return per_key.groupBy("target_table").agg(
+        F.sum("copies").alias("mapped"),
+        F.count(F.lit(1)).alias("written"),
+        F.sum(F.col("copies") - 1).alias("duplicates"),
     )
 
 

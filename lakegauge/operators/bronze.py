@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge.functions.casts import as_timestamp
 from lakegauge.functions.fingerprint import EMPTY_SHAPE, with_fingerprint
-from lakegauge.functions.strict_json import is_object_text, json_path, kind, members, once, with_json
+from lakegauge.functions.strict_json import is_object_text, kind, members, once, with_json
 from lakegauge.operators.descriptor import parse_jobs
 from lakegauge.operators.fence import fence
 from lakegauge.operators.redrive import worth_retrying
@@ -19,18 +17,16 @@ from lakegauge.schemas import BRONZE_RAW, DEAD_LETTER, SOURCE
 EVENT_TIME_KEYS = ("ts", "timestamp", "time")
 
 
-def event_time(value: str, text: str, fallback: str | Column) -> Column:
+def event_time(value: str, fallback: str | Column) -> Column:
     """First usable time among EVENT_TIME_KEYS of an object; else ``fallback``."""
-
     fallback = F.col(fallback) if isinstance(fallback, str) else fallback
 
-    def parsed(key: str) -> Callable[[Column], Column]:
-        return lambda x: as_timestamp(x, kind(x), F.get_json_object(text, json_path(key)))
-
-    def candidates(m: Column) -> Column:
-        return F.coalesce(*[once(m[key], parsed(key)) for key in EVENT_TIME_KEYS])
+    def first_usable(m: Column) -> Column:
+        found = F.filter(F.array(*[m[key] for key in EVENT_TIME_KEYS]), lambda x: x.isNotNull())
+        times = F.transform(found, lambda x: as_timestamp(x, kind(x)))
+        return F.get(F.filter(times, lambda t: t.isNotNull()), 0)
 
-    return F.coalesce(once(members(value), candidates), fallback)
+    return F.coalesce(once(members(value), first_usable), fallback)
 
 
 def attach_payload(jobs: DataFrame, landing: DataFrame | None = None) -> DataFrame:
@@ -83,7 +79,7 @@ def describe_payload(checked: DataFrame) -> DataFrame:
     good = F.col("reason").isNull()
     is_object = F.col("_v").isNotNull() & is_object_text("payload")
     shaped = parsed.withColumn("_shape", F.when(is_object | ~good, F.col("_v"))).withColumn(
-        "event_time", F.when(good, event_time("_v", "payload", "received_at"))
+        "event_time", F.when(good, event_time("_v", "received_at"))
     )
     return (
         with_fingerprint(shaped, "_shape", "payload", "schema_fp")

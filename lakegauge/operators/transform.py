@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge.functions.casts import as_bool, as_double, as_long, as_text, as_timestamp
-from lakegauge.functions.strict_json import is_object_text, json_path, kind, once
+from lakegauge.functions.strict_json import is_object_text, kind, once
 from lakegauge.functions.units import CONVERSIONS
 from lakegauge.mappers import Mapper, MapperColumn, Registry
 from lakegauge.operators.fence import fence
@@ -56,9 +56,6 @@ def map_readings(bronze: DataFrame, registry: Registry) -> DataFrame:
     paths = paths_of(registry)
     carried = list(bronze.columns)
 
-    def written(path: str) -> Column:
-        return F.get_json_object("payload", json_path(path))
-
     def picked(path: str) -> Column:
         return paths.get(PICKED, path)
 
@@ -76,16 +73,14 @@ def map_readings(bronze: DataFrame, registry: Registry) -> DataFrame:
     # Cast, convert, scale and check.
     device, time = F.col("device_id"), F.col("event_time")
     if overrides["device"]:
-        number = _per_mapper(overrides["device"], written)
-        device = F.coalesce(once(F.col("raw_device"), lambda x: as_text(x, kind(x), number)), device)
+        device = F.coalesce(once(F.col("raw_device"), lambda x: once(kind(x), lambda k: as_text(x, k))), device)
     if overrides["time"]:
-        digits = _per_mapper(overrides["time"], written)
-        time = F.coalesce(once(F.col("raw_time"), lambda x: as_timestamp(x, kind(x), digits)), time)
+        time = F.coalesce(once(F.col("raw_time"), lambda x: as_timestamp(x, kind(x))), time)
     df = df.select(
         "*",
         device.alias("silver_device_id"),
         time.alias("silver_event_time"),
-        *[_judged(n, pairs, written).alias(f"slot{n}") for n, pairs in enumerate(slots)],
+        *[_judged(n, pairs).alias(f"slot{n}") for n, pairs in enumerate(slots)],
     )
 
     # The first failing column, in mapper order, decides.
@@ -120,19 +115,17 @@ def _types(pairs: list[Pair]) -> list[str]:
     return sorted({c.type for _, c in pairs})
 
 
-def _judged(n: int, pairs: list[Pair], written: Callable[[str], Column]) -> Column:
+def _judged(n: int, pairs: list[Pair]) -> Column:
     """One slot: a value per column type in use, and the reason if it is no good."""
     types = _types(pairs)
-    as_written = _per_mapper([p for p in pairs if p[1].type in ("string", "timestamp")], lambda c: written(c.source))
-    as_written = _null("string") if as_written is None else as_written
 
     def cast(x: Column, k: Column) -> Column:
         casts = {
             "double": lambda: as_double(x, k),
             "int": lambda: as_long(x, k),
-            "string": lambda: as_text(x, k, as_written),
+            "string": lambda: as_text(x, k),
             "bool": lambda: as_bool(x, k),
-            "timestamp": lambda: as_timestamp(x, k, as_written),
+            "timestamp": lambda: as_timestamp(x, k),
         }
         if len(types) == 1:
             return F.struct(casts[types[0]]().alias(types[0]))

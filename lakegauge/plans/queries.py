@@ -60,7 +60,7 @@ def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings with their verdicts. The bronze time is worked out, the fingerprint is not needed."""
     parsed = with_json(readings(spark, sf_dir), "payload", "_b")
-    rows = parsed.withColumn("event_time", bronze.event_time("_b", "payload", "received_at")).drop("_b")
+    rows = parsed.withColumn("event_time", bronze.event_time("_b", "received_at")).drop("_b")
     return transform.map_readings(rows, Registry.shipped())
 
 
@@ -196,7 +196,7 @@ def redrive_dead_letters(spark, sf_dir):
 @query
 def event_time_extract(spark, sf_dir):
     parsed = with_json(readings(spark, sf_dir), "payload", "_v")
-    return parsed.select("job_id", text(bronze.event_time("_v", "payload", "received_at")).alias("event_time"))
+    return parsed.select("job_id", text(bronze.event_time("_v", "received_at")).alias("event_time"))
 
 
 @query
@@ -345,10 +345,7 @@ def dedup_against_existing(spark, sf_dir):
 
 @query
 def dedup_counts(spark, sf_dir):
-    rows = mapped(spark, sf_dir)
-    registry = Registry.shipped()
-    kept = {t: dedup.one_per_key(transform.silver_rows(rows, registry, t)) for t in registry.targets}
-    return audit.silver_counts(rows, kept)
+    return audit.silver_counts(mapped(spark, sf_dir))
 
 
 @query
@@ -427,12 +424,9 @@ def adhoc_shapes(spark, sf_dir):
 
 
 def _layers(spark, sf_dir) -> DataFrame:
-    rows, registry = mapped(spark, sf_dir), Registry.shipped()
-    jobs = None
-    for target in registry.targets:
-        one = dedup.one_per_key(transform.silver_rows(rows, registry, target)).select("job_id")
-        jobs = one if jobs is None else jobs.unionByName(one)
-    return audit.reconcile(readings(spark, sf_dir), jobs, rows.filter("reason IS NOT NULL"))
+    rows = mapped(spark, sf_dir)
+    kept = dedup.one_per_key(rows.filter("reason IS NULL"), ("target_table", *dedup.KEYS))
+    return audit.reconcile(readings(spark, sf_dir), kept, rows.filter("reason IS NOT NULL"))
 
 
 @query

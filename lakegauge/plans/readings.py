@@ -106,7 +106,11 @@ READINGS_SQL = f"SELECT {_in(_DUCKDB)} FROM events"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The events. Rows are short and the work per row is not, so a table of fewer
+    pieces than cores is spread out; a large table has enough pieces and stays as it is."""
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,7 +84,10 @@ class BronzeStage(Stage):
 
     def process(self, entries: DataFrame, batch_id: int) -> None:
         way = F.when(F.col("violations").isNull(), F.col("mode")).otherwise("unusable")
-        jobs = self.store(parse_jobs(entries).withColumn("way", way), "jobs", "way").drop("way")
+        # the descriptor text is evidence for unusable entries only
+        text = F.when(F.col("violations").isNotNull(), F.col("job"))
+        parsed = parse_jobs(entries).withColumns({"way": way, "job": text})
+        jobs = self.store(parsed, "jobs", "way").drop("way")
         objects = self.objects(jobs.filter("violations IS NULL"))
         verdict = F.when(F.col("reason").isNull(), "good").otherwise("bad")
         outcomes = bronze_outcomes(entries, objects, parsed=jobs).withColumn("verdict", verdict)
@@ -110,7 +113,10 @@ class SilverStage(Stage):
     def process(self, bronze: DataFrame, batch_id: int) -> None:
         registry = self.lake.registry
         lane = F.when(F.col("reason").isNull(), F.col("target_table")).otherwise("rejected")
-        mapped = self.store(map_readings(bronze, registry).withColumn("lane", lane), "mapped", "lane")
+        # payloads stay in bronze; only rejected rows take theirs along
+        evidence = F.when(F.col("reason").isNotNull(), F.col("payload"))
+        verdicts = map_readings(bronze, registry).withColumns({"lane": lane, "payload": evidence})
+        mapped = self.store(verdicts, "mapped", "lane")
         sizes = {r["lane"]: r["count"] for r in mapped.groupBy("lane").count().collect()}
         rows_in = sum(sizes.values())
         counts = [

@@ -164,12 +164,11 @@ def python_number(value, cast):
 @pytest.fixture(scope="module")
 def cast_rows(spark):
     rows = ['{"x":' + v + "}" for v in VALUES]
-    raw = F.get_json_object("t", "$['x']")
     df = with_json(texts(spark, rows), "t", "v").withColumn("x", path_value("v", "x")).withColumn("k", kind("x"))
     x, k = F.col("x"), F.col("k")
     out = df.select(
-        "i", "k", as_double(x, k).alias("d"), as_long(x, k).alias("n"), as_bool(x, k).alias("b"), as_text(x, k, raw).alias("s"),
-        F.unix_micros(as_timestamp(x, k, raw)).alias("ts"),
+        "i", "k", as_double(x, k).alias("d"), as_long(x, k).alias("n"), as_bool(x, k).alias("b"), as_text(x, k).alias("s"),
+        F.unix_micros(as_timestamp(x, k)).alias("ts"),
     )
     return [(json.loads(v), v, r) for v, r in zip(VALUES, out.orderBy("i").collect())]
 
@@ -200,7 +199,8 @@ def test_text_cast(cast_rows):
         elif isinstance(value, (list, dict)):
             assert json.loads(row["s"]) == value
         else:
-            assert row["s"] == str(value), text
+            # a VARIANT does not keep the sign of zero
+            assert row["s"] == ("0.0" if text == "-0.0" else str(value)), text
 
 
 def test_timestamp_cast(cast_rows):
