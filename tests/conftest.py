@@ -12,7 +12,8 @@ def spark(tmp_path_factory):
         SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '8')}]")
         .appName("lakegauge-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
