@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import bpe, packing, repair
+from lakegauge.llm import bpe, langid, packing, quality, repair
 from lakegauge.llm.common import table
 from lakegauge.session import shared_dir
 
@@ -21,6 +21,11 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+def fold(parts: int):
+    """The fold of a row: crc32 of its doc_id as text, by remainder; null without an id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
 def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
@@ -45,3 +50,19 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "token-files")
     repair.write(table(spark, sf_dir, "documents"), path, vocabulary())
     return repair.read(spark, path, with_ids=False)
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learned from the other folds."""
+    docs = table(spark, sf_dir, "documents")
+    trees = langid.learn(docs.where(fold(4) != 2))
+    return langid.predict(docs.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "text"), trees)
+
+
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every whole text, learned from the labels of the other folds."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.learn(docs, table(spark, sf_dir, "labels").where(fold(3) != 1))
+    return quality.score(docs.select("doc_id", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"), "text"), model)
