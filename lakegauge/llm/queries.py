@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import bpe, langid, packing, quality, repair
-from lakegauge.llm.common import table
+from lakegauge.llm import bpe, langid, packing, quality, repair, rules
+from lakegauge.llm.common import stored, table
 from lakegauge.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.learn(docs, table(spark, sf_dir, "labels").where(fold(3) != 1))
     return quality.score(docs.select("doc_id", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"), "text"), model)
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every whole text, the base rules, and the verdict of a decision list learned from the labels."""
+    stats = stored(rules.statistics(table(spark, sf_dir, "documents").select("doc_id", "text")), "rule-statistics")
+    learned = rules.learn(stats, table(spark, sf_dir, "labels"))
+    judged = stats.withColumn("base_failed", rules.base_failed()).withColumn("rule", rules.verdict(learned))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & F.col("rule").isNull()).alias("kept"), "rule")
