@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import bpe, langid, packing, quality, repair, rules
+from lakegauge.llm import bpe, langid, packing, quality, repair, rules, secrets
 from lakegauge.llm.common import stored, table
 from lakegauge.session import shared_dir
 
@@ -75,3 +75,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     learned = rules.learn(stats, table(spark, sf_dir, "labels"))
     judged = stats.withColumn("base_failed", rules.base_failed()).withColumn("rule", rules.verdict(learned))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & F.col("rule").isNull()).alias("kept"), "rule")
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate for a secret in the whole texts, with its span and the forest's verdict."""
+    docs = table(spark, sf_dir, "documents")
+    return secrets.findings(docs, secrets.train(docs)).select("doc_id", "number", "start", "length", F.sha2("candidate", 256).alias("candidate_sha256"), "score", "secret")
