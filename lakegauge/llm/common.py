@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakegauge.session import shared_dir
 
@@ -42,3 +43,50 @@ def text_batches(batches: Iterable[pa.RecordBatch], column: str = "text", chars:
             size += len(text)
         if begin < len(texts):
             yield batch.slice(begin), texts[begin:]
+
+
+_BLANK_BYTES = np.zeros(256, bool)
+_BLANK_BYTES[[9, 10, 11, 12, 13, 32]] = True
+_SALT = np.random.default_rng(3).integers(1, 2**63, 256, np.uint64) | np.uint64(1)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit numbers."""
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words (runs without ``[\\t-\\r ]``) of all texts, and the number of words of each text."""
+    encoded = [t.encode("utf-8", "replace") for t in texts]
+    data = np.frombuffer(b"\n".join(encoded) + b"\n", np.uint8)
+    ends = np.cumsum([len(e) + 1 for e in encoded], dtype=np.int64)
+    blank = _BLANK_BYTES[data]
+    body = np.flatnonzero(~blank)
+    if not len(body):
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+    first = np.flatnonzero(np.append(True, blank[:-1])[body])
+    lengths = np.diff(np.append(first, len(body)))
+    place = np.arange(len(body)) - np.repeat(first, lengths)
+    powers = np.cumprod(np.full(int(lengths.max()), 0x9E3779B97F4A7C15, np.uint64))
+    words = mixed(np.add.reduceat(_SALT[data[body]] * powers[place], first))
+    return words, np.bincount(np.searchsorted(ends, body[first], "right"), minlength=len(texts))
+
+
+def components(edges: DataFrame, purpose: str) -> DataFrame:
+    """(node, root) of every node of ``edges`` (a, b): the smallest node it is connected with.
+
+    Roots spread along edges and by jumping from root to root, so the rounds grow with the
+    logarithm of the longest path; hubs are aggregated before they are shuffled.
+    """
+    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), f"{purpose}-edges")
+    roots = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("root")), f"{purpose}-roots")
+    while True:
+        near = both.join(roots.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+        jump = roots.select(F.col("node").alias("root"), F.col("root").alias("far"))
+        better = roots.join(near, "node").join(jump, "root", "left").select("node", F.least("root", "near", F.coalesce("far", "root")).alias("new"), "root")
+        after = stored(better, f"{purpose}-roots")
+        roots = after.select("node", F.col("new").alias("root"))
+        if not after.where("new <> root").limit(1).count():
+            return roots

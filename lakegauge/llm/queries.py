@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import bpe, langid, packing, quality, repair, rules, secrets
+from lakegauge.llm import bpe, jaccard, langid, packing, quality, repair, rules, secrets
 from lakegauge.llm.common import stored, table
 from lakegauge.session import shared_dir
 
@@ -82,3 +82,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate for a secret in the whole texts, with its span and the forest's verdict."""
     docs = table(spark, sf_dir, "documents")
     return secrets.findings(docs, secrets.train(docs)).select("doc_id", "number", "start", "length", F.sha2("candidate", 256).alias("candidate_sha256"), "score", "secret")
+
+
+@query
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near duplicates and the number of documents that it is linked with."""
+    every, _ = jaccard.classes(table(spark, sf_dir, "documents"))
+    return every.select("doc_id", "class_id", "n_links")
