@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import bpe, jaccard, langid, packing, quality, repair, rules, secrets
+from lakegauge.llm import bpe, jaccard, langid, packing, quality, repair, rules, secrets, suffixes
 from lakegauge.llm.common import stored, table
 from lakegauge.session import shared_dir
 
@@ -89,3 +89,10 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of near duplicates and the number of documents that it is linked with."""
     every, _ = jaccard.classes(table(spark, sf_dir, "documents"))
     return every.select("doc_id", "class_id", "n_links")
+
+
+@query
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each whole text loses to strings that documents with smaller ids hold as well."""
+    left = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
