@@ -150,11 +150,11 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     return model
 
 
-def score(docs: DataFrame, model: Neighbours, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted``; its text goes unless it is kept."""
+def score(docs: DataFrame, model: Neighbours, text: str = "text", keep_text: bool = False, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """``docs`` with a score (0 to 1) and whether it is 0.5 or more, by these names; its text goes unless it is kept."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.drop("score", "predicted")
-    schema = T.StructType([*(rows if keep_text else rows.drop(text)).schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    rows = docs.drop(*names)
+    schema = T.StructType([*(rows if keep_text else rows.drop(text)).schema.fields, T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())])
 
     def run(batches):
         model = shared.value

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import bpe, jaccard, langid, packing, quality, repair, rules, secrets, suffixes
+from lakegauge.llm import bpe, jaccard, langid, neighbours, packing, quality, repair, rules, secrets, suffixes
 from lakegauge.llm.common import stored, table
 from lakegauge.session import shared_dir
 
@@ -96,3 +96,9 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each whole text loses to strings that documents with smaller ids hold as well."""
     left = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op7_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found to every vector whose id is divisible by 20, among all others."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)

@@ -143,7 +143,7 @@ def train(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text"
 
 def scan(docs: DataFrame, forest: Forest, text: str = "text", path: str = "source") -> DataFrame:
     """``docs`` without its text, with ``__parts`` and ``findings``: an array of candidate, before, after, score and secret (score of 0.5 or more)."""
-    rows = candidates(docs.drop("findings"), forest.words, text, path)
+    rows = candidates(docs.drop("findings", "__parts", "__found", "__c"), forest.words, text, path)
 
     def judged(x: Column) -> Column:
         return F.struct(x["candidate"].alias("candidate"), x["before"].alias("before"), x["after"].alias("after"), forest.score(x["features"]).alias("score"))
