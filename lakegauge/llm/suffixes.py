@@ -118,6 +118,8 @@ class Chunk:
     """The documents of a chunk: which of them are copies of one with a smaller id, and the runs of the others."""
 
     def __init__(self, docs: pa.Table) -> None:
+        # rows arrive in any order; the passes number a chunk's contents alike only in a fixed one
+        docs = self.docs = docs.sort_by([("__id", "ascending"), ("__text", "ascending")])
         self.texts = ["".encode() if t is None else t.encode("utf-8", "surrogatepass") for t in docs.column("__text").to_pylist()]
         self.ids = np.array([_LAST if d is None else d for d in docs.column("__id").to_pylist()], np.int64)
         smallest: dict[bytes, int] = {}
@@ -334,7 +336,7 @@ def _remove(bits: int, names: list[str]):
             edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
             spans.append([{"start": int(a), "stop": int(b)} for a, b in edge.reshape(-1, 2)] if removed else [])
             kept.append(np.frombuffer(text, np.uint8)[~gone].tobytes() if removed else text)
-        rest = docs.select(names)
+        rest = chunk.docs.select(names)
         for name, values in (("n_bytes", pa.array(lengths)), ("n_removed", pa.array(n_removed, pa.int64())), ("spans", pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))), ("kept", pa.array(kept, pa.binary()))):
             rest = rest.append_column(name, values)
         return rest
