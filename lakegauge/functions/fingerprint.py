@@ -153,10 +153,9 @@ def fingerprint(value: Column, text: Column) -> Column:
     return _digest(once(leaves(value, text), signature))
 
 
-# Most sensor payloads are small, hold no arrays and have plain keys. Their shape
+# Most sensor payloads hold no arrays and have plain keys. Their shape
 # is fully told by schema_of_variant, which runs compiled; flattening its text is
 # several times cheaper than opening the value.
-_PLAIN_MAX_BYTES = 8192
 _PLAIN_SHAPE = r"^OBJECT<[A-Za-z0-9_,:<> ]*>\z"
 _TOKEN = r"[A-Za-z0-9_]+:(?:[a-z]+|OBJECT<)|>"
 
@@ -199,11 +198,11 @@ def with_fingerprint(df: DataFrame, value: str, text: str, out: str) -> DataFram
     """Add ``out``, the fingerprint of the VARIANT in ``value`` parsed from ``text``."""
     shape = f"__{out}_shape"
     v, t, s = F.col(value), F.col(text), F.col(shape)
-    small = (F.octet_length(t) <= _PLAIN_MAX_BYTES) & ~t.contains("[")
+    flat = ~t.contains("[")
     plain = s.rlike(_PLAIN_SHAPE) & ~s.contains("OBJECT<>")
     signed = F.concat(F.lit('["'), F.array_join(_flattened(s), '","'), F.lit('"]'))
     return (
-        df.withColumn(shape, F.when(small, _kinds_for_types(F.schema_of_variant(value))))
+        df.withColumn(shape, F.when(flat, _kinds_for_types(F.schema_of_variant(value))))
         .withColumn(out, F.when(v.isNull(), None).when(plain, _digest(signed)).otherwise(fingerprint(v, t)))
         .drop(shape)
     )

@@ -55,7 +55,7 @@ def _rebuilt(text: Column) -> Column:
         return F.regexp_replace(text, _ANY, layout)
 
     clock = F.regexp_replace(F.regexp_replace(piece(_TO_CLOCK), _EMPTY_PLACE, "00"), r"(\.\d{6})\d*\z", "$1")
-    day = F.when(text.contains("W"), _week_day(F.split(piece(_TO_WEEK), " "))).otherwise(piece(_TO_DAY))
+    day = F.when(text.rlike(r"^\d{4}-?W"), _week_day(F.split(piece(_TO_WEEK), " "))).otherwise(piece(_TO_DAY))
     # 24:00 is midnight at the end of the day
     def instant(time: Column) -> Column:
         end_of_day = time == "24:00:00.000000"

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lakegauge.mappers.model import COLUMN_TYPES, Mapper, MapperColumn, MapperError, mapper_from_dict
+from lakegauge.mappers.model import COLUMN_TYPES, Mapper, MapperError, mapper_from_dict
 from lakegauge.schemas import SILVER_ENVELOPE, SPARK_TYPES
 
 _SUFFIXES = (".yml", ".yaml", ".json")
@@ -65,21 +65,18 @@ class Registry:
     def measurements(self, target: str) -> dict[str, str]:
         """Measurement columns of a table, sorted by name, with their Spark types.
 
-        Vendors sharing a table must agree on type and unit, or two scales would
-        end up in one column.
+        All columns that mappers fill with more than one type or unit are reported at once.
         """
-        agreed: dict[str, tuple[MapperColumn, Mapper]] = {}
+        declared: dict[str, dict[tuple[str, str], list[str]]] = {}
         for mapper in self.of_target(target):
             for col in mapper.columns:
-                first, owner = agreed.setdefault(col.name, (col, mapper))
-                if (first.type, first.unit) != (col.type, col.unit):
-                    raise MapperError(
-                        f"{target}.{col.name}: {mapper.id} declares {col.type} in {col.unit}, "
-                        f"{owner.id} declares {first.type} in {first.unit}"
-                    )
-        if not agreed:
-            raise MapperError(f"no mapper fills {target}")
-        return {name: COLUMN_TYPES[agreed[name][0].type] for name in sorted(agreed)}
+                declared.setdefault(col.name, {}).setdefault((col.type, col.unit), []).append(mapper.id)
+        if not declared:
+            raise MapperError(f"{target} has no columns: it is nobody's target")
+        mixed = [f"{name} ({'; '.join(f'{kind} {unit}: {', '.join(ids)}' for (kind, unit), ids in ways.items())})" for name, ways in sorted(declared.items()) if len(ways) > 1]
+        if mixed:
+            raise MapperError(f"{target} has columns of several types or units: {', '.join(mixed)}")
+        return {name: COLUMN_TYPES[next(iter(ways))[0]] for name, ways in sorted(declared.items())}
 
     def silver_schema(self, target: str) -> T.StructType:
         schema = T.StructType(list(SILVER_ENVELOPE.fields))

@@ -128,13 +128,14 @@ def bronze_rows(outcomes: DataFrame) -> DataFrame:
     return outcomes.filter("reason IS NULL").withColumn("source", F.lit(SOURCE)).select(*BRONZE_RAW.names)
 
 
-def dead_letters(outcomes: DataFrame) -> DataFrame:
+def dead_letters(outcomes: DataFrame, retried: bool = True) -> DataFrame:
     """The set-aside side of any outcome frame, in dead-letter layout.
 
-    Transient failures with tries left are not dead yet; see ``redrive.retries``.
+    Where transient failures with tries left are ``retried`` (see ``redrive.retries``), they are not dead yet.
     """
+    alive = worth_retrying() if retried else F.lit(False)
     return (
-        outcomes.filter(F.col("reason").isNotNull() & ~worth_retrying())
+        outcomes.filter(F.col("reason").isNotNull() & ~alive)
         .withColumn("failed_at", F.current_timestamp())
         .select(*DEAD_LETTER.names)
     )

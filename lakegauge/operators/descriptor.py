@@ -77,7 +77,7 @@ def parse_jobs(entries: DataFrame) -> DataFrame:
         ("stage_unknown", F.col("stage").isNotNull() & ~F.col("stage").isin(*STAGES)),
         ("received_at_invalid", F.col("_instant").isNull()),
         ("received_at_naive", F.col("_instant").isNotNull() & ~has_zone(F.col("received_at"))),
-        ("attempt_invalid", F.coalesce(F.col("attempt") < 1, F.lit(True))),
+        ("attempt_invalid", F.coalesce((F.col("attempt") < 1) | (F.col("attempt") > 2**31 - 1), F.lit(True))),
         ("mode_unknown", F.col("mode").isNull() | ~F.col("mode").isin(*PAYLOAD_FIELDS)),
         ("size_bytes_invalid", F.coalesce(F.col("size_bytes") < 0, F.lit(True))),
         ("sha256_missing", F.col("sha256").isNull()),
@@ -98,7 +98,7 @@ def parse_jobs(entries: DataFrame) -> DataFrame:
         F.col("_instant").alias("received_at"),
         "pipeline_hint",
         "parent_job_id",
-        F.col("attempt").cast("int").alias("attempt"),
+        F.col("attempt").try_cast("int").alias("attempt"),
         "mode",
         "data",
         "s3_key",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# What the reports select.
 FIRST_ROWS = "SELECT * FROM t LIMIT 20"
 
 ONE_DEVICE_DAY = """
@@ -13,7 +14,7 @@ WHERE tenant_id = :tenant AND device_id = :device
 ORDER BY event_time"""
 
 FAILURES = "SELECT stage, reason, count(*) AS n FROM t GROUP BY ALL ORDER BY n DESC"
-NEWEST = "SELECT received_at, device_id, schema_fp, payload FROM t ORDER BY received_at DESC LIMIT 5"
+NEWEST = "SELECT received_at, device_id, schema_fp, payload FROM t ORDER BY received_at DESC, job_id LIMIT 5"
 PER_MAPPER = "SELECT mapper_id, count(*) AS n FROM t GROUP BY 1"
 SHAPES = "SELECT device_id, event_time, schema_fp FROM t"
 

@@ -282,8 +282,11 @@ ORACLE: dict[str, str] = {
         (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN '../' ELSE '' END || CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE replace(c_name, '#', '-') END AS tenant_id FROM customer)""",
     "adhoc_device_day": f"""WITH {MAPPED} SELECT device_id, {stamp('event_time')} AS event_time, temperature, humidity FROM ({kept(AIR)})
         WHERE tenant_id = 't2' AND device_id = 'dev-2' AND event_time >= TIMESTAMP '2024-01-03' AND event_time < TIMESTAMP '2024-01-10'""",
-    "dead_letter_reasons": f"WITH {MAPPED} SELECT 'silver' AS stage, reason, count(*) AS n FROM mapped WHERE reason IS NOT NULL GROUP BY ALL",
-    "adhoc_newest": f"{_BRONZE} SELECT {stamp('received_at')} AS received_at, device_id, schema_fp, payload FROM bronze ORDER BY bronze.received_at DESC LIMIT 5",
+    "dead_letter_reasons": f"""WITH {MAPPED}, {_OUTCOMES.replace(READINGS + ',', '')} SELECT stage, reason, count(*) AS n FROM
+        (SELECT 'silver' AS stage, reason FROM mapped WHERE reason IS NOT NULL
+         UNION ALL SELECT 'bronze', reason FROM outcomes WHERE reason IS NOT NULL AND NOT (reason = 'fetch_failed' AND attempt < 3)
+         UNION ALL SELECT 'bronze', 'unparseable_descriptor' FROM jobs WHERE violations IS NOT NULL) GROUP BY ALL""",
+    "adhoc_newest": f"{_BRONZE} SELECT {stamp('received_at')} AS received_at, device_id, schema_fp, payload FROM bronze ORDER BY bronze.received_at DESC, job_id LIMIT 5",
     "rows_per_mapper": f"WITH {MAPPED} SELECT mapper_id, count(*) AS n FROM ({kept(ENERGY)}) GROUP BY ALL",
     "adhoc_shapes": f"{_BRONZE} SELECT device_id, {stamp('bronze_time')} AS event_time, schema_fp FROM bronze",
     "reconcile_layers": f"""{_LAYERS} SELECT count(*) AS bronze_rows, count(*) FILTER (outcome = 'silver') AS silver_rows, count(*) FILTER (outcome = 'dead_letter') AS dead_letter_rows,
@@ -293,7 +296,7 @@ ORACLE: dict[str, str] = {
     "stream_silver_air_quality": f"""WITH {_STREAMED} SELECT job_id, trace_id, tenant_id, device_id, {stamp('event_time')} AS event_time, {stamp('received_at')} AS received_at,
         mapper_id, mapper_version, humidity, temperature FROM ({kept(AIR, source='arrived')})""",
     "stream_commits": f"""WITH {_STREAMED}, {_OUTCOMES.replace(READINGS + ',', '')},
-        failed AS (SELECT * FROM jobs WHERE reason IS NOT NULL AND NOT (reason = 'fetch_failed' AND attempt < 3))
+        failed AS (SELECT * FROM jobs WHERE reason IS NOT NULL)
         SELECT 'bronze' AS stage, 'bronze.raw' AS table_name, (SELECT count(*) FROM readings) AS rows_in, count(*) AS added_records, 0 AS duplicates FROM arrived
         UNION ALL SELECT 'bronze', 'bronze.dead_letter', (SELECT count(*) FROM readings), count(*), 0 FROM failed
         UNION ALL SELECT 'silver', 'bronze.dead_letter', (SELECT count(*) FROM arrived), count(*), 0 FROM arrived WHERE reason IS NOT NULL

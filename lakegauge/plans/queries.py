@@ -404,8 +404,10 @@ def adhoc_device_day(spark, sf_dir):
 
 @query
 def dead_letter_reasons(spark, sf_dir):
+    """Letters of both stages: entries that never reached bronze, and readings that silver rejects."""
+    unusable = bronze.dead_letters(_outcomes(spark, sf_dir)).select("stage", "reason")
     rejected = mapped(spark, sf_dir).filter("reason IS NOT NULL").select(F.lit("silver").alias("stage"), "reason")
-    return adhoc.query(rejected, adhoc.FAILURES)
+    return adhoc.query(unusable.unionByName(rejected), adhoc.FAILURES)
 
 
 @query

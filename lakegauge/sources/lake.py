@@ -88,13 +88,16 @@ class Lake:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.path(name))
 
-    def append(self, name: str, rows: DataFrame, writer: str = "bronze", seen: Observation | None = None) -> None:
+    def append(self, name: str, rows: DataFrame, writer: str = "bronze", seen: Observation | None = None, batch: str | None = None) -> None:
         """One commit; ``seen`` gets the number of rows as ``added``.
 
+        Rows of a ``batch`` are set out beside the tables until ``publish`` moves all of them in.
+
         Rows are laid out by day with sizes evened out: neither one file per task
         and day, nor all of a busy day in one task.
         """
-        path = f"{self.path(name)}/{WRITER}={writer}" if name in SHARED else self.path(name)
+        home = f"{self._set_out(batch)}/{name}" if batch else self.path(name)
+        path = f"{home}/{WRITER}={writer}" if name in SHARED else home
         rows = rows.select(*self.schemas[name].names)
         by = []
         if name in self.days:
@@ -104,7 +107,36 @@ class Lake:
         if seen is not None:
             # after the shuffle: rows of a task that ran twice count once
             rows = rows.observe(seen, F.count(F.lit(1)).alias("added"))
-        rows.write.mode("append").partitionBy(*by).parquet(path)
+        rows.write.mode("overwrite" if batch else "append").partitionBy(*by).parquet(path)
+
+    def _set_out(self, batch: str) -> str:
+        return f"{self.root}/_set_out/{batch}"
+
+    def _done(self, batch: str) -> str:
+        return f"{self.root}/_done/{batch}"
+
+    def is_done(self, batch: str) -> bool:
+        """Whether all rows of a batch are in the tables."""
+        return files.exists(self.spark, self._done(batch))
+
+    def is_set_out(self, batch: str) -> bool:
+        """Whether a batch was worked out to its end."""
+        return files.exists(self.spark, f"{self._set_out(batch)}/_READY")
+
+    def set_out(self, batch: str) -> None:
+        files.mark(self.spark, f"{self._set_out(batch)}/_READY")
+
+    def set_out_aside(self, batch: str, purpose: str) -> str:
+        """Where rows of a batch that go elsewhere wait for ``publish``."""
+        return f"{self._set_out(batch)}/{purpose}"
+
+    def publish(self, batch: str, elsewhere: dict[str, str] | None = None) -> None:
+        """Move what a batch set out into the tables, and to places ``elsewhere``, by purpose; interrupted, it goes on when called again."""
+        home = self._set_out(batch)
+        for name, target in [*((n, self.path(n)) for n in self.tables), *(elsewhere or {}).items()]:
+            files.move_parts(self.spark, f"{home}/{name}", target, batch)
+        files.mark(self.spark, self._done(batch))
+        files.delete(self.spark, home)
 
     def refresh(self) -> None:
         """Let SQL over the registered tables see the newest files."""

@@ -8,6 +8,7 @@ few reads instead of the whole batch.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
@@ -22,29 +23,49 @@ from lakegauge.operators.redrive import retries
 from lakegauge.operators.transform import map_readings, silver_dead_letters, silver_rows
 from lakegauge.session import shared_dir
 from lakegauge.sources import files, landing
-from lakegauge.sources.lake import AUDIT, BRONZE, DEAD, WRITER, Lake
+from lakegauge.sources.lake import AUDIT, BRONZE, DEAD, Lake
 from lakegauge.sources.queue import BATCH_WINDOW
 
 
 @dataclass
 class Stage:
+    """``run`` gives a batch's rows to the tables once, however often it is called for it.
+
+    A batch is known by its stage, its stream and its number. All its rows, letters, retries
+    and counts are first set out beside the tables and then moved in. After a failure at any
+    point the batch is worked out anew, or only the moving goes on, or nothing is left to do;
+    no table is searched for what was written before.
+    """
+
     lake: Lake
-    # A stream repeats its last batch after a restart, and only then. The first
-    # batch of a run is therefore checked against what is already in the tables.
-    may_repeat: bool = True
+    name = "stage"
+    # the checkpoint of the stream that feeds the stage; its id is part of a batch's name
+    checkpoint: str | None = None
     _scratch: list[str] = field(default_factory=list)
+    _batch: str = ""
 
     def run(self, rows: DataFrame, batch_id: int) -> None:
+        self._batch = f"{self.name}-{self._stream()}-{batch_id}"
+        if self.lake.is_done(self._batch):
+            return
         try:
-            self.process(rows, batch_id)
-            self.may_repeat = False
-        except BaseException:
-            self.may_repeat = True
-            raise
+            if not self.lake.is_set_out(self._batch):
+                self.process(rows, batch_id)
+                self.lake.set_out(self._batch)
+            self.lake.publish(self._batch, self.elsewhere())
         finally:
             while self._scratch:
                 files.delete(self.lake.spark, self._scratch.pop())
 
+    def _stream(self) -> str:
+        if not self.checkpoint:
+            return "direct"
+        return json.loads(self.lake.spark.read.text(f"{self.checkpoint}/metadata").first()["value"])["id"]
+
+    def elsewhere(self) -> dict[str, str]:
+        """Places outside the lake that get rows of a batch, by purpose."""
+        return {}
+
     def process(self, rows: DataFrame, batch_id: int) -> None:
         raise NotImplementedError
 
@@ -56,28 +77,28 @@ class Stage:
 
     def append(self, name: str, rows: DataFrame, writer: str) -> int:
         seen = Observation()
-        self.lake.append(name, rows, writer, seen)
+        self.lake.append(name, rows, writer, seen, self._batch)
         return seen.get["added"]
 
-    def append_letters(self, letters: DataFrame, writer: str) -> int:
-        if self.may_repeat:
-            known = self.lake.read(DEAD).filter(F.col(WRITER) == writer)
-            letters = letters.join(known.select("job_id", "stage", "reason"), ["job_id", "stage", "reason"], "left_anti")
-        return self.append(DEAD, letters, writer)
-
     def audit(self, stage: str, batch_id: int, counts: list[tuple[str, int, int, int]]) -> None:
         rows = self.lake.spark.createDataFrame(
             [(stage, batch_id, *c) for c in counts],
             "stage string, batch_id bigint, table_name string, rows_in bigint, added_records bigint, duplicates bigint",
         )
-        self.lake.append(AUDIT, rows.coalesce(1).withColumn("committed_at", F.current_timestamp()), stage)
+        self.lake.append(AUDIT, rows.coalesce(1).withColumn("committed_at", F.current_timestamp()), stage, batch=self._batch)
 
 
 @dataclass
 class BronzeStage(Stage):
+    """Without a ``retry_path`` a transient failure is a dead letter at once."""
+
+    name = "bronze"
     landing_root: str | None = None
     retry_path: str | None = None
 
+    def elsewhere(self) -> dict[str, str]:
+        return {"retries": self.retry_path} if self.retry_path else {}
+
     def objects(self, jobs: DataFrame) -> DataFrame | None:
         """The landed objects these jobs may need."""
         return landing.objects_for(jobs, self.landing_root) if self.landing_root else None
@@ -96,17 +117,15 @@ class BronzeStage(Stage):
         bad = stored.filter("verdict = 'bad'")
         rows_in = jobs.count()
         if self.retry_path:
-            retries(bad).write.mode("append").parquet(self.retry_path)
-        letters = self.append_letters(dead_letters(bad), "bronze")
-        if self.may_repeat:
-            known = on_days_of(good, self.lake.read(BRONZE), "received_at_day", "received_at")
-            good = not_in_table(good, known, ("job_id",))
+            retries(bad).write.mode("overwrite").parquet(self.lake.set_out_aside(self._batch, "retries"))
+        letters = self.append(DEAD, dead_letters(bad, retried=bool(self.retry_path)), "bronze")
         added = self.append(BRONZE, good, "bronze")
         self.audit("bronze", batch_id, [(BRONZE, rows_in, added, 0), (DEAD, rows_in, letters, 0)])
 
 
 @dataclass
 class SilverStage(Stage):
+    name = "silver"
     keys: tuple[str, ...] = KEYS
     keep: str = "first"
 
@@ -120,7 +139,7 @@ class SilverStage(Stage):
         sizes = {r["lane"]: r["count"] for r in mapped.groupBy("lane").count().collect()}
         rows_in = sum(sizes.values())
         counts = [
-            (DEAD, rows_in, self.append_letters(dead_letters(silver_dead_letters(mapped.filter("lane = 'rejected'"))), "silver"), 0)
+            (DEAD, rows_in, self.append(DEAD, dead_letters(silver_dead_letters(mapped.filter("lane = 'rejected'")), retried=False), "silver"), 0)
         ]
         for target in registry.targets:
             if not sizes.get(target):
@@ -136,6 +155,7 @@ class SilverStage(Stage):
 
 def start(stage: Stage, source: DataFrame, checkpoint: str, once: bool = False, window: str = BATCH_WINDOW) -> StreamingQuery:
     """Run a stage on a stream: until caught up if ``once``, else every ``window``."""
+    stage.checkpoint = checkpoint
     writer = source.writeStream.foreachBatch(stage.run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=window)).start()
 

@@ -212,30 +212,6 @@ def test_timestamp_cast(cast_rows):
 # --- fingerprint -----------------------------------------------------------
 
 
-def python_kind(v):
-    return {type(None): "null", bool: "bool", int: "number", float: "number", str: "string", list: "array", dict: "object"}[type(v)]
-
-
-def python_leaves(value, path=""):
-    if isinstance(value, dict):
-        return [leaf for k, c in value.items() for leaf in python_leaves(c, f"{path}.{k}" if path else k)]
-    if isinstance(value, list):
-        if not value:
-            return [path + "[]:empty"]
-        found = {path + "[]:" + "|".join(sorted({python_kind(i) for i in value}))}
-        for item in value:
-            if isinstance(item, (list, dict)):
-                found.update(python_leaves(item, path + "[]"))
-        return list(found)
-    return [f"{path}:{python_kind(value)}"]
-
-
-def python_fingerprint(text):
-    value = json.loads(text)
-    body = json.dumps(sorted(python_leaves(value)), separators=(",", ":"))
-    return hashlib.sha256(body.encode()).hexdigest()[:12]
-
-
 def spark_fingerprints(spark, cases):
     df = with_json(texts(spark, cases), "t", "v")
     df = with_fingerprint(df.withColumn("general", fingerprint(F.col("v"), F.col("t"))), "v", "t", "fp")
@@ -266,39 +242,66 @@ def test_fingerprint_goldens(spark):
     assert GOLDENS["{}"] == EMPTY_SHAPE
 
 
-def test_fingerprint_odd_keys(spark):
-    cases = ['{"é":1}', '{"a\\tb":1}', '{"q\\"uote":1,"back\\\\slash":2}', '{"\\u007f":1,"\\u0001":null}', '{"😀":[{"ü":1}]}', '{"":1}', '{"":{"a":1}}', '{"a":{"":1}}', '{"$1":2,"a|b":3}', '{"a.b":[1,1],"a":{"b":["x"]}}', '{"a.b":[1],"a":{"b":[2]}}']
-    assert spark_fingerprints(spark, cases) == [python_fingerprint(c) for c in cases]
+def digest(*leaves):
+    """The fingerprint of these leaves, as the format states it."""
+    return hashlib.sha256(json.dumps(sorted(leaves), separators=(",", ":")).encode()).hexdigest()[:12]
+
+
+LEAVES = {
+    '{"é":1}': ["é:number"],
+    '{"a\\tb":1}': ["a\tb:number"],
+    '{"":{"a":1}}': ["a:number"],
+    '{"a":{"":1}}': ["a.:number"],
+    '{"$1":2,"a|b":3}': ["$1:number", "a|b:number"],
+    '{"a":{"b":{"c":1}}}': ["a.b.c:number"],
+    '{"b":{"x":1},"a":{"x":1}}': ["a.x:number", "b.x:number"],
+    '{"OBJECT":{"x":1e300},"VOID":"VOID","number":{"string":null}}': ["OBJECT.x:number", "VOID:string", "number.string:null"],
+    '{"a":1,"a":"x"}': ["a:string"],
+    '{"Z":1,"a":2,"0":3}': ["0:number", "Z:number", "a:number"],
+    '{"a: STRING, b":1}': ["a: STRING, b:number"],
+    '{"a b":1}': ["a b:number"],
+    '{"k":99999999999999999999999999}': ["k:number"],
+}
+
+
+def test_fingerprint_of_listed_leaves(spark):
+    assert spark_fingerprints(spark, list(LEAVES)) == [digest(*leaves) for leaves in LEAVES.values()]
 
 
-def test_fingerprint_plain_nesting(spark):
-    cases = [
-        '{"a":1,"a1":2,"a_":{"z":true,"b":{"c":null,"d":{"e":"x"}},"y":1.5},"b":{}}', '{"a: STRING, b":1}', '{"a":{"b":{"c":1}}}', '{"b":{"x":1},"a":{"x":1}}',
-        '{"OBJECT":{"x":1e300},"VOID":"VOID","number":{"string":null}}', '{"a<":{"b>":1}}', '{"a":1,"a":"x"}', '{"Z":1,"a":2,"0":3}', '{"a":{"b":1},"c":{"d":{}}}', '{"a b":1}', '{"`":1,"k":99999999999999999999999999}',
-    ]
-    assert spark_fingerprints(spark, cases) == [python_fingerprint(c) for c in cases]
+def nested(rng, depth):
+    roll = rng.random()
+    if depth > 0 and roll < 0.3:
+        return {rng.choice(["p", "q", "r s", "t.u", "ж"]): nested(rng, depth - 1) for _ in range(rng.randint(0, 4))}
+    if depth > 0 and roll < 0.6:
+        return [nested(rng, depth - 1) for _ in range(rng.randint(0, 4))]
+    return rng.choice([None, True, 1, 2.5, "x{[", ""])
 
 
-def test_fingerprint_random_nesting(spark):
-    rng = random.Random(11)
+def other_values(value, rng):
+    """The same shape with other values, keys and list items in another order."""
+    if isinstance(value, dict):
+        keys = list(value)
+        rng.shuffle(keys)
+        return {k: other_values(value[k], rng) for k in keys}
+    if isinstance(value, list):
+        items = [other_values(v, rng) for v in value]
+        rng.shuffle(items)
+        return items + items[:1]
+    return value if value is None else rng.random() < 0.5 if isinstance(value, bool) else rng.randint(0, 99) if isinstance(value, (int, float)) else value + "y"
 
-    def value(depth):
-        roll = rng.random()
-        if depth > 0 and roll < 0.3:
-            return {rng.choice(["a", "b", "c d", "e.f", "ж"]): value(depth - 1) for _ in range(rng.randint(0, 4))}
-        if depth > 0 and roll < 0.6:
-            return [value(depth - 1) for _ in range(rng.randint(0, 4))]
-        return rng.choice([None, True, 1, 2.5, "x{[", ""])
 
-    cases = [json.dumps(value(9), ensure_ascii=rng.random() < 0.5) for _ in range(400)]
-    deep = 1
-    for level in range(60):
-        deep = {"d": deep} if level % 3 else [deep, level]
-    cases.append(json.dumps(deep))
-    assert spark_fingerprints(spark, cases) == [python_fingerprint(c) for c in cases]
+def test_fingerprint_follows_the_shape_only(spark):
+    rng = random.Random(23)
+    values = [{"top": nested(rng, 7)} for _ in range(200)]
+    before = spark_fingerprints(spark, [json.dumps(v) for v in values])
+    assert spark_fingerprints(spark, [json.dumps(other_values(v, rng), ensure_ascii=False, indent=1) for v in values]) == before
+    wrapped = spark_fingerprints(spark, [json.dumps({"top": v["top"], "extra": 1}) for v in values])
+    assert all(a != b for a, b in zip(before, wrapped, strict=True)) and len(set(before)) > 50
 
 
 def test_fingerprint_of_a_wide_payload(spark):
-    wide = json.dumps({f"key{i:05}": {"v": [i, str(i)], "w": None} for i in range(3000)})
-    many = json.dumps({"batch": [{"i": i, "pad": "x" * 60} for i in range(5000)]})
-    assert spark_fingerprints(spark, [wide, many]) == [python_fingerprint(wide), python_fingerprint(many)]
+    wide = {f"key{i:05}": {"v": [i, str(i)], "w": None} for i in range(3000)}
+    leaves = [leaf for k in wide for leaf in (f"{k}.v[]:number|string", f"{k}.w:null")]
+    many = {"batch": [{"i": i, "pad": "x" * 60} for i in range(5000)]}
+    flat = {f"k{i:05}": "y" * 20 for i in range(2000)}
+    assert spark_fingerprints(spark, [json.dumps(x) for x in (wide, many, flat)]) == [digest(*leaves), digest("batch[]:object", "batch[].i:number", "batch[].pad:string"), digest(*(f"{k}:string" for k in flat))]
