@@ -164,9 +164,11 @@ def findings(docs: DataFrame, forest: Forest, key: str = "doc_id", text: str = "
 
 def redact(docs: DataFrame, forest: Forest, text: str = "text", path: str = "source", mask: str = MASK) -> DataFrame:
     """``docs`` with every secret in its text replaced by ``mask``; null texts stay null."""
-    columns = docs.columns
-    rows = scan(docs.withColumn("__null", F.col(text).isNull()), forest, text, path)
+    looked_at = [c for c in (text, path) if c in docs.columns]
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in looked_at]
+    rows = scan(docs.select(*looked_at, F.struct(F.col(text).isNull().alias("__null"), *rest).alias("__rest")), forest, text, path)
     parts = F.col("__parts")
     pieces = F.transform("findings", lambda x, i: F.concat(F.get(parts, i), F.when(x["secret"], F.lit(mask)).otherwise(x["candidate"])))
     whole = F.when(F.size("findings") > 0, F.concat(F.array_join(pieces, ""), F.element_at(parts, -1))).otherwise(parts[0])
-    return rows.withColumn(text, F.when(~F.col("__null"), whole)).select(*columns)
+    masked = F.when(~F.col("__rest.__null"), whole).alias(text)
+    return rows.select(*(masked if c == text else F.col(c) if c in looked_at else F.col(f"__rest.`{c}`").alias(c) for c in docs.columns))
