@@ -1,0 +1,309 @@
+"""Each operator against a plain version on a small table, and on odd rows and empty tables."""
+
+import zlib
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from lakegauge.llm import bpe, jaccard, langid, neighbours, packing, quality, repair, rules, secrets, suffixes
+from lakegauge.llm.common import components
+from lakegauge.llm.wordbpe import WordBpe
+
+SF = "/root/testdata/sf0.001"
+WORDS = "amber birch cedar dune ember fjord grove heath islet jetty knoll larch mesa".split()
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet").cache()
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.read.parquet(f"{SF}/labels.parquet").cache()
+
+
+# --- bpe -------------------------------------------------------------------
+
+ODD_TEXTS = [
+    "", " ", "don't I'LL 's!!'s l'amour", "aaa aaaa aaaaaaa", "<|endoftext|>x <|startoftext|> <|END", "x\x1cy \x85 z\xa0w", "İIı ǅ Σας ΣΑΣ ⱥ ſ", "é é ﬁ ｗide",
+    "漢字 한국 😀👍🏽 नमस्ते", "\x00 a\x01b", "12 ½ ²x", "a" * 5000 + " " + "ab" * 3000, "\t\r\n\x0b\x0c",
+]
+
+
+def test_ids_are_the_tokenizers(vocabulary):
+    plain = Tokenizer.from_file(vocabulary)
+    texts = ODD_TEXTS + [chr(c) + "x" + chr(c) for c in range(0x20, 0x3000)]
+    own = WordBpe(vocabulary)
+    for block in (200_000, 40):  # blocks end at certain cuts only
+        flat, counts = own.encode(texts, block)
+        parts = np.split(flat, np.cumsum(counts)[:-1])
+        assert [p.tolist() for p in parts] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert own.decode([49407, 0, 320]) == plain.decode([49407, 0, 320], skip_special_tokens=False)
+
+
+def test_forgetting_changes_nothing(vocabulary, docs):
+    texts = [r["text"] for r in docs.select("text").collect()]
+    small, large = WordBpe(vocabulary, known=50), WordBpe(vocabulary)
+    for _ in range(2):
+        a, b = small.encode(texts, 5000), large.encode(texts)
+        assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
+
+
+def test_round_trip(edge, nothing, vocabulary):
+    rows = bpe.decode(bpe.encode(edge, vocabulary), vocabulary).collect()
+    assert len(rows) == 8 and {r["decoded"] for r in rows if r["doc_id"] in (2, 3, 6)} == {""}
+    assert bpe.encode(nothing, vocabulary).count() == 0
+
+
+# --- packing ---------------------------------------------------------------
+
+
+def whole(packed, capacity):
+    rows = packed.sort_values(["sequence_id", "offset"])
+    assert (rows.groupby("sequence_id")["length"].cumsum() - rows["length"] == rows["offset"]).all()
+    assert rows.groupby("sequence_id")["length"].sum().max() <= capacity
+    return rows["sequence_id"].nunique()
+
+
+@pytest.mark.parametrize("node_items", [7, 60, 10_000])
+def test_packing_is_gapless_and_tight(spark, node_items):
+    sizes = np.random.default_rng(4).integers(1, 70, 700)
+    items = spark.createDataFrame(pd.DataFrame({"k": range(700), "length": sizes, "offset": 1}))
+    packed = packing.pack(items, capacity=100, node_items=node_items).toPandas()
+    assert sorted(packed["k"]) == list(range(700))
+    assert whole(packed, 100) <= 1.12 * np.ceil(sizes.sum() / 100)
+
+
+def test_residual_bins_meet_in_the_tree(spark):
+    items = spark.createDataFrame([(k, 60 if k < 40 else 30) for k in range(80)], "k long, length long")
+    assert whole(packing.pack(items, capacity=90, node_items=5).toPandas(), 90) < 52
+
+
+def test_pieces(edge, nothing, vocabulary):
+    rows = packing.pack(packing.pieces(edge, vocabulary, with_ids=True))
+    assert whole(rows.toPandas(), 2048) >= 15
+    long = rows.where("doc_id = 5").orderBy("piece").collect()
+    assert [r["length"] for r in long[:-1]] == [2048] * (len(long) - 1) and [r["start"] for r in long] == [2048 * k for k in range(len(long))]
+    assert all(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in long)
+    assert packing.sequences(rows).agg(F.sum(F.size("ids"))).first()[0] == rows.agg(F.sum("length")).first()[0]
+    assert packing.pack(packing.pieces(nothing, vocabulary)).count() == 0
+
+
+def test_an_item_beyond_the_capacity_is_refused():
+    with pytest.raises(ValueError):
+        packing.best_fit([5], 4)
+
+
+# --- token files -----------------------------------------------------------
+
+
+def test_token_files(spark, docs, vocabulary, tmp_path):
+    repair.write(docs.repartition(3), str(tmp_path / "f"), vocabulary, shard_ids=20_000)
+    got = repair.read(spark, str(tmp_path / "f")).orderBy("doc_id").collect()
+    plain, start = Tokenizer.from_file(vocabulary), 0
+    for row, doc in zip(got, docs.orderBy("doc_id").collect(), strict=True):
+        ids = [*plain.encode(doc["text"], add_special_tokens=False).ids, 2]
+        assert (row["doc_id"], row["start"], row["n_tokens"], row["ids"]) == (doc["doc_id"], start, len(ids), ids)
+        start += len(ids)
+    last = got[-1]
+    assert repair.lookup(spark, str(tmp_path / "f"), last["doc_id"], 5, 11) == last["ids"][5:16]
+
+
+def test_grammar_expands_to_what_it_was_made_of():
+    rng = np.random.default_rng(6)
+    tokens = np.concatenate([rng.integers(0, 5, 3000), np.full(500, 3), np.tile([1, 2, 3], 400)])
+    last = np.zeros(len(tokens), bool)
+    last[[99, 100, 3600, len(tokens) - 1]] = True
+    symbols, ends, made, sizes = repair.grammar(tokens, last, 10)
+    assert (repair.expand(symbols, made, 10) == tokens).all() and len(symbols) < 0.6 * len(tokens) and ends.sum() == 4
+    assert all(len(repair.expand(np.array([10 + k]), made, 10)) == n for k, n in enumerate(sizes))
+    assert (repair.window(symbols, made, sizes, 10, 1234, 777) == tokens[1234:2011]).all()
+
+
+def test_token_files_of_odd_rows(spark, edge, nothing, vocabulary, tmp_path):
+    repair.write(edge, str(tmp_path / "e"), vocabulary)
+    rows = repair.read(spark, str(tmp_path / "e")).orderBy("start").collect()
+    assert len(rows) == 8 and rows[0]["doc_id"] is None and [r["start"] for r in rows] == np.cumsum([0, *(r["n_tokens"] for r in rows[:-1])]).tolist()
+    repair.write(nothing, str(tmp_path / "n"), vocabulary)
+    assert repair.read(spark, str(tmp_path / "n")).count() == 0
+
+
+# --- language and quality --------------------------------------------------
+
+
+def test_language(docs, edge, nothing):
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    trees = langid.learn(docs.where(~held))
+    rows = langid.predict(docs.where(held), trees).where("lang IS NOT NULL").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.97 * len(rows)
+    odd = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(edge, trees).collect()}
+    assert odd[2] == odd[3] == odd[6] == odd[7] == ("und", 0.0) and odd[1][0] != "und"
+    assert {r["lang_pred"] for r in langid.predict(edge, langid.learn(nothing)).collect()} == {"und"}
+
+
+def test_code_lengths_are_those_of_the_definition():
+    trees = langid.count_trees({"x": ["abab"], "y": ["cc"]})
+
+    def cost(texts, text):
+        seen = Counter()
+        for t in texts:
+            t = "   " + t
+            for i in range(3, len(t)):
+                for k in range(4):
+                    seen[t[i - k : i], t[i]] += 1
+        total, t = 0.0, "   " + text
+        for i in range(3, len(t)):
+            bits = 8.0
+            for k in range(4):
+                own = {s: n for (c, s), n in seen.items() if c == t[i - k : i]}
+                if own:
+                    n = sum(own.values()) + len(own)
+                    bits = -np.log2(own[t[i]] / n) if t[i] in own else bits - np.log2(len(own) / n)
+            total += bits
+        return total
+
+    for text in ("abab", "cab", "bbca"):
+        assert trees.lengths(text) == pytest.approx([cost(["abab"], text), cost(["cc"], text)], rel=1e-5)
+
+
+def test_quality(docs, labels, edge, nothing):
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = quality.learn(docs, labels.where(~held))
+    rows = quality.score(docs.where(held), model).join(labels, "doc_id").collect()
+    assert sum(r["predicted"] == r["quality"] for r in rows) >= 0.85 * len(rows)
+    assert all(0 <= r["score"] <= 1 for r in quality.score(edge, model).collect())
+    assert {r["score"] for r in quality.score(edge.where("doc_id IN (2, 3, 6)"), model).collect()} == {model.prior}
+    assert quality.score(edge, quality.learn(nothing, labels.where("false"))).where("score = 0.5").count() == 8
+
+
+# --- rules -----------------------------------------------------------------
+
+
+def test_learned_rules(spark, labels, edge, nothing):
+    stats = rules.statistics(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).cache()
+    of = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    learned = rules.learn(stats, of)
+    judged = stats.where(~rules.base_failed()).join(of, "doc_id").withColumn("rule", rules.verdict(learned))
+    caught = judged.where("rule IS NOT NULL")
+    assert learned and caught.where("quality = 0").count() >= 0.85 * caught.count()
+    odd = {r["doc_id"]: r for r in rules.statistics(edge).collect()}
+    assert odd[3]["n_words"] == 0 and odd[5]["n_repeat_words"] == 30_000 and odd[6]["n_dup_lines"] == 0
+    assert rules.learn(rules.statistics(nothing), labels) == [] and rules.statistics(nothing).select(rules.verdict([])).count() == 0
+
+
+def test_repeated_windows(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(WORDS[:4], n)) + "\nx y\n \nx y\n" for n in range(0, 60, 3)]
+    got = rules.statistics(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")).orderBy("doc_id").collect()
+    for text, row in zip(texts, got, strict=True):
+        words = text.split()
+        grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        uses = Counter(grams)
+        covered = {i + k for i, g in enumerate(grams) if uses[g] > 1 for k in range(3)}
+        assert (row["n_words"], row["n_repeat_words"], row["n_dup_lines"]) == (len(words), len(covered), 1)
+
+
+# --- secrets ---------------------------------------------------------------
+
+
+def test_secrets(spark, edge, nothing):
+    good = "9f8e7d6c5b4a39281706f5e4d3c2b1a09f8e7d6c"
+    texts = [f'set token = "{good[k:] + good[:k]}" now' for k in range(30)] + [f"sha1 {good[k:] + good[:k]} of it" for k in range(30)] + [f"card {10**15 + 7 * k} paid" for k in range(30)]
+    docs = spark.createDataFrame([(k, t, "src") for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    forest = secrets.train(docs)
+    found = secrets.findings(docs, forest).orderBy("doc_id").collect()
+    assert [r["secret"] for r in found] == [True] * 30 + [False] * 60
+    assert all(texts[r["doc_id"]][r["start"] : r["start"] + r["length"]] == r["candidate"] for r in found)
+    masked = {r["doc_id"]: r["text"] for r in secrets.redact(docs, forest).collect()}
+    assert masked[0] == 'set token = "[secret]" now' and masked[45] == texts[45]
+    odd = secrets.redact(edge, forest)
+    assert odd.columns == edge.columns and sorted(map(str, odd.collect())) == sorted(map(str, edge.collect()))
+    assert secrets.findings(edge, secrets.train(nothing)).count() == 0
+
+
+# --- near duplicates -------------------------------------------------------
+
+
+def test_bands_reach_the_recall():
+    bands, rows = jaccard.banding()
+    assert bands * rows <= jaccard.PERMUTATIONS and 1 - (1 - 0.8**rows) ** bands >= jaccard.RECALL
+
+
+@pytest.mark.parametrize("block", [8, 256])
+def test_classes_and_links(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng, rows = np.random.default_rng(10), []
+    for group in range(4):
+        base = list(rng.choice(WORDS, 120))
+        for _ in range(25):
+            words = list(base)
+            for at in rng.integers(0, 120, rng.integers(0, 3)):
+                words[at] = f"w{rng.integers(1000)}"
+            rows.append((len(rows), " ".join(words)))
+    rows += [(len(rows) + k, t) for k, t in enumerate(["a b", "a  b", "c", "", None, rows[0][1], rows[0][1]])]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").split()) else set() for _, t in rows]
+    parent, links = list(range(len(rows))), Counter()
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if (both and both >= 0.8 * (len(sets[i]) + len(sets[j]) - both)) or (not sets[i] and not sets[j]):
+                links[i] += 1
+                links[j] += 1
+                a, b = sorted((parent[i], parent[j]))
+                parent = [a if p == b else p for p in parent]
+    every, kept = jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in every.collect()} == {i: (parent[i], links[i]) for i in range(len(rows))}
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(parent))
+
+
+def test_deduplicate_odd_rows(edge, nothing):
+    left = jaccard.deduplicate(edge)
+    # rows 2, 3 and 6 hold no word: the null text is a copy of the empty one, the blanks are not
+    assert left.columns == edge.columns and sorted(map(str, (r["doc_id"] for r in left.collect()))) == ["1", "2", "5", "6", "7", "None"]
+    assert jaccard.deduplicate(nothing).count() == 0
+
+
+def test_components_of_a_path(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101)], "a long, b long")
+    assert {r["node"]: r["root"] for r in components(edges, "path").collect()} == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+
+
+# --- neighbours ------------------------------------------------------------
+
+
+def test_neighbours(spark):
+    rng = np.random.default_rng(12)
+    v = rng.standard_normal((600, 12)) * rng.uniform(0.5, 2, (600, 1))
+    v[300:360] = v[7]
+    rows = [(k, x.tolist()) for k, x in enumerate(v)] + [(900, None), (901, [0.0] * 12), (902, [None] + [1.0] * 11), (903, [float("nan")] * 12), (904, [float("inf")] * 12), (905, [1.0]), (None, [1.0] * 12)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("digest", F.lit("x"))
+    got = neighbours.search(table, F.col("vec_id") % 20 == 0, parts=8).toPandas()
+    hits = 0
+    for q in range(0, 600, 20):
+        own = got[got["query_id"] == q].sort_values("rank")
+        scores = (v * v[q]).sum(axis=1)
+        order = [k for k in np.lexsort((np.arange(600), -scores)) if k != q][:20]
+        hits += len(set(order) & set(own["vec_id"]))
+        assert own["rank"].tolist() == list(range(1, 21)) and np.allclose(own["score"], scores[own["vec_id"]], rtol=1e-12)
+        assert sorted(zip(-own["score"], own["vec_id"], strict=True)) == list(zip(-own["score"], own["vec_id"], strict=True))
+    assert hits >= 0.9 * 20 * 30 and got["query_id"].nunique() == 30
+    assert neighbours.search(table.where("vec_id > 899"), F.lit(True)).count() == 0
+
+
+# --- the pipeline ----------------------------------------------------------
+
+
+def test_pipeline_on_odd_rows_and_on_none(spark, edge, nothing):
+    for rows in (edge, nothing):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            after = stage(spark, rows, SF)
+            assert after.columns == rows.columns
+            rows = spark.createDataFrame(after.collect(), after.schema)
+        assert "sequence_id" in corpus_pipeline.STAGES[-1][1](spark, rows, SF).columns
+    assert suffixes.remove_repeats(nothing).count() == 0
