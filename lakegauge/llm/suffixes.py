@@ -227,15 +227,28 @@ def _send_runs(bits: int):
     return run
 
 
-def _refined(rank: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
-    """Ranks split by keys, one after the other, where they tie; a rank is the number of smaller items."""
-    rank = rank.copy()
+def _groups(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First places and sizes of the groups of equal neighbours."""
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
+    return first, np.diff(np.append(first, len(ordered)))
+
+
+def _refined(n: int, keys: list[np.ndarray]) -> np.ndarray:
+    """Ranks of ``n`` items by keys, one after the other where they still tie; a rank is the number of smaller items."""
+    rank, tied = np.zeros(n, np.int64), np.arange(n)
     for key in keys:
-        order = np.lexsort((key, rank))
-        r, k = rank[order], key[order]
-        new = np.append(True, (r[1:] != r[:-1]) | (k[1:] != k[:-1]))
-        first = np.flatnonzero(new)
-        rank[order] = np.repeat(first, np.diff(np.append(first, len(order))))
+        own = key[tied]
+        order = np.argsort(own)
+        first, size = _groups(own[order])
+        among = np.empty(len(tied), np.int64)
+        among[order] = np.repeat(np.arange(len(first)), size)
+        both = rank[tied] << 32 | among
+        order = np.argsort(both)
+        first, size = _groups(both[order])
+        tied = tied[order]
+        old, width = _groups(rank[tied])
+        rank[tied] += np.repeat(first, size) - np.repeat(old, width)
+        tied = tied[np.repeat(size, size) > 1]
     return rank
 
 
@@ -248,15 +261,14 @@ def suffix_ranks(data: np.ndarray, starts: np.ndarray, room: np.ndarray) -> np.n
     sample = np.flatnonzero(nearby[: len(data)] & np.isin(np.arange(len(data)) % PERIOD, COVER) & (room >= SAMPLE_LENGTH))
     offsets = [*range(0, SAMPLE_LENGTH - 7, 8), SAMPLE_LENGTH - 8]
     cover = np.full(len(data), -1, np.int64)
-    cover[sample] = _refined(np.zeros(len(sample), np.int64), [w[sample + o] for o in dict.fromkeys(offsets)])
-    rank = _refined(np.zeros(len(starts), np.int64), [w[starts], w[starts + 8]])
-    order = np.argsort(rank, kind="stable")
-    uses = np.bincount(rank, minlength=len(starts))
-    tied = order[uses[rank[order]] > 1]
+    cover[sample] = _refined(len(sample), [w[sample + o] for o in dict.fromkeys(offsets)])
+    rank = _refined(len(starts), [w[starts], w[starts + 8]])
+    order = np.argsort(rank)
+    _, alike = _groups(rank[order])
+    tied = order[np.repeat(alike, alike) > 1]
     while len(tied):  # members of a tie are neighbours; each is compared with the middle one of its tie
         group = rank[tied]
-        first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-        size = np.diff(np.append(first, len(tied)))
+        first, size = _groups(group)
         p, q = starts[tied], np.repeat(starts[tied[first + size // 2]], size)
         step = _STEP[p % PERIOD, q % PERIOD]
         sign = np.sign(cover[p + step] - cover[q + step])
@@ -269,7 +281,7 @@ def suffix_ranks(data: np.ndarray, starts: np.ndarray, room: np.ndarray) -> np.n
         rank[tied] = group + np.where(sign < 0, 0, np.where(sign == 0, less[which], (less + alike)[which]))
         left = np.where(sign < 0, less[which], np.where(sign > 0, (size - less - alike)[which], 1)) > 1
         tied = tied[left]
-        tied = tied[np.argsort(rank[tied], kind="stable")]
+        tied = tied[np.argsort(rank[tied])]
     return rank
 
 
@@ -281,16 +293,26 @@ def _sort_bucket():
         content, size, doc = (np.concatenate([_unpack(r[c], kind) for r in rows]).astype(np.int64) for c, kind in (("content", "<u4"), ("size", "<u4"), ("doc", "<i8")))
         counts = [len(_unpack(r["content"], "<u4")) for r in rows]
         chunk = np.repeat(np.array([r["chunk"] for r in rows], np.int64), counts)
-        data = np.frombuffer(b"".join([zlib.decompress(r["data"]) for r in rows]), np.uint8)
+        raw = b"".join([zlib.decompress(r["data"]) for r in rows])
         ends = np.cumsum(size)
+        # what several chunks sent is sorted once, with the smallest of its ids
+        known: dict[bytes, int] = {}
+        same = np.array([known.setdefault(raw[b - n : b], len(known)) for b, n in zip(ends.tolist(), size.tolist(), strict=True)], np.int64)
+        owner = np.full(len(known), _LAST)
+        np.minimum.at(owner, same, doc)
+        data = np.frombuffer(b"".join(known), np.uint8)
+        lengths = np.array([len(x) for x in known], np.int64)
+        stops = np.cumsum(lengths)
+        inside = lengths - LENGTH + 1
+        starts = ragged(stops - lengths, inside)
+        rank = suffix_ranks(data, starts, np.repeat(stops, lengths) - np.arange(len(data)))
+        order = np.argsort(rank)
+        first, alike = _groups(rank[order])
+        least = np.empty(len(starts), np.int64)
+        least[order] = np.repeat(np.minimum.reduceat(np.repeat(owner, inside)[order], first), alike)
         suffixes = size - LENGTH + 1
-        starts = ragged(ends - size, suffixes)
         of = np.repeat(np.arange(len(size)), suffixes)
-        rank = suffix_ranks(data, starts, np.repeat(ends, size) - np.arange(len(data)))
-        order = np.argsort(rank, kind="stable")
-        first = np.flatnonzero(np.append(True, rank[order][1:] != rank[order][:-1]))
-        smallest = np.empty(len(starts), np.int64)
-        smallest[order] = np.repeat(np.minimum.reduceat(doc[of[order]], first), np.diff(np.append(first, len(order))))
+        smallest = least[ragged((np.cumsum(inside) - inside)[same], suffixes)]
         # stretches of a run that some other chunk has in a smaller document
         begin = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (smallest[1:] != smallest[:-1])))
         stop = np.append(begin[1:], len(of))
