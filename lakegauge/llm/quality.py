@@ -120,7 +120,7 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
 
     def terms(batches):
         for part, texts in text_batches(batches):
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(list(_rows(texts)), pa.list_(pa.float32()))], names=["key", "label", "terms"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in _rows(texts)], pa.binary())], names=["key", "label", "terms"])
 
     def frequencies(batches):
         total, rows = np.zeros(TERMS, np.int64), 0
@@ -138,14 +138,15 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     weights = (np.log((1 + total) / (1 + frequency)) + 1).astype(np.float32)
     # a key that many rows share is drawn once
     texts = own.join(F.broadcast(chosen), "key").groupBy("key", "label").agg(F.min("text").alias("text"))
-    found = texts.select("key", "label", "text").mapInArrow(terms, f"key {docs.schema[key].dataType.simpleString()}, label double, terms array<float>").select("label", "terms", F.xxhash64("key").alias("place"), "key").collect()
-    found = [r for r in sorted(found, key=lambda r: (r["place"], r["key"])) if any(r["terms"])]
+    found = texts.select("key", "label", "text").mapInArrow(terms, f"key {docs.schema[key].dataType.simpleString()}, label double, terms binary").select("label", "terms", F.xxhash64("key").alias("place"), "key").collect()
+    found = [r for r in sorted(found, key=lambda r: (r["place"], r["key"])) if any(r["terms"])]  # a text with terms has a byte that is not 0
     if not found:
         return Neighbours(weights, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
-    rows = np.array([r["terms"] for r in found], np.float32)
-    weighted = (rows * weights).astype(np.float64)
-    _, vectors = np.linalg.eigh(weighted.T @ weighted)
-    model = Neighbours(weights, vectors[:, ::-1][:, :DIMENSIONS].astype(np.float32), np.zeros((0, 1), np.float32), np.array([r["label"] for r in found]))
+    rows, labels_of = np.frombuffer(b"".join([bytes(r["terms"]) for r in found]), np.float32).reshape(len(found), -1), np.array([r["label"] for r in found])
+    del found
+    weighted = rows * weights
+    _, vectors = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
+    model = Neighbours(weights, vectors[:, ::-1][:, :DIMENSIONS].astype(np.float32), np.zeros((0, 1), np.float32), labels_of)
     model.vectors = model.project(rows)
     return model
 
