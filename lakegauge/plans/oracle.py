@@ -221,7 +221,7 @@ ORACLE: dict[str, str] = {
           CASE WHEN strlen(payload) <= 100 THEN sha256(payload) END AS data_sha256, NULL::VARCHAR AS violations FROM readings""",
     "descriptor_validate": f"""WITH {_JOBS} SELECT entry_id, violations, CASE WHEN NOT ({_NO_JOB}) THEN job_id END AS job_id,
           CASE WHEN NOT ({_NO_JOB}) AND event_id % 41 <> 4 THEN tenant_id END AS tenant_id,
-          CASE WHEN NOT ({_NO_JOB}) THEN CASE event_id % 41 WHEN 8 THEN 'carrier-pigeon' ELSE mode END END AS mode,
+          CASE WHEN NOT ({_NO_JOB}) THEN CASE event_id % 41 WHEN 8 THEN 'smoke-signal' ELSE mode END END AS mode,
           CASE WHEN NOT ({_NO_JOB}) AND event_id % 41 <> 10 THEN CASE event_id % 41 WHEN 7 THEN 999999 ELSE {_BYTES} END END AS size_bytes,
           CASE WHEN {_NO_JOB} THEN 1 WHEN event_id % 41 = 3 THEN 0 ELSE attempt END AS attempt,
           CASE WHEN NOT ({_NO_JOB}) THEN CASE event_id % 41 WHEN 1 THEN '2026-10-02T10:00:00.000000' ELSE {stamp('received_at')} END END AS received_at FROM jobs""",
@@ -275,7 +275,7 @@ ORACLE: dict[str, str] = {
         FROM ({kept(ENERGY, 'tenant_id, device_id, event_time', 'received_at DESC, job_id DESC')})""",
     "publish_slice": f"""WITH {MAPPED}, {_SLICE} SELECT job_id, trace_id, tenant_id, device_id, {stamp('event_time')} AS event_time, {stamp('received_at')} AS received_at, mapper_id, mapper_version, humidity, temperature FROM slice""",
     "publish_metadata": f"""WITH {MAPPED}, {_SLICE} SELECT '{AIR}' AS "table", 't1' AS tenant_id, NULL::VARCHAR AS device_id, '{_START}+00:00' AS "from", '{_END}+00:00' AS "to",
-        {SLICE['limit']} AS "limit", count(*) AS count, 't1/{AIR}/01ABC.json' AS key FROM slice""",
+        {SLICE['limit']} AS "limit", count(*) AS count, 't1/{AIR}/slice-0001.json' AS key FROM slice""",
     "publish_rows_as_json": f"""WITH {MAPPED} SELECT job_id, '{{"job_id":"' || job_id || '","tenant_id":"' || tenant_id || '","device_id":"' || device_id || '","event_time":"' || {_text_of('event_time')} ||
         '","received_at":"' || {_text_of('received_at')} || '","mapper_version":1,"other_mapper":null}}' AS json, tenant_id || '/{WATER}/' || job_id || '.json' AS key FROM ({kept(WATER)})""",
     "publish_tenant_check": """SELECT c_custkey, tenant_id, regexp_full_match(tenant_id, '[A-Za-z0-9_-]+') AS usable FROM

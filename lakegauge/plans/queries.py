@@ -370,7 +370,7 @@ def publish_slice(spark, sf_dir):
 
 @query
 def publish_metadata(spark, sf_dir):
-    request = {**SLICE, "table": AIR, "key": f"t1/{AIR}/01ABC.json"}
+    request = {**SLICE, "table": AIR, "key": f"t1/{AIR}/slice-0001.json"}
     return publish.slice_metadata(_slice(spark, sf_dir), **request)
 
 

@@ -76,7 +76,7 @@ _READINGS = f"""
   {{received}} AS received_at,
   't' || CAST(user_id % 4 AS STRING) AS tenant_id,
   'dev-' || {_USER} AS device_id,
-  CASE WHEN event_id % 17 = 0 THEN 'indoor-air-quality' WHEN event_id % 19 = 0 THEN 'typo-vendor'
+  CASE WHEN event_id % 17 = 0 THEN 'indoor-air-quality' WHEN event_id % 19 = 0 THEN 'nobody-known'
        WHEN event_id % 23 = 0 THEN 'water-meter' END AS pipeline_hint,
   event_id,
   CASE event_type WHEN 'click' THEN {_CLICK} WHEN 'view' THEN {_VIEW} WHEN 'purchase' THEN {_PURCHASE}
@@ -136,9 +136,9 @@ FAULTS = (
     ("event_id % 41 = 3", "attempt", "'0'"),
     ("event_id % 41 = 4", "tenant_id", "NULL"),
     ("event_id % 41 = 5", "pipeline_hint", "'7'"),
-    ("event_id % 41 = 6", "sneaky", "'\"value\"'"),
+    ("event_id % 41 = 6", "undeclared", "'\"value\"'"),
     ("event_id % 41 = 7", "size_bytes", "'999999'"),
-    ("event_id % 41 = 8", "mode", "'\"carrier-pigeon\"'"),
+    ("event_id % 41 = 8", "mode", "'\"smoke-signal\"'"),
     ("event_id % 41 = 9", "sha256", "NULL"),
     ("event_id % 41 = 10", "size_bytes", "'\"12\"'"),
 )
@@ -186,7 +186,7 @@ def queue_entries(spark: SparkSession, sf_dir: str, with_faults: bool = True) ->
         F.concat(F.lit('"payload":{'), payload, F.lit("}")),
         member("pipeline_hint", fault("pipeline_hint", quoted(F.col("pipeline_hint")))),
         member("attempt", fault("attempt", F.expr(ATTEMPT).cast("string"))),
-        member("sneaky", fault("sneaky", no_text)),
+        member("undeclared", fault("undeclared", no_text)),
     )
     entry = F.concat(F.lit("{"), job, F.lit("}"))
     if with_faults:

@@ -276,8 +276,8 @@ def test_slice_filter(spark):
 
 
 def test_publish_writes_one_document(spark, whole, tmp_path):
-    out = publish(whole, str(tmp_path), "silver_air_quality", "t0", start=DAY, end=datetime(2026, 9, 12, tzinfo=UTC), limit=3, export_id="01ABC")
-    assert out["count"] == 3 and out["key"] == "t0/silver_air_quality/01ABC.json"
+    out = publish(whole, str(tmp_path), "silver_air_quality", "t0", start=DAY, end=datetime(2026, 9, 12, tzinfo=UTC), limit=3, export_id="slice-0001")
+    assert out["count"] == 3 and out["key"] == "t0/silver_air_quality/slice-0001.json"
     document = json.loads(spark.read.text(str(tmp_path / out["key"]), wholetext=True).first()[0])
     assert document["metadata"]["count"] == 3 and document["metadata"]["device_id"] is None and document["metadata"]["from"].startswith("2026-09-10")
     assert [r["event_time"] for r in document["rows"]] == ["2026-09-10 00:00:00+00:00"] * 3
@@ -301,6 +301,6 @@ def test_publish_refuses_in_order(whole, tmp_path):
 
 def test_rows_as_json_keep_nulls(spark):
     df = spark.createDataFrame([("d", DAY, None, 21.4)], "device_id string, event_time timestamp, humidity double, temperature double")
-    row = df.select(as_json(df).alias("j"), export_key("demo", "silver_air_quality", "01ABC").alias("k")).first()
+    row = df.select(as_json(df).alias("j"), export_key("demo", "silver_air_quality", "slice-0001").alias("k")).first()
     assert json.loads(row["j"]) == {"device_id": "d", "event_time": "2026-09-10 00:00:00+00:00", "humidity": None, "temperature": 21.4}
-    assert row["k"] == "demo/silver_air_quality/01ABC.json"
+    assert row["k"] == "demo/silver_air_quality/slice-0001.json"
