@@ -24,15 +24,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakegauge.llm.common import text_batches
+from lakegauge.llm.common import stored, text_batches
 
 ORDER = 3
 SAMPLE = 400
 SAMPLE_BYTES = 1 << 20
+ROOM = 4  # a cut of the hash ahead of the choice leaves this many samples, however many rows there are
 SYMBOLS = 95  # the most frequent bytes; all others are one symbol
 _LETTER = re.compile(r"[^\W\d_]")
 _START = 32  # what stands in front of a text
@@ -120,13 +121,26 @@ def _costs(grams: np.ndarray, counts: np.ndarray, contexts: np.ndarray, shorter:
     return bits.reshape(-1)
 
 
+def _cut(uses: dict[str, int], sample: int) -> Column:
+    """Which places lie in the first part of the hash's range, in which ``ROOM`` times the sample of a language is expected; all of a rare one's."""
+    limits = {name: int(-(2**63) + 2**64 * ROOM * sample / n) for name, n in uses.items() if n > ROOM * sample}
+    out = F.lit(True)
+    for name, limit in limits.items():
+        out = out & ((F.col("language") != name) | (F.col("place") < limit))
+    return out
+
+
 def learn(docs: DataFrame, text: str = "text", language: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Trees:
     """Trees from a bounded sample of labelled texts: per language the ``sample`` first by hash, of at most ``SAMPLE_BYTES`` bytes each."""
     known = docs.where(F.col(language).isNotNull() & F.col(text).isNotNull() & (F.octet_length(text) <= SAMPLE_BYTES))
-    place = F.row_number().over(Window.partitionBy("language").orderBy("place", "key"))
+    known = known.select(F.col(language).alias("language"), F.xxhash64(key).alias("place"), F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
     # the keys are chosen first; only the chosen texts reach the driver
-    chosen = known.select(F.col(language).alias("language"), F.xxhash64(key).alias("place"), F.col(key).cast("string").alias("key")).withColumn("n", place).where(F.col("n") <= sample)
-    rows = known.select(F.col(language).alias("language"), F.xxhash64(key).alias("place"), F.col(text).alias("text")).join(F.broadcast(chosen.select("language", "place").distinct()), ["language", "place"])
+    keys = stored(known.drop("text"), "language-keys")
+    uses = keys.groupBy("language").agg(F.approx_count_distinct("key").alias("n")).collect()
+    first = keys.where(_cut({r["language"]: r["n"] for r in uses}, sample))
+    place = F.row_number().over(Window.partitionBy("language").orderBy("place", "key"))
+    chosen = first.groupBy("language", "place").agg(F.min("key").alias("key")).withColumn("n", place).where(F.col("n") <= sample)
+    rows = known.join(F.broadcast(chosen.select("language", "place")), ["language", "place"])
     texts: dict[str, list[str]] = {}
     for row in rows.groupBy("language", "place").agg(F.min("text").alias("text")).collect():
         texts.setdefault(row["language"], []).append(row["text"])
