@@ -18,8 +18,8 @@ from lakegauge.mappers import Mapper, MapperColumn, Registry
 from lakegauge.operators import admission, audit, bronze, dedup, descriptor, redrive, resolve, transform
 from lakegauge.plans import adhoc, publish
 from lakegauge.plans.readings import landing_area, queue_entries, readings
-from lakegauge.plans.silver import silver
 from lakegauge.session import configure, shared_dir
+from lakegauge.sources import landing
 from lakegauge.sources.lake import AUDIT, BRONZE, Lake
 from lakegauge.sources.queue import stream_queue
 from lakegauge.streaming.stages import BronzeStage, SilverStage, catch_up
@@ -138,6 +138,14 @@ def descriptor_validate(spark, sf_dir):
     )
 
 
+def _landed(spark, sf_dir, jobs):
+    """The objects that jobs name, from a landing area of files; those that time out have no file."""
+    area, root = landing_area(spark, sf_dir), shared_dir(spark, "landing")
+    bodies = area.filter("fetch_error IS NULL").select(F.lit("reference").alias("mode"), F.col("key").alias("s3_key"), F.col("content").alias("body"))
+    landing.land(bodies, root)
+    return landing.objects_for(jobs, root).unionByName(area.filter("fetch_error IS NOT NULL"))
+
+
 def _fetched(spark, sf_dir):
     jobs = descriptor.parse_jobs(queue_entries(spark, sf_dir, with_faults=False)).filter("violations IS NULL")
     return bronze.attach_payload(jobs, landing_area(spark, sf_dir))
@@ -149,7 +157,8 @@ def _outcomes(spark, sf_dir):
 
 @query
 def landing_fetch(spark, sf_dir):
-    return _fetched(spark, sf_dir).select(
+    jobs = descriptor.parse_jobs(queue_entries(spark, sf_dir, with_faults=False)).filter("violations IS NULL")
+    return bronze.attach_payload(jobs, _landed(spark, sf_dir, jobs)).select(
         "job_id", "mode", "s3_key", F.octet_length("content").cast("bigint").alias("content_bytes"),
         F.sha2("content", 256).alias("content_sha256"), "fetch_error",
     )
@@ -454,11 +463,10 @@ def _streamed(spark, sf_dir) -> Lake:
     home = shared_dir(spark, "streamed")
     lake = Lake(spark, f"{home}/lake").ensure(register=False)
     queue_entries(spark, sf_dir, with_faults=False).write.parquet(f"{home}/queue")
-    landed = landing_area(spark, sf_dir)
 
     class Bronze(BronzeStage):
         def objects(self, jobs):
-            return landed
+            return _landed(spark, sf_dir, jobs)
 
     catch_up(Bronze(lake), stream_queue(spark, f"{home}/queue"), f"{home}/bronze-checkpoint")
     catch_up(SilverStage(lake), lake.stream(BRONZE), f"{home}/silver-checkpoint")

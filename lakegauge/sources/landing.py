@@ -1,72 +1,102 @@
-"""Objects too large for the queue, by their key in the landing area."""
+"""Objects too large for the queue, by their key in the landing area.
+
+Tasks open exactly the named objects, each once however many jobs name it. Spark's
+own file source is of no use here: it lists folders and hides names that begin
+with ``_`` or ``.``, and one object it cannot read ends the job.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+import time
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-# Past this many keys whole days are read instead of single objects.
-MAX_LISTED_KEYS = 1000
-_PLAIN_KEY = r"^[A-Za-z0-9_./=-]+\z"
-_DAY = r"^(\d{4}/\d{2}/\d{2})/[^/]+\z"
+TRIES = 3
+PAUSE = 0.2  # seconds before the second try, twice as long before the third
 
 
-def objects(spark: SparkSession, root: str, patterns: list[str] | None = None) -> DataFrame:
-    """``key`` and ``content`` of the landed objects under ``root``."""
-    base = root.rstrip("/")
-    reader = spark.read.format("binaryFile")
-    try:
-        if patterns is None:
-            files = reader.option("recursiveFileLookup", "true").load(base)
-        else:
-            files = reader.load(f"{base}/{{{','.join(patterns)}}}")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "key string, content binary")
-    return files.select(F.substring_index("path", base + "/", -1).alias("key"), "content")
+def _store(root: str):
+    """The file system of a landing area and its folder there, within a task. Takes the addresses that Spark takes."""
+    from pyarrow import fs
+
+    local = re.sub(r"^file:/+", "/", root)
+    if "://" not in local:
+        return fs.LocalFileSystem(), local
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", local))
+
+
+def _inside(key: str) -> bool:
+    """Producers choose keys; none may lead out of the landing area."""
+    return bool(key) and not key.startswith("/") and ".." not in key.split("/")
+
+
+def _fetch(store, folder: str, key: str) -> tuple[bytes | None, str | None]:
+    """Content, or why it cannot be had after ``TRIES`` tries; neither if there is no such object."""
+    from pyarrow import ArrowException
+    from pyarrow.fs import FileType
+
+    if not _inside(key):
+        return None, None
+    for turn in range(1, TRIES + 1):
+        try:
+            path = f"{folder}/{key}"
+            if store.get_file_info(path).type in (FileType.NotFound, FileType.Directory):
+                return None, None
+            with store.open_input_stream(path, compression=None) as stream:
+                return stream.read(), None
+        except (OSError, ArrowException, ValueError) as e:
+            if turn == TRIES:
+                return None, f"{type(e).__name__}: {e}"
+            time.sleep(PAUSE * turn)
+    return None, None
 
 
 def objects_for(jobs: DataFrame, root: str) -> DataFrame:
-    """The landed objects that reference jobs may point at.
+    """``key``, ``content`` and ``fetch_error`` of the landed objects that reference jobs name; no row where there is none.
 
-    Few keys are opened one by one, many by their days; keys of another form
-    need the whole area. Which way is taken never changes what a job finds.
+    Null keys, keys of folders and keys that lead out of ``root`` name no object.
+    Contents come one to a batch, so a task holds one object at a time.
     """
-    spark = jobs.sparkSession
-    keys = jobs.filter("mode = 'reference'").select("s3_key").distinct()
-    few = [r["s3_key"] for r in keys.limit(MAX_LISTED_KEYS + 1).collect()]
-    if not few:
-        return spark.createDataFrame([], "key string, content binary")
-    odd = keys.filter(~F.col("s3_key").rlike(_PLAIN_KEY) | F.col("s3_key").contains("..")).limit(1).count()
-    if odd:
-        return objects(spark, root)
-    if len(few) <= MAX_LISTED_KEYS:
-        return objects(spark, root, few)
-    if keys.filter(~F.col("s3_key").rlike(_DAY)).limit(1).count():
-        return objects(spark, root)
-    days = keys.select(F.regexp_extract("s3_key", _DAY, 1).alias("day")).distinct().limit(MAX_LISTED_KEYS + 1)
-    listed = [r["day"] for r in days.collect()]
-    return objects(spark, root, [f"{d}/*" for d in listed] if len(listed) <= MAX_LISTED_KEYS else None)
+    base = root.rstrip("/")
+    tasks = int(jobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # keys are small, what they name is not: their number of tasks must not be made smaller
+    keys = jobs.filter("mode = 'reference' AND s3_key IS NOT NULL").select("s3_key").distinct().repartition(tasks, "s3_key")
+
+    def read(batches):
+        import pyarrow as pa
+
+        store, folder = _store(base)
+        schema = pa.schema([("key", pa.string()), ("content", pa.binary()), ("fetch_error", pa.string())])
+        for batch in batches:
+            for key in batch.column(0).to_pylist():
+                content, error = _fetch(store, folder, key)
+                if content is not None or error is not None:
+                    yield pa.RecordBatch.from_pydict({"key": [key], "content": [content], "fetch_error": [error]}, schema=schema)
+
+    return keys.mapInArrow(read, "key string, content binary, fetch_error string")
 
 
 def land(routed: DataFrame, root: str) -> None:
     """Write the bodies of reference readings under their keys, ahead of their queue entries.
 
-    Each task writes its own objects through the cluster's file system; a task
-    that runs again writes the same bytes to the same keys.
+    Each task writes its own objects; a task that runs again writes the same bytes to the same keys.
     """
     base = root.rstrip("/")
 
     def write(rows) -> None:
-        from pyarrow import fs as pafs
-
-        store, folder = pafs.FileSystem.from_uri(base if "://" in base else f"file://{base}")
+        store, folder = _store(base)
+        made = set()
         for row in rows:
+            if not _inside(row["s3_key"]):
+                raise ValueError(f"not a key within the landing area: {row['s3_key']!r}")
             target = f"{folder}/{row['s3_key']}"
-            store.create_dir(target.rpartition("/")[0], recursive=True)
-            with store.open_output_stream(target) as out:
+            above = target.rpartition("/")[0]
+            if above not in made:
+                store.create_dir(above, recursive=True)
+                made.add(above)
+            with store.open_output_stream(target, compression=None) as out:
                 out.write(bytes(row["body"]))
 
     routed.filter("mode = 'reference'").select("s3_key", "body").foreachPartition(write)

@@ -188,22 +188,23 @@ def test_redrive_rebuilds_descriptors(spark):
     assert [(r["violations"], r["job_id"], r["s3_key"], r["attempt"], r["entry_id"]) for r in again] == [(None, "A", "a.json", 2, "A/2")]
 
 
-def test_landing_area_round_trip(spark, tmp_path):
-    bodies = spark.createDataFrame([("reference", "2026/09/22/a.json", b"one"), ("reference", "2026/09/23/b.json", b"two"), ("inline", None, b"zzz")], "mode string, s3_key string, body binary")
-    landing.land(bodies, str(tmp_path))
-    everything = landing.objects(spark, str(tmp_path))
-    assert sorted((r["key"], bytes(r["content"])) for r in everything.collect()) == [("2026/09/22/a.json", b"one"), ("2026/09/23/b.json", b"two")]
-    for keys, found in [(["2026/09/22/a.json", "2026/09/22/x.json"], 1), (["nope/x.json"], 0), ([], 0), (["odd {key}", "2026/09/23/b.json"], 2)]:
-        jobs = spark.createDataFrame([("reference", k) for k in keys], "mode string, s3_key string")
-        assert landing.objects_for(jobs, str(tmp_path)).count() == found, keys
-
-
-def test_many_keys_are_read_by_day(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(landing, "MAX_LISTED_KEYS", 2)
-    bodies = spark.createDataFrame([("reference", f"2026/09/2{d}/{n}.json", b"x") for d in range(2) for n in range(3)], "mode string, s3_key string, body binary")
-    landing.land(bodies, str(tmp_path))
-    jobs = bodies.filter("s3_key like '2026/09/20/%'").select("mode", "s3_key")
-    assert landing.objects_for(jobs, str(tmp_path)).count() == 3
+def test_landed_objects_by_key(spark, tmp_path):
+    names = ["2026/10/05/a.json", "2026/10/05/_b.json", ".c", "odd {key}*?%20", "packed.gz", "déjà vu"]
+    bodies = spark.createDataFrame([*(("reference", k, k.encode()) for k in names), ("inline", None, b"zzz")], "mode string, s3_key string, body binary")
+    landing.land(bodies, f"file://{tmp_path}/area")
+    (tmp_path / "secret").write_text("not landed")
+    too_long = "x" * 300  # no store takes it: an object that cannot be read
+    others = ["2026/10/05", "2026/10/05/a.json/deeper", "../secret", "/etc/hostname", "", "gone.json", None]
+    jobs = spark.createDataFrame([("reference", k) for k in [*names, *names, *others, too_long]] + [("inline", ".c")], "mode string, s3_key string")
+    found = {r["key"]: (r["content"] and bytes(r["content"]).decode(), r["fetch_error"]) for r in landing.objects_for(jobs, str(tmp_path / "area")).collect()}
+    assert found.pop(too_long)[1] and found == {k: (k, None) for k in names}
+    assert landing.objects_for(jobs, str(tmp_path / "area")).count() == len(names) + 1
+    assert landing.objects_for(jobs.limit(0), str(tmp_path / "nowhere")).count() == 0
+
+
+def test_keys_stay_within_the_area(spark, tmp_path):
+    with pytest.raises(Exception, match="not a key within"):
+        landing.land(spark.createDataFrame([("reference", "../x", b"")], "mode string, s3_key string, body binary"), str(tmp_path))
 
 
 @pytest.mark.parametrize("stamped", ["2026-01-02 00:00:00"])
