@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 KEYS = ("device_id", "event_time")
-MAX_LISTED_DAYS = 2000
 
 
 def one_per_key(rows: DataFrame, keys: Sequence[str] = KEYS, keep: str = "first") -> DataFrame:
@@ -30,17 +30,12 @@ def not_in_table(rows: DataFrame, table: DataFrame, keys: Sequence[str] = KEYS)
     return rows.join(table.select(*keys), list(keys), "left_anti")
 
 
-def on_days_of(rows: DataFrame, table: DataFrame, day: str, time: str = "event_time") -> DataFrame:
-    """``table`` cut to the day partitions ``rows`` touch.
+def days_of(rows: DataFrame, time: str = "event_time") -> list[date]:
+    """The days ``rows`` touch, for reading just these of a table (``Lake.read``).
 
-    A duplicate has the same time, so no other day can hold one. Days are listed
+    A duplicate has the same time, so no other day can hold one. Days are named
     one by one: a single very late reading must not widen the scan to all days
-    between. Only a list of days comes to the driver, and past MAX_LISTED_DAYS
-    just its two ends; the cut is a saving, never needed for the result.
+    between. Only days come to the driver, of which the calendar has few.
     """
-    days = rows.select(F.to_date(time).alias("d")).distinct().limit(MAX_LISTED_DAYS + 1)
-    listed = [r["d"] for r in days.collect()]
-    if len(listed) <= MAX_LISTED_DAYS:
-        return table.filter(F.col(day).isin(listed)) if listed else table.limit(0)
-    low, high = rows.select(F.min(F.to_date(time)), F.max(F.to_date(time))).first()
-    return table.filter(F.col(day).between(low, high))
+    days = rows.select(F.to_date(time).alias("d")).filter("d IS NOT NULL").distinct().collect()
+    return sorted(r["d"] for r in days)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import date
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,9 +80,15 @@ class Lake:
                 self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
         return self
 
-    def read(self, name: str) -> DataFrame:
-        """The whole table. Columns added after a file was written are NULL there."""
-        return self.spark.read.schema(self.stored_schema(name)).parquet(self.path(name))
+    def read(self, name: str, days: Iterable[date] | None = None) -> DataFrame:
+        """The whole table, or some ``days`` of it, of which no other folder is listed. Columns added after a file was written are NULL there."""
+        schema = self.stored_schema(name)
+        reader = self.spark.read.schema(schema)
+        if days is None:
+            return reader.parquet(self.path(name))
+        folders = [f"{self.path(name)}/{self.days[name][0]}={d}" for d in days]
+        there = [folder for folder in folders if files.exists(self.spark, folder)]
+        return reader.option("basePath", self.path(name)).parquet(*there) if there else self.spark.createDataFrame([], schema)
 
     def stream(self, name: str, max_files: int | None = None) -> DataFrame:
         """Rows as they are added: each micro-batch holds the files committed since the last one."""

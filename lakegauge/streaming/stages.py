@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakegauge.mappers.registry import silver_table_name
 from lakegauge.operators.bronze import bronze_outcomes, bronze_rows, dead_letters
-from lakegauge.operators.dedup import KEYS, not_in_table, on_days_of, one_per_key
+from lakegauge.operators.dedup import KEYS, days_of, not_in_table, one_per_key
 from lakegauge.operators.descriptor import parse_jobs
 from lakegauge.operators.redrive import retries
 from lakegauge.operators.transform import map_readings, silver_dead_letters, silver_rows
@@ -146,7 +146,7 @@ class SilverStage(Stage):
                 continue
             name = silver_table_name(target)
             rows = silver_rows(mapped.filter(F.col("lane") == target), registry, target)
-            known = on_days_of(rows, self.lake.read(name), "event_time_day")
+            known = self.lake.read(name, days_of(rows))
             fresh = not_in_table(one_per_key(rows, self.keys, self.keep), known, self.keys)
             added = self.append(name, fresh, "silver")
             counts.append((name, rows_in, added, sizes[target] - added))

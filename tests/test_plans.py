@@ -5,12 +5,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import oracle_sql, queries
 from lakegauge.mappers import Registry
 from lakegauge.operators.audit import silver_counts
-from lakegauge.operators.dedup import not_in_table, on_days_of, one_per_key
+from lakegauge.operators.dedup import days_of, not_in_table, one_per_key
 from lakegauge.operators.transform import map_readings, silver_rows
+from lakegauge.plans.oracle import ORACLE
 from lakegauge.plans.publish import slice_filter, take_slice
+from lakegauge.plans.queries import QUERIES
 from lakegauge.sources.lake import Lake
 from oracle_check import compare, connect
 
@@ -68,16 +69,21 @@ def test_dedup_and_lookup_share_one_exchange(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_only_days_of_the_batch_are_scanned(spark, tmp_path, monkeypatch):
-    lake = Lake(spark, str(tmp_path)).ensure(register=False)
-    table = lake.read("silver.water")
-    rows = spark.createDataFrame([("2026-01-01 05:00:00",), ("1999-03-04 00:00:00",)], "t string").select(F.col("t").cast("timestamp").alias("event_time"))
-    text = plan(on_days_of(rows, table, "event_time_day"))
-    assert "PartitionFilters: [event_time_day" in text.replace("isnotnull(event_time_day#", "event_time_day#") or "1999-03-04" in text
-    from lakegauge.operators import dedup
+def test_only_days_of_the_batch_are_read(spark, tmp_path):
+    from datetime import date
+
+    def at(*times):
+        return spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp").alias("event_time"))
 
-    monkeypatch.setattr(dedup, "MAX_LISTED_DAYS", 1)
-    assert "event_time_day" in plan(on_days_of(rows, table, "event_time_day")).split("PartitionFilters")[1]
+    lake = Lake(spark, str(tmp_path)).ensure(register=False)
+    others = [F.lit(None).cast(f.dataType).alias(f.name) for f in lake.schemas["silver.water"] if f.name != "event_time"]
+    lake.append("silver.water", at("2026-01-01 05:00:00", "2026-01-02 06:00:00", "2026-01-03 07:00:00").select("*", *others))
+    days = days_of(at("2026-01-02 23:59:59", "1999-03-04 00:00:00", None))
+    assert days == [date(1999, 3, 4), date(2026, 1, 2)]
+    known = lake.read("silver.water", days)
+    assert [str(r["event_time"]) for r in known.collect()] == ["2026-01-02 06:00:00"] and known.columns == lake.read("silver.water").columns
+    assert known.inputFiles() and all("/event_time_day=2026-01-02/" in f for f in known.inputFiles())
+    assert lake.read("silver.water", []).count() == 0
 
 
 def test_publishing_prunes_days_and_sorts_only_the_top(spark, tmp_path):
@@ -109,19 +115,19 @@ def test_counts_need_no_second_pass(spark):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, sql_tables, name):
     kept = {}
 
     def query(session, folder):
-        kept["df"] = queries()[name](session, folder)
+        kept["df"] = QUERIES[name](session, folder)
         return kept["df"]
 
-    assert compare(spark, sql_tables, name, query, oracle_sql()[name], SMALL) is None
-    # nothing leaves the JVM, nothing is paired with everything
+    assert compare(spark, sql_tables, name, query, ORACLE[name], SMALL) is None
+    # nothing but the fetch of landed objects leaves the JVM, nothing is paired with everything
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
         assert bad not in plan(kept["df"])
