@@ -37,6 +37,7 @@ TEST_PATH = r"(?i)(test|example|sample|fixture|mock|doc)"
 MASK = "[secret]"
 WORDS = 1000
 SAMPLE = 20_000
+ROOM = 4  # a cut of the hash ahead of the choice leaves this many samples
 TREES, DEPTH = 15, 5
 BEFORE, AFTER = 80, 20
 FEATURES = ("length", "digits", "capitals", "letter_digit_changes", "case_changes", "separators", "hex", "distinct", "dictionary", "test_path", "credential_word", "assigned", "quoted", "no_secret_word", "neighbours_known")
@@ -127,16 +128,33 @@ def weak_labels(found: DataFrame) -> DataFrame:
     return found.select("features", F.when(harmless, 0.0).when(secret, 1.0).alias("label")).where("label IS NOT NULL")
 
 
+def _bounded(labelled: DataFrame, sample: int) -> DataFrame:
+    """features, label and weight of at most ``sample`` distinct (features, label), as many of each label, the first by hash; a label's weights add up to the number of its findings."""
+    counted = stored(labelled.groupBy("features", "label").agg(F.count("*").alias("n")).withColumn("place", F.xxhash64("features")), "finding-counts")
+    uses = counted.groupBy("label").agg(F.count("*").alias("vectors"), F.sum("n").alias("n")).orderBy("label").collect()
+    chosen = counted.where("false")
+    for r in uses:
+        own, each = counted.where(F.col("label") == r["label"]), sample // len(uses)
+        if r["vectors"] > ROOM * each:
+            own = own.where(F.col("place") < int(-(2**63) + 2**64 * ROOM * each / r["vectors"]))
+        chosen = chosen.unionByName(own.orderBy("place", "features").limit(each))
+    chosen = stored(chosen, "labelled-findings")
+    share = F.lit(1.0)
+    for r in chosen.groupBy("label").agg(F.sum("n").alias("n")).collect():
+        share = F.when(F.col("label") == r["label"], next(u["n"] for u in uses if u["label"] == r["label"]) / r["n"]).otherwise(share)
+    return chosen.select("features", "label", (F.col("n") * share).alias("weight"))
+
+
 def train(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text", path: str = "source", sample: int = SAMPLE) -> Forest:
-    """A forest from labelled findings (features, label), of which the ``sample`` first by hash are used; from weak labels if none are given."""
+    """A forest from labelled findings (features, label), of which ``sample`` distinct ones are used, both labels alike; from weak labels if none are given."""
     words = dictionary(docs, text)
     if labelled is None:
         labelled = weak_labels(candidates(docs, words, text, path).select(F.inline("__found")))
-    rows = stored(labelled.orderBy(F.xxhash64("features"), "label").limit(sample).select(array_to_vector("features").alias("features"), "label"), "labelled-findings")
+    rows = _bounded(labelled, sample).select(array_to_vector("features").alias("features"), "label", "weight")
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(counts) < 2:
         return Forest(words, prior=float(next(iter(counts), 0.0)))
-    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11, featureSubsetStrategy="onethird").fit(rows)
+    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11, featureSubsetStrategy="onethird", weightCol="weight").fit(rows)
     trees = re.split(r"\n\s*Tree \d+ \(weight [\d.]+\):\n", model.toDebugString)[1:]
     return Forest(words, [_tree(tree.rstrip().split("\n")) for tree in trees])
 

@@ -227,6 +227,20 @@ def test_secrets(spark, edge, nothing):
     assert secrets.findings(edge, secrets.train(nothing)).count() == 0
 
 
+def test_rare_secrets_and_hot_vectors_are_learned(spark):
+    """Secrets below one in the sample's size, and a vector that a third of all findings are."""
+    first = spark.range(60_000).selectExpr("0.0 AS label", "IF(id < 20000, 1, 2 + id % 300) AS k")
+    rows = first.unionByName(spark.range(2).selectExpr("1.0 AS label", "id AS k"))
+    names = {name: F.lit(0.0) for name in secrets.FEATURES} | {"length": 16.0 + F.col("k") % 5, "distinct": F.col("k") / 400.0}
+    names |= {n: F.col("label").cast("double") for n in ("credential_word", "assigned", "quoted")}
+    labelled = rows.select(F.array(*(F.lit(names[n]).cast("double") if isinstance(names[n], float) else names[n].cast("double") for n in secrets.FEATURES)).alias("features"), "label")
+    docs = spark.createDataFrame([(1, "nothing here")], "doc_id long, text string")
+    for sample in (200, 20_000):
+        forest = secrets.train(docs, labelled, sample=sample)
+        scores = {(r["label"], r["s"] >= 0.5) for r in labelled.select("label", forest.score(F.col("features")).alias("s")).distinct().collect()}
+        assert forest.trees and scores == {(0.0, False), (1.0, True)}
+
+
 # --- near duplicates -------------------------------------------------------
 
 
