@@ -6,10 +6,11 @@ context costs the logarithm of (count / (total + kinds)), another one the escape
 (kinds / (total + kinds)) plus its cost in the next shorter context, down to a
 uniform order -1. A text goes to the language that codes all its bytes shortest.
 
-The trees of all languages are kept in one table over the contexts that any of
-them has seen, so one walk over a text's bytes yields the exact code lengths of
-all languages at once. The counts come from a bounded sample: of each language
-the ``SAMPLE`` documents that come first in the order of a hash.
+The trees of all languages are kept in one sorted table per order, over the strings
+of bytes that any of them has seen, so one walk over a text's bytes yields the exact
+code lengths of all languages at once, whatever bytes their scripts use. The counts
+come from a bounded sample: of each language the ``SAMPLE`` documents that come first
+in the order of a hash.
 
 Defined results: texts that are null or hold no letter are ``und`` with score 0;
 so is every text if nothing can be learned. Null languages teach nothing; ties go
@@ -34,7 +35,6 @@ ORDER = 3
 SAMPLE = 400
 SAMPLE_BYTES = 1 << 20
 ROOM = 4  # a cut of the hash ahead of the choice leaves this many samples, however many rows there are
-SYMBOLS = 95  # the most frequent bytes; all others are one symbol
 _LETTER = re.compile(r"[^\W\d_]")
 _START = 32  # what stands in front of a text
 
@@ -43,82 +43,93 @@ def coded(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8)
 
 
+def _grams(data: np.ndarray) -> np.ndarray:
+    """The number of every byte with the ORDER bytes before it."""
+    n = len(data) - ORDER
+    out = np.zeros(n, np.uint32)
+    for k in range(ORDER + 1):
+        out = out << np.uint32(8) | data[k : k + n]
+    return out
+
+
+def _last(grams: np.ndarray, n: int) -> np.ndarray:
+    """The last ``n`` bytes."""
+    return grams & np.uint32(256**n - 1)
+
+
+def _context(grams: np.ndarray) -> np.ndarray:
+    return grams >> np.uint32(8)
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in sorted ``keys`` of those that are there, and which these are."""
+    at = np.searchsorted(keys, wanted)
+    at[at == len(keys)] = 0
+    there = keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
+    return at[there], there
+
+
+@dataclass
+class Level:
+    """One order: the grams (context and byte) and contexts that occur, sorted; ``bits`` costs a gram, ``escape`` leaves a context, per language."""
+
+    grams: np.ndarray
+    bits: np.ndarray
+    contexts: np.ndarray
+    escape: np.ndarray
+
+
 @dataclass
 class Trees:
-    """``symbol`` numbers the bytes that occur (0: any other); ``row`` finds the contexts of ORDER bytes that occur; ``bits`` is the cost of a symbol in a row, per language."""
+    """``levels`` are those of the orders from 0 to ORDER."""
 
     languages: list[str]
-    symbol: np.ndarray
-    row: np.ndarray
-    bits: np.ndarray
+    levels: list[Level]
 
     def lengths(self, text: str) -> np.ndarray:
         """Code length in bits of the whole text, per language."""
         total = np.zeros(len(self.languages))
-        kinds = int(self.symbol.max()) + 1
         data = np.concatenate([np.full(ORDER, _START, np.uint8), coded(text)])
         for begin in range(ORDER, len(data), 1 << 18):
-            s = self.symbol[data[begin - ORDER : begin + (1 << 18)]].astype(np.int64)
-            n = len(s) - ORDER
-            context = np.zeros(n, np.int64)
-            for k in range(ORDER):
-                context = context * kinds + s[k : k + n]
-            total += self.bits[self.row[context].astype(np.int64) * kinds + s[ORDER:]].sum(axis=0, dtype=np.float64)
+            left = _grams(data[begin - ORDER : begin + (1 << 18)])
+            for order in range(ORDER, -1, -1):
+                level, left = self.levels[order], _last(left, order + 1)
+                at, there = _find(level.grams, left)
+                total += level.bits[at].sum(axis=0, dtype=np.float64)
+                left = left[~there]
+                at, _ = _find(level.contexts, _context(left))
+                total += level.escape[at].sum(axis=0, dtype=np.float64)
+            total += np.log2(256) * len(left)  # order -1: any byte
         return total
 
 
 def count_trees(texts: dict[str, list[str]]) -> Trees:
     """Trees from texts per language."""
     languages = sorted(texts)
-    data = {name: [np.concatenate([np.full(ORDER, _START, np.uint8), coded(t)]) for t in texts[name]] for name in languages}
-    uses = np.zeros(256, np.int64)
-    uses[_START] = 1
-    for group in data.values():
-        for d in group:
-            uses += np.bincount(d, minlength=256)
-    present = np.zeros(256, bool)
-    present[np.argsort(-uses, kind="stable")[:SYMBOLS]] = True
-    present &= uses > 0
-    symbol = np.where(present, np.cumsum(present), 0).astype(np.int16)
-    kinds = int(present.sum()) + 1
-    grams = {}
-    for name, group in data.items():
-        found = []
-        for d in group:
-            s = symbol[d].astype(np.int64)
-            g = np.zeros(len(s) - ORDER, np.int64)
-            for k in range(ORDER + 1):
-                g = g * kinds + s[k : len(s) - ORDER + k]
-            found.append(g)
-        grams[name] = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_counts=True)
-    contexts = np.unique(np.concatenate([np.zeros(0, np.int64), *(g // kinds for g, _ in grams.values())]))
-    # a context that no tree has seen falls back to the row of its two last symbols: those rows follow the full ones
-    shorter = np.arange(kinds ** (ORDER - 1))
-    row = len(contexts) + np.arange(kinds**ORDER) % len(shorter)
-    row[contexts] = np.arange(len(contexts))
-    bits = np.empty(((len(contexts) + len(shorter)) * kinds, len(languages)), np.float32)
-    for column, name in enumerate(languages):
-        costs = np.full(kinds, np.log2(256))  # order -1: any byte
-        keys, counts = grams[name]
-        for order in range(ORDER):
-            costs = _costs(keys % kinds ** (order + 1), counts, np.arange(kinds**order), costs, kinds)
-        longest = _costs(keys, counts, contexts, costs, kinds)
-        bits[:, column] = np.concatenate([longest, costs])
-    return Trees(languages, symbol, row.astype(np.int32), bits)
-
-
-def _costs(grams: np.ndarray, counts: np.ndarray, contexts: np.ndarray, shorter: np.ndarray, kinds: int) -> np.ndarray:
-    """Bits per symbol in every context; ``shorter`` are those of the contexts without their first symbol."""
-    seen, where = np.unique(grams, return_inverse=True)
-    uses = np.bincount(where, counts, len(seen))
-    at = np.searchsorted(contexts, seen // kinds)
-    total, different = np.bincount(at, uses, len(contexts)), np.bincount(at, minlength=len(contexts))
-    both = total + different
-    escape = np.where(both > 0, -np.log2(np.maximum(different, 1) / np.maximum(both, 1)), 0.0)
-    rows = shorter.reshape(-1, kinds)[contexts % (len(shorter) // kinds)]
-    bits = escape[:, None] + rows
-    bits[at, seen % kinds] = -np.log2(uses / both[at])
-    return bits.reshape(-1)
+    counted = []
+    for name in languages:
+        found = [_grams(np.concatenate([np.full(ORDER, _START, np.uint8), coded(t)])) for t in texts[name]]
+        counted.append(np.unique(np.concatenate([np.zeros(0, np.uint32), *found]), return_counts=True))
+    levels: list[Level] = []
+    for order in range(ORDER + 1):
+        own = []
+        for grams, counts in counted:
+            seen, where = np.unique(_last(grams, order + 1), return_inverse=True)
+            own.append((seen, np.bincount(where, counts, len(seen))))
+        every = np.unique(np.concatenate([np.zeros(0, np.uint32), *(seen for seen, _ in own)]))
+        contexts = np.unique(_context(every))
+        level = Level(every, np.empty((len(every), len(languages)), np.float32), contexts, np.empty((len(contexts), len(languages)), np.float32))
+        for column, (seen, uses) in enumerate(own):
+            at = np.searchsorted(contexts, _context(seen))
+            total, different = np.bincount(at, uses, len(contexts)), np.bincount(at, minlength=len(contexts))
+            both = total + different
+            escape = np.where(both > 0, -np.log2(np.maximum(different, 1) / np.maximum(both, 1)), 0.0)
+            shorter = levels[-1].bits[np.searchsorted(levels[-1].grams, _last(every, order)), column] if levels else np.full(len(every), np.log2(256))
+            bits = escape[np.searchsorted(contexts, _context(every))] + shorter
+            bits[np.searchsorted(every, seen)] = -np.log2(uses / both[at])
+            level.bits[:, column], level.escape[:, column] = bits, escape
+        levels.append(level)
+    return Trees(languages, levels)
 
 
 def _cut(uses: dict[str, int], sample: int) -> Column:

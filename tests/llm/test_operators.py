@@ -172,6 +172,39 @@ def test_code_lengths_are_those_of_the_definition():
         assert trees.lengths(text) == pytest.approx([cost(["abab"], text), cost(["cc"], text)], rel=1e-5)
 
 
+def test_every_byte_of_rare_scripts_counts():
+    """Many scripts at once: all bytes keep their own costs, so two languages of the rarest script stay apart."""
+    many = "".join(map(chr, [*range(32, 127), *range(0xA1, 0x250), *range(0x4E00, 0x5A00, 7)])) * 3
+    rare = {"x": ["\u1220\u1228" * 4], "y": ["\u1360\u1370" * 4]}
+    trees = langid.count_trees({"many": [many], **rare})
+    for name, others in (("x", "y"), ("y", "x")):
+        bits = dict(zip(trees.languages, trees.lengths(rare[name][0][:4]), strict=True))
+        assert bits[name] < bits[others] - 8 and bits[name] < bits["many"]
+
+    def cost(texts, text):
+        seen = Counter()
+        for t in texts:
+            t = b"   " + t.lower().encode()
+            for i in range(3, len(t)):
+                for k in range(4):
+                    seen[t[i - k : i], t[i]] += 1
+        own = {}
+        for (c, s), n in seen.items():
+            own.setdefault(c, {})[s] = n
+        total, t = 0.0, b"   " + text.lower().encode()
+        for i in range(3, len(t)):
+            bits = 8.0
+            for k in range(4):
+                if c := own.get(t[i - k : i]):
+                    n = sum(c.values()) + len(c)
+                    bits = -np.log2(c[t[i]] / n) if t[i] in c else bits - np.log2(len(c) / n)
+            total += bits
+        return total
+
+    for text in (rare["x"][0], rare["y"][0], "a\u1220\u1370\u4e07\U0001f44d"):
+        assert trees.lengths(text) == pytest.approx([cost(t, text) for t in ([many], rare["x"], rare["y"])], rel=1e-5)
+
+
 def test_quality(docs, labels, edge, nothing):
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
     model = quality.learn(docs, labels.where(~held))
