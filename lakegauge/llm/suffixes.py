@@ -19,7 +19,10 @@ at once; the order is that of the first ``LENGTH`` bytes.
 Hot content. Texts are dealt into chunks of about ``CHUNK_BYTES``; a chunk sends a
 minimizer and a run's content once, however many of its documents hold them, with
 the smallest id, and copies of a whole text take no part. So a bucket sees hot
-content as often as there are chunks, and the answers go back to chunks.
+content as often as there are chunks, and the answers go back to chunks. What
+surrounds a shared passage differs from text to text; so the runs of a minimizer
+of which all chunks have more than ``HOT`` contents are cut into their strings, which are dealt by
+their own hash into as many buckets again, each once a chunk with the smallest id.
 
 Defined results: null texts are empty; texts shorter than the length lose
 nothing; documents with equal ids remove nothing from each other; a null id is
@@ -44,6 +47,7 @@ from lakegauge.llm.common import mixed, ragged
 LENGTH = 50
 GRAM = 24
 CHUNK_BYTES = 4 << 20
+HOT = 50_000
 PERIOD = 13
 COVER = (0, 1, 3, 9)  # differences of two of these reach every remainder by 13
 SAMPLE_LENGTH = LENGTH - PERIOD + 1
@@ -140,8 +144,8 @@ class Chunk:
         keep = ((low < high) | np.isin(values, elsewhere))[which]
         self.text, self.begin, self.stop, self.value = (x[keep] for x in (self.text, self.begin, self.stop, self.value))
 
-    def contents(self) -> None:
-        """Distinct run contents: their bytes, smallest id and minimizer, and the number of each run's content."""
+    def contents(self, hot: np.ndarray, bits: int) -> None:
+        """Distinct run contents: their bytes, smallest id and minimizer, and the number of each run's content; the strings of those with a hot minimizer."""
         known: dict[bytes, int] = {}
         texts = self.texts
         self.content = np.array([known.setdefault(texts[t][a : b + LENGTH - 1], len(known)) for t, a, b in zip(self.text.tolist(), self.begin.tolist(), self.stop.tolist(), strict=True)], np.int64)
@@ -150,11 +154,28 @@ class Chunk:
         np.minimum.at(self.smallest, self.content, self.ids[self.text])
         self.of = np.zeros(len(known), np.uint64)
         self.of[self.content] = self.value
-
-
-def _by_bucket(values: np.ndarray, bits: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        self.suffixes = np.array([len(b) for b in self.bytes], np.int64) - LENGTH + 1
+        self.base = np.cumsum(self.suffixes) - self.suffixes
+        self.hot = np.isin(_sent(self.of, bits), hot)
+        cut = np.flatnonzero(self.hot)
+        owner, at = np.repeat(cut, self.suffixes[cut]), ragged(np.zeros(len(cut), np.int64), self.suffixes[cut])
+        strings: dict[bytes, int] = {}
+        self.string = np.array([strings.setdefault(self.bytes[c][a : a + LENGTH], len(strings)) for c, a in zip(owner.tolist(), at.tolist(), strict=True)], np.int64)
+        self.string_at = self.base[owner] + at
+        self.strings = list(strings)
+        self.string_smallest = np.full(len(strings), _LAST)
+        np.minimum.at(self.string_smallest, self.string, self.smallest[owner])
+
+    def dealt(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the contents and, after all contents, of the strings that are sent, and their buckets."""
+        whole = np.flatnonzero(~self.hot)
+        own = (self.of[whole] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(whole), np.int64)
+        of_strings = np.array([zlib.crc32(x) for x in self.strings], np.int64) % (1 << bits) + (1 << bits)
+        return np.append(whole, len(self.bytes) + np.arange(len(self.strings))), np.append(own, of_strings)
+
+
+def _by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """An order by bucket, and (bucket, first, end) in it."""
-    bucket = (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(values), np.int64)
     order = np.argsort(bucket, kind="stable")
     names, first = np.unique(bucket[order], return_index=True)
     return order, list(zip(names.tolist(), first.tolist(), np.append(first[1:], len(order))[: len(first)].tolist(), strict=True))
@@ -172,32 +193,43 @@ def _tell_values(bits: int):
     schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("found", pa.binary())])
 
     def run(key, docs):
-        values = np.unique(Chunk(docs).value)
-        order, buckets = _by_bucket(values, bits)
-        raw = values[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]  # the bucket stands for the first bits
+        own = Chunk(docs)
+        values, which, uses = np.unique(own.value, return_inverse=True, return_counts=True)
+        # distinct contents of each value, as the next power of two
+        many = np.flatnonzero(uses[which] > 1)
+        texts = own.texts
+        distinct = {(v, texts[t][a : b + LENGTH - 1]) for v, t, a, b in zip(which[many].tolist(), own.text[many].tolist(), own.begin[many].tolist(), own.stop[many].tolist(), strict=True)}
+        uses = np.maximum(np.bincount(np.array([v for v, _ in distinct], np.int64), minlength=len(values)), 1)
+        power = np.ceil(np.log2(uses)).astype(np.uint8)
+        order, buckets = _by_bucket((values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(values), np.int64))
+        raw = values[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].copy()  # the bucket stands for the first bits
+        raw[:, 5] = power[order]
         rows = [{"bucket": b, "chunk": key[0].as_py(), "found": raw[i:j].tobytes()} for b, i, j in buckets]
         return pa.Table.from_pylist(rows, schema)
 
     return run
 
 
-def _shared_values():
-    schema = pa.schema([("__chunk", pa.int64()), ("values", pa.binary())])
+def _shared_values(hot: int):
+    schema = pa.schema([("__chunk", pa.int64()), ("values", pa.binary()), ("hot", pa.binary())])
 
     def run(key, told):
-        parts = [np.frombuffer(x, np.uint8).reshape(-1, 5) for x in told.column("found").to_pylist()]
+        parts = [np.frombuffer(x, np.uint8).reshape(-1, 6) for x in told.column("found").to_pylist()]
         chunk = np.repeat(np.array(told.column("chunk").to_pylist(), np.int64), [len(p) for p in parts])
         raw = np.zeros((len(chunk), 8), np.uint8)
-        raw[:, :5] = np.concatenate(parts)
+        parts = np.concatenate(parts)
+        raw[:, :5] = parts[:, :5]
         values = raw.view("<u8").ravel()
         _, which, uses = np.unique(values, return_inverse=True, return_counts=True)
         keep = uses[which] > 1
-        values, chunk = values[keep], chunk[keep]
+        contents = np.bincount(which, np.exp2(parts[:, 5].astype(np.float64)))
+        values, chunk, often = values[keep], chunk[keep], contents[which][keep] > hot
         order = np.argsort(chunk, kind="stable")
         names, first = np.unique(chunk[order], return_index=True)
         stops = np.append(first[1:], len(order))[: len(first)]
         top = key[0].as_py()
-        rows = [{"__chunk": int(c), "values": (values[order[a:b]] | np.uint64(top << 40)).astype("<u8").tobytes()} for c, a, b in zip(names, first, stops, strict=True)]
+        values, often = (values[order] | np.uint64(top << 40)).astype("<u8"), often[order]
+        rows = [{"__chunk": int(c), "values": values[a:b].tobytes(), "hot": values[a:b][often[a:b]].tobytes()} for c, a, b in zip(names, first, stops, strict=True)]
         return pa.Table.from_pylist(rows, schema)
 
     return run
@@ -205,9 +237,9 @@ def _shared_values():
 
 def _marked(docs: pa.Table, shared: pa.Table, bits: int) -> Chunk:
     chunk = Chunk(docs)
-    told = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(v, "<u8") for v in shared.column("values").to_pylist())])
+    told, hot = (np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(v, "<u8") for v in shared.column(c).to_pylist())]) for c in ("values", "hot"))
     chunk.keep_shared(told, bits)
-    chunk.contents()
+    chunk.contents(hot, bits)
     return chunk
 
 
@@ -218,10 +250,12 @@ def _send_runs(bits: int):
         if not docs.num_rows:
             return schema.empty_table()
         chunk = _marked(docs, shared, bits)
-        order, buckets = _by_bucket(chunk.of, bits)
-        sizes = np.array([len(b) for b in chunk.bytes], np.int64)
+        number, bucket = chunk.dealt(bits)
+        order, buckets = _by_bucket(bucket)
+        order, data = number[order], chunk.bytes + chunk.strings
+        sizes, smallest = np.array([len(b) for b in data], np.int64), np.append(chunk.smallest, chunk.string_smallest)
         name = docs.column("__chunk")[0].as_py()
-        rows = [{"bucket": b, "chunk": name, "content": _pack(order[i:j], "<u4"), "size": _pack(sizes[order[i:j]], "<u4"), "doc": _pack(chunk.smallest[order[i:j]], "<i8"), "data": zlib.compress(b"".join([chunk.bytes[k] for k in order[i:j].tolist()]), 1)} for b, i, j in buckets]
+        rows = [{"bucket": b, "chunk": name, "content": _pack(order[i:j], "<u4"), "size": _pack(sizes[order[i:j]], "<u4"), "doc": _pack(smallest[order[i:j]], "<i8"), "data": zlib.compress(b"".join([data[k] for k in order[i:j].tolist()]), 1)} for b, i, j in buckets]
         return pa.Table.from_pylist(rows, schema)
 
     return run
@@ -334,13 +368,14 @@ def _remove(bits: int, names: list[str]):
     def run(key, docs, inbox):
         told = inbox.filter(pc.is_valid(inbox.column("content")))
         chunk = _marked(docs, inbox.filter(pc.is_valid(inbox.column("values"))), bits)
-        suffixes = np.array([len(b) for b in chunk.bytes], np.int64) - LENGTH + 1
-        base = np.cumsum(suffixes) - suffixes
-        smallest = np.repeat(chunk.smallest, suffixes)
+        # all strings of all contents, followed by the distinct ones that were sent one by one
+        base = np.append(chunk.base, int(chunk.suffixes.sum()) + np.arange(len(chunk.strings)))
+        smallest = np.append(np.repeat(chunk.smallest, chunk.suffixes), chunk.string_smallest)
         for row in told.to_pylist():
             content, begin, stop, doc = (_unpack(row[c], kind).astype(np.int64) for c, kind in (("content", "<u4"), ("begin", "<u4"), ("stop", "<u4"), ("doc", "<i8")))
             at = ragged(base[content] + begin, stop - begin)
             smallest[at] = np.minimum(smallest[at], np.repeat(doc, stop - begin))
+        smallest[chunk.string_at] = smallest[int(chunk.suffixes.sum()) + chunk.string]
         size = chunk.stop - chunk.begin
         repeated = smallest[ragged(base[chunk.content], size)] < np.repeat(chunk.ids[chunk.text], size)
         lengths = np.array([len(t) for t in chunk.texts], np.int64)
@@ -366,7 +401,7 @@ def _remove(bits: int, names: list[str]):
     return run
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES, hot: int = HOT) -> DataFrame:
     """``docs`` without its text, with n_bytes, n_removed, spans (removed runs of bytes) and kept (the bytes left)."""
     rows = docs.drop("n_bytes", "n_removed", "spans", "kept", "__chunk", "__id", "__text")
     names = [c for c in rows.columns if c != text]
@@ -377,10 +412,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", chu
     # the three passes over the chunks share one shuffle of the texts
     by_chunk = rows.groupBy("__chunk")
     values = by_chunk.applyInArrow(_tell_values(bits), "bucket long, chunk long, found binary")
-    shared = values.groupBy("bucket").applyInArrow(_shared_values(), "__chunk long, values binary")
+    shared = values.groupBy("bucket").applyInArrow(_shared_values(hot), "__chunk long, values binary, hot binary")
     sent = by_chunk.cogroup(shared.groupBy("__chunk")).applyInArrow(_send_runs(bits), "bucket long, chunk long, content binary, size binary, doc binary, data binary")
     told = sent.groupBy("bucket").applyInArrow(_sort_bucket(), "__chunk long, content binary, begin binary, stop binary, doc binary")
     none = F.lit(None).cast("binary")
-    inbox = told.withColumn("values", none).unionByName(shared.select("__chunk", *(none.alias(c) for c in ("content", "begin", "stop", "doc")), "values"))
+    inbox = told.withColumns({"values": none, "hot": none}).unionByName(shared.select("__chunk", *(none.alias(c) for c in ("content", "begin", "stop", "doc")), "values", "hot"))
     schema = T.StructType([*rows.select(*names).schema.fields, *T.StructType.fromDDL("n_bytes long, n_removed long, spans array<struct<start: long, stop: long>>, kept binary").fields])
     return by_chunk.cogroup(inbox.groupBy("__chunk")).applyInArrow(_remove(bits, names), schema)

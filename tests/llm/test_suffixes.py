@@ -3,6 +3,8 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +71,35 @@ def test_ranks_follow_the_order_of_strings():
     strings = [data[s : s + suffixes.LENGTH].tobytes() for s in starts]
     ordered = sorted(strings)
     assert suffixes.suffix_ranks(data, starts, room).tolist() == [ordered.index(s) for s in strings]
+
+
+@pytest.mark.parametrize("chunk_bytes", [500, 4000])
+def test_hot_minimizers_cut_into_strings_give_the_same(spark, rows, chunk_bytes):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {}
+    for r in suffixes.remove_repeats(docs, chunk_bytes=chunk_bytes, hot=2).select("doc_id", "n_bytes", "n_removed", F.size("spans").alias("n"), F.sha2("kept", 256).alias("h")).collect():
+        got.setdefault(r[0], []).append((r[1], r[2], r[3], r[4]))
+    assert {k: sorted(v) for k, v in got.items()} == plain(rows)
+
+
+def test_no_bucket_holds_all_surroundings_of_a_hot_passage():
+    """A passage in every document, each with a neighbourhood of its own: the edges' runs are spread over the buckets."""
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    passage = "".join(rng.choice(letters, 80))
+    texts = ["".join(rng.choice(letters, 60)) + passage + "".join(rng.choice(letters, 60)) for _ in range(1600)]
+    bits = 7
+    chunks = [pa.table({"__chunk": pa.array([c] * 16, pa.int64()), "__id": pa.array(range(16 * c, 16 * c + 16), pa.int64()), "__text": texts[16 * c : 16 * c + 16]}) for c in range(100)]
+    told = pa.concat_tables([suffixes._tell_values(bits)((pa.scalar(c),), t) for c, t in enumerate(chunks)])
+    inboxes = {c: [] for c in range(100)}
+    for bucket in told.column("bucket").unique():
+        for row in suffixes._shared_values(200)((bucket,), told.filter(pc.equal(told.column("bucket"), bucket))).to_pylist():
+            inboxes[row["__chunk"]].append(row)
+    contents, size = {}, {}
+    for c, t in enumerate(chunks):
+        inbox = pa.Table.from_pylist(inboxes[c], pa.schema([("__chunk", pa.int64()), ("values", pa.binary()), ("hot", pa.binary())]))
+        for row in suffixes._send_runs(bits)((pa.scalar(c),), t, inbox).to_pylist():
+            lengths = suffixes._unpack(row["size"], "<u4")
+            contents[row["bucket"]] = contents.get(row["bucket"], 0) + len(lengths)
+            size[row["bucket"]] = size.get(row["bucket"], 0) + int((lengths - suffixes.LENGTH + 1).sum())
+    assert max(size.values()) < 0.05 * sum(size.values()) and max(contents.values()) < 0.05 * sum(contents.values())
