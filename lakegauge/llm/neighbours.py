@@ -5,15 +5,17 @@ is cut into ``PARTS`` parts of equal size by repeated spectral bisection. A smal
 classifier learns from it which parts a vector and its neighbours are in. Every
 row is indexed in its most probable part; a query goes to the several most
 probable ones, whose rows are reranked exactly. How many is measured: of
-``TRIALS`` sampled vectors the true neighbours among all rows are found by blocked
+``TRIALS`` sampled vectors that the classifier has not seen (a quarter of a small
+sample; all parts are searched if that is none) the true neighbours among all rows are found by blocked
 products, and as many parts are searched as reach the recall ``RECALL`` on them.
 
 Vectors are scaled by the longest one and given a last component that makes them
 unit vectors, so that a larger inner product means a smaller angle.
 
 Hot content. Of identical vectors only the ``k + 1`` smallest ids can be among
-anybody's ``k`` nearest, so no more are indexed; identical queries are searched
-once. Parts are searched in blocks of ``BLOCK`` rows and ``QUERIES`` queries.
+anybody's ``k`` nearest, so no more are indexed; repeats of an id with its vector
+are one row there, and identical queries are searched once, but for queries whose
+id has several vectors: these leave out their own id inside the search. Parts are searched in blocks of ``BLOCK`` rows and ``QUERIES`` queries.
 
 Defined results: vectors that are null, zero, hold null or non-finite components,
 or are not of the most frequent length (of equally frequent ones the longest)
@@ -28,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,9 +89,13 @@ class Router:
 
 def _halves(graph: np.ndarray, members: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
     """Two equal parts of a graph's members, cut at the median of the second eigenvector."""
-    own = graph[np.ix_(members, members)] + 1e-3
+    own = graph[np.ix_(members, members)]
+    own += np.float32(1e-3)
     root = np.sqrt(own.sum(axis=1))
-    own = own / root[:, None] / root[None, :] + np.eye(len(members))
+    own /= root[:, None]
+    own /= root[None, :]
+    own[np.arange(len(members)), np.arange(len(members))] += 1
+    own = own.astype(np.float64)
     x = rng.standard_normal(len(members))
     first = root / np.linalg.norm(root)
     for _ in range(60):
@@ -101,12 +108,14 @@ def _halves(graph: np.ndarray, members: np.ndarray, rng: np.random.Generator) ->
 def balanced_parts(unit: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """Part of every sampled vector, and its neighbours in the graph."""
     near = min(GRAPH_NEIGHBOURS, len(unit) - 1)
-    close = (unit @ unit.T).astype(np.float32)
-    np.fill_diagonal(close, -np.inf)
-    neighbours = np.argpartition(-close, near - 1, axis=1)[:, :near] if near else np.zeros((len(unit), 0), np.int64)
+    neighbours = np.zeros((len(unit), near), np.int64)
+    for at in range(0, len(unit) if near else 0, 256):
+        far = -(unit[at : at + 256] @ unit.T).astype(np.float32)
+        far[np.arange(len(far)), np.arange(at, at + len(far))] = np.inf
+        neighbours[at : at + 256] = np.argpartition(far, near - 1, axis=1)[:, :near]
     graph = np.zeros((len(unit), len(unit)), np.float32)
     graph[np.arange(len(unit))[:, None], neighbours] = 1
-    graph = np.maximum(graph, graph.T)
+    graph[neighbours, np.arange(len(unit))[:, None]] = 1
     rng, groups = np.random.default_rng(17), [np.arange(len(unit))]
     while len(groups) < parts:
         groups = [half for members in groups for half in (_halves(graph, members, rng) if len(members) > 1 else (members, members[:0]))]
@@ -150,6 +159,7 @@ def best(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray
         q = queries[at : at + 256]
         products = q @ rows.T
         for i, line in enumerate(products):
+            line[ids == own[at + i]] = -np.inf
             if len(line) > k:
                 least = np.partition(line, len(line) - k - 1)[len(line) - k - 1]
                 chosen = np.flatnonzero(line >= least - 1e-9 * np.linalg.norm(q[i]) * size.max())
@@ -167,16 +177,19 @@ def fit(rows: DataFrame, k: int, parts: int = PARTS, sample: int = SAMPLE, recal
     longest = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
     if longest is None:
         return None
-    drawn = rows.groupBy("digest").agg(F.min("vec_id").alias("vec_id"), F.first("v").alias("v")).orderBy(F.xxhash64("digest"), "digest").limit(sample).collect()
+    drawn = rows.groupBy("digest").agg(F.min("vec_id").alias("vec_id"), F.first("v").alias("v")).orderBy(F.xxhash64("digest"), "digest").limit(sample + TRIALS).collect()
     vectors, ids = np.array([r["v"] for r in drawn]), np.array([r["vec_id"] for r in drawn], np.int64)
     router = Router(float(np.sqrt(longest)), [])
-    unit = router.unit(vectors, False)
+    held, router.probes = min(TRIALS, len(vectors) // 4), parts
+    unit = router.unit(vectors[held:], False)
     part, neighbours = balanced_parts(unit, parts)
     targets = np.eye(parts)[part]
     if neighbours.shape[1]:
         targets = 0.5 * targets + 0.5 * targets[neighbours].mean(axis=1)
     router.layers = _classifier(unit, targets)
-    trial, own = vectors[:TRIALS], ids[:TRIALS]
+    if not held:
+        return router
+    trial, own = vectors[:held], ids[:held]
     shared = rows.sparkSession.sparkContext.broadcast((trial, own, router))
 
     def exact(batches):
@@ -202,17 +215,25 @@ def fit(rows: DataFrame, k: int, parts: int = PARTS, sample: int = SAMPLE, recal
 
 
 def _near(k: int):
-    schema = pa.schema([("digest", pa.string()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("digest", pa.string()), ("own", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(key, queries, rows):
         if not queries.num_rows or not rows.num_rows:
             return schema.empty_table()
-        found = best(_matrix(queries.column("v")), np.full(queries.num_rows, -1), _matrix(rows.column("v")), np.arange(rows.num_rows), k)
         ids = rows.column("vec_id").to_numpy()
-        names = np.array(queries.column("digest").to_pylist(), object)
-        counts = [len(x) for x, _ in found]
-        places = np.concatenate([x for x, _ in found])
-        return pa.Table.from_arrays([pa.array(np.repeat(names, counts), pa.string()), pa.array(ids[places]), pa.array(np.concatenate([s for _, s in found]))], schema=schema)
+        out = []
+        for some in (queries.filter(pc.is_null(queries.column("own"))), queries.filter(pc.is_valid(queries.column("own")))):
+            if not some.num_rows:
+                continue
+            own = some.column("own")
+            # without an own id to leave out: one that no row has
+            left_out = own.to_numpy() if not own.null_count else np.full(len(own), next(x for x in range(-1, -len(ids) - 2, -1) if x not in ids))
+            found = best(_matrix(some.column("v")), left_out, _matrix(rows.column("v")), ids, k)
+            which = np.repeat(np.arange(len(found)), [len(x) for x, _ in found])
+            told = some.select(["digest", "own"]).take(pa.array(which))
+            told = told.append_column("vec_id", pa.array(np.concatenate([x for x, _ in found])))
+            out.append(told.append_column("score", pa.array(np.concatenate([x for _, x in found]))).cast(schema))
+        return pa.concat_tables(out)
 
     return run
 
@@ -221,8 +242,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
     """query_id, rank, vec_id and score of the ``k`` nearest found to each row that ``is_query`` (over vec_id), itself left out."""
     rows = stored(usable(vectors, key, vector), "ann-vectors")
     few = F.row_number().over(Window.partitionBy("digest").orderBy("vec_id"))
-    indexed = stored(rows.withColumn("n", few).where(F.col("n") <= k + 1).drop("n"), "ann-indexed")
-    queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "digest")
+    # a repeat would push other ids out of the limits
+    once = rows.groupBy("digest", "vec_id").agg(F.first("v").alias("v")).select("vec_id", "v", "digest")
+    indexed = stored(once.withColumn("n", few).where(F.col("n") <= k + 1).drop("n"), "ann-indexed")
+    several = once.groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1").select("vec_id", F.col("vec_id").alias("own"))
+    asked = stored(rows.where(is_query).join(several, "vec_id", "left"), "ann-queries")
+    queries = asked.select(F.col("vec_id").alias("query_id"), "digest", "own")
     router = fit(indexed, k, parts, sample, recall)
     if router is None:
         return queries.select("query_id", F.lit(0).alias("rank"), F.col("query_id").alias("vec_id"), F.lit(0.0).alias("score"))
@@ -236,22 +261,23 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
     def route(batches):
         for batch in batches:
             order = shared.value.parts(_matrix(batch.column(1)))[:, : shared.value.probes] if batch.num_rows else np.zeros((0, 0))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(order.astype(np.int32)), pa.list_(pa.int32()))], names=["digest", "v", "parts"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(order.astype(np.int32)), pa.list_(pa.int32()))], names=["digest", "v", "own", "parts"])
 
     placed = stored(indexed.select("vec_id", "v").mapInArrow(place, "vec_id long, v array<double>, part int"), "ann-placed")
-    distinct = rows.where(is_query).groupBy("digest").agg(F.first("v").alias("v"))
-    routed = stored(distinct.mapInArrow(route, "digest string, v array<double>, parts array<int>").select("digest", "v", F.explode("parts").alias("part")), "ann-routed")
+    distinct = asked.groupBy("digest", "own").agg(F.first("v").alias("v")).select("digest", "v", "own")
+    routed = stored(distinct.mapInArrow(route, "digest string, v array<double>, own long, parts array<int>").select("digest", "v", "own", F.explode("parts").alias("part")), "ann-routed")
     blocks = placed.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).alias("row_blocks"))
     sizes = routed.groupBy("part").agg(F.ceil(F.count("*") / QUERIES).alias("query_blocks")).join(blocks, "part")
 
     def every(blocks_of: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks_of) - 1))
 
-    left = routed.join(sizes, "part").select("part", every("row_blocks").alias("row_block"), F.pmod(F.xxhash64("digest"), F.col("query_blocks")).alias("query_block"), "digest", "v")
+    left = routed.join(sizes, "part").select("part", every("row_blocks").alias("row_block"), F.pmod(F.xxhash64("digest"), F.col("query_blocks")).alias("query_block"), "digest", "own", "v")
     right = placed.join(sizes, "part").select("part", F.pmod(F.xxhash64("vec_id"), F.col("row_blocks")).alias("row_block"), every("query_blocks").alias("query_block"), "vec_id", "v")
     keys = ["part", "row_block", "query_block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_near(k + 1), "digest string, vec_id long, score double")
-    nearest = Window.partitionBy("digest").orderBy(F.desc("score"), "vec_id")
-    found = found.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= k + 1).groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("near"))
-    own = queries.join(found, "digest").select("query_id", F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k).alias("near"))
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_near(k + 1), "digest string, own long, vec_id long, score double")
+    nearest = Window.partitionBy("digest", "own").orderBy(F.desc("score"), "vec_id")
+    found = found.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= k + 1).groupBy("digest", "own").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("near"))
+    found = found.withColumnRenamed("digest", "d").withColumnRenamed("own", "o")
+    own = queries.join(found, (F.col("digest") == F.col("d")) & F.col("own").eqNullSafe(F.col("o"))).select("query_id", F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k).alias("near"))
     return own.select("query_id", F.posexplode("near").alias("at", "x")).select("query_id", (F.col("at") + 1).alias("rank"), "x.vec_id", "x.score")

@@ -365,6 +365,22 @@ def test_neighbours(spark):
     assert neighbours.search(table.where("vec_id > 899"), F.lit(True)).count() == 0
 
 
+def test_repeated_rows_keep_their_neighbours(spark):
+    rng = np.random.default_rng(13)
+    v = rng.standard_normal((60, 6))
+    ids = list(range(60)) + [0] * 30 + [7] * 45
+    rows = spark.createDataFrame([(k, v[k].tolist()) for k in ids], "vec_id long, embedding array<double>")
+    once = rows.dropDuplicates(["vec_id"])
+    want = {(r["query_id"], r["rank"]): r["vec_id"] for r in neighbours.search(once, F.col("vec_id") % 20 == 0, parts=1).collect()}
+    got = neighbours.search(rows, F.col("vec_id") % 20 == 0, parts=1).collect()
+    assert len(want) == 60 and {(r["query_id"], r["rank"], r["vec_id"]) for r in got} == {(q, n, i) for (q, n), i in want.items()}
+    assert len(got) == 20 * (31 + 1 + 1)
+    # an id with 30 different vectors close to its query
+    near = [(20, (v[20] * (1 + k / 100)).tolist()) for k in range(1, 31)]
+    got = neighbours.search(once.unionByName(spark.createDataFrame(near, once.schema)), F.col("vec_id") == 20, parts=1).collect()
+    assert len(got) == 31 * 20 and {(r["rank"], r["vec_id"]) for r in got} == {(n, i) for (q, n), i in want.items() if q == 20}
+
+
 # --- the pipeline ----------------------------------------------------------
 
 
