@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import bpe, jaccard, langid, neighbours, packing, quality, repair, rules, secrets, suffixes
+from lakegauge.llm import bpe, hardneg, jaccard, langid, lexical, naming, neighbours, packing, quality, repair, rules, secrets, suffixes
 from lakegauge.llm.common import stored, table
 from lakegauge.session import shared_dir
 
@@ -102,3 +102,70 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest found to every vector whose id is divisible by 20, among all others."""
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For the anchors, every hundredth id, and each of their five nearest of their label the first five of other labels in the window."""
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings").withColumn("label", other), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op11_hard_negatives"] = """
+WITH rows_in AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+    FROM rows_in a JOIN rows_in b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+negatives AS (
+    SELECT p.*, n.vec_id AS negative_id, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+    FROM positives p JOIN scores n ON p.anchor_id = n.anchor_id
+    WHERE NOT n.same AND 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5
+"""
+
+
+@query
+def op12_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of equal texts and the row of it that stays."""
+    return naming.exact_groups(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_block_naming"] = """
+WITH texts AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY t)
+"""
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for each benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_ranked_search"] = r"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS l FROM sizes),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM postings, whole GROUP BY term),
+parts AS (
+    SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // l))) AS part
+    FROM postings JOIN weights USING (term) JOIN sizes USING (doc_id), whole),
+scores AS (SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM asked JOIN parts USING (term) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 50
+"""
