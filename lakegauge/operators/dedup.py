@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 KEYS = ("device_id", "event_time")
+SMALL_BATCH = 1_000_000  # keys that are broadcast at most
 
 
 def one_per_key(rows: DataFrame, keys: Sequence[str] = KEYS, keep: str = "first") -> DataFrame:
@@ -30,12 +30,23 @@ def not_in_table(rows: DataFrame, table: DataFrame, keys: Sequence[str] = KEYS)
     return rows.join(table.select(*keys), list(keys), "left_anti")
 
 
-def days_of(rows: DataFrame, time: str = "event_time") -> list[date]:
-    """The days ``rows`` touch, for reading just these of a table (``Lake.read``).
+def not_known(rows: DataFrame, table: DataFrame, size: int, keys: Sequence[str] = KEYS, most: int = SMALL_BATCH) -> DataFrame:
+    """As ``not_in_table``, for a batch of at most ``size`` rows against a much larger table.
+
+    Up to ``most`` rows the batch's keys go to the table: each task looks them up in what it reads, and only those that
+    the table has come back. No row of the table is shuffled then. Beyond ``most`` both sides meet by key.
+    """
+    if size > most:
+        return not_in_table(rows, table, keys)
+    asked = F.broadcast(rows.select(*keys))
+    return not_in_table(rows, table.select(*keys).join(asked, list(keys), "left_semi").distinct(), keys)
+
+
+def days_of(rows: DataFrame, *by: str, time: str = "event_time") -> DataFrame:
+    """The days ``rows`` touch, as ``day``, by other columns: just these of a table have to be read (``Lake.read``).
 
     A duplicate has the same time, so no other day can hold one. Days are named
     one by one: a single very late reading must not widen the scan to all days
-    between. Only days come to the driver, of which the calendar has few.
+    between.
     """
-    days = rows.select(F.to_date(time).alias("d")).filter("d IS NOT NULL").distinct().collect()
-    return sorted(r["d"] for r in days)
+    return rows.select(*by, F.to_date(time).alias("day")).filter("day IS NOT NULL").distinct()

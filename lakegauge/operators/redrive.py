@@ -34,11 +34,12 @@ def to_queue(jobs: DataFrame) -> DataFrame:
 
 
 def retries(outcomes: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """Queue entries for the outcomes of one bronze batch that deserve another try.
+    """Queue entries for the outcomes of one bronze batch that deserve another try: a fetch or an append failed.
 
-    Only fetching from the landing area can fail that way, so there is no inline data.
+    Inline jobs take their payload along; the others are fetched anew.
     """
-    return to_queue(outcomes.filter(worth_retrying(max_attempts)).withColumn("data", F.lit(None).cast("string")))
+    data = F.when(F.col("mode") == "inline", F.col("payload"))
+    return to_queue(outcomes.filter(worth_retrying(max_attempts)).withColumn("data", data))
 
 
 def redrive(letters: DataFrame, jobs: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:

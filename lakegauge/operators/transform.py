@@ -17,6 +17,8 @@ from lakegauge.functions.casts import as_bool, as_double, as_long, as_text, as_t
 from lakegauge.functions.strict_json import is_object_text, kind, once
 from lakegauge.functions.units import CONVERSIONS
 from lakegauge.mappers import Mapper, MapperColumn, Registry
+from lakegauge.mappers.model import COLUMN_TYPES
+from lakegauge.mappers.registry import silver_table_name, stored_name
 from lakegauge.operators.fence import fence
 from lakegauge.operators.resolve import PICKED, VALUE, paths_of, resolve, with_payload
 from lakegauge.schemas import SILVER_ENVELOPE
@@ -251,6 +253,18 @@ def silver_rows(mapped: DataFrame, registry: Registry, target: str) -> DataFrame
     return accepted.select(*SILVER_ENVELOPE.names, *[measurement(name) for name in types])
 
 
+def silver_union(mapped: DataFrame, registry: Registry) -> DataFrame:
+    """Accepted rows of all tables in one layout: ``table_name``, the envelope, and every column of every table as it is stored."""
+    sources: dict[str, list[tuple[Mapper, str]]] = {}
+    for mapper in registry:
+        for n, col in enumerate(mapper.columns):
+            type_name = COLUMN_TYPES[col.type]
+            sources.setdefault(stored_name(col.name, type_name), []).append((mapper, F.col(slot_column(n, col.type)).cast(type_name)))
+    columns = [_per_mapper(pairs, lambda c: c).alias(name) for name, pairs in sorted(sources.items())]
+    tables = _per_mapper([(m, m) for m in registry], lambda m: F.lit(silver_table_name(m.target_table)))
+    return mapped.filter(F.col("reason").isNull()).select(tables.alias("table_name"), *SILVER_ENVELOPE.names, *columns)
+
+
 def silver_dead_letters(mapped: DataFrame) -> DataFrame:
     """Rejected rows as they left bronze, ready for ``dead_letters``."""
     return mapped.filter("reason IS NOT NULL").select(

@@ -469,7 +469,7 @@ def _streamed(spark, sf_dir) -> Lake:
             return _landed(spark, sf_dir, jobs)
 
     catch_up(Bronze(lake), stream_queue(spark, f"{home}/queue"), f"{home}/bronze-checkpoint")
-    catch_up(SilverStage(lake), lake.stream(BRONZE), f"{home}/silver-checkpoint")
+    catch_up(SilverStage(lake), lake.stream_commits(BRONZE), f"{home}/silver-checkpoint")
     return lake
 
 

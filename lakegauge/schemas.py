@@ -40,11 +40,18 @@ SILVER_ENVELOPE = _schema(
 # One queue entry: its id and the descriptor as JSON text.
 QUEUE_ENTRY = _schema("entry_id string!, job string")
 
-COMMITS = _schema(
-    "stage string!, batch_id bigint!, table_name string!, rows_in bigint!, added_records bigint!, "
-    "duplicates bigint!, committed_at timestamp!"
+# What a batch did to one table: the days it wrote, and folders of other batches that its rows replace.
+COMMITS = _schema("stage string!, batch_id bigint!, table_name string!, rows_in bigint!, added_records bigint!, duplicates bigint!")
+COMMITS = (
+    COMMITS.add("days", T.ArrayType(T.DateType()))
+    .add("replaces", T.ArrayType(T.StructType().add("batch", T.StringType()).add("day", T.DateType())))
+    .add("committed_at", T.TimestampType(), nullable=False)
 )
 
+# What a batch added to one table, by day and tenant, in a form that can be merged; devices are an HLL sketch.
+SUMMARIES = _schema("table_name string, tenant_id string, n_rows bigint, first_time timestamp, last_time timestamp")
+SUMMARIES = SUMMARIES.add("day", T.DateType()).add("devices", T.BinaryType())
+
 STAGES = ("bronze", "silver", "publish")
 SOURCE = "http"
 

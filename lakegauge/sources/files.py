@@ -25,32 +25,14 @@ def delete(spark: SparkSession, location: str) -> None:
     fs.delete(path, True)
 
 
-def mark(spark: SparkSession, location: str) -> None:
-    """An empty file whose presence says that something is done."""
+def rename(spark: SparkSession, location: str, target: str) -> None:
+    """One folder or file, within its file system."""
     fs, path = _path(spark, location)
-    fs.create(path, True).close()
-
-
-def move_parts(spark: SparkSession, source: str, target: str, tag: str) -> None:
-    """Move the data files below ``source`` to the same places below ``target``; their names begin with ``tag``.
-
-    What was moved before is not there any more, so a second call goes on where the first one ended.
-    """
-    fs, root = _path(spark, source)
-    if not fs.exists(root):
-        return
-    into, _ = _path(spark, target)
-    base = root.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
-    found = fs.listFiles(root, True)
-    while found.hasNext():
-        part = found.next().getPath()
-        if not part.getName().startswith("part-"):
-            continue
-        folder = part.getParent().toString()[len(base) :]
-        place = spark._jvm.org.apache.hadoop.fs.Path(f"{target}{folder}/{tag}-{part.getName()}")
-        into.mkdirs(place.getParent())
-        if fs.getUri().equals(into.getUri()):
-            if not fs.rename(part, place):
-                raise OSError(f"cannot move {part.toString()} to {place.toString()}")
-        else:
-            spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, part, into, place, True, spark._jsc.hadoopConfiguration())
+    if not fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot rename {location} to {target}")
+
+
+def has_parts(spark: SparkSession, location: str) -> bool:
+    """Whether a folder holds a data file."""
+    fs, path = _path(spark, location)
+    return bool(fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, "part-*")))

@@ -1,27 +1,44 @@
-"""The lake: bronze, dead-letter, silver and audit tables as day-partitioned Parquet."""
+"""The lake: bronze, dead-letter, silver and audit tables as Parquet, one folder per batch.
+
+    <root>/bronze/raw/written_in=<batch>/received_at_day=<day>/
+    <root>/silver/written_in=<batch>/table_name=<table>/event_time_day=<day>/
+    <root>/ops/summaries/written_in=<batch>/
+    <root>/ops/commits/written_in=<batch>/
+
+Spark writes a batch's folders in overwrite mode, so a batch that is worked out again after
+a failure replaces what it had left. The last one is the record of the commit, a single file.
+Readers open the day folders that records name and no others: what is not recorded is not
+there yet, and all tables of a batch appear together. A record may also name day folders of
+other batches that its own rows replace; nothing is ever changed in place.
+
+All silver tables are written in one job, over the union of their columns. Stored columns are
+named with their type (``power__double``), as two tables may give one name different types.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakegauge.mappers import Registry
-from lakegauge.mappers.registry import silver_table_name
-from lakegauge.schemas import BRONZE_RAW, COMMITS, DEAD_LETTER
+from lakegauge.mappers.registry import silver_table_name, stored_name
+from lakegauge.schemas import BRONZE_RAW, COMMITS, DEAD_LETTER, SILVER_ENVELOPE, SPARK_TYPES, SUMMARIES
 from lakegauge.sources import files
 
 BRONZE = "bronze.raw"
 DEAD = "bronze.dead_letter"
 AUDIT = "ops.commits"
+SUMMARY = "ops.summaries"
 
-# Two streams add to these at the same time. Each has a folder of its own there:
-# a Parquet commit cleans up the folder it writes to.
-WRITER = "written_by"
-SHARED = (DEAD, AUDIT)
+BATCH = "written_in"  # the batch that wrote a row
+TABLE = "table_name"  # the silver table of a stored row
+STORED = "stored"  # namespace of the tables under the views that SQL sees
+
+Part = tuple[str, date]  # a batch and one of its days
 
 
 class UnknownTable(LookupError):
@@ -35,10 +52,10 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self.registry = registry or Registry.shipped()
-        self.schemas: dict[str, T.StructType] = {BRONZE: BRONZE_RAW, DEAD: DEAD_LETTER, AUDIT: COMMITS}
+        self.schemas: dict[str, T.StructType] = {BRONZE: BRONZE_RAW, DEAD: DEAD_LETTER, AUDIT: COMMITS, SUMMARY: SUMMARIES}
         self.days = {BRONZE: ("received_at_day", "received_at"), DEAD: ("failed_at_day", "failed_at")}
-        for target in self.registry.targets:
-            name = silver_table_name(target)
+        self.targets = {silver_table_name(t): t for t in self.registry.targets}
+        for name, target in self.targets.items():
             self.schemas[name] = self.registry.silver_schema(target)
             self.days[name] = ("event_time_day", "event_time")
 
@@ -46,115 +63,220 @@ class Lake:
     def tables(self) -> list[str]:
         return sorted(self.schemas)
 
-    def path(self, name: str) -> str:
+    def _check(self, name: str) -> None:
         if name not in self.schemas:
             raise UnknownTable(f"unknown table: {name}")
-        return f"{self.root}/{name.replace('.', '/')}"
+
+    def home(self, name: str) -> str:
+        """The folder of a table's batches; silver tables share one."""
+        self._check(name)
+        return f"{self.root}/silver" if name in self.targets else f"{self.root}/{name.replace('.', '/')}"
+
+    def folder(self, name: str, batch: str) -> str:
+        path = f"{self.home(name)}/{BATCH}={batch}"
+        return f"{path}/{TABLE}={name}" if name in self.targets else path
+
+    # --- layouts -------------------------------------------------------------
+
+    @property
+    def silver_columns(self) -> dict[str, str]:
+        """Measurement columns of all silver tables as they are stored, with their Spark types."""
+        found = {stored_name(n, t): t for target in self.registry.targets for n, t in self.registry.measurements(target).items()}
+        return dict(sorted(found.items()))
 
     def stored_schema(self, name: str) -> T.StructType:
-        """Table columns plus partition columns."""
-        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in self.schemas[name].fields])
-        if name in SHARED:
-            schema = schema.add(WRITER, T.StringType())
-        if name in self.days:
-            schema = schema.add(self.days[name][0], T.DateType())
-        return schema
+        """What lies in the folders of a table: its columns, and those that the folders' names hold."""
+        if name in self.targets:
+            schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in SILVER_ENVELOPE])
+            for column, type_name in self.silver_columns.items():
+                schema = schema.add(column, SPARK_TYPES[type_name])
+            schema = schema.add(TABLE, T.StringType())
+        else:
+            schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in self.schemas[name]])
+        schema = schema.add(BATCH, T.StringType())
+        return schema.add(self.days[name][0], T.DateType()) if name in self.days else schema
+
+    def _columns(self, name: str) -> list[Column]:
+        """The columns of a table out of the stored ones."""
+        if name not in self.targets:
+            return [F.col(c) for c in self.schemas[name].names]
+        types = self.registry.measurements(self.targets[name])
+        return [*map(F.col, SILVER_ENVELOPE.names), *[F.col(stored_name(n, t)).alias(n) for n, t in types.items()]]
 
     def ensure(self, register: bool = True) -> Lake:
-        """Create what is missing; a table that exists only ever gains columns."""
+        """Create what is missing; a table that exists only ever gains columns.
+
+        SQL sees views over the stored tables: recorded batches only, in each table's own columns.
+        """
         for name in self.tables:
-            namespace = name.split(".")[0]
-            files.make_dir(self.spark, self.path(name))
-            if not register:
+            files.make_dir(self.spark, self.home(name))
+        if not register:
+            return self
+        for namespace in sorted({STORED, *(n.split(".")[0] for n in self.tables)}):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace} LOCATION '{self.root}/_{namespace}'")
+        for name, stored in self._stored_tables().items():
+            schema = self.stored_schema(name)
+            by = [BATCH, *([TABLE] if name in self.targets else []), *self.days.get(name, ())[:1]]
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {stored} ({columns}) USING parquet PARTITIONED BY ({', '.join(by)}) LOCATION '{self.home(name)}'")
+            have = set(self.spark.table(stored).columns)
+            new = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in have]
+            if new:
+                self.spark.sql(f"ALTER TABLE {stored} ADD COLUMNS ({', '.join(new)})")
+        self._create_views()
+        return self
+
+    def _stored_tables(self) -> dict[str, str]:
+        """One table per stored table, and the name it is registered by; one for all silver tables."""
+        tables = {n: f"{STORED}.{n.replace('.', '_')}" for n in self.tables if n not in self.targets}
+        return tables | {n: f"{STORED}.silver" for n in list(self.targets)[:1]}
+
+    def _create_views(self) -> None:
+        """A view per table. A row counts if its batch and day are recorded and not replaced."""
+        stored = self._stored_tables()
+        log = stored[AUDIT]
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {STORED}.live AS SELECT {TABLE}, {BATCH}, day FROM {log} LATERAL VIEW explode(days) AS day "
+            f"EXCEPT SELECT {TABLE}, r.batch, r.day FROM {log} LATERAL VIEW explode(replaces) AS r"
+        )
+        for name in self.tables:
+            if name not in self.days:
+                self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(self.schemas[name].names)}, {BATCH} FROM {stored[name]}")
                 continue
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace} LOCATION '{self.root}/{namespace}'")
-            partitions = [c for c in self.stored_schema(name).names if c not in self.schemas[name].names]
-            by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.stored_schema(name))
+            table = stored.get(name, f"{STORED}.silver")
+            own = f"s.{TABLE} = '{name}' AND " if name in self.targets else ""
+            columns = ", ".join(self.schemas[name].names)
+            if own:
+                types = self.registry.measurements(self.targets[name])
+                columns = ", ".join([*SILVER_ENVELOPE.names, *[f"`{stored_name(n, t)}` AS `{n}`" for n, t in types.items()]])
+            day = self.days[name][0]
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {by} LOCATION '{self.path(name)}'"
+                f"CREATE OR REPLACE VIEW {name} AS SELECT {columns}, {day} FROM {table} s LEFT SEMI JOIN {STORED}.live l "
+                f"ON {own}l.{TABLE} = '{name}' AND l.{BATCH} = s.{BATCH} AND l.day = s.{day}"
             )
-            have = set(self.spark.table(name).columns)
-            new = [f"`{f.name}` {f.dataType.simpleString()}" for f in self.schemas[name] if f.name not in have]
-            if new:
-                self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
-        return self
 
-    def read(self, name: str, days: Iterable[date] | None = None) -> DataFrame:
-        """The whole table, or some ``days`` of it, of which no other folder is listed. Columns added after a file was written are NULL there."""
+    # --- reading -------------------------------------------------------------
+
+    def commits(self) -> DataFrame:
+        """The records of all commits."""
+        return self.spark.read.schema(self.stored_schema(AUDIT)).parquet(self.home(AUDIT))
+
+    def parts(self, name: str, days: Iterable[date] | None = None) -> DataFrame:
+        """(batch, day) of the folders that hold a table now, in all or some ``days``, with the time of the commit."""
+        self._check(name)
+        own = self.commits().filter(F.col(TABLE) == name)
+        written = own.select(F.col(BATCH).alias("batch"), F.explode("days").alias("day"), "committed_at")
+        replaced = own.select(F.explode("replaces").alias("r")).select("r.batch", "r.day")
+        live = written.join(replaced, ["batch", "day"], "left_anti")
+        return live if days is None else live.filter(F.col("day").isin(list(days)))
+
+    def live(self, name: str, days: Iterable[date] | None = None) -> list[Part]:
+        return sorted((r["batch"], r["day"]) for r in self.parts(name, days).select("batch", "day").collect())
+
+    def open(self, parts: dict[str, Iterable[Part]]) -> DataFrame:
+        """The stored rows of some folders of tables that share a home; no other folder is listed."""
+        name = next(iter(parts))
         schema = self.stored_schema(name)
-        reader = self.spark.read.schema(schema)
-        if days is None:
-            return reader.parquet(self.path(name))
-        folders = [f"{self.path(name)}/{self.days[name][0]}={d}" for d in days]
-        there = [folder for folder in folders if files.exists(self.spark, folder)]
-        return reader.option("basePath", self.path(name)).parquet(*there) if there else self.spark.createDataFrame([], schema)
-
-    def stream(self, name: str, max_files: int | None = None) -> DataFrame:
-        """Rows as they are added: each micro-batch holds the files committed since the last one."""
-        reader = self.spark.readStream.schema(self.stored_schema(name)).option("ignoreMissingFiles", "true")
-        if max_files:
-            reader = reader.option("maxFilesPerTrigger", max_files)
-        return reader.parquet(self.path(name))
-
-    def append(self, name: str, rows: DataFrame, writer: str = "bronze", seen: Observation | None = None, batch: str | None = None) -> None:
-        """One commit; ``seen`` gets the number of rows as ``added``.
-
-        Rows of a ``batch`` are set out beside the tables until ``publish`` moves all of them in.
-
-        Rows are laid out by day with sizes evened out: neither one file per task
-        and day, nor all of a busy day in one task.
+        folders = [f"{self.folder(n, batch)}/{self.days[n][0]}={day}" for n, own in parts.items() for batch, day in own]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.home(name)).parquet(*folders)
+
+    def read(self, name: str, days: Iterable[date] | None = None) -> DataFrame:
+        """The recorded rows of a table, or of some ``days`` of it. Columns added after a file was written are NULL there."""
+        if name not in self.days:
+            self._check(name)
+            return self.spark.read.schema(self.stored_schema(name)).parquet(self.home(name)).select(*self.schemas[name].names, BATCH)
+        return self.open({name: self.live(name, days)}).select(*self._columns(name), self.days[name][0])
+
+    def known(self, days: dict[str, list[date]], without: str) -> DataFrame:
+        """Table, device and event time of the rows that silver tables hold in some days, but for those of a batch itself."""
+        commits = self.commits().filter(F.col(TABLE).isin(list(days)) & (F.col(BATCH) != without))
+        written = commits.select(TABLE, F.col(BATCH).alias("batch"), F.explode("days").alias("day"))
+        replaced = commits.select(TABLE, F.explode("replaces").alias("r")).select(TABLE, "r.batch", "r.day")
+        wanted = {(n, d) for n, own in days.items() for d in own}
+        touched = written.filter(F.col("day").isin(sorted({d for _, d in wanted}))).join(replaced, [TABLE, "batch", "day"], "left_anti").collect()
+        parts: dict[str, list[Part]] = {}
+        for r in touched:
+            if (r[TABLE], r["day"]) in wanted:
+                parts.setdefault(r[TABLE], []).append((r["batch"], r["day"]))
+        return self.open(parts or {next(iter(days), next(iter(self.targets))): []})
+
+    def stream_commits(self, name: str, max_commits: int | None = None) -> DataFrame:
+        """Records of commits to a table, as they are added. Only the folder of the records is listed, none of the table's."""
+        reader = self.spark.readStream.schema(self.stored_schema(AUDIT))
+        if max_commits:
+            reader = reader.option("maxFilesPerTrigger", max_commits)
+        return reader.parquet(self.home(AUDIT)).filter((F.col(TABLE) == name) & (F.col("added_records") > 0))
+
+    def committed_rows(self, name: str, records: DataFrame) -> DataFrame:
+        """The rows that some commits added. Folders that have been removed since are passed over."""
+        found = {(r[BATCH], d) for r in records.select(BATCH, "days").collect() for d in r["days"]}
+        there = sorted((b, d) for b, d in found if files.exists(self.spark, f"{self.folder(name, b)}/{self.days[name][0]}={d}"))
+        return self.open({name: there}).select(*self._columns(name), self.days[name][0])
+
+    # --- writing -------------------------------------------------------------
+
+    def write(self, name: str, rows: DataFrame, batch: str) -> None:
+        """Rows of a batch; they count once the batch is committed.
+
+        Laid out by day with sizes evened out: neither one file per task and day, nor all of a busy day in one task.
         """
-        home = f"{self._set_out(batch)}/{name}" if batch else self.path(name)
-        path = f"{home}/{WRITER}={writer}" if name in SHARED else home
-        rows = rows.select(*self.schemas[name].names)
-        by = []
-        if name in self.days:
-            day, time = self.days[name]
-            rows = rows.withColumn(day, F.to_date(time)).hint("rebalance", day)
-            by = [day]
-        if seen is not None:
-            # after the shuffle: rows of a task that ran twice count once
-            rows = rows.observe(seen, F.count(F.lit(1)).alias("added"))
-        rows.write.mode("overwrite" if batch else "append").partitionBy(*by).parquet(path)
-
-    def _set_out(self, batch: str) -> str:
-        return f"{self.root}/_set_out/{batch}"
-
-    def _done(self, batch: str) -> str:
-        return f"{self.root}/_done/{batch}"
+        day, time = self.days[name]
+        rows = rows.select(*self.schemas[name].names).withColumn(day, F.to_date(time)).hint("rebalance", day)
+        rows.write.mode("overwrite").partitionBy(day).parquet(f"{self.home(name)}/{BATCH}={batch}")
 
-    def is_done(self, batch: str) -> bool:
-        """Whether all rows of a batch are in the tables."""
-        return files.exists(self.spark, self._done(batch))
+    def write_silver(self, rows: DataFrame, batch: str) -> None:
+        """Rows of all silver tables at once: ``table_name``, the envelope and the stored columns."""
+        rows = rows.select(*SILVER_ENVELOPE.names, *self.silver_columns, TABLE).withColumn("event_time_day", F.to_date("event_time"))
+        rows.hint("rebalance", TABLE, "event_time_day").write.mode("overwrite").partitionBy(TABLE, "event_time_day").parquet(f"{self.root}/silver/{BATCH}={batch}")
 
-    def is_set_out(self, batch: str) -> bool:
-        """Whether a batch was worked out to its end."""
-        return files.exists(self.spark, f"{self._set_out(batch)}/_READY")
+    def is_done(self, batch: str) -> bool:
+        return files.has_parts(self.spark, f"{self.home(AUDIT)}/{BATCH}={batch}")
 
-    def set_out(self, batch: str) -> None:
-        files.mark(self.spark, f"{self._set_out(batch)}/_READY")
+    def _written(self, name: str, batch: str, silver: bool) -> DataFrame:
+        path = f"{self.root}/silver/{BATCH}={batch}" if silver else f"{self.home(name)}/{BATCH}={batch}"
+        day, time = self.days[name]
+        rows = self.spark.read.schema(self.stored_schema(name)).option("basePath", self.home(name)).parquet(path)
+        table = F.col(TABLE) if silver else F.lit(name)
+        return rows.groupBy(table.alias(TABLE), F.col(day).alias("day"), "tenant_id").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.min(time).alias("first_time"), F.max(time).alias("last_time"), F.hll_sketch_agg("device_id").alias("devices")
+        )
 
-    def set_out_aside(self, batch: str, purpose: str) -> str:
-        """Where rows of a batch that go elsewhere wait for ``publish``."""
-        return f"{self._set_out(batch)}/{purpose}"
+    def commit(
+        self, batch: str, stage: str, batch_id: int, rows_in: int, tables: Iterable[str],
+        offered: dict[str, int] | None = None, replaces: dict[str, list[Part]] | None = None,
+    ) -> dict[str, int]:
+        """Record a batch: what is in its folders counts from now on. Gives the number of rows added per table.
 
-    def publish(self, batch: str, elsewhere: dict[str, str] | None = None) -> None:
-        """Move what a batch set out into the tables, and to places ``elsewhere``, by purpose; interrupted, it goes on when called again."""
-        home = self._set_out(batch)
-        for name, target in [*((n, self.path(n)) for n in self.tables), *(elsewhere or {}).items()]:
-            files.move_parts(self.spark, f"{home}/{name}", target, batch)
-        files.mark(self.spark, self._done(batch))
-        files.delete(self.spark, home)
+        ``tables`` are those that the batch has written; counts and summaries are taken from what is stored.
+        ``offered`` says how many rows there were for a table, of which those not added are duplicates.
+        """
+        tables, offered, replaces = list(tables), offered or {}, replaces or {}
+        silver = [t for t in tables if t in self.targets]
+        found = [self._written(t, batch, False) for t in tables if t not in silver] + [self._written(t, batch, True) for t in silver[:1]]
+        summaries = f"{self.home(SUMMARY)}/{BATCH}={batch}"
+        every = found[0]
+        for more in found[1:]:
+            every = every.unionByName(more)
+        every.select(*SUMMARIES.names).write.mode("overwrite").parquet(summaries)
+        kept = self.spark.read.schema(SUMMARIES).parquet(summaries)
+        counts = {r[TABLE]: r for r in kept.groupBy(TABLE).agg(F.sum("n_rows").alias("n"), F.sort_array(F.collect_set("day")).alias("days")).collect()}
+        added = {t: counts[t]["n"] if t in counts else 0 for t in dict.fromkeys([*tables, *offered, *counts])}
+        rows = [
+            (stage, batch_id, t, rows_in, n, offered.get(t, n) - n, counts[t]["days"] if t in counts else [], replaces.get(t, []))
+            for t, n in added.items()
+        ]
+        record = self.spark.createDataFrame(rows, T.StructType([f for f in COMMITS if f.name != "committed_at"]))
+        record.coalesce(1).withColumn("committed_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{self.home(AUDIT)}/{BATCH}={batch}")
+        return added
 
     def refresh(self) -> None:
         """Let SQL over the registered tables see the newest files."""
-        for name in self.tables:
-            if not self.spark.catalog.tableExists(name):
-                continue
-            if len(self.stored_schema(name)) > len(self.schemas[name]):
-                self.spark.catalog.recoverPartitions(name)  # days added since
-            self.spark.catalog.refreshTable(name)
+        for stored in self._stored_tables().values():
+            if self.spark.catalog.tableExists(stored):
+                self.spark.catalog.recoverPartitions(stored)  # folders added since
+                self.spark.catalog.refreshTable(stored)
 
 
 def list_tables(spark: SparkSession) -> list[str]:

@@ -12,12 +12,12 @@ BATCH_WINDOW = "10 seconds"
 
 
 def read_queue(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(QUEUE_ENTRY).parquet(path)
+    return spark.read.schema(QUEUE_ENTRY).option("recursiveFileLookup", "true").parquet(path)
 
 
 def stream_queue(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Unread entries of a folder of Parquet files; the checkpoint remembers what was read."""
-    reader = spark.readStream.schema(QUEUE_ENTRY)
+    """Unread entries of the Parquet files in and below a folder; the checkpoint remembers what was read."""
+    reader = spark.readStream.schema(QUEUE_ENTRY).option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)

@@ -11,19 +11,19 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakegauge.mappers.registry import silver_table_name
 from lakegauge.operators.bronze import bronze_outcomes, bronze_rows, dead_letters
-from lakegauge.operators.dedup import KEYS, days_of, not_in_table, one_per_key
+from lakegauge.operators.dedup import KEYS, days_of, not_known, one_per_key
 from lakegauge.operators.descriptor import parse_jobs
 from lakegauge.operators.redrive import retries
-from lakegauge.operators.transform import map_readings, silver_dead_letters, silver_rows
+from lakegauge.operators.transform import map_readings, silver_dead_letters, silver_union
 from lakegauge.session import shared_dir
 from lakegauge.sources import files, landing
-from lakegauge.sources.lake import AUDIT, BRONZE, DEAD, Lake
+from lakegauge.sources.lake import BRONZE, DEAD, TABLE, Lake
 from lakegauge.sources.queue import BATCH_WINDOW
 
 
@@ -31,10 +31,9 @@ from lakegauge.sources.queue import BATCH_WINDOW
 class Stage:
     """``run`` gives a batch's rows to the tables once, however often it is called for it.
 
-    A batch is known by its stage, its stream and its number. All its rows, letters, retries
-    and counts are first set out beside the tables and then moved in. After a failure at any
-    point the batch is worked out anew, or only the moving goes on, or nothing is left to do;
-    no table is searched for what was written before.
+    A batch is known by its stage, its stream and its number. Its rows and letters go to folders of its own and count
+    once its commit is recorded, all together. After a failure before that point the batch is worked out anew over
+    what it left; after it, only retries may still have to be handed out.
     """
 
     lake: Lake
@@ -46,27 +45,28 @@ class Stage:
 
     def run(self, rows: DataFrame, batch_id: int) -> None:
         self._batch = f"{self.name}-{self._stream()}-{batch_id}"
-        if self.lake.is_done(self._batch):
-            return
         try:
-            if not self.lake.is_set_out(self._batch):
+            if not self.lake.is_done(self._batch):
                 self.process(rows, batch_id)
-                self.lake.set_out(self._batch)
-            self.lake.publish(self._batch, self.elsewhere())
+            self.hand_out()
         finally:
             while self._scratch:
                 files.delete(self.lake.spark, self._scratch.pop())
 
+    def on_batch(self, rows: DataFrame, batch_id: int) -> None:
+        """What a stream calls for each micro-batch."""
+        self.run(rows, batch_id)
+
     def _stream(self) -> str:
         if not self.checkpoint:
             return "direct"
         return json.loads(self.lake.spark.read.text(f"{self.checkpoint}/metadata").first()["value"])["id"]
 
-    def elsewhere(self) -> dict[str, str]:
-        """Places outside the lake that get rows of a batch, by purpose."""
-        return {}
+    def hand_out(self) -> None:
+        """What follows a commit; called again if it was interrupted."""
 
     def process(self, rows: DataFrame, batch_id: int) -> None:
+        """Work a batch out and commit it."""
         raise NotImplementedError
 
     def store(self, df: DataFrame, purpose: str, *by: str) -> DataFrame:
@@ -75,29 +75,24 @@ class Stage:
         df.write.partitionBy(*by).parquet(path)
         return self.lake.spark.read.schema(df.schema).parquet(path)
 
-    def append(self, name: str, rows: DataFrame, writer: str) -> int:
-        seen = Observation()
-        self.lake.append(name, rows, writer, seen, self._batch)
-        return seen.get["added"]
-
-    def audit(self, stage: str, batch_id: int, counts: list[tuple[str, int, int, int]]) -> None:
-        rows = self.lake.spark.createDataFrame(
-            [(stage, batch_id, *c) for c in counts],
-            "stage string, batch_id bigint, table_name string, rows_in bigint, added_records bigint, duplicates bigint",
-        )
-        self.lake.append(AUDIT, rows.coalesce(1).withColumn("committed_at", F.current_timestamp()), stage, batch=self._batch)
-
 
 @dataclass
 class BronzeStage(Stage):
-    """Without a ``retry_path`` a transient failure is a dead letter at once."""
+    """Without a ``retry_path`` a transient failure is a dead letter at once.
+
+    Retries wait in a hidden folder below ``retry_path``, which gets its name when the batch is committed.
+    """
 
     name = "bronze"
     landing_root: str | None = None
     retry_path: str | None = None
 
-    def elsewhere(self) -> dict[str, str]:
-        return {"retries": self.retry_path} if self.retry_path else {}
+    def _retries(self, hidden: bool) -> str:
+        return f"{self.retry_path}/{'_' if hidden else ''}retries-{self._batch}"
+
+    def hand_out(self) -> None:
+        if self.retry_path and files.exists(self.lake.spark, self._retries(hidden=True)):
+            files.rename(self.lake.spark, self._retries(hidden=True), self._retries(hidden=False))
 
     def objects(self, jobs: DataFrame) -> DataFrame | None:
         """The landed objects these jobs may need."""
@@ -113,50 +108,60 @@ class BronzeStage(Stage):
         verdict = F.when(F.col("reason").isNull(), "good").otherwise("bad")
         outcomes = bronze_outcomes(entries, objects, parsed=jobs).withColumn("verdict", verdict)
         stored = self.store(outcomes, "outcomes", "verdict")
-        good = bronze_rows(stored.filter("verdict = 'good'"))
-        bad = stored.filter("verdict = 'bad'")
-        rows_in = jobs.count()
+        good, bad = stored.filter("verdict = 'good'"), stored.filter("verdict = 'bad'")
+        written = [DEAD]
+        try:
+            self.lake.write(BRONZE, bronze_rows(good), self._batch)
+            written.append(BRONZE)
+        except Exception as e:  # noqa: BLE001  whatever keeps rows out of the table
+            files.delete(self.lake.spark, self.lake.folder(BRONZE, self._batch))
+            bad = bad.unionByName(good.withColumns({"reason": F.lit("append_failed"), "detail": F.lit(f"{type(e).__name__}: {e}"[:500])}))
         if self.retry_path:
-            retries(bad).write.mode("overwrite").parquet(self.lake.set_out_aside(self._batch, "retries"))
-        letters = self.append(DEAD, dead_letters(bad, retried=bool(self.retry_path)), "bronze")
-        added = self.append(BRONZE, good, "bronze")
-        self.audit("bronze", batch_id, [(BRONZE, rows_in, added, 0), (DEAD, rows_in, letters, 0)])
+            retries(bad).write.mode("overwrite").parquet(self._retries(hidden=True))
+        self.lake.write(DEAD, dead_letters(bad, retried=bool(self.retry_path)), self._batch)
+        self.lake.commit(self._batch, "bronze", batch_id, jobs.count(), written, {} if BRONZE in written else {BRONZE: 0})
 
 
 @dataclass
 class SilverStage(Stage):
+    """Fed by rows of bronze (``run``) or by the records of its commits (``on_batch``, ``Lake.stream_commits``)."""
+
     name = "silver"
     keys: tuple[str, ...] = KEYS
     keep: str = "first"
 
+    def on_batch(self, records: DataFrame, batch_id: int) -> None:
+        found = self.lake.spark.createDataFrame(records.collect(), records.schema)
+        if not found.isEmpty():
+            self.run(self.lake.committed_rows(BRONZE, found), batch_id)
+
     def process(self, bronze: DataFrame, batch_id: int) -> None:
-        registry = self.lake.registry
-        lane = F.when(F.col("reason").isNull(), F.col("target_table")).otherwise("rejected")
+        lane = F.when(F.col("reason").isNull(), "accepted").otherwise("rejected")
         # payloads stay in bronze; only rejected rows take theirs along
         evidence = F.when(F.col("reason").isNotNull(), F.col("payload"))
-        verdicts = map_readings(bronze, registry).withColumns({"lane": lane, "payload": evidence})
+        verdicts = map_readings(bronze, self.lake.registry).withColumns({"lane": lane, "payload": evidence})
         mapped = self.store(verdicts, "mapped", "lane")
-        sizes = {r["lane"]: r["count"] for r in mapped.groupBy("lane").count().collect()}
-        rows_in = sum(sizes.values())
-        counts = [
-            (DEAD, rows_in, self.append(DEAD, dead_letters(silver_dead_letters(mapped.filter("lane = 'rejected'")), retried=False), "silver"), 0)
-        ]
-        for target in registry.targets:
-            if not sizes.get(target):
-                continue
-            name = silver_table_name(target)
-            rows = silver_rows(mapped.filter(F.col("lane") == target), registry, target)
-            known = self.lake.read(name, days_of(rows))
-            fresh = not_in_table(one_per_key(rows, self.keys, self.keep), known, self.keys)
-            added = self.append(name, fresh, "silver")
-            counts.append((name, rows_in, added, sizes[target] - added))
-        self.audit("silver", batch_id, counts)
+        self.lake.write(DEAD, dead_letters(silver_dead_letters(mapped.filter("lane = 'rejected'")), retried=False), self._batch)
+        accepted = mapped.filter("lane = 'accepted'")
+        sizes = {(r["lane"], r["target_table"]): r["count"] for r in mapped.groupBy("lane", "target_table").count().collect()}
+        offered = {silver_table_name(t): n for (lane, t), n in sizes.items() if lane == "accepted"}
+        if offered:
+            self.lake.write_silver(self.fresh(silver_union(accepted, self.lake.registry), sum(offered.values())), self._batch)
+        self.lake.commit(self._batch, "silver", batch_id, sum(sizes.values()), [DEAD, *offered], offered)
+
+    def fresh(self, rows: DataFrame, size: int) -> DataFrame:
+        """One row per table and key, and none that its table has already: one pass for all tables."""
+        keys = (TABLE, *self.keys)
+        days: dict[str, list] = {}
+        for r in days_of(rows, TABLE).collect():
+            days.setdefault(r[TABLE], []).append(r["day"])
+        return not_known(one_per_key(rows, keys, self.keep), self.lake.known(days, without=self._batch), size, keys)
 
 
 def start(stage: Stage, source: DataFrame, checkpoint: str, once: bool = False, window: str = BATCH_WINDOW) -> StreamingQuery:
     """Run a stage on a stream: until caught up if ``once``, else every ``window``."""
     stage.checkpoint = checkpoint
-    writer = source.writeStream.foreachBatch(stage.run).option("checkpointLocation", checkpoint)
+    writer = source.writeStream.foreachBatch(stage.on_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=window)).start()
 
 

@@ -10,8 +10,9 @@ from lakegauge.mappers import Mapper, MapperColumn, Registry
 from lakegauge.operators.audit import added_records, layer_balance, reconcile
 from lakegauge.plans import adhoc
 from lakegauge.plans.publish import InvalidRequest, as_json, export_key, is_safe_tenant, publish, safe_tenant, slice_filter
+from lakegauge.sources import files
 from lakegauge.sources.lake import AUDIT, BRONZE, DEAD, Lake, UnknownTable, list_tables
-from lakegauge.sources.queue import stream_queue
+from lakegauge.sources.queue import read_queue, stream_queue
 from lakegauge.streaming.stages import BronzeStage, SilverStage, catch_up
 from test_bronze import job, reference
 
@@ -37,7 +38,7 @@ def run(lake, tmp_path, max_files=None, landing_root=None, retry=False):
     spark, queue = lake.spark, str(tmp_path / "queue")
     bronze = BronzeStage(lake, landing_root=landing_root, retry_path=queue if retry else None)
     catch_up(bronze, stream_queue(spark, queue, max_files), str(tmp_path / "cp-bronze"))
-    catch_up(SilverStage(lake), lake.stream(BRONZE, max_files), str(tmp_path / "cp-silver"))
+    catch_up(SilverStage(lake), lake.stream_commits(BRONZE, max_files), str(tmp_path / "cp-silver"))
 
 
 def air(lake):
@@ -173,30 +174,61 @@ def test_a_transient_failure_is_retried_or_a_letter(spark, tmp_path):
     lake, retry = Lake(spark, str(tmp_path / "with")).ensure(register=False), str(tmp_path / "retry")
     for _ in range(2):  # the second time nothing is left to do
         Busy(lake, retry_path=retry).run(entries, 0)
-    assert [r["entry_id"] for r in spark.read.parquet(retry).collect()] == ["slow/2"]
+    assert [r["entry_id"] for r in read_queue(spark, retry).collect()] == ["slow/2"]
     assert letters(lake) == [] and lake.read(BRONZE).count() == 1 and lake.read(AUDIT).count() == 2
 
 
-def test_a_batch_goes_on_where_it_was_interrupted(spark, tmp_path, monkeypatch):
-    lake, retry = Lake(spark, str(tmp_path / "lake")).ensure(register=False), str(tmp_path / "retry")
-    enqueue(spark, str(tmp_path / "queue"), TRANSIENT + ["not a job"])
-    entries, moved = spark.read.parquet(str(tmp_path / "queue")), []
-    from lakegauge.sources import files
+def breaks_once(monkeypatch, owner, name, at=1):
+    """``owner.name`` fails at its ``at``-th call and works again afterwards."""
+    usual, calls = getattr(owner, name), []
 
-    move = files.move_parts
-
-    def breaks(*args):
-        moved.append(args)
-        if len(moved) == 3:
+    def wrapped(*args, **kwargs):
+        calls.append(args)
+        if len(calls) == at:
             raise OSError("lost")
-        move(*args)
+        return usual(*args, **kwargs)
+
+    monkeypatch.setattr(owner, name, wrapped)
 
-    monkeypatch.setattr(files, "move_parts", breaks)
+
+@pytest.mark.parametrize("owner,name,at", [(Lake, "write", 2), (Lake, "commit", 1), (files, "rename", 1)])
+def test_a_batch_goes_on_where_it_was_interrupted(spark, tmp_path, monkeypatch, owner, name, at):
+    lake, retry = Lake(spark, str(tmp_path / "lake")).ensure(register=False), str(tmp_path / "retry")
+    enqueue(spark, str(tmp_path / "queue"), TRANSIENT + ["not a job"])
+    entries = spark.read.parquet(str(tmp_path / "queue"))
+    breaks_once(monkeypatch, owner, name, at)
     with pytest.raises(OSError):
         Busy(lake, retry_path=retry).run(entries, 4)
+    if owner is not files:
+        assert lake.read(BRONZE).count() == 0 and letters(lake) == []  # all of a batch or nothing
     Busy(lake, retry_path=retry).run(entries, 4)
     assert lake.read(BRONZE).count() == 1 and letters(lake) == [("x2", "bronze", "unparseable_descriptor")]
-    assert spark.read.parquet(retry).count() == 1 and lake.read(AUDIT).count() == 2
+    assert read_queue(spark, retry).count() == 1 and lake.read(AUDIT).count() == 2
+
+
+class Full(Lake):
+    """Bronze takes no rows; the other tables do."""
+
+    def write(self, name, rows, batch):
+        if name == BRONZE:
+            raise OSError("no space left")
+        super().write(name, rows, batch)
+
+
+def test_a_failed_append_is_retried_then_a_letter(spark, tmp_path):
+    queue, retry = str(tmp_path / "queue"), str(tmp_path / "retry")
+    enqueue(spark, queue, [reading(0), reading(1) | {"attempt": 3}, "not a job"])
+    lake = Full(spark, str(tmp_path / "lake")).ensure(register=False)
+    BronzeStage(lake, retry_path=retry).run(spark.read.parquet(queue), 0)
+    assert letters(lake) == [("J0001", "bronze", "append_failed"), ("x2", "bronze", "unparseable_descriptor")]
+    letter = lake.read(DEAD).filter("reason = 'append_failed'").first()
+    assert "no space left" in letter["detail"] and letter["attempt"] == 3 and json.loads(letter["payload"])["hum"] == 0.4
+    assert lake.read(AUDIT).filter("table_name = 'bronze.raw'").first()["added_records"] == 0
+    # the entry for the next try holds its payload and works once there is space
+    again = read_queue(spark, retry)
+    assert [r["entry_id"] for r in again.collect()] == ["J0000/2"]
+    BronzeStage(Lake(spark, lake.root)).run(again, 1)
+    assert [r["job_id"] for r in lake.read(BRONZE).collect()] == ["J0000"]
 
 
 def test_an_attempt_beyond_any_number_is_a_letter(spark, tmp_path):
