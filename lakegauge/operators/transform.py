@@ -1,9 +1,10 @@
 """Bronze rows -> typed measurements, or a reason why not.
 
 All mappers are applied in one narrow pass. The n-th column of whichever mapper
-a row has goes through "slot" n, so the plan holds as many cast and check chains
-as the widest mapper has columns, however many mappers there are. Slots get
-their column names when a table's rows are picked out.
+a row has goes through "slot" n, and what that mapper asks of the column (path, type,
+unit, bounds) is looked up by the mapper's number. So the plan holds as many cast
+and check chains as the widest mapper has columns and types, however many mappers
+there are. Slots get their column names when a table's rows are picked out.
 """
 
 from __future__ import annotations
@@ -14,16 +15,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge.functions.casts import as_bool, as_double, as_long, as_text, as_timestamp
-from lakegauge.functions.strict_json import is_object_text, kind, once
+from lakegauge.functions.strict_json import is_object_text, kind, members, once
 from lakegauge.functions.units import CONVERSIONS
 from lakegauge.mappers import Mapper, MapperColumn, Registry
 from lakegauge.mappers.model import COLUMN_TYPES
 from lakegauge.mappers.registry import silver_table_name, stored_name
 from lakegauge.operators.fence import fence
-from lakegauge.operators.resolve import PICKED, VALUE, paths_of, resolve, with_payload
+from lakegauge.operators.resolve import VALUE, constant, with_mapper, with_payload
 from lakegauge.schemas import SILVER_ENVELOPE
 
 Pair = tuple[Mapper, MapperColumn]
+RULE = (
+    "struct<source:array<string>,type:string,convert:string,scale:double,changes:boolean,min:double,max:double,"
+    "required:boolean,told:string,bounds:string>"
+)
 
 
 def _slots(registry: Registry) -> list[list[Pair]]:
@@ -31,6 +36,19 @@ def _slots(registry: Registry) -> list[list[Pair]]:
     return [[(m, m.columns[n]) for m in registry if len(m.columns) > n] for n in range(widest)]
 
 
+def _rule(col: MapperColumn) -> dict:
+    return {
+        "source": col.source.split("."), "type": col.type, "convert": col.convert, "scale": float(col.scale), "changes": _changes(col),
+        "min": _float(col.min), "max": _float(col.max), "required": col.required,
+        "told": f"{col.name} <- {col.source}=", "bounds": f" not within [{_bound(col.min)}, {_bound(col.max)}]",
+    }
+
+
+def _rules(registry: Registry, n: int) -> Column:
+    """What each mapper asks of its n-th column, by the mapper's number; NULL for those with fewer."""
+    return constant([_rule(m.columns[n]) if len(m.columns) > n else None for m in registry], f"array<{RULE}>")
+
+
 def _per_mapper(pairs: Iterable[tuple[Mapper, object]], pick: Callable) -> Column | None:
     """CASE mapper_id WHEN .. over the pairs for which ``pick`` gives a Column."""
     out = None
@@ -41,10 +59,6 @@ def _per_mapper(pairs: Iterable[tuple[Mapper, object]], pick: Callable) -> Colum
     return out
 
 
-def _null(type_name: str) -> Column:
-    return F.lit(None).cast(type_name)
-
-
 def slot_column(n: int, type_name: str) -> str:
     return f"slot{n}_{type_name}"
 
@@ -55,28 +69,32 @@ def map_readings(bronze: DataFrame, registry: Registry) -> DataFrame:
     ``reason`` NULL means the row belongs in ``target_table``.
     """
     slots = _slots(registry)
-    paths = paths_of(registry)
     carried = list(bronze.columns)
 
-    def picked(path: str) -> Column:
-        return paths.get(PICKED, path)
+    def of_mapper(values: list, type_name: str) -> Column:
+        return F.get(constant(values, f"array<{type_name}>"), F.col("mapper_number"))
 
-    # The raw value of each slot and of the two envelope overrides.
+    # What the mapper asks for, and the raw values of its slots and of the two envelope overrides.
     overrides = {
-        "device": [(m, m.device_id_from) for m in registry if m.device_id_from],
-        "time": [(m, m.event_time_from) for m in registry if m.event_time_from],
+        "device": [m.device_id_from.split(".") if m.device_id_from else None for m in registry],
+        "time": [m.event_time_from.split(".") if m.event_time_from else None for m in registry],
     }
-    raw = {f"raw{n}": _per_mapper(pairs, lambda c: picked(c.source)) for n, pairs in enumerate(slots)}
-    raw |= {f"raw_{name}": _per_mapper(pairs, picked) for name, pairs in overrides.items() if pairs}
+    used = {name: steps for name, steps in overrides.items() if any(steps)}
+    deepest = max([len(c.source.split(".")) for m in registry for c in m.columns] + [len(x) for steps in used.values() for x in steps if x])
     is_object = F.coalesce(F.col(VALUE).isNotNull() & is_object_text("payload"), F.lit(False))
-    df = resolve(with_payload(bronze, registry), registry)
-    df = df.select(*carried, "mapper_id", is_object.alias("is_object"), *[v.alias(k) for k, v in raw.items()])
+    df = with_mapper(with_payload(bronze), registry)
+    df = df.select(*carried, "mapper_number", members(VALUE).alias("opened"), is_object.alias("is_object"))
+    rules = {f"rule{n}": F.get(_rules(registry, n), F.col("mapper_number")) for n in range(len(slots))}
+    df = df.select("*", *[v.alias(k) for k, v in rules.items()], *[of_mapper(steps, "array<string>").alias(f"steps_{name}") for name, steps in used.items()])
+    raw = {f"raw{n}": _at(F.col(f"rule{n}.source"), deepest) for n in range(len(slots))}
+    raw |= {f"raw_{name}": _at(F.col(f"steps_{name}"), deepest) for name in used}
+    df = df.select(*carried, "mapper_number", "is_object", *rules, *[v.alias(k) for k, v in raw.items()])
 
     # Cast, convert, scale and check.
     device, time = F.col("device_id"), F.col("event_time")
-    if overrides["device"]:
+    if "device" in used:
         device = F.coalesce(once(F.col("raw_device"), lambda x: once(kind(x), lambda k: as_text(x, k))), device)
-    if overrides["time"]:
+    if "time" in used:
         time = F.coalesce(once(F.col("raw_time"), lambda x: as_timestamp(x, kind(x))), time)
     df = df.select(
         "*",
@@ -86,40 +104,49 @@ def map_readings(bronze: DataFrame, registry: Registry) -> DataFrame:
     )
 
     # The first failing column, in mapper order, decides.
-    bad_payload = F.col("mapper_id").isNotNull() & ~F.col("is_object")
+    known = F.col("mapper_number").isNotNull()
     reason = (
-        F.when(F.col("mapper_id").isNull(), "unresolved")
-        .when(bad_payload, "bad_payload")
+        F.when(~known, "unresolved")
+        .when(~F.col("is_object"), "bad_payload")
         .otherwise(F.coalesce(*[F.col(f"slot{n}.reason") for n in range(len(slots))]))
     )
-    everyone = [(m, m) for m in registry]
     out = [c for c in carried if c not in ("device_id", "event_time")]
     verdicts = df.select(
         *out,
         F.col("device_id").alias("bronze_device_id"),
         F.col("silver_device_id").alias("device_id"),
         F.col("silver_event_time").alias("event_time"),
-        "mapper_id",
-        _per_mapper(everyone, lambda m: F.lit(m.version)).cast("int").alias("mapper_version"),
-        _per_mapper(everyone, lambda m: F.lit(m.target_table)).alias("target_table"),
+        of_mapper(registry.ids, "string").alias("mapper_id"),
+        of_mapper([m.version for m in registry], "int").alias("mapper_version"),
+        of_mapper([m.target_table for m in registry], "string").alias("target_table"),
         *[
             F.col(f"slot{n}.{type_name}").alias(slot_column(n, type_name))
             for n, pairs in enumerate(slots)
             for type_name in _types(pairs)
         ],
         reason.alias("reason"),
-        _detail(slots, "schema_fp" in carried).alias("detail"),
+        _detail(len(slots), "schema_fp" in carried).alias("detail"),
     )
     return fence(verdicts)
 
 
+def _at(steps: Column, deepest: int) -> Column:
+    """The value at a path of the payload, which is already opened; SQL NULL if it is absent."""
+    value = F.col("opened")[F.get(steps, 0)]
+    for n in range(1, deepest):
+        inner = members(value)[F.get(steps, n)]
+        value = F.when(F.size(steps) > n, inner).otherwise(value)
+    return value
+
+
 def _types(pairs: list[Pair]) -> list[str]:
     return sorted({c.type for _, c in pairs})
 
 
 def _judged(n: int, pairs: list[Pair]) -> Column:
     """One slot: a value per column type in use, and the reason if it is no good."""
-    types = _types(pairs)
+    types, rule = _types(pairs), F.col(f"rule{n}")
+    conversions = sorted({c.convert for _, c in pairs if c.convert})
 
     def cast(x: Column, k: Column) -> Column:
         casts = {
@@ -131,12 +158,10 @@ def _judged(n: int, pairs: list[Pair]) -> Column:
         }
         if len(types) == 1:
             return F.struct(casts[types[0]]().alias(types[0]))
-        return F.struct(
-            *[F.when(F.col("mapper_id").isin([m.id for m, c in pairs if c.type == t]), casts[t]()).alias(t) for t in types]
-        )
+        return F.struct(*[F.when(rule["type"] == t, casts[t]()).alias(t) for t in types])
 
     def canonical(c: Column) -> Column:
-        return F.struct(*[_canonical(c[t], t, [p for p in pairs if p[1].type == t]).alias(t) for t in types])
+        return F.struct(*[_canonical(c[t], t, rule, conversions, any(_changes(col) for _, col in pairs if col.type == t)).alias(t) for t in types])
 
     def judge(x: Column) -> Column:
         return once(
@@ -144,7 +169,7 @@ def _judged(n: int, pairs: list[Pair]) -> Column:
             lambda k: once(
                 cast(x, k),
                 lambda c: once(
-                    canonical(c), lambda v: F.struct(*[v[t].alias(t) for t in types], _reason(pairs, k, c, v).alias("reason"))
+                    canonical(c), lambda v: F.struct(*[v[t].alias(t) for t in types], _reason(types, rule, k, c, v).alias("reason"))
                 ),
             ),
         )
@@ -152,85 +177,74 @@ def _judged(n: int, pairs: list[Pair]) -> Column:
     return once(F.col(f"raw{n}"), judge)
 
 
-def _detail(slots: list[list[Pair]], has_shape: bool) -> Column:
+def _detail(n_slots: int, has_shape: bool) -> Column:
     """What was wrong, in words: column, path, value and bounds. NULL for good rows."""
 
-    def told(n: int, pairs: list[Pair]) -> Column:
-        names = _per_mapper(pairs, lambda c: F.lit(f"{c.name} <- {c.source}="))
-        bounds = _per_mapper(pairs, lambda c: F.lit(f" not within [{_bound(c.min)}, {_bound(c.max)}]"))
+    def told(n: int) -> Column:
         shown = F.coalesce(F.to_json(f"raw{n}"), F.lit("absent"))
         why = F.col(f"slot{n}.reason")
-        return F.when(why.isNotNull(), F.concat(names, shown, F.when(why == "out_of_range", bounds).otherwise("")))
+        bounds = F.when(why == "out_of_range", F.col(f"rule{n}.bounds")).otherwise("")
+        return F.when(why.isNotNull(), F.concat(F.col(f"rule{n}.told"), shown, bounds))
 
     no_mapper = F.concat(
-        F.lit("no mapper matched: hint="),
-        F.coalesce("pipeline_hint", F.lit("none")),
-        F.lit(", schema_fp="),
+        F.lit("nobody reads this shape ("),
         F.col("schema_fp") if has_shape else F.lit("unknown"),
+        F.lit("), hinted at "),
+        F.coalesce("pipeline_hint", F.lit("nobody")),
     )
     # most rows are good and skip all of it
     return once(
         F.lit(0),
-        lambda _: F.when(F.col("mapper_id").isNull(), no_mapper)
+        lambda _: F.when(F.col("mapper_number").isNull(), no_mapper)
         .when(~F.col("is_object"), "expected a JSON object")
-        .otherwise(F.coalesce(*[told(n, pairs) for n, pairs in enumerate(slots)])),
+        .otherwise(F.coalesce(*[told(n) for n in range(n_slots)])),
     )
 
 
+def _float(limit: float | None) -> float | None:
+    return None if limit is None else float(limit)
+
+
 def _bound(limit: float | None) -> str:
     return "" if limit is None else f"{limit:g}"
 
 
-def _canonical(value: Column, type_name: str, pairs: list[Pair]) -> Column:
+def _canonical(value: Column, type_name: str, rule: Column, conversions: list[str], any_changes: bool) -> Column:
     """Convert, then scale; columns that need neither pass through."""
-    if type_name not in ("double", "int"):
+    if type_name not in ("double", "int") or not any_changes:
         return value
-
-    def change(col: MapperColumn) -> Column | None:
-        if not _changes(col):
-            return None
-        out = value.cast("double")
-        if col.convert:
-            out = CONVERSIONS[col.convert](out)
-        return out * F.lit(float(col.scale)) if col.scale != 1 else out
-
-    changed = _per_mapper(pairs, change)
-    return value if changed is None else changed.otherwise(value.cast("double"))
+    number = value.cast("double")
+    out = number
+    for name in conversions:
+        out = F.when(rule["convert"] == name, CONVERSIONS[name](number)).otherwise(out)
+    # a factor of one changes nothing
+    return out * rule["scale"]
 
 
 def _changes(col: MapperColumn) -> bool:
     return col.convert is not None or col.scale != 1
 
 
-def _reason(pairs: list[Pair], k: Column, c: Column, v: Column) -> Column:
+def _reason(types: list[str], rule: Column, k: Column, c: Column, v: Column) -> Column:
     """``k`` is the kind of the raw value, ``c`` its casts, ``v`` the final values."""
-    absent = k.isNull() | (k == "null")
-    required = [m.id for m, col in pairs if col.required]
 
-    def verdict(col: MapperColumn) -> Column:
-        value = v[col.type]
-        out = F.when(c[col.type].isNull(), "bad_value")
+    def verdict(t: str) -> Column:
+        value = v[t]
+        out = F.when(c[t].isNull(), "bad_value")
+        if t not in ("double", "int"):
+            return out
         # NaN is not below and not above anything
-        number = ~F.isnan(value) if col.type == "double" else F.lit(True)
-        if col.min is not None:
-            out = out.when(number & (value < F.lit(float(col.min))), "out_of_range")
-        if col.max is not None:
-            out = out.when(number & (value > F.lit(float(col.max))), "out_of_range")
-        if col.type == "int" and _changes(col):
+        number = ~F.isnan(value) if t == "double" else F.lit(True)
+        out = out.when(number & F.coalesce((value < rule["min"]) | (value > rule["max"]), value < rule["min"], value > rule["max"], F.lit(False)), "out_of_range")
+        if t == "int":
             # a whole-number column cannot hold a fraction
-            out = out.when((value != F.floor(value)) | (F.abs(value) >= 2.0**63), "bad_value")
+            out = out.when(rule["changes"] & ((value != F.floor(value)) | (F.abs(value) >= 2.0**63)), "bad_value")
         return out
 
-    by_rule: dict[tuple, list[Pair]] = {}
-    for mapper, col in pairs:
-        by_rule.setdefault((col.type, col.min, col.max, _changes(col)), []).append((mapper, col))
-    mapper_id = F.col("mapper_id")
-    out = F.when(~mapper_id.isin([m.id for m, _ in pairs]), _null("string"))
-    if required:
-        out = out.when(absent & mapper_id.isin(required), "missing_value")
-    out = out.when(absent, _null("string"))
-    for group in by_rule.values():
-        out = out.when(mapper_id.isin([m.id for m, _ in group]), verdict(group[0][1]))
+    absent = k.isNull() | (k == "null")
+    out = F.when(rule.isNull(), F.lit(None).cast("string")).when(absent, F.when(rule["required"], "missing_value"))
+    for t in types:
+        out = out.when(rule["type"] == t, verdict(t))
     return out
 
 

@@ -161,17 +161,22 @@ class Lake:
         """The records of all commits."""
         return self.spark.read.schema(self.stored_schema(AUDIT)).parquet(self.home(AUDIT))
 
-    def parts(self, name: str, days: Iterable[date] | None = None) -> DataFrame:
-        """(batch, day) of the folders that hold a table now, in all or some ``days``, with the time of the commit."""
-        self._check(name)
-        own = self.commits().filter(F.col(TABLE) == name)
-        written = own.select(F.col(BATCH).alias("batch"), F.explode("days").alias("day"), "committed_at")
-        replaced = own.select(F.explode("replaces").alias("r")).select("r.batch", "r.day")
-        live = written.join(replaced, ["batch", "day"], "left_anti")
-        return live if days is None else live.filter(F.col("day").isin(list(days)))
+    def parts(self) -> DataFrame:
+        """Table, batch and day of the folders that hold rows now, out of the records."""
+        commits = self.commits()
+        written = commits.select(TABLE, F.col(BATCH).alias("batch"), F.explode("days").alias("day"))
+        replaced = commits.select(TABLE, F.explode("replaces").alias("r")).select(TABLE, "r.batch", "r.day")
+        return written.join(replaced, [TABLE, "batch", "day"], "left_anti")
 
-    def live(self, name: str, days: Iterable[date] | None = None) -> list[Part]:
-        return sorted((r["batch"], r["day"]) for r in self.parts(name, days).select("batch", "day").collect())
+    def live(self, name: str, days: Iterable[date] | None = None, first: date | None = None, last: date | None = None) -> list[Part]:
+        """The folders of a table: all, those of some ``days``, or those of a range."""
+        self._check(name)
+        own = self.parts().filter(F.col(TABLE) == name)
+        if days is not None:
+            own = own.filter(F.col("day").isin(list(days)))
+        for limit, keep in ((first, F.col("day") >= F.lit(first)), (last, F.col("day") <= F.lit(last))):
+            own = own if limit is None else own.filter(keep)
+        return sorted((r["batch"], r["day"]) for r in own.select("batch", "day").collect())
 
     def open(self, parts: dict[str, Iterable[Part]]) -> DataFrame:
         """The stored rows of some folders of tables that share a home; no other folder is listed."""
@@ -187,15 +192,16 @@ class Lake:
         if name not in self.days:
             self._check(name)
             return self.spark.read.schema(self.stored_schema(name)).parquet(self.home(name)).select(*self.schemas[name].names, BATCH)
-        return self.open({name: self.live(name, days)}).select(*self._columns(name), self.days[name][0])
+        return self.rows(name, self.live(name, days))
+
+    def rows(self, name: str, parts: Iterable[Part]) -> DataFrame:
+        """The rows in some folders of a table."""
+        return self.open({name: parts}).select(*self._columns(name), self.days[name][0])
 
     def known(self, days: dict[str, list[date]], without: str) -> DataFrame:
         """Table, device and event time of the rows that silver tables hold in some days, but for those of a batch itself."""
-        commits = self.commits().filter(F.col(TABLE).isin(list(days)) & (F.col(BATCH) != without))
-        written = commits.select(TABLE, F.col(BATCH).alias("batch"), F.explode("days").alias("day"))
-        replaced = commits.select(TABLE, F.explode("replaces").alias("r")).select(TABLE, "r.batch", "r.day")
         wanted = {(n, d) for n, own in days.items() for d in own}
-        touched = written.filter(F.col("day").isin(sorted({d for _, d in wanted}))).join(replaced, [TABLE, "batch", "day"], "left_anti").collect()
+        touched = self.parts().filter(F.col(TABLE).isin(list(days)) & (F.col("batch") != without) & F.col("day").isin(sorted({d for _, d in wanted}))).collect()
         parts: dict[str, list[Part]] = {}
         for r in touched:
             if (r[TABLE], r["day"]) in wanted:
@@ -213,7 +219,7 @@ class Lake:
         """The rows that some commits added. Folders that have been removed since are passed over."""
         found = {(r[BATCH], d) for r in records.select(BATCH, "days").collect() for d in r["days"]}
         there = sorted((b, d) for b, d in found if files.exists(self.spark, f"{self.folder(name, b)}/{self.days[name][0]}={d}"))
-        return self.open({name: there}).select(*self._columns(name), self.days[name][0])
+        return self.rows(name, there)
 
     # --- writing -------------------------------------------------------------
 

@@ -17,8 +17,8 @@ TRIES = 3
 PAUSE = 0.2  # seconds before the second try, twice as long before the third
 
 
-def _store(root: str):
-    """The file system of a landing area and its folder there, within a task. Takes the addresses that Spark takes."""
+def store_of(root: str):
+    """The file system of a landing area or an object and its place there. Takes the addresses that Spark takes."""
     from pyarrow import fs
 
     local = re.sub(r"^file:/+", "/", root)
@@ -67,7 +67,7 @@ def objects_for(jobs: DataFrame, root: str) -> DataFrame:
     def read(batches):
         import pyarrow as pa
 
-        store, folder = _store(base)
+        store, folder = store_of(base)
         schema = pa.schema([("key", pa.string()), ("content", pa.binary()), ("fetch_error", pa.string())])
         for batch in batches:
             for key in batch.column(0).to_pylist():
@@ -86,7 +86,7 @@ def land(routed: DataFrame, root: str) -> None:
     base = root.rstrip("/")
 
     def write(rows) -> None:
-        store, folder = _store(base)
+        store, folder = store_of(base)
         made = set()
         for row in rows:
             if not _inside(row["s3_key"]):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lakegauge.mappers import Mapper, MapperColumn, Registry
 from lakegauge.operators.audit import added_records, layer_balance, reconcile
 from lakegauge.plans import adhoc
-from lakegauge.plans.publish import InvalidRequest, as_json, export_key, is_safe_tenant, publish, safe_tenant, slice_filter
+from lakegauge.plans.publish import InvalidRequest, as_json, export_key, first_rows, is_safe_tenant, publish, safe_tenant, slice_filter, take_slice
 from lakegauge.sources import files
 from lakegauge.sources.lake import AUDIT, BRONZE, DEAD, Lake, UnknownTable, list_tables
 from lakegauge.sources.queue import read_queue, stream_queue
@@ -307,16 +307,52 @@ def test_slice_filter(spark):
     assert times("demo", None, DAY) == ["10 00", "10 12", "11 00"] and times("demo", None, None, end) == ["09 23", "10 00", "10 12"]
 
 
-def test_publish_writes_one_document(spark, whole, tmp_path):
+def test_publish_writes_one_object(whole, tmp_path):
     out = publish(whole, str(tmp_path), "silver_air_quality", "t0", start=DAY, end=datetime(2026, 9, 12, tzinfo=UTC), limit=3, export_id="slice-0001")
     assert out["count"] == 3 and out["key"] == "t0/silver_air_quality/slice-0001.json"
-    document = json.loads(spark.read.text(str(tmp_path / out["key"]), wholetext=True).first()[0])
+    assert [p.name for p in (tmp_path / "t0/silver_air_quality").iterdir()] == ["slice-0001.json"] and (tmp_path / out["key"]).is_file()
+    document = json.loads((tmp_path / out["key"]).read_text())
     assert document["metadata"]["count"] == 3 and document["metadata"]["device_id"] is None and document["metadata"]["from"].startswith("2026-09-10")
     assert [r["event_time"] for r in document["rows"]] == ["2026-09-10 00:00:00+00:00"] * 3
     assert set(document["rows"][0]) == set(whole.schemas["silver.air_quality"].names)
+    assert [(r["job_id"], r["temperature"]) for r in out["rows"]] == [(r["job_id"], r["temperature"]) for r in document["rows"]]
+    again = publish(whole, str(tmp_path), "silver_air_quality", "t0", limit=1, export_id="slice-0001")
+    assert json.loads((tmp_path / again["key"]).read_text())["metadata"]["count"] == 1  # the object is replaced
     empty = publish(whole, str(tmp_path), "silver_air_quality", "nobody", export_id="none")
-    assert empty["count"] == 0
-    assert json.loads(spark.read.text(str(tmp_path / empty["key"]), wholetext=True).first()[0])["rows"] == []
+    assert empty["count"] == 0 and empty["rows"] == [] and json.loads((tmp_path / empty["key"]).read_text())["rows"] == []
+
+
+def test_a_failed_publish_leaves_no_object(spark, whole, tmp_path, monkeypatch):
+    from lakegauge.plans import publish as plans
+    from lakegauge.sources.objects import write_object
+
+    monkeypatch.setattr(plans, "slice_document", lambda rows, **_: rows.select(F.raise_error(F.lit("broken")).alias("value")))
+    with pytest.raises(Exception, match="broken"):
+        publish(whole, str(tmp_path), "silver_air_quality", "t0", export_id="bad")
+    with pytest.raises(Exception, match="one row"):
+        write_object(spark.createDataFrame([("a",), ("b",)], "value string"), str(tmp_path / "two.json"))
+    assert [p for p in tmp_path.rglob("*") if p.is_file()] == []
+
+
+@pytest.mark.parametrize("start,end,limit", [(None, None, 3), (None, None, 1000), (DAY, None, 11), (datetime(2026, 9, 11, 1, tzinfo=UTC), datetime(2026, 9, 12, 1, tzinfo=UTC), 9), (None, datetime(2026, 9, 11), 1000)])
+def test_a_slice_opens_the_days_it_needs(whole, monkeypatch, start, end, limit):
+    opened, usual = [], Lake.rows
+
+    def rows(lake, name, parts):
+        parts = list(parts)
+        opened.extend(d.day for _, d in parts)
+        return usual(lake, name, parts)
+
+    monkeypatch.setattr(Lake, "rows", rows)
+    keep = slice_filter("t0", None, start, end)
+    got = first_rows(whole, "silver.air_quality", keep, start, end, limit)
+    read = list(opened)
+    want = take_slice(whole.read("silver.air_quality"), limit, keep).select(*whole.schemas["silver.air_quality"].names).collect()
+    assert got == want
+    wanted = {(start or DAY).day, *(r["event_time"].day for r in want)}
+    if limit == 3:
+        assert read == [10]  # full after the first day
+    assert len(read) == len(set(read)) and wanted >= {min(read)} and set(read) <= set(range((start or DAY).day, (end.day if end else 12) + 1))
 
 
 def test_publish_refuses_in_order(whole, tmp_path):
