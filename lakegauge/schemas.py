@@ -48,8 +48,8 @@ COMMITS = (
     .add("committed_at", T.TimestampType(), nullable=False)
 )
 
-# What a batch added to one table, by day and tenant, in a form that can be merged; devices are an HLL sketch.
-SUMMARIES = _schema("table_name string, tenant_id string, n_rows bigint, first_time timestamp, last_time timestamp")
+# What a batch added to one table, by day, tenant and mapper, in a form that can be merged; devices are an HLL sketch.
+SUMMARIES = _schema("table_name string, tenant_id string, mapper_id string, mapper_version int, n_rows bigint, first_time timestamp, last_time timestamp")
 SUMMARIES = SUMMARIES.add("day", T.DateType()).add("devices", T.BinaryType())
 
 STAGES = ("bronze", "silver", "publish")

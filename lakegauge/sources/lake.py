@@ -182,7 +182,7 @@ class Lake:
         """The stored rows of some folders of tables that share a home; no other folder is listed."""
         name = next(iter(parts))
         schema = self.stored_schema(name)
-        folders = [f"{self.folder(n, batch)}/{self.days[n][0]}={day}" for n, own in parts.items() for batch, day in own]
+        folders = [f"{self.folder(n, batch)}/{self.days[n][0]}={day}" for n, own in parts.items() for batch, day in own]  # of one home
         if not folders:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", self.home(name)).parquet(*folders)
@@ -245,7 +245,8 @@ class Lake:
         day, time = self.days[name]
         rows = self.spark.read.schema(self.stored_schema(name)).option("basePath", self.home(name)).parquet(path)
         table = F.col(TABLE) if silver else F.lit(name)
-        return rows.groupBy(table.alias(TABLE), F.col(day).alias("day"), "tenant_id").agg(
+        mapper = [F.col(c) if silver else F.lit(None).cast(SUMMARIES[c].dataType).alias(c) for c in ("mapper_id", "mapper_version")]
+        return rows.groupBy(table.alias(TABLE), F.col(day).alias("day"), "tenant_id", *mapper).agg(
             F.count(F.lit(1)).alias("n_rows"), F.min(time).alias("first_time"), F.max(time).alias("last_time"), F.hll_sketch_agg("device_id").alias("devices")
         )
 
