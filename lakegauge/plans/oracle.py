@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakegauge.plans.queries import AIR, ENERGY, SLICE, TYPED_PAYLOAD, WATER
+from lakegauge.plans.queries import AIR, ENERGY, NEWER_POWER, SLICE, TYPED_PAYLOAD, WATER
 from lakegauge.plans.readings import (
     ATTEMPT, BAD_BYTES, FAILED_FETCH, FAULTS, IS_REFERENCE, LANDING_KEY, MISSING_OBJECT, READINGS_SQL, WRONG_DIGEST,
 )
@@ -88,6 +88,20 @@ def _reason(mapper: str) -> str:
     return f"CASE {' '.join(checks)} END"
 
 
+_NAMES = {A: ("temperature", "humidity"), B: ("temperature", "humidity"), C: ("power", "energy"), E: ("power", "energy", "current"), W: ("flow", "volume")}
+
+
+def _detail(mapper: str) -> str:
+    """The first column that fails: its name, path and value, and the bounds if these are the reason. Numbers lose closing zeros."""
+    checks = []
+    for (path, value, low, high), name in zip(_COLUMNS[mapper], _NAMES[mapper], strict=True):
+        raw = f"CASE WHEN json_type(js, '$.{path}') = 'DOUBLE' THEN rtrim(rtrim(json_extract(js, '$.{path}')::VARCHAR, '0'), '.') ELSE json_extract(js, '$.{path}')::VARCHAR END"
+        shown = f"'{name} <- {path}=' || {raw}"
+        limits = f"{value} < {low}" + (f" OR {value} > {high}" if high is not None else "")
+        checks.append(f"WHEN {bad(path)} THEN {shown} WHEN {limits} THEN {shown} || ' not within [{low}, {'' if high is None else high}]'")
+    return f"CASE {' '.join(checks)} END"
+
+
 def _value(**by_mapper: int) -> str:
     names = {"a": A, "b": B, "c": C, "e": E, "w": W}
     cases = " ".join(f"WHEN '{names[k]}' THEN {_COLUMNS[names[k]][n][1]}" for k, n in by_mapper.items())
@@ -104,6 +118,7 @@ mapped AS (SELECT job_id, trace_id, tenant_id, device_id AS bronze_device_id, re
   CASE WHEN mapper_id IN ('{A}', '{B}') THEN '{AIR}' WHEN mapper_id IN ('{C}', '{E}') THEN '{ENERGY}' WHEN mapper_id = '{W}' THEN '{WATER}' END AS target_table,
   CASE WHEN mapper_id IS NULL THEN 'unresolved' WHEN js IS NULL THEN 'bad_payload' ELSE
     CASE mapper_id {' '.join(f"WHEN '{m}' THEN {_reason(m)}" for m in _COLUMNS)} END END AS reason,
+  CASE mapper_id {' '.join(f"WHEN '{m}' THEN {_detail(m)}" for m in _COLUMNS)} END AS detail,
   {_value(a=0, b=0)} AS temperature, {_value(a=1, b=1)} AS humidity,
   {_value(c=0, e=0)} AS power, {_value(c=1, e=1)} AS energy, {_value(e=2)} AS current,
   {_value(w=0)} AS flow, {_value(w=1)} AS volume
@@ -148,9 +163,9 @@ bronze AS (SELECT t.*, coalesce(h.schema_fp, {EMPTY}) AS schema_fp FROM timed t
 # What each broken descriptor is reported as; the first eleven groups of 41 are broken.
 _REPORTED = {
     1: "received_at_naive", 2: "stage_unknown", 3: "attempt_invalid", 4: "tenant_id_missing", 5: "pipeline_hint_type", 6: "extra_field",
-    8: "mode_unknown", 9: "sha256_missing", 10: "size_bytes_invalid", 11: "not_an_object", 12: "not_an_object",
+    8: "mode_unknown", 9: "sha256_missing", 10: "size_bytes_invalid", 13: "attempt_invalid", 11: "not_an_object", 12: "not_an_object",
 }
-assert len(FAULTS) == 10
+assert len(FAULTS) == 11
 _BYTES = f"(strlen(payload) + CASE WHEN {BAD_BYTES} THEN 1 ELSE 0 END)"
 _VIOLATION = (
     f"CASE event_id % 41 {' '.join(f'WHEN {n} THEN {v!r}' for n, v in _REPORTED.items())} "
@@ -169,6 +184,10 @@ _FAILED_PAYLOAD = "reason = 'sha256_mismatch' AND NOT bad_bytes"
 _OUTCOMES = f"""{_JOBS},
 outcomes AS (SELECT *, {BAD_BYTES} AS bad_bytes FROM jobs WHERE violations IS NULL)"""
 
+_BRONZE_DETAIL = f"""CASE reason WHEN 'fetch_failed' THEN 'fetch timed out' WHEN 'object_missing' THEN 'no object at ' || landing_key
+  WHEN 'sha256_mismatch' THEN 'got ' || sha256(encode(payload) || CASE WHEN bad_bytes THEN unhex('FF') ELSE ''::BLOB END) || ', expected ' || repeat('0', 64)
+  ELSE 'payload bytes are not UTF-8' END"""
+
 _TYPED = f"""WITH source AS (SELECT *, CAST(CAST(round(value * 100) AS BIGINT) AS STRING) AS c, CAST(round(value * 100) AS BIGINT) AS cents FROM events),
 made AS (SELECT *, {TYPED_PAYLOAD} AS payload FROM source),
 cast_values AS (SELECT event_id, lpad(CAST(event_id AS STRING), 26, '0') AS job_id,
@@ -191,9 +210,10 @@ _SILVER_JOBS = " UNION ALL ".join(f"SELECT job_id FROM ({kept(t)})" for t in _ME
 _LAYERS = f"""WITH {MAPPED}, silver AS ({_SILVER_JOBS}),
 layers AS (SELECT m.job_id, bronze_device_id AS device_id, CASE WHEN reason IS NOT NULL THEN 'dead_letter' WHEN s.job_id IS NOT NULL THEN 'silver' ELSE 'duplicate' END AS outcome
   FROM mapped m LEFT JOIN silver s USING (job_id))"""
-# The streamed readings are those whose bytes could be had; bad ones never reach bronze.
-_STREAMED = f"""{MAPPED},
-arrived AS (SELECT * FROM mapped WHERE NOT ({MISSING_OBJECT} OR {FAILED_FETCH} OR {WRONG_DIGEST} OR {BAD_BYTES}))"""
+# The streamed readings are those of usable entries whose bytes could be had.
+_STREAMED = f"""{MAPPED}, {_OUTCOMES.replace(READINGS + ',', '')},
+arrived AS (SELECT m.* FROM mapped m JOIN outcomes o USING (job_id) WHERE o.reason IS NULL)"""
+_AGAIN = "reason = 'fetch_failed' AND attempt < 3"
 
 
 def _text_of(expr: str) -> str:
@@ -201,6 +221,20 @@ def _text_of(expr: str) -> str:
     return f"(strftime({expr}, '%Y-%m-%d %H:%M:%S') || CASE WHEN strftime({expr}, '%f') <> '000000' THEN '.' || strftime({expr}, '%f') ELSE '' END || '+00:00')"
 
 
+_TOO_MUCH = f"mapper_id = '{E}' AND coalesce(power, 0) > {NEWER_POWER}"
+_BASE = "https://example.org/sensors"
+# name -> what it measures, and in which unit
+_ABOUT = {
+    "temperature": ("qudt:Temperature", "unit:DEG_C"), "humidity": ("qudt:RelativeHumidity", "unit:PERCENT_RH"), "power": ("qudt:Power", "unit:W"),
+    "energy": ("qudt:Energy", "unit:W-HR"), "current": ("qudt:current", "unit:Amper"), "flow": ("qudt:VolumeFlowRate", "unit:L-PER-MIN"), "volume": ("qudt:Volume", "unit:L"),
+}
+_LONG = "long AS (" + " UNION ALL ".join(
+    f"SELECT job_id, tenant_id, device_id, event_time, '{t.replace('silver_', 'silver.')}' AS table_name, '{c}' AS name, {c} AS value, '{_ABOUT[c][0]}' AS property_iri, '{_ABOUT[c][1]}' AS unit FROM ({kept(t)}) WHERE {c} IS NOT NULL"
+    for t, names in _MEASURES.items()
+    for c in names
+) + ")"
+_ALL_KEPT = "all_kept AS (" + " UNION ALL ".join(f"SELECT * FROM ({kept(t)})" for t in _MEASURES) + ")"
+
 _KIND_PATHS = ("ts", "time", "temp", "hum", "tags", "measurements", "measurements.rh", "current", "meter", "e")
 
 ORACLE: dict[str, str] = {
@@ -223,21 +257,21 @@ ORACLE: dict[str, str] = {
           CASE WHEN NOT ({_NO_JOB}) AND event_id % 41 <> 4 THEN tenant_id END AS tenant_id,
           CASE WHEN NOT ({_NO_JOB}) THEN CASE event_id % 41 WHEN 8 THEN 'smoke-signal' ELSE mode END END AS mode,
           CASE WHEN NOT ({_NO_JOB}) AND event_id % 41 <> 10 THEN CASE event_id % 41 WHEN 7 THEN 999999 ELSE {_BYTES} END END AS size_bytes,
-          CASE WHEN {_NO_JOB} THEN 1 WHEN event_id % 41 = 3 THEN 0 ELSE attempt END AS attempt,
+          CASE WHEN {_NO_JOB} THEN 1 WHEN event_id % 41 = 3 THEN 0 WHEN event_id % 41 <> 13 THEN attempt END AS attempt,
           CASE WHEN NOT ({_NO_JOB}) THEN CASE event_id % 41 WHEN 1 THEN '2026-10-02T10:00:00.000000' ELSE {stamp('received_at')} END END AS received_at FROM jobs""",
     "landing_fetch": f"""WITH {_JOBS} SELECT job_id, mode, CASE WHEN is_reference THEN landing_key END AS s3_key,
           CASE WHEN coalesce(reason, '') NOT IN ('fetch_failed', 'object_missing') THEN {_BYTES} END AS content_bytes,
           CASE WHEN coalesce(reason, '') NOT IN ('fetch_failed', 'object_missing') THEN sha256(encode(payload) || CASE WHEN {BAD_BYTES} THEN unhex('FF') ELSE ''::BLOB END) END AS content_sha256,
-          CASE WHEN reason = 'fetch_failed' THEN 'fetch timed out' END AS fetch_error FROM jobs""",
-    "integrity_check": f"""WITH {_JOBS} SELECT job_id, mode, reason, CASE WHEN coalesce(reason, '') NOT IN ('fetch_failed', 'object_missing') AND NOT {BAD_BYTES} THEN strlen(payload) END AS payload_bytes FROM jobs""",
+          CASE WHEN reason = 'fetch_failed' THEN 'fetch timed out' END AS fetch_error FROM jobs WHERE violations IS NULL""",
+    "integrity_check": f"""WITH {_JOBS} SELECT job_id, mode, reason, CASE WHEN coalesce(reason, '') NOT IN ('fetch_failed', 'object_missing') AND NOT {BAD_BYTES} THEN strlen(payload) END AS payload_bytes FROM jobs WHERE violations IS NULL""",
     "bronze_rows": f"""{_BRONZE}, {_OUTCOMES.replace(READINGS + ',', '')}
         SELECT b.job_id, b.trace_id, {stamp('b.received_at')} AS received_at, {stamp('b.bronze_time')} AS event_time, b.tenant_id, b.device_id, 'http' AS source,
           b.pipeline_hint, b.schema_fp, b.payload FROM bronze b JOIN outcomes o USING (job_id) WHERE o.reason IS NULL""",
     "bronze_dead_letters": f"""WITH {PARSED}, {shapes('parsed', 'payload', 'valid')}, {_OUTCOMES.replace(READINGS + ',', '')}
-        SELECT o.job_id, trace_id, 'bronze' AS stage, reason, tenant_id, device_id, attempt, CASE WHEN is_reference THEN landing_key END AS s3_key,
+        SELECT o.job_id, trace_id, 'bronze' AS stage, reason, {_BRONZE_DETAIL} AS detail, tenant_id, device_id, attempt, CASE WHEN is_reference THEN landing_key END AS s3_key,
           CASE WHEN {_FAILED_PAYLOAD} THEN h.schema_fp END AS schema_fp, CASE WHEN {_FAILED_PAYLOAD} THEN sha256(payload) END AS payload_sha256
         FROM outcomes o LEFT JOIN hashed h USING (job_id) WHERE reason IS NOT NULL AND NOT (reason = 'fetch_failed' AND attempt < 3)
-        UNION ALL SELECT entry_id, '', 'bronze', 'unparseable_descriptor', '', '', 1, NULL, NULL, NULL FROM jobs WHERE violations IS NOT NULL""",
+        UNION ALL SELECT entry_id, '', 'bronze', 'unparseable_descriptor', 'descriptor failed validation: ' || violations, '', '', 1, NULL, NULL, NULL FROM jobs WHERE violations IS NOT NULL""",
     "bounded_retry": f"""WITH {_OUTCOMES} SELECT job_id || '/' || (attempt + 1) AS entry_id, job_id, landing_key AS s3_key,
           CASE event_id % 41 WHEN 7 THEN 999999 ELSE {_BYTES} END AS size_bytes, attempt + 1 AS attempt, NULL::VARCHAR AS violations
         FROM outcomes WHERE reason = 'fetch_failed' AND attempt < 3""",
@@ -259,7 +293,8 @@ ORACLE: dict[str, str] = {
     "mapped_verdicts": f"WITH {MAPPED} SELECT job_id, mapper_id, mapper_version, target_table, reason FROM mapped",
     **{target: f"WITH {MAPPED} {silver(target)}" for target in _MEASURES},
     "silver_dead_letters": f"""{_BRONZE.replace('WITH ' + TIMED, 'WITH ' + MAPPED)}
-        SELECT m.job_id, 'silver' AS stage, m.reason, m.tenant_id, m.bronze_device_id AS device_id, 1 AS attempt, b.schema_fp, {stamp('m.received_at')} AS received_at
+        SELECT m.job_id, 'silver' AS stage, m.reason, CASE m.reason WHEN 'unresolved' THEN 'nobody reads this shape (' || b.schema_fp || '), hinted at ' || coalesce(b.pipeline_hint, 'nobody')
+          WHEN 'bad_payload' THEN 'expected a JSON object' ELSE m.detail END AS detail, m.tenant_id, m.bronze_device_id AS device_id, 1 AS attempt, b.schema_fp, {stamp('m.received_at')} AS received_at
         FROM mapped m JOIN bronze b USING (job_id) WHERE m.reason IS NOT NULL""",
     "typed_casts": _TYPED,
     "dedup_against_existing": f"""WITH {MAPPED}, air AS (SELECT * FROM mapped WHERE target_table = '{AIR}' AND reason IS NULL),
@@ -276,8 +311,10 @@ ORACLE: dict[str, str] = {
     "publish_slice": f"""WITH {MAPPED}, {_SLICE} SELECT job_id, trace_id, tenant_id, device_id, {stamp('event_time')} AS event_time, {stamp('received_at')} AS received_at, mapper_id, mapper_version, humidity, temperature FROM slice""",
     "publish_metadata": f"""WITH {MAPPED}, {_SLICE} SELECT '{AIR}' AS "table", 't1' AS tenant_id, NULL::VARCHAR AS device_id, '{_START}+00:00' AS "from", '{_END}+00:00' AS "to",
         {SLICE['limit']} AS "limit", count(*) AS count, 't1/{AIR}/slice-0001.json' AS key FROM slice""",
-    "publish_rows_as_json": f"""WITH {MAPPED} SELECT job_id, '{{"job_id":"' || job_id || '","tenant_id":"' || tenant_id || '","device_id":"' || device_id || '","event_time":"' || {_text_of('event_time')} ||
-        '","received_at":"' || {_text_of('received_at')} || '","mapper_version":1,"other_mapper":null}}' AS json, tenant_id || '/{WATER}/' || job_id || '.json' AS key FROM ({kept(WATER)})""",
+    "publish_rows_as_json": f"""WITH {MAPPED} SELECT tenant_id || '/{WATER}/' || job_id || '.json' AS key,
+        'job_id,trace_id,tenant_id,device_id,event_time,received_at,mapper_id,mapper_version,flow,volume,nothing' AS fields, NULL::VARCHAR AS nothing,
+        job_id, trace_id, tenant_id, device_id, {_text_of('event_time')} AS event_time, {_text_of('received_at')} AS received_at, mapper_id,
+        mapper_version::DOUBLE AS mapper_version, flow, volume FROM ({kept(WATER)})""",
     "publish_tenant_check": """SELECT c_custkey, tenant_id, regexp_full_match(tenant_id, '[A-Za-z0-9_-]+') AS usable FROM
         (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN '../' ELSE '' END || CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE replace(c_name, '#', '-') END AS tenant_id FROM customer)""",
     "adhoc_device_day": f"""WITH {MAPPED} SELECT device_id, {stamp('event_time')} AS event_time, temperature, humidity FROM ({kept(AIR)})
@@ -295,11 +332,30 @@ ORACLE: dict[str, str] = {
     "all_null_rows": f"WITH {MAPPED} SELECT mapper_id, count(*) AS silver_rows, count(*) FILTER (flow IS NULL AND volume IS NULL) AS all_null_rows FROM ({kept(WATER)}) GROUP BY ALL",
     "stream_silver_air_quality": f"""WITH {_STREAMED} SELECT job_id, trace_id, tenant_id, device_id, {stamp('event_time')} AS event_time, {stamp('received_at')} AS received_at,
         mapper_id, mapper_version, humidity, temperature FROM ({kept(AIR, source='arrived')})""",
-    "stream_commits": f"""WITH {_STREAMED}, {_OUTCOMES.replace(READINGS + ',', '')},
-        failed AS (SELECT * FROM jobs WHERE reason IS NOT NULL)
+    "stream_commits": f"""WITH {_STREAMED},
+        failed AS (SELECT entry_id FROM outcomes WHERE reason IS NOT NULL AND NOT ({_AGAIN}) UNION ALL SELECT entry_id FROM jobs WHERE violations IS NOT NULL)
         SELECT 'bronze' AS stage, 'bronze.raw' AS table_name, (SELECT count(*) FROM readings) AS rows_in, count(*) AS added_records, 0 AS duplicates FROM arrived
         UNION ALL SELECT 'bronze', 'bronze.dead_letter', (SELECT count(*) FROM readings), count(*), 0 FROM failed
+        UNION ALL SELECT 'bronze', 'retries', NULL, count(*), NULL FROM outcomes WHERE {_AGAIN}
         UNION ALL SELECT 'silver', 'bronze.dead_letter', (SELECT count(*) FROM arrived), count(*), 0 FROM arrived WHERE reason IS NOT NULL
         UNION ALL SELECT 'silver', replace(target_table, 'silver_', 'silver.'), (SELECT count(*) FROM arrived), count(DISTINCT (device_id, event_time)), count(*) - count(DISTINCT (device_id, event_time))
           FROM arrived WHERE reason IS NULL GROUP BY target_table""",
+    "reprocess_versions": f"""WITH {MAPPED} SELECT job_id, device_id, {stamp('event_time')} AS event_time, mapper_id, CASE WHEN mapper_id = '{E}' THEN 2 ELSE 1 END AS mapper_version, power,
+        CASE WHEN mapper_id = '{E}' THEN energy * 1000::DOUBLE ELSE energy END AS energy, current FROM ({kept(ENERGY)}) WHERE NOT ({_TOO_MUCH})""",
+    "reprocess_counts": f"""WITH {MAPPED}, old AS (SELECT * FROM ({kept(ENERGY)}) WHERE mapper_id = '{E}')
+        SELECT count(*) AS n_old, count(*) FILTER (NOT ({_TOO_MUCH})) AS n_written, count(*) FILTER ({_TOO_MUCH}) AS n_rejected, 0::BIGINT AS n_duplicates,
+          count(*) FILTER ({_TOO_MUCH}) + (SELECT count(*) FROM mapped WHERE reason = 'out_of_range' AND detail LIKE 'power <- power=%') AS n_letters FROM old""",
+    "dataset_observations": f"WITH {MAPPED}, {_LONG} SELECT job_id, tenant_id, device_id, {stamp('event_time')} AS event_time, table_name, name, value, property_iri, unit FROM long",
+    "dataset_lines": f"""WITH {MAPPED}, {_LONG},
+        said AS (SELECT '<{_BASE}/observation/' || job_id || '/' || name || '>' AS s, '<{_BASE}/device/' || tenant_id || '/' || replace(device_id, '+', '%2B') || '>' AS device,
+          '"' || strftime(event_time, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime(event_time, '%f') <> '000000' THEN '.' || strftime(event_time, '%f') ELSE '' END || 'Z"^^<http://www.w3.org/2001/XMLSchema#dateTime>' AS moment, * FROM long)
+        SELECT 'rdf:type' AS predicate, s || ' <http://www.w3.org/1999/02/22-rdf-syntax-ns#type> <http://www.w3.org/ns/sosa/Observation> .' AS line FROM said
+        UNION ALL SELECT 'sosa:madeBySensor', s || ' <http://www.w3.org/ns/sosa/madeBySensor> ' || device || ' .' FROM said
+        UNION ALL SELECT 'sosa:resultTime', s || ' <http://www.w3.org/ns/sosa/resultTime> ' || moment || ' .' FROM said
+        UNION ALL SELECT 'sosa:observedProperty', s || ' <http://www.w3.org/ns/sosa/observedProperty> <http://qudt.org/vocab/quantitykind/' || substr(property_iri, 6) || '> .' FROM said
+        UNION ALL SELECT 'schema:unit', s || ' <http://qudt.org/schema/qudt/unit> <http://qudt.org/vocab/unit/' || substr(unit, 6) || '> .' FROM said""",
+    "dataset_record": f"""WITH {MAPPED}, {_ALL_KEPT} SELECT replace(target_table, 'silver_', 'silver.') AS table_name, tenant_id, count(*) AS n_rows, {stamp('min(event_time)')} AS first_time, {stamp('max(event_time)')} AS last_time,
+        count(DISTINCT event_time::DATE) AS n_days, round(count(DISTINCT device_id), -1)::BIGINT AS n_devices FROM all_kept GROUP BY target_table, tenant_id""",
+    "dataset_version": f"""WITH {MAPPED}, {_LONG} SELECT unnest(['<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>', '<http://www.w3.org/ns/sosa/madeBySensor>', '<http://www.w3.org/ns/sosa/resultTime>',
+        '<http://www.w3.org/ns/sosa/observedProperty>', '<http://www.w3.org/ns/sosa/hasSimpleResult>', '<http://qudt.org/schema/qudt/unit>']) AS predicate, count(*) AS n, count(*) AS n_distinct FROM long""",
 }

@@ -7,6 +7,7 @@ the same questions in plain SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,12 +17,12 @@ from lakegauge.functions.fingerprint import EMPTY_SHAPE, with_fingerprint
 from lakegauge.functions.strict_json import is_object_text, kind, path_value, with_json
 from lakegauge.mappers import Mapper, MapperColumn, Registry
 from lakegauge.operators import admission, audit, bronze, dedup, descriptor, redrive, resolve, transform
-from lakegauge.plans import adhoc, publish
+from lakegauge.plans import adhoc, dataset, publish, reprocess
 from lakegauge.plans.readings import landing_area, queue_entries, readings
 from lakegauge.session import configure, shared_dir
 from lakegauge.sources import landing
-from lakegauge.sources.lake import AUDIT, BRONZE, Lake
-from lakegauge.sources.queue import stream_queue
+from lakegauge.sources.lake import AUDIT, BRONZE, DEAD, Lake
+from lakegauge.sources.queue import read_queue, stream_queue
 from lakegauge.streaming.stages import BronzeStage, SilverStage, catch_up
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,7 @@ QUERIES: dict[str, Query] = {}
 
 AIR, ENERGY, WATER = "silver_air_quality", "silver_energy", "silver_water"
 SLICE_START, SLICE_END = datetime(2024, 1, 5, tzinfo=UTC), datetime(2024, 1, 20, tzinfo=UTC)
+NEWER_POWER = 60.0  # the most that the second version of a mapper takes
 SLICE = {"tenant_id": "t1", "device_id": None, "start": SLICE_START, "end": SLICE_END, "limit": 200}
 
 
@@ -147,7 +149,7 @@ def _landed(spark, sf_dir, jobs):
 
 
 def _fetched(spark, sf_dir):
-    jobs = descriptor.parse_jobs(queue_entries(spark, sf_dir, with_faults=False)).filter("violations IS NULL")
+    jobs = descriptor.parse_jobs(queue_entries(spark, sf_dir)).filter("violations IS NULL")
     return bronze.attach_payload(jobs, landing_area(spark, sf_dir))
 
 
@@ -157,7 +159,7 @@ def _outcomes(spark, sf_dir):
 
 @query
 def landing_fetch(spark, sf_dir):
-    jobs = descriptor.parse_jobs(queue_entries(spark, sf_dir, with_faults=False)).filter("violations IS NULL")
+    jobs = descriptor.parse_jobs(queue_entries(spark, sf_dir)).filter("violations IS NULL")
     return bronze.attach_payload(jobs, _landed(spark, sf_dir, jobs)).select(
         "job_id", "mode", "s3_key", F.octet_length("content").cast("bigint").alias("content_bytes"),
         F.sha2("content", 256).alias("content_sha256"), "fetch_error",
@@ -180,7 +182,7 @@ def bronze_rows(spark, sf_dir):
 def bronze_dead_letters(spark, sf_dir):
     letters = bronze.dead_letters(_outcomes(spark, sf_dir))
     return letters.select(
-        "job_id", "trace_id", "stage", "reason", "tenant_id", "device_id", "attempt", "s3_key", "schema_fp",
+        "job_id", "trace_id", "stage", "reason", "detail", "tenant_id", "device_id", "attempt", "s3_key", "schema_fp",
         # the text of an unusable descriptor is checked by the tests
         F.when(F.col("reason") != "unparseable_descriptor", F.sha2("payload", 256)).alias("payload_sha256"),
     )
@@ -275,7 +277,7 @@ def silver_dead_letters(spark, sf_dir):
     letters = transform.silver_dead_letters(
         transform.map_readings(bronze_table(spark, sf_dir), Registry.shipped())
     )
-    return letters.select("job_id", "stage", "reason", "tenant_id", "device_id", "attempt", "schema_fp", text("received_at").alias("received_at"))
+    return letters.select("job_id", "stage", "reason", "detail", "tenant_id", "device_id", "attempt", "schema_fp", text("received_at").alias("received_at"))
 
 
 def _typed_registry() -> Registry:
@@ -385,10 +387,16 @@ def publish_metadata(spark, sf_dir):
 
 @query
 def publish_rows_as_json(spark, sf_dir):
-    """Rows as exported. Measurements are left out: engines spell doubles differently."""
-    rows = silver_table(spark, sf_dir, WATER)
-    rows = rows.select("job_id", "tenant_id", "device_id", "event_time", "received_at", "mapper_version", F.nullif("mapper_id", F.lit("water-meter")).alias("other_mapper"))
-    return rows.select("job_id", publish.as_json(rows).alias("json"), publish.export_key(F.col("tenant_id"), WATER, F.col("job_id")).alias("key"))
+    """Rows as exported, read back from their JSON; measurements as numbers, as engines spell doubles differently."""
+    rows = silver_table(spark, sf_dir, WATER).withColumn("nothing", F.lit(None).cast("string"))
+    exported = rows.select("job_id", publish.as_json(rows).alias("json"), publish.export_key(F.col("tenant_id"), WATER, F.col("job_id")).alias("key"))
+    numbers = ("mapper_version", "flow", "volume")
+    fields = F.json_object_keys("json")
+    return exported.select(
+        "key", F.array_join(fields, ",").alias("fields"), F.get_json_object("json", "$.nothing").alias("nothing"),
+        *[F.get_json_object("json", f"$.{c}").alias(c) for c in rows.columns if c not in (*numbers, "nothing")],
+        *[F.get_json_object("json", f"$.{c}").cast("double").alias(c) for c in numbers],
+    )
 
 
 @query
@@ -458,31 +466,112 @@ def all_null_rows(spark, sf_dir):
 # --- streams ---------------------------------------------------------------
 
 
-def _streamed(spark, sf_dir) -> Lake:
-    """The whole way as streams: queue files -> bronze -> silver, until caught up."""
+def _streamed(spark, sf_dir) -> tuple[Lake, DataFrame]:
+    """The whole way as streams, faults in the queue and all: queue files -> bronze -> silver, until caught up; and the retries."""
     home = shared_dir(spark, "streamed")
     lake = Lake(spark, f"{home}/lake").ensure(register=False)
-    queue_entries(spark, sf_dir, with_faults=False).write.parquet(f"{home}/queue")
+    queue_entries(spark, sf_dir).write.parquet(f"{home}/queue")
 
     class Bronze(BronzeStage):
         def objects(self, jobs):
             return _landed(spark, sf_dir, jobs)
 
-    catch_up(Bronze(lake), stream_queue(spark, f"{home}/queue"), f"{home}/bronze-checkpoint")
+    catch_up(Bronze(lake, retry_path=f"{home}/retries"), stream_queue(spark, f"{home}/queue"), f"{home}/bronze-checkpoint")
     catch_up(SilverStage(lake), lake.stream_commits(BRONZE), f"{home}/silver-checkpoint")
-    return lake
+    return lake, read_queue(spark, f"{home}/retries")
 
 
 @query
 def stream_silver_air_quality(spark, sf_dir):
-    lake = _streamed(spark, sf_dir)
+    lake, _ = _streamed(spark, sf_dir)
     rows = lake.read("silver.air_quality").select(*lake.schemas["silver.air_quality"].names)
     return with_times_as_text(rows, "event_time", "received_at")
 
 
 @query
 def stream_commits(spark, sf_dir):
-    commits = _streamed(spark, sf_dir).read(AUDIT)
+    """Every entry of the queue is a row of bronze, a letter or a retry; every row of bronze one of silver, a letter or a duplicate."""
+    lake, again = _streamed(spark, sf_dir)
+    commits = lake.read(AUDIT)
     added = audit.added_records(commits)
     skipped = commits.groupBy("stage", "table_name").agg(F.sum("duplicates").alias("duplicates"), F.max("rows_in").alias("rows_in"))
-    return added.groupBy("stage", "table_name").agg(F.sum("added_records").alias("added_records")).join(skipped, ["stage", "table_name"])
+    tables = added.groupBy("stage", "table_name").agg(F.sum("added_records").alias("added_records")).join(skipped, ["stage", "table_name"])
+    no_number = F.lit(None).cast("bigint")
+    retried = again.agg(F.count("*").alias("added_records")).select(F.lit("bronze").alias("stage"), F.lit("retries").alias("table_name"), "added_records", no_number.alias("duplicates"), no_number.alias("rows_in"))
+    return tables.unionByName(retried)
+
+
+# --- a lake of two batches: versions of mappers, observations, the dataset record ---
+
+
+def _filled(spark, sf_dir) -> Lake:
+    """All readings in bronze, and in silver in two batches: those before and after the middle of the month."""
+    lake = Lake(spark, f"{shared_dir(spark, 'filled')}/lake").ensure(register=False)
+    lake.write(BRONZE, bronze_table(spark, sf_dir), "filled")
+    lake.commit("filled", "bronze", 0, 0, [BRONZE])
+    rows = lake.read(BRONZE)
+    for n, part in enumerate(("received_at < TIMESTAMP '2024-01-16'", "received_at >= TIMESTAMP '2024-01-16'")):
+        SilverStage(lake).run(rows.filter(part), n)
+    return lake
+
+
+def _newer() -> Registry:
+    """The shipped mappers, of which ``iot-energy`` has a second version: energy in thousandths, less power allowed."""
+    changes = {"power": {"max": NEWER_POWER}, "energy": {"scale": 1000}}
+    mappers = [
+        replace(m, version=2, columns=tuple(replace(c, **changes.get(c.name, {})) for c in m.columns)) if m.id == "iot-energy" else m
+        for m in Registry.shipped()
+    ]
+    return Registry(mappers)
+
+
+@query
+def reprocess_versions(spark, sf_dir):
+    """The energy table after rows of an older mapper version were made anew."""
+    lake = _filled(spark, sf_dir)
+    lake = Lake(spark, lake.root, _newer())
+    reprocess.reprocess(lake)
+    rows = lake.read("silver.energy").select("job_id", "device_id", "event_time", "mapper_id", "mapper_version", "power", "energy", "current")
+    return with_times_as_text(rows, "event_time")
+
+
+@query
+def reprocess_counts(spark, sf_dir):
+    """What a run over older versions did, and the letters that it left."""
+    lake = _filled(spark, sf_dir)
+    lake = Lake(spark, lake.root, _newer())
+    done = reprocess.reprocess(lake)
+    letters = lake.read(DEAD).filter("stage = 'silver' AND reason = 'out_of_range' AND detail LIKE 'power <- power=%'")
+    columns = [F.lit(done[k]).cast("bigint").alias(f"n_{k}") for k in ("old", "written", "rejected", "duplicates")]
+    return letters.agg(F.count_distinct("job_id").alias("n_letters")).select(*columns, "n_letters")
+
+
+@query
+def dataset_observations(spark, sf_dir):
+    """Every measured value with what it measures and in which unit."""
+    long = dataset.observations(_filled(spark, sf_dir))
+    return long.select("job_id", "tenant_id", "device_id", text("event_time").alias("event_time"), "table_name", "name", F.col("value").cast("double").alias("value"), "property_iri", "unit")
+
+
+@query
+def dataset_lines(spark, sf_dir):
+    """The same as N-Triples; values are left to the tests, as engines spell doubles differently."""
+    lines = dataset.triples(dataset.observations(_filled(spark, sf_dir)), "https://example.org/sensors")
+    return lines.filter("predicate <> 'sosa:hasSimpleResult'").select("predicate", "line")
+
+
+@query
+def dataset_record(spark, sf_dir):
+    """Rows, time covered and devices per table and tenant, merged from what the commits left behind."""
+    record = dataset.dataset_record(_filled(spark, sf_dir))
+    # a sketch of as few devices is exact but for rounding
+    return with_times_as_text(record, "first_time", "last_time").withColumn("n_devices", F.round(F.col("n_devices"), -1))
+
+
+@query
+def dataset_version(spark, sf_dir):
+    """A published version as its readers get it: statements by predicate."""
+    lake, home = _filled(spark, sf_dir), shared_dir(spark, "published")
+    dataset.publish_dataset(lake, home, "readings", "https://example.org/sensors")
+    lines, _ = dataset.read_dataset(spark, home, "readings")
+    return lines.groupBy(F.split("value", " ")[1].alias("predicate")).agg(F.count("*").alias("n"), F.count_distinct("value").alias("n_distinct"))

@@ -141,10 +141,11 @@ FAULTS = (
     ("event_id % 41 = 8", "mode", "'\"smoke-signal\"'"),
     ("event_id % 41 = 9", "sha256", "NULL"),
     ("event_id % 41 = 10", "size_bytes", "'\"12\"'"),
+    ("event_id % 41 = 13", "attempt", "'3000000000'"),
 )
 
 
-def queue_entries(spark: SparkSession, sf_dir: str, with_faults: bool = True) -> DataFrame:
+def queue_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings as descriptors: ``entry_id`` and ``job`` text."""
     rows = readings(spark, sf_dir)
     reference = F.expr(IS_REFERENCE)
@@ -155,10 +156,9 @@ def queue_entries(spark: SparkSession, sf_dir: str, with_faults: bool = True) ->
 
     def fault(name: str, usual):
         out = usual
-        if with_faults:
-            for condition, field, value in FAULTS:
-                if field == name:
-                    out = F.when(F.expr(condition), F.expr(f"CAST({value} AS STRING)")).otherwise(out)
+        for condition, field, value in FAULTS:
+            if field == name:
+                out = F.when(F.expr(condition), F.expr(f"CAST({value} AS STRING)")).otherwise(out)
         return out
 
     def member(name: str, value):
@@ -189,10 +189,9 @@ def queue_entries(spark: SparkSession, sf_dir: str, with_faults: bool = True) ->
         member("undeclared", fault("undeclared", no_text)),
     )
     entry = F.concat(F.lit("{"), job, F.lit("}"))
-    if with_faults:
-        entry = F.when(F.expr("event_id % 41 = 11"), F.concat(entry, F.lit(" tail"))).when(
-            F.expr("event_id % 41 = 12"), no_text
-        ).otherwise(entry)
+    entry = F.when(F.expr("event_id % 41 = 11"), F.concat(entry, F.lit(" tail"))).when(
+        F.expr("event_id % 41 = 12"), no_text
+    ).otherwise(entry)
     return rows.select(F.concat(F.lit("entry-"), F.col("event_id").cast("string")).alias("entry_id"), entry.alias("job"))
 
 
