@@ -51,6 +51,13 @@ def with_times_as_text(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: text(n) for n in names})
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Worked out once: what several branches read is not worked out for each of them."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The readings as rows of bronze.raw."""
     rows = readings(spark, sf_dir).withColumns(
@@ -148,18 +155,23 @@ def _landed(spark, sf_dir, jobs):
     return landing.objects_for(jobs, root).unionByName(area.filter("fetch_error IS NOT NULL"))
 
 
-def _fetched(spark, sf_dir):
-    jobs = descriptor.parse_jobs(queue_entries(spark, sf_dir)).filter("violations IS NULL")
-    return bronze.attach_payload(jobs, landing_area(spark, sf_dir))
+def _jobs(spark, sf_dir) -> DataFrame:
+    """Parsed entries, as the bronze stage stores them."""
+    parsed = descriptor.parse_jobs(queue_entries(spark, sf_dir))
+    return stored(parsed.withColumn("job", F.when(F.col("violations").isNotNull(), F.col("job"))), "jobs")
+
+
+def _checked(spark, sf_dir, jobs: DataFrame) -> DataFrame:
+    return bronze.check_integrity(bronze.attach_payload(jobs.filter("violations IS NULL"), landing_area(spark, sf_dir)))
 
 
 def _outcomes(spark, sf_dir):
-    return bronze.bronze_outcomes(queue_entries(spark, sf_dir), landing_area(spark, sf_dir))
+    return bronze.bronze_outcomes(queue_entries(spark, sf_dir), landing_area(spark, sf_dir), parsed=_jobs(spark, sf_dir))
 
 
 @query
 def landing_fetch(spark, sf_dir):
-    jobs = descriptor.parse_jobs(queue_entries(spark, sf_dir)).filter("violations IS NULL")
+    jobs = _jobs(spark, sf_dir).filter("violations IS NULL")
     return bronze.attach_payload(jobs, _landed(spark, sf_dir, jobs)).select(
         "job_id", "mode", "s3_key", F.octet_length("content").cast("bigint").alias("content_bytes"),
         F.sha2("content", 256).alias("content_sha256"), "fetch_error",
@@ -168,7 +180,7 @@ def landing_fetch(spark, sf_dir):
 
 @query
 def integrity_check(spark, sf_dir):
-    checked = bronze.check_integrity(_fetched(spark, sf_dir))
+    checked = _checked(spark, sf_dir, _jobs(spark, sf_dir))
     return checked.select("job_id", "mode", "reason", F.octet_length("payload").cast("bigint").alias("payload_bytes"))
 
 
@@ -197,8 +209,8 @@ def bounded_retry(spark, sf_dir):
 @query
 def redrive_dead_letters(spark, sf_dir):
     """Dead letters of a fetch, rebuilt from the jobs that failed."""
-    jobs = descriptor.parse_jobs(queue_entries(spark, sf_dir))
-    checked = bronze.check_integrity(bronze.attach_payload(jobs.filter("violations IS NULL"), landing_area(spark, sf_dir)))
+    jobs = _jobs(spark, sf_dir)
+    checked = _checked(spark, sf_dir, jobs)
     letters = checked.filter("reason IS NOT NULL").select("job_id", "reason", "attempt")
     again = descriptor.parse_jobs(redrive.redrive(letters, jobs))
     return again.select("entry_id", "job_id", "mode", "s3_key", "attempt", "violations")
@@ -338,7 +350,7 @@ def typed_casts(spark, sf_dir):
 
 def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Accepted air readings that arrived before and after the middle of the month."""
-    rows = transform.silver_rows(mapped(spark, sf_dir), Registry.shipped(), AIR)
+    rows = stored(transform.silver_rows(mapped(spark, sf_dir), Registry.shipped(), AIR), "air")
     middle = F.lit("2024-01-16 00:00:00").cast("timestamp")
     return rows.filter(F.col("received_at") < middle), rows.filter(F.col("received_at") >= middle)
 
@@ -443,9 +455,10 @@ def adhoc_shapes(spark, sf_dir):
 
 
 def _layers(spark, sf_dir) -> DataFrame:
-    rows = mapped(spark, sf_dir)
+    columns = ("job_id", F.col("bronze_device_id"), "device_id", "event_time", "received_at", "target_table", "reason")
+    rows = stored(mapped(spark, sf_dir).select(*columns), "mapped")
     kept = dedup.one_per_key(rows.filter("reason IS NULL"), ("target_table", *dedup.KEYS))
-    return audit.reconcile(readings(spark, sf_dir), kept, rows.filter("reason IS NOT NULL"))
+    return audit.reconcile(rows.select("job_id", F.col("bronze_device_id").alias("device_id")), kept, rows.filter("reason IS NOT NULL"))
 
 
 @query
