@@ -10,7 +10,7 @@ The trees of all languages are kept in one sorted table per order, over the stri
 of bytes that any of them has seen, so one walk over a text's bytes yields the exact
 code lengths of all languages at once, whatever bytes their scripts use. The counts
 come from a bounded sample: of each language the ``SAMPLE`` documents that come first
-in the order of a hash.
+in the order of a hash, and of each of these at most ``SAMPLE_CHARS`` characters.
 
 Defined results: texts that are null or hold no letter are ``und`` with score 0;
 so is every text if nothing can be learned. Null languages teach nothing; ties go
@@ -20,11 +20,11 @@ in the texts' probabilities, at equal odds before.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,9 +33,9 @@ from lakegauge.llm.common import stored, text_batches
 
 ORDER = 3
 SAMPLE = 400
-SAMPLE_BYTES = 1 << 20
+SAMPLE_CHARS = 1 << 20
 ROOM = 4  # a cut of the hash ahead of the choice leaves this many samples, however many rows there are
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # numbers that are written as signs or letters, such as ½ and Ⅷ, are none
 _START = 32  # what stands in front of a text
 
 
@@ -142,9 +142,9 @@ def _cut(uses: dict[str, int], sample: int) -> Column:
 
 
 def learn(docs: DataFrame, text: str = "text", language: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Trees:
-    """Trees from a bounded sample of labelled texts: per language the ``sample`` first by hash, of at most ``SAMPLE_BYTES`` bytes each."""
-    known = docs.where(F.col(language).isNotNull() & F.col(text).isNotNull() & (F.octet_length(text) <= SAMPLE_BYTES))
-    known = known.select(F.col(language).alias("language"), F.xxhash64(key).alias("place"), F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
+    """Trees from a bounded sample of labelled texts: per language the ``sample`` first by hash, of whose text at most ``SAMPLE_CHARS`` characters teach."""
+    known = docs.where(F.col(language).isNotNull() & F.col(text).isNotNull())
+    known = known.select(F.col(language).alias("language"), F.xxhash64(key).alias("place"), F.col(key).cast("string").alias("key"), F.substring(text, 1, SAMPLE_CHARS).alias("text"))
     # the keys are chosen first; only the chosen texts reach the driver
     keys = stored(known.drop("text"), "language-keys")
     uses = keys.groupBy("language").agg(F.approx_count_distinct("key").alias("n")).collect()

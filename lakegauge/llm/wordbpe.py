@@ -11,6 +11,7 @@ The merges of all new fragments of a batch run side by side on arrays.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,7 +19,7 @@ from functools import lru_cache
 import numpy as np
 import regex
 
-from lakegauge.llm.common import ragged
+from lakegauge.llm.common import LONG_WORD, digest, ragged
 
 _PLAIN = 0x250  # letters below need no composing and have one small letter each; others are left to the tokenizer
 _SPACE, _LETTER, _NUMBER, _SIGN, _ODD = range(5)
@@ -78,8 +79,10 @@ class WordBpe:
                 of[c] = _LETTER if regex.match(r"\p{L}", one) else _NUMBER if regex.match(r"\p{N}", one) else _SIGN
         self.kinds = np.array([of[c] for c in range(_PLAIN + 1)], np.uint8)
         self.lower = np.array([ord(chr(c).lower()) if of[c] != _ODD else c for c in range(_PLAIN + 1)], np.uint32)
-        self.salt = np.random.default_rng(7).integers(1, 2**63, _PLAIN + 1, np.uint64)
-        self.powers = _powers(256)
+        # words are known by a hash; its key is drawn anew by each process, and no text can be made to fit it
+        self.secret = os.urandom(16)
+        self.salt = np.random.default_rng(list(self.secret)).integers(1, 2**63, _PLAIN + 1, np.uint64)
+        self.powers = _powers(LONG_WORD + 1)
 
     def _forced_cuts(self, vocabulary: dict[str, int], end: str, byte: dict[str, int]) -> None:
         """``cut[e, a, b]``: no token holds byte a before b, with b at the end of a word if e."""
@@ -178,9 +181,10 @@ class WordBpe:
         lengths = np.diff(np.append(first, len(body)))
         letters = self.lower[low[body]]
         place = np.arange(len(body)) - np.repeat(first, lengths)
-        if lengths.max() > len(self.powers):
-            self.powers = _powers(int(lengths.max()) * 2)
-        keys = np.add.reduceat(self.salt[letters] * self.powers[place], first)
+        keys = np.add.reduceat(self.salt[letters] * self.powers[np.minimum(place, LONG_WORD)], first)
+        # the sum of a long word can be led to one value whatever the salt, by patterns of its letters
+        for i in np.flatnonzero(lengths > LONG_WORD).tolist():
+            keys[i] = digest(letters[first[i] : first[i] + lengths[i]].tobytes(), self.secret)
         keys ^= keys >> np.uint64(29)
         keys *= np.uint64(0xBF58476D1CE4E5B9)
         keys |= np.uint64(1)

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lakegauge.llm import bpe, jaccard, langid, neighbours, packing, quality, repair, rules, secrets, suffixes
-from lakegauge.llm.common import components
+from lakegauge.llm.common import components, word_hashes
 from lakegauge.llm.wordbpe import WordBpe
 
 SF = "/root/testdata/sf0.001"
@@ -47,6 +47,20 @@ def test_ids_are_the_tokenizers(vocabulary):
     assert own.decode([49407, 0, 320]) == plain.decode([49407, 0, 320], skip_special_tokens=False)
 
 
+def thue_morse(n, a="a", b="q"):
+    """A pattern of two letters that polynomial hashes modulo a power of two cannot tell from its complement."""
+    return "".join((a, b)[i.bit_count() & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [16, 32, 33, 64, 1024, 4096])
+def test_words_made_to_collide_are_told_apart(vocabulary, n):
+    texts = [thue_morse(n), thue_morse(n, "q", "a"), thue_morse(n) + " " + thue_morse(n, "q", "a")] * 2
+    flat, counts = WordBpe(vocabulary).encode(texts)
+    assert [p.tolist() for p in np.split(flat, np.cumsum(counts)[:-1])] == [e.ids for e in Tokenizer.from_file(vocabulary).encode_batch(texts, add_special_tokens=False)]
+    hashes, words = word_hashes(texts[:2] + [f"x {texts[0]} y", texts[1]])
+    assert words.tolist() == [1, 1, 3, 1] and hashes[0] == hashes[3] and hashes[1] == hashes[5] and hashes[0] != hashes[1]
+
+
 def test_forgetting_changes_nothing(vocabulary, docs):
     texts = [r["text"] for r in docs.select("text").collect()]
     small, large = WordBpe(vocabulary, known=50), WordBpe(vocabulary)
@@ -147,6 +161,19 @@ def test_language(docs, edge, nothing):
     assert {r["lang_pred"] for r in langid.predict(edge, langid.learn(nothing)).collect()} == {"und"}
 
 
+def test_only_letters_make_a_language(spark, docs):
+    rows = spark.createDataFrame([(1, "½ ② Ⅷ ² 12 _"), (2, "½ a"), (3, "漢"), (4, "é")], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(rows, langid.learn(docs)).collect()}
+    assert got[1] == "und" and "und" not in (got[2], got[3], got[4])
+
+
+def test_a_language_with_long_texts_only_is_learned(spark):
+    rows = [(i, "kala bala mala " * 100_000, "long") for i in range(2)] + [(10 + i, "the quick brown fox jumps", "short") for i in range(5)]
+    trees = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    got = langid.predict(spark.createDataFrame([(1, "mala kala"), (2, "the fox")], "doc_id long, text string"), trees).orderBy("doc_id").collect()
+    assert [r["lang_pred"] for r in got] == ["long", "short"]
+
+
 def test_code_lengths_are_those_of_the_definition():
     trees = langid.count_trees({"x": ["abab"], "y": ["cc"]})
 
