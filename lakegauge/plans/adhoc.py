@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame
 
 # What the reports select.
@@ -20,7 +23,17 @@ SHAPES = "SELECT device_id, event_time, schema_fp FROM t"
 
 
 def query(table: DataFrame, sql: str = FIRST_ROWS, **params: str) -> DataFrame:
-    """Run Spark SQL with ``table`` as ``t``; ``:name`` takes its value from ``params``."""
+    """Run Spark SQL with ``table`` as ``t``; ``:name`` takes its value from ``params``.
+
+    The name holds for this query alone: others may run at the same time.
+    """
     spark = table.sparkSession
-    table.createOrReplaceTempView("t")
-    return spark.sql(sql, args=params or None)
+    view = f"t_{uuid.uuid4().hex}"
+    table.createOrReplaceTempView(view)
+    try:
+        own = f"t AS (SELECT * FROM {view})"
+        begin = re.match(r"\s*WITH\b(\s+RECURSIVE\b)?", sql, re.IGNORECASE)
+        text = f"{begin[0]} {own}, {sql[begin.end() :]}" if begin else f"WITH {own} {sql}"
+        return spark.sql(text, args=params or None)
+    finally:
+        spark.catalog.dropTempView(view)

@@ -194,8 +194,8 @@ cast_values AS (SELECT event_id, lpad(CAST(event_id AS STRING), 26, '0') AS job_
   CASE event_id % 8 WHEN 0 THEN cents WHEN 1 THEN cents WHEN 2 THEN cents WHEN 3 THEN cents * 10 WHEN 4 THEN 1 WHEN 7 THEN -cents END AS n,
   CASE event_id % 5 WHEN 0 THEN c WHEN 1 THEN c WHEN 2 THEN c || '.5' WHEN 3 THEN 'False' END AS s,
   CASE event_id % 7 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN false WHEN 3 THEN cents <> 0 WHEN 4 THEN false WHEN 5 THEN true ELSE true END AS b,
-  CASE event_id % 6 WHEN 0 THEN '2026-09-10T06:14:22.000000' WHEN 1 THEN '2026-09-10T00:00:00.000000' WHEN 2 THEN '2026-09-10T00:00:00.000000'
-    WHEN 4 THEN '2026-09-10T08:14:00.000000' WHEN 5 THEN '2026-09-11T00:00:00.000000' END AS t,
+  CASE event_id % 6 WHEN 0 THEN '2026-11-19T15:26:41.000000' WHEN 1 THEN '2026-11-19T00:00:00.000000' WHEN 2 THEN '2026-11-19T00:00:00.000000'
+    WHEN 4 THEN '2026-11-19T17:26:00.000000' WHEN 5 THEN '2026-11-20T00:00:00.000000' END AS t,
   CASE event_id % 9 WHEN 2 THEN 1000::DOUBLE WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 3 THEN NULL ELSE cents::DOUBLE END AS d FROM made),
 judged AS (SELECT *, CASE WHEN event_id % 8 = 6 THEN 'bad_value' WHEN n < 0 OR n > 30000 THEN 'out_of_range'
   WHEN event_id % 9 IN (0, 1) THEN 'missing_value' WHEN event_id % 9 = 3 THEN 'bad_value' END AS reason FROM cast_values)
@@ -258,7 +258,7 @@ ORACLE: dict[str, str] = {
           CASE WHEN NOT ({_NO_JOB}) THEN CASE event_id % 41 WHEN 8 THEN 'smoke-signal' ELSE mode END END AS mode,
           CASE WHEN NOT ({_NO_JOB}) AND event_id % 41 <> 10 THEN CASE event_id % 41 WHEN 7 THEN 999999 ELSE {_BYTES} END END AS size_bytes,
           CASE WHEN {_NO_JOB} THEN 1 WHEN event_id % 41 = 3 THEN 0 WHEN event_id % 41 <> 13 THEN attempt END AS attempt,
-          CASE WHEN NOT ({_NO_JOB}) THEN CASE event_id % 41 WHEN 1 THEN '2026-10-02T10:00:00.000000' ELSE {stamp('received_at')} END END AS received_at FROM jobs""",
+          CASE WHEN NOT ({_NO_JOB}) THEN CASE event_id % 41 WHEN 1 THEN '2026-12-06T10:00:00.000000' ELSE {stamp('received_at')} END END AS received_at FROM jobs""",
     "landing_fetch": f"""WITH {_JOBS} SELECT job_id, mode, CASE WHEN is_reference THEN landing_key END AS s3_key,
           CASE WHEN coalesce(reason, '') NOT IN ('fetch_failed', 'object_missing') THEN {_BYTES} END AS content_bytes,
           CASE WHEN coalesce(reason, '') NOT IN ('fetch_failed', 'object_missing') THEN sha256(encode(payload) || CASE WHEN {BAD_BYTES} THEN unhex('FF') ELSE ''::BLOB END) END AS content_sha256,

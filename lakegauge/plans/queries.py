@@ -312,8 +312,8 @@ TYPED_PAYLOAD = """
     WHEN 4 THEN 'true' WHEN 5 THEN 'null' WHEN 6 THEN '"' || c || '.5"' ELSE '-' || c END ||
 ', "s": ' || CASE event_id % 5 WHEN 0 THEN '"' || c || '"' WHEN 1 THEN c WHEN 2 THEN c || '.50' WHEN 3 THEN 'false' ELSE 'null' END ||
 ', "b": ' || CASE event_id % 7 WHEN 0 THEN '"false"' WHEN 1 THEN '""' WHEN 2 THEN '0' WHEN 3 THEN c WHEN 4 THEN '[]' WHEN 5 THEN '{"k": 0}' ELSE 'true' END ||
-', "t": ' || CASE event_id % 6 WHEN 0 THEN '"2026-09-10T08:14:22+02:00"' WHEN 1 THEN '20260910' WHEN 2 THEN '"2026-09-10"' WHEN 3 THEN 'null'
-    WHEN 4 THEN '"20260910T0814"' ELSE '"2026-09-10T24:00:00"' END ||
+', "t": ' || CASE event_id % 6 WHEN 0 THEN '"2026-11-19T17:26:41+02:00"' WHEN 1 THEN '20261119' WHEN 2 THEN '"2026-11-19"' WHEN 3 THEN 'null'
+    WHEN 4 THEN '"20261119T1726"' ELSE '"2026-11-19T24:00:00"' END ||
 CASE event_id % 9 WHEN 0 THEN '' WHEN 1 THEN ', "d": null' WHEN 2 THEN ', "d": "1e3"' WHEN 3 THEN ', "d": [1]' ELSE ', "d": ' || c END || '}}'
 """
 

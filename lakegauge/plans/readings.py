@@ -23,11 +23,11 @@ _USER = "CAST(user_id AS STRING)"
 
 # A payload time: mostly ISO with Z, sometimes another form, sometimes unusable.
 _TIME = """(CASE event_id % 13
-  WHEN 0 THEN '1759395600'
+  WHEN 0 THEN '1803456789'
   WHEN 1 THEN 'null'
   WHEN 2 THEN '"' || {hour} || '+02:00"'
   WHEN 3 THEN '"' || {hour} || '"'
-  WHEN 4 THEN '"not-a-date"'
+  WHEN 4 THEN '"any-day-now"'
   WHEN 5 THEN '"' || {basic_hour} || '"'
   ELSE '"' || {hour} || 'Z"' END)"""
 
@@ -41,7 +41,7 @@ _HUM = "(CASE WHEN event_id % 10 = 0 THEN '1.50' ELSE '0.' || lpad(CAST(event_id
 _TAGS = """(CASE event_id % 5
   WHEN 0 THEN ', "tags": []'
   WHEN 1 THEN ', "tags": [1, "x", null, {"q": true, "r": [{"s": 1}, {"s": "t"}]}, [2.5], [3]]'
-  ELSE ', "battery": 87' END)"""
+  ELSE ', "charge": 64' END)"""
 
 _METER = f"""(CASE event_id % 7
   WHEN 0 THEN '' WHEN 1 THEN '"meter": 21.0, ' ELSE '"meter": "meter-' || CAST(user_id % 50 AS STRING) || '", ' END)"""
@@ -52,7 +52,7 @@ _CLICK = (
 )
 _VIEW = (
     f"""'{{"time": ' || {_TIME} || ', "measurements": {{"temperature_f": ' || {_VALUE} || ', "rh": ' || """
-    f"""CAST(event_id % 100 AS STRING) || '.5}}, "firmware": "2.3.1"' || {_TAGS} || '}}'"""
+    f"""CAST(event_id % 100 AS STRING) || '.5}}, "build": "r7-b"' || {_TAGS} || '}}'"""
 )
 _PURCHASE = (
     f"""'{{"timestamp": ' || {_TIME} || ', "power": ' || {_VALUE} || ', "energy": ' || CAST({_CENTS} AS STRING) || """
@@ -127,11 +127,11 @@ MISSING_OBJECT = f"({IS_REFERENCE} AND event_id % 3 = 1)"
 FAILED_FETCH = f"({IS_REFERENCE} AND event_id % 9 = 2)"
 BAD_BYTES = f"({IS_REFERENCE} AND event_id % 11 = 6)"
 ATTEMPT = "CAST(1 + event_id % 4 AS INT)"
-LANDING_KEY = "('2026/09/22/' || job_id || '.json')"
+LANDING_KEY = "('2026/11/27/' || job_id || '.json')"
 
 # (condition, name of the broken field, its JSON value or NULL to leave it out)
 FAULTS = (
-    ("event_id % 41 = 1", "received_at", "'\"2026-10-02T10:00:00\"'"),
+    ("event_id % 41 = 1", "received_at", "'\"2026-12-06T10:00:00\"'"),
     ("event_id % 41 = 2", "stage", "'\"gold\"'"),
     ("event_id % 41 = 3", "attempt", "'0'"),
     ("event_id % 41 = 4", "tenant_id", "NULL"),

@@ -15,6 +15,12 @@ def exists(spark: SparkSession, location: str) -> bool:
     return fs.exists(path)
 
 
+def names(spark: SparkSession, location: str) -> set[str]:
+    """What lies in a folder; nothing if there is none."""
+    fs, path = _path(spark, location)
+    return {f.getPath().getName() for f in fs.listStatus(path)} if fs.exists(path) else set()
+
+
 def make_dir(spark: SparkSession, location: str) -> None:
     fs, path = _path(spark, location)
     fs.mkdirs(path)

@@ -217,9 +217,11 @@ class Lake:
 
     def committed_rows(self, name: str, records: DataFrame) -> DataFrame:
         """The rows that some commits added. Folders that have been removed since are passed over."""
-        found = {(r[BATCH], d) for r in records.select(BATCH, "days").collect() for d in r["days"]}
-        there = sorted((b, d) for b, d in found if files.exists(self.spark, f"{self.folder(name, b)}/{self.days[name][0]}={d}"))
-        return self.rows(name, there)
+        day, there = self.days[name][0], set()
+        for r in records.select(BATCH, "days").collect():
+            held = files.names(self.spark, self.folder(name, r[BATCH]))
+            there |= {(r[BATCH], d) for d in r["days"] if f"{day}={d}" in held}
+        return self.rows(name, sorted(there))
 
     # --- writing -------------------------------------------------------------
 
