@@ -11,8 +11,9 @@ again the first arrival stays. Rows that were skipped as duplicates earlier are
 rows that such a run does not see, so run it between them; none of their rows is lost otherwise, but a key may then
 be there twice.
 
-Defined results: a mapper that is not in the registry any more leaves its rows alone; a job that bronze no longer has
-keeps its old rows; without old rows nothing is written and no batch recorded.
+Defined results: a mapper that is not in the registry any more leaves its rows alone, and so does a table that no mapper
+fills any more; a job that bronze no longer has keeps its old rows; rows that are carried over keep columns that are not
+declared any more; without old rows nothing is written and no batch recorded.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ def is_old(registry: Registry) -> Column:
 def old_parts(lake: Lake) -> DataFrame:
     """Table, batch and day of the folders with rows of older versions, and how many."""
     summaries = lake.read(SUMMARY).filter(is_old(lake.registry)).withColumnRenamed(BATCH, "batch")
-    found = summaries.groupBy(TABLE, "batch", "day").agg(F.sum("n_rows").alias("n_old"))
+    found = summaries.filter(F.col(TABLE).isin(list(lake.targets))).groupBy(TABLE, "batch", "day").agg(F.sum("n_rows").alias("n_old"))
     return found.join(lake.parts(), [TABLE, "batch", "day"], "left_semi")
 
 
@@ -78,8 +79,8 @@ class Reprocess:
 
     def _run(self, batch: str, number: int, parts: dict[str, list]) -> dict[str, int]:
         lake, registry = self.lake, self.lake.registry
-        # the folders may hold columns that no mapper fills any more; these rows are carried over in today's layout
-        held = lake.open(parts).withColumn("old", is_old(registry))
+        # rows that stay take along what they have, columns that no mapper fills any more included
+        held = lake.open(parts, all_columns=True).drop(BATCH, "event_time_day").withColumn("old", is_old(registry))
         old = held.filter("old").select("job_id", "received_at")
         arrived = [r["day"] for r in days_of(old, time="received_at").collect()]
         bronze = one_per_key(lake.read(BRONZE, arrived).join(old, "job_id", "left_semi"), ("job_id",))
@@ -92,8 +93,7 @@ class Reprocess:
         sizes = {r["t"]: r["n"] for r in mapped.groupBy(F.when(F.col("reason").isNull(), F.col("target_table")).alias("t")).agg(F.count("*").alias("n")).collect()}
         rejected = sizes.pop(None, 0)
         fresh = not_known(one_per_key(accepted, self.keys, self.keep), self._current(accepted, parts, kept), sum(sizes.values()), self.keys)
-        columns = [TABLE, *fresh.columns[1:]]
-        lake.write_silver(kept.select(*columns).unionByName(fresh.select(*columns)), batch)
+        lake.write_silver(kept.unionByName(fresh, allowMissingColumns=True), batch)
         lake.write(DEAD, dead_letters(silver_dead_letters(mapped.filter("reason IS NOT NULL")), retried=False), batch)
 
         n_kept = {r[TABLE]: r["n"] for r in kept.groupBy(TABLE).agg(F.count("*").alias("n")).collect()}

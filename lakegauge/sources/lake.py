@@ -178,14 +178,22 @@ class Lake:
             own = own if limit is None else own.filter(keep)
         return sorted((r["batch"], r["day"]) for r in own.select("batch", "day").collect())
 
-    def open(self, parts: dict[str, Iterable[Part]]) -> DataFrame:
-        """The stored rows of some folders of tables that share a home; no other folder is listed."""
+    def open(self, parts: dict[str, Iterable[Part]], all_columns: bool = False) -> DataFrame:
+        """The stored rows of some folders of tables that share a home; no other folder is listed.
+
+        ``all_columns`` also gives those that were stored once and that no mapper fills any more.
+        """
         name = next(iter(parts))
         schema = self.stored_schema(name)
         folders = [f"{self.folder(n, batch)}/{self.days[n][0]}={day}" for n, own in parts.items() for batch, day in own]  # of one home
         if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", self.home(name)).parquet(*folders)
+        reader = self.spark.read.option("basePath", self.home(name))
+        if all_columns:
+            known = set(schema.names)
+            for field in reader.option("mergeSchema", "true").parquet(*folders).schema:
+                schema = schema if field.name in known else schema.add(field)
+        return reader.schema(schema).parquet(*folders)
 
     def read(self, name: str, days: Iterable[date] | None = None) -> DataFrame:
         """The recorded rows of a table, or of some ``days`` of it. Columns added after a file was written are NULL there."""
@@ -235,8 +243,8 @@ class Lake:
         rows.write.mode("overwrite").partitionBy(day).parquet(f"{self.home(name)}/{BATCH}={batch}")
 
     def write_silver(self, rows: DataFrame, batch: str) -> None:
-        """Rows of all silver tables at once: ``table_name``, the envelope and the stored columns."""
-        rows = rows.select(*SILVER_ENVELOPE.names, *self.silver_columns, TABLE).withColumn("event_time_day", F.to_date("event_time"))
+        """Rows of all silver tables at once: ``table_name``, the envelope and the stored columns, all of which are kept."""
+        rows = rows.withColumn("event_time_day", F.to_date("event_time"))
         rows.hint("rebalance", TABLE, "event_time_day").write.mode("overwrite").partitionBy(TABLE, "event_time_day").parquet(f"{self.root}/silver/{BATCH}={batch}")
 
     def is_done(self, batch: str) -> bool:

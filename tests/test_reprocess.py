@@ -6,7 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from lakegauge.mappers import Registry
+from lakegauge.mappers import Mapper, MapperColumn, Registry
 from lakegauge.mappers.shipped import SHIPPED
 from lakegauge.plans.reprocess import old_parts, reprocess
 from lakegauge.sources.lake import AUDIT, BRONZE, DEAD, Lake
@@ -119,3 +119,18 @@ def test_a_job_that_bronze_has_lost_keeps_its_rows(spark, lake):
     reprocess(newer)
     assert [x for x in rows(newer) if x[0] == "J0000"] == before and before
     assert newer.read(DEAD).filter(F.col("job_id") == "J0000").count() == 0
+
+
+def test_rows_that_stay_keep_columns_that_are_gone(spark, tmp_path):
+    def mapper(i, version, *names):
+        return Mapper(i, version, "silver_room", tuple(names[:1]), tuple(MapperColumn(n, n, "double", "unit:ONE", "q:x") for n in names))
+
+    both = Registry([mapper("a", 1, "x"), mapper("b", 1, "y", "z")])
+    lake = Lake(spark, str(tmp_path), both).ensure(register=False)
+    jobs = [reading(n, **p) | {"job_id": f"j{n}", "device_id": f"d{n}"} for n, p in ((0, {"x": 1}), (12, {"y": 2, "z": 3}))]
+    SilverStage(lake).run(arrive(lake, jobs, 0), 0)
+    newer = Lake(spark, lake.root, Registry([mapper("a", 2, "x", "w")]))
+    assert reprocess(newer) == {"old": 1, "written": 1, "rejected": 0, "duplicates": 0, "kept": 1}
+    got = {r["job_id"]: (r["mapper_version"], r["x"], r["y"], r["z"]) for r in lake.read("silver.room").collect()}
+    assert got == {"j0": (2, 1.0, None, None), "j12": (1, None, 2.0, 3.0)}
+    assert {r["job_id"]: r["w"] for r in newer.read("silver.room").collect()} == {"j0": None, "j12": None}
