@@ -5,7 +5,10 @@ never be merged over, so the place between them is a certain cut: white space
 always is one, the ends of the tokenizer's words are, and so is every byte pair
 inside a word that no token holds. The fragments between the cuts are encoded
 independently, each distinct piece of text once per task, and concatenated.
-The merges of all new fragments of a batch run side by side on arrays.
+The merges of all new fragments of a batch run side by side on arrays. This
+holds for every script: the tokenizer's own normalizer composes letters and makes
+them small where they are beyond Latin ones, its special tokens are single marks,
+and words, cuts and merges are worked out here.
 """
 
 from __future__ import annotations
@@ -17,15 +20,18 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import regex
 
 from lakegauge.llm.common import LONG_WORD, digest, ragged
 
-_PLAIN = 0x250  # letters below need no composing and have one small letter each; others are left to the tokenizer
-_SPACE, _LETTER, _NUMBER, _SIGN, _ODD = range(5)
+_PLAIN = 0x250  # letters below need no composing and, but for a few, have one small letter each
+_SPACE, _LETTER, _NUMBER, _SIGN, _SPECIAL, _UNKNOWN = range(6)
+_MARK = 0xD800  # stands for the first special token; no text holds a surrogate
 _SLOTS = 21  # remembered words: 2^21 slots of 12 bytes; a newer word takes an older one's slot
-_BLANKS = "\t-\r \x85\xa0  -     　"
-_BLANK = re.compile(f"[{_BLANKS}]+")
+_BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# where a block may end: at a blank, or between a sign and a letter, which no word spans and no composing crosses
+_CERTAIN = re.compile(f"(?=[{_BLANKS}])|(?<=[.,;:!?。、，；：！？])(?=[A-Za-z\u0400-\u04ff\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3])")
+# fixed value: the pattern of the tokenizer's words
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NONE = np.int32(2**31 - 1)
 
 
@@ -41,10 +47,11 @@ def byte_letters() -> list[str]:
 
 
 class WordBpe:
-    """Encodes and decodes with a tokenizer file; ``known`` bounds the pieces remembered."""
+    """Encodes and decodes with a tokenizer file; at most ``known`` pieces and four ids for each are remembered beyond a block."""
 
     def __init__(self, path: str, known: int = 2_000_000) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Regex, Tokenizer
+        from tokenizers.pre_tokenizers import Split
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -52,11 +59,14 @@ class WordBpe:
         kinds = [n["type"] for n in spec["normalizer"]["normalizers"]]
         if model["type"] != "BPE" or not model["end_of_word_suffix"] or kinds != ["NFC", "Replace", "Lowercase"] or split["behavior"] != "Removed":
             raise ValueError(f"{path} is not a lower-casing word BPE")
-        self.whole, self.known = Tokenizer.from_file(path), known
-        self.whole.no_truncation()
-        self.whole.no_padding()
-        self.special = [t["content"] for t in spec["added_tokens"]]
-        self._letter_kinds()
+        if split["pattern"]["Regex"] != _WORDS or any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in spec["added_tokens"]):
+            raise ValueError(f"{path} parts words or special tokens in another way")
+        self.normal, self.known = Tokenizer.from_file(path).normalizer, known
+        self.parted = Split(Regex(_WORDS), "removed", invert=True)
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        self.marks = {t: chr(_MARK + k) for k, t in enumerate(self.special)}
+        self._letter_tables()
         vocabulary, end, letters = model["vocab"], model["end_of_word_suffix"], byte_letters()
         self.inner = np.array([vocabulary[c] for c in letters], np.int32)
         self.final = np.array([vocabulary[c + end] for c in letters], np.int32)
@@ -68,22 +78,33 @@ class WordBpe:
         self._pair_table(np.array([vocabulary[a] << 16 | vocabulary[b] for a, b in pairs], np.uint32), np.array([vocabulary[a + b] for a, b in pairs], np.int32))
         self._forget()
 
-    def _letter_kinds(self) -> None:
-        """What each letter below ``_PLAIN`` is to the tokenizer; apostrophes, which begin words of their own, and the brackets of special tokens are odd."""
-        of = {c: _ODD for c in range(_PLAIN + 1)}
-        for c in range(_PLAIN):
-            one = chr(c)
-            if _BLANK.match(one):
-                of[c] = _SPACE
-            elif c >= 0x20 and one not in "'<" and len(one.lower()) == 1 and one.lower() < chr(_PLAIN):
-                of[c] = _LETTER if regex.match(r"\p{L}", one) else _NUMBER if regex.match(r"\p{N}", one) else _SIGN
-        self.kinds = np.array([of[c] for c in range(_PLAIN + 1)], np.uint8)
-        self.lower = np.array([ord(chr(c).lower()) if of[c] != _ODD else c for c in range(_PLAIN + 1)], np.uint32)
+    def _letter_tables(self) -> None:
+        """What each letter is to the tokenizer, found out when it is first met, its small letter, and its salt."""
+        self.kinds = np.full(0x110000, _UNKNOWN, np.uint8)
+        self.kinds[_MARK : _MARK + len(self.special)] = _SPECIAL
+        self._ask(np.arange(_PLAIN))
+        small = [chr(c).lower() for c in range(_PLAIN)]
+        simple = [len(x) == 1 and x < chr(_PLAIN) for x in small]
+        self.lower = np.arange(0x110000, dtype=np.uint32)
+        self.lower[:_PLAIN] = [ord(x) if ok else c for c, (x, ok) in enumerate(zip(small, simple, strict=True))]
+        self.composed = re.compile(f"[^\\x00-{chr(_PLAIN - 1)}]|[{''.join(chr(c) for c, ok in enumerate(simple) if not ok)}]")
         # words are known by a hash; its key is drawn anew by each process, and no text can be made to fit it
         self.secret = os.urandom(16)
-        self.salt = np.random.default_rng(list(self.secret)).integers(1, 2**63, _PLAIN + 1, np.uint64)
+        self.salt = np.random.default_rng(list(self.secret)).integers(1, 2**63, 0x110000, np.uint64)
         self.powers = _powers(LONG_WORD + 1)
 
+    def _ask(self, codes: np.ndarray) -> None:
+        """Kinds of letters, by how the tokenizer's pattern parts each from a letter before it and a sign behind it."""
+        of = {(2, 1): _LETTER, (1, 1, 1): _NUMBER, (1, 2): _SIGN, (1, 1): _SPACE}
+        for c in codes.tolist():
+            self.kinds[c] = of[tuple(len(piece) for piece, _ in self.parted.pre_tokenize_str(f"a{chr(c)}!"))]
+
+    def _plain(self, part: str) -> str:
+        """A part of a text in composed small letters, with one mark for each special token; what ``lower`` can do is left to it."""
+        if not any(t in part for t in self.special):
+            return self.normal.normalize_str(part) if not part.isascii() and self.composed.search(part) else part
+        return "".join(self.marks.get(x) or self.normal.normalize_str(x) for x in self.specials.split(part) if x)
+
     def _forced_cuts(self, vocabulary: dict[str, int], end: str, byte: dict[str, int]) -> None:
         """``cut[e, a, b]``: no token holds byte a before b, with b at the end of a word if e."""
         self.cut = np.ones((2, 256, 256), bool)
@@ -149,9 +170,9 @@ class WordBpe:
         return ids[ragged((np.cumsum(lengths) - lengths)[order], lengths[order])], lengths[order]
 
     def _forget(self) -> None:
-        self.flat, self.begin, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        special = list(self.special.values())
+        self.flat, self.begin, self.count = np.array(special, np.int32), np.arange(len(special)), np.ones(len(special), np.int64)
         self.key, self.piece = np.zeros(1 << _SLOTS, np.uint64), np.zeros(1 << _SLOTS, np.int32)
-        self.rare: dict[str, int] = {}
 
     def _remember(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Numbers of new pieces with these ids."""
@@ -163,23 +184,21 @@ class WordBpe:
     def _units(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of a text's pieces, learned where they are new, and the place where each begins."""
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        low = np.minimum(codes, _PLAIN)
-        kind = self.kinds[low]
+        kind = self.kinds[codes]
+        if (kind == _UNKNOWN).any():
+            self._ask(np.unique(codes[kind == _UNKNOWN]))
+            kind = self.kinds[codes]
         blank = kind == _SPACE
-        odd_at = np.flatnonzero(kind == _ODD)
-        if len(odd_at):  # the whole stretch between two blanks goes to the tokenizer itself
-            stops = np.flatnonzero(np.concatenate([[True], blank, [True]])) - 1
-            which = np.unique(np.searchsorted(stops, odd_at))
-            odd_begin, odd_end = stops[which - 1] + 1, stops[which]
-            kind[ragged(odd_begin, odd_end - odd_begin)] = _ODD
+        letters = self.lower[codes]
         before = np.append(np.uint8(_SPACE), kind[:-1])
-        opens = ~blank & ((kind != before) | (kind == _NUMBER))
+        opens = ~blank & ((kind != before) | (kind == _NUMBER) | (kind == _SPECIAL))
+        self._shortened(letters, before, opens, blank)
         body = np.flatnonzero(~blank)
         if not len(body):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         starts, first = body[opens[body]], np.flatnonzero(opens[body])
         lengths = np.diff(np.append(first, len(body)))
-        letters = self.lower[low[body]]
+        letters = letters[body]
         place = np.arange(len(body)) - np.repeat(first, lengths)
         keys = np.add.reduceat(self.salt[letters] * self.powers[np.minimum(place, LONG_WORD)], first)
         # the sum of a long word can be led to one value whatever the salt, by patterns of its letters
@@ -190,17 +209,12 @@ class WordBpe:
         keys |= np.uint64(1)
         slot = keys >> np.uint64(64 - _SLOTS)
         numbers = self.piece[slot].astype(np.int64)
-        new = np.flatnonzero(self.key[slot] != keys)
-        if len(odd_at):
-            is_odd = kind[starts] == _ODD
-            new = new[~is_odd[new]]
-            strings = [text[a:b] for a, b in zip(odd_begin.tolist(), odd_end.tolist(), strict=True)]
-            unknown = list(dict.fromkeys(s for s in strings if s not in self.rare))
-            if unknown:
-                found = [np.array(e.ids, np.int32) for e in self.whole.encode_batch(unknown, add_special_tokens=False)]
-                places = self._remember(np.concatenate(found), np.array([len(f) for f in found], np.int64))
-                self.rare.update(zip(unknown, places.tolist(), strict=True))
-            numbers[is_odd] = [self.rare[s] for s in strings]
+        new = self.key[slot] != keys
+        special = kind[starts] == _SPECIAL
+        if special.any():
+            numbers[special] = codes[starts[special]] - _MARK
+            new &= ~special
+        new = np.flatnonzero(new)
         if len(new):
             distinct, example, which = np.unique(keys[new], return_index=True, return_inverse=True)
             example = new[example]
@@ -212,14 +226,25 @@ class WordBpe:
             self.piece[slot[~lost]] = learned[~lost]
         return numbers, starts
 
+    def _shortened(self, letters: np.ndarray, before: np.ndarray, opens: np.ndarray, blank: np.ndarray) -> None:
+        """Ends of words like 's and 'll are words of their own where no sign stands ahead of the apostrophe; sets ``opens`` so."""
+        at = np.flatnonzero((letters == ord("'")) & (before != _SIGN))
+        if not len(at):
+            return
+        behind = np.append(letters, [0, 0])
+        one, two = behind[at + 1], behind[at + 2]
+        size = np.where(np.isin(one, [ord(c) for c in "stmd"]), 2, 0)
+        for a, b in ("re", "ve", "ll"):
+            size[(one == ord(a)) & (two == ord(b))] = 3
+        at, size = at[size > 0], size[size > 0]
+        opens[at + 1] = False
+        end = (at + size)[at + size < len(letters)]
+        opens[end] = ~blank[end]
+
     def _learn(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Numbers of new words, given by their letters one behind the other."""
-        wide = codes >= 0x80
-        size = 1 + wide.astype(np.int64)
-        last = np.cumsum(size) - 1
-        data = np.empty(int(size.sum()), np.uint8)
-        data[last] = np.where(wide, 0x80 | codes & 0x3F, codes)
-        data[last[wide] - 1] = 0xC0 | codes[wide] >> 6
+        data = np.frombuffer(codes.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)
+        size = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
         words = np.cumsum(np.add.reduceat(size, np.cumsum(lengths) - lengths))
         closes, opens = np.zeros(len(data), bool), np.zeros(len(data), bool)
         closes[words - 1], opens[np.append(0, words[:-1])] = True, True
@@ -237,7 +262,7 @@ class WordBpe:
         size = 0
 
         def flush() -> None:
-            if len(self.count) > self.known:
+            if len(self.count) > self.known or len(self.flat) > 4 * self.known:
                 self._forget()
             begins = np.cumsum([0, *(len(p) + 1 for p in parts)])
             numbers, starts = self._units("\n".join(parts))
@@ -248,6 +273,7 @@ class WordBpe:
 
         for k, text in enumerate(texts):
             for part in blocks(text, block):
+                part = self._plain(part)
                 parts.append(part)
                 of.append(k)
                 size += len(part)
@@ -265,10 +291,10 @@ class WordBpe:
 
 
 def blocks(text: str, size: int) -> Iterator[str]:
-    """Parts of a text, cut in front of a blank, of about ``size`` characters or up to the next blank."""
+    """Parts of a text of about ``size`` characters, or up to the next place where a cut is certain."""
     begin = 0
     while len(text) - begin > size:
-        cut = _BLANK.search(text, begin + size)
+        cut = _CERTAIN.search(text, begin + size)
         if not cut:
             break
         yield text[begin : cut.start()]

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from lakegauge.llm import bpe, jaccard, langid, neighbours, packing, quality, repair, rules, secrets, suffixes
 from lakegauge.llm.common import components, word_hashes
-from lakegauge.llm.wordbpe import WordBpe
+from lakegauge.llm.wordbpe import WordBpe, blocks
 
 SF = "/root/testdata/sf0.001"
 WORDS = "amber birch cedar dune ember fjord grove heath islet jetty knoll larch mesa".split()
@@ -47,6 +47,31 @@ def test_ids_are_the_tokenizers(vocabulary):
     assert own.decode([49407, 0, 320]) == plain.decode([49407, 0, 320], skip_special_tokens=False)
 
 
+SCRIPTS = [
+    "Съешь ещё этих мягких французских булок. Ёлка й и\u0306", "Ξεσκεπάζω τὴν ψυχοφθόρα Βδελυγμία; ΟΔΟΣ", "यह एक परीक्षण है। क\u093cि १२३", "日本語のテスト。東京は2024年、ﾊﾝｶｸ が か\u3099",
+    "한국어 각 ᄒ\u1161\u11ab", "שלום עולם مرحبا ٣٤٥", "it's we'LL they'Re 'S 't 'tis ''s !'s 9's 's's x'd've rock'n'roll 'r 'l 'v o'", "'", "a'", "''ll 'l l'l'l",
+    "<|endoftext|>'s x<|startoftext|>\u0338y >\u0338 <|endoftext|><|endoftext|> é<|endoftext|>\u0301e", "<|ENDOFTEXT|> <|endoftext", "İ Ⱥ ǅ ẞ ﬀ \u212a \u2126 Ⅷ ① ½", "\U0001d400\U00010400 \U0001f468\u200d\U0001f469",
+]
+
+
+def test_every_script_is_cut_and_merged_here(vocabulary):
+    plain = Tokenizer.from_file(vocabulary)
+    rng = np.random.default_rng(5)
+    signs = [*"abcstdmrevl'ESTDM'  .,。<|>9½яЯёдΣσ漢字が한각े़", "\u0301", "\u0308", "\u0338", "<|endoftext|>", "İ", "\x1c", "\x85", "\u2028"]
+    mixed = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 60, 3000)]
+    unbroken = ["漢字の試験。" * 3000, "яблоко" * 4000, "и\u0306;и" * 2000, "don't" * 4000, "x,y" * 5000]
+    every = ["x" + chr(c) + "'s" + chr(c) + chr(c + 1) for c in range(0x20, 0x30000, 2) if not 0xD7FF <= c <= 0xE000]
+    texts = SCRIPTS + mixed + unbroken + every
+    own = WordBpe(vocabulary, known=20_000)
+    expected = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    for block in (200_000, 300):
+        flat, counts = own.encode(texts, block)
+        parts = np.split(flat, np.cumsum(counts)[:-1])
+        wrong = [t for t, p, e in zip(texts, parts, expected, strict=True) if p.tolist() != e]
+        assert not wrong, wrong[:5]
+    assert max(map(len, blocks("漢字の試験。" * 3000, 300))) < 320
+
+
 def thue_morse(n, a="a", b="q"):
     """A pattern of two letters that polynomial hashes modulo a power of two cannot tell from its complement."""
     return "".join((a, b)[i.bit_count() & 1] for i in range(n))
