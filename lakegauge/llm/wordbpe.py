@@ -87,6 +87,7 @@ class WordBpe:
         simple = [len(x) == 1 and x < chr(_PLAIN) for x in small]
         self.lower = np.arange(0x110000, dtype=np.uint32)
         self.lower[:_PLAIN] = [ord(x) if ok else c for c, (x, ok) in enumerate(zip(small, simple, strict=True))]
+        self.first_kinds, self.first_lower = self.kinds[:256].tobytes(), self.lower[:256].astype(np.uint8).tobytes()
         self.composed = re.compile(f"[^\\x00-{chr(_PLAIN - 1)}]|[{''.join(chr(c) for c, ok in enumerate(simple) if not ok)}]")
         # words are known by a hash; its key is drawn anew by each process, and no text can be made to fit it
         self.secret = os.urandom(16)
@@ -183,16 +184,21 @@ class WordBpe:
 
     def _units(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of a text's pieces, learned where they are new, and the place where each begins."""
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        kind = self.kinds[codes]
-        if (kind == _UNKNOWN).any():
-            self._ask(np.unique(codes[kind == _UNKNOWN]))
-            kind = self.kinds[codes]
+        try:
+            raw = text.encode("latin-1")
+            codes = letters = np.frombuffer(raw.translate(self.first_lower), np.uint8)
+            kind = np.frombuffer(raw.translate(self.first_kinds), np.uint8)
+        except UnicodeEncodeError:
+            codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+            kind, letters = self.kinds[codes], self.lower[codes]
+            if (kind == _UNKNOWN).any():
+                self._ask(np.unique(codes[kind == _UNKNOWN]))
+                kind = self.kinds[codes]
         blank = kind == _SPACE
-        letters = self.lower[codes]
         before = np.append(np.uint8(_SPACE), kind[:-1])
         opens = ~blank & ((kind != before) | (kind == _NUMBER) | (kind == _SPECIAL))
-        self._shortened(letters, before, opens, blank)
+        if "'" in text:
+            self._shortened(letters, before, opens, blank)
         body = np.flatnonzero(~blank)
         if not len(body):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -203,7 +209,7 @@ class WordBpe:
         keys = np.add.reduceat(self.salt[letters] * self.powers[np.minimum(place, LONG_WORD)], first)
         # the sum of a long word can be led to one value whatever the salt, by patterns of its letters
         for i in np.flatnonzero(lengths > LONG_WORD).tolist():
-            keys[i] = digest(letters[first[i] : first[i] + lengths[i]].tobytes(), self.secret)
+            keys[i] = digest(letters[first[i] : first[i] + lengths[i]].astype(np.uint32).tobytes(), self.secret)
         keys ^= keys >> np.uint64(29)
         keys *= np.uint64(0xBF58476D1CE4E5B9)
         keys |= np.uint64(1)
