@@ -1,12 +1,16 @@
 """Quality rules: text statistics and a learned decision list, in Spark expressions only.
 
-``learn`` grows rules against bad texts by sequential covering. A step looks at all
-thresholds of all statistics at once, by one grouped count over the labelled rows
-that no earlier rule covers, and adds the condition of the largest information
-gain; a finished rule is pruned back to the prefix that does best on rows held
-out for pruning, and covering stops when a rule is no better than chance there.
-All labelled rows take part; only grouped counts reach the driver. ``verdict``
-emits the rules as one ordered conditional expression.
+``learn`` grows rules against bad texts by sequential covering. A step counts the
+labelled rows that no earlier rule covers between quantiles of every statistic,
+by one grouped count, takes the statistic and quantile of the largest information
+gain, and zooms in on it until every value between its neighbours has been looked
+at. Conditions are added while a condition gains more bits than it takes to state
+it. A finished rule is pruned back to the prefix that does best on rows held out
+for pruning; if bad texts are not clearly in the majority there, the next best
+start is tried, with another statistic or direction. Covering ends when no start
+is left: neither rules nor conditions have a set number. All labelled rows take
+part; only grouped counts of bounded number reach the driver. ``verdict`` emits
+the rules as one ordered conditional expression.
 
 Defined results: null and empty texts have statistics of zero; shares without a
 denominator are zero; null labels and labels without a document teach nothing;
@@ -29,9 +33,8 @@ BLANK = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_marks", "n_capitals", "n_lines", "n_distinct_words")
-MOST_RULES = 12
-MOST_CONDITIONS = 3
-CUTS = 24
+CUTS = 24  # quantiles a step divides the rows of each kind by
+LISTED = 2000  # so many values are looked at one by one; more are divided again
 LEAST_COVERED = 5
 LEAST_PRECISION = 0.7
 
@@ -142,49 +145,111 @@ def learn(stats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
         (F.col("__label") == 0).alias("bad"), (F.pmod(F.xxhash64("__key", F.lit("prune")), F.lit(3)) == 0).alias("held"), *(m.alias(name) for name, m in measures().items()))
     rows = stored(rows, "rule-rows")
     of = {name: F.col(name) for name in names}
-    quantiles = [k / CUTS for k in range(1, CUTS)]
-    found = rows.where("NOT held").groupBy("bad").agg(*(F.percentile_approx(name, quantiles, 2000).alias(name) for name in names)).collect()
-    if len(found) < 2:
-        return []
-    cuts = {name: sorted({x for row in found for x in row[name]}) for name in names}
+    rules: list[Rule] = []
+    while rule := _next_rule(rows, names, of):
+        rules.append(rule)
+        rows = stored(rows.where(~_all(rule, of)), "rule-rows")
+    return rules
 
-    def step(name: str) -> Column:
-        return F.size(F.filter(F.array(*map(F.lit, cuts[name])), lambda cut: cut <= F.col(name)))
 
-    binned = stored(rows.select("*", F.array(*(F.struct(F.lit(name).alias("measure"), step(name).alias("step")) for name in names)).alias("steps")), "rule-bins")
-    rules: list[Rule] = []
-    while len(rules) < MOST_RULES:
-        left = binned.where(~_any(rules, of))
+def _quantiles(value: str) -> Column:
+    return F.percentile_approx(value, [k / CUTS for k in range(1, CUTS)], 2000)
+
+
+def _step(value: str, cuts: list[float]) -> Column:
+    """How many of the cuts are not above a value."""
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut <= F.col(value)))
+
+
+def _next_rule(rows: DataFrame, names: list[str], of: dict[str, Column]) -> Rule:
+    """The first rule that pruning lets pass; none if there is none."""
+    found = rows.where("NOT held").groupBy("bad").agg(*(_quantiles(name).alias(name) for name in names)).collect()
+    if len(found) < 2:
+        return ()
+    cuts = {name: sorted({x for row in found for x in row[name]}) for name in names}
+    binned = stored(rows.select("*", F.array(*(F.struct(F.lit(name).alias("measure"), _step(name, cuts[name]).alias("step")) for name in names)).alias("steps")), "rule-bins")
+    barred: set[tuple[str, bool]] = set()
+    while True:
         rule: Rule = ()
-        while len(rule) < MOST_CONDITIONS:
-            rule, more = _grown(left.where("NOT held").where(_all(rule, of)), rule, cuts)
-            if not more:
-                break
-        rule = _pruned(left.where("held"), rule, of)
+        more = True
+        while more:
+            condition, more = _condition(binned.where("NOT held").where(_all(rule, of)), cuts, set() if rule else barred)
+            rule = (*rule, condition) if condition else rule
         if not rule:
-            break
-        rules.append(rule)
-    return rules
+            return ()
+        passed = _pruned(binned.where("held"), rule, of)
+        if passed:
+            return passed
+        barred.add((rule[0].measure, rule[0].at_least))
 
 
-def _grown(rows: DataFrame, rule: Rule, cuts: dict[str, list[float]]) -> tuple[Rule, bool]:
-    """The rule with the condition of the largest gain, and whether good rows are left to shut out."""
-    steps = rows.select("bad", F.inline("steps")).groupBy("measure", "step").agg(F.count_if("bad").alias("p"), F.count_if(~F.col("bad")).alias("n")).collect()
-    best, choice, rest = 1e-9, None, 0
+@dataclass
+class _Cut:
+    gain: float
+    at: int
+    at_least: bool
+    good: int
+    below: list[tuple[int, int]]
+
+
+def _best_cut(points: list[tuple[float, int, int]], below: tuple[int, int], total: tuple[int, int], directions: list[bool]) -> _Cut | None:
+    """The cut of the largest gain among points of (cut, bad, good), counted from that cut up to the next; ``below`` the first one lie so many."""
+    sums, best = [below], None
+    for k, (_, p, n) in enumerate(points):
+        under = sums[-1]
+        for at_least in directions:
+            covered = (total[0] - under[0], total[1] - under[1]) if at_least else under
+            gain = _gain(*covered, *total)
+            if sum(covered) >= LEAST_COVERED and (best is None or gain > best.gain):
+                best = _Cut(gain, k, at_least, covered[1], sums)
+        sums.append((under[0] + p, under[1] + n))
+    return best
+
+
+def _condition(rows: DataFrame, cuts: dict[str, list[float]], barred: set[tuple[str, bool]]) -> tuple[Condition | None, bool]:
+    """The condition of the largest gain that is worth stating, and whether good rows are left to shut out."""
+    counted = rows.select("bad", F.inline("steps")).groupBy("measure", "step").agg(F.count_if("bad").alias("p"), F.count_if(~F.col("bad")).alias("n")).collect()
+    counts = {(r["measure"], r["step"]): (r["p"], r["n"]) for r in counted}
+    cost = math.log2(2 * sum(map(len, cuts.values())))
+    best, choice, total = None, "", (0, 0)
     for name, own in cuts.items():
-        counts = {r["step"]: (r["p"], r["n"]) for r in steps if r["measure"] == name}
-        all_p, all_n = sum(p for p, _ in counts.values()), sum(n for _, n in counts.values())
-        below_p = below_n = 0
-        if not all_p or not all_n:
-            return rule, False
-        for k, cut in enumerate(own):
-            p, n = counts.get(k, (0, 0))
-            below_p, below_n = below_p + p, below_n + n
-            for at_least, (p, n) in ((False, (below_p, below_n)), (True, (all_p - below_p, all_n - below_n))):
-                gain = _gain(p, n, all_p, all_n)
-                if gain > best and p + n >= LEAST_COVERED:
-                    best, choice, rest = gain, Condition(name, at_least, cut), n
-    return ((*rule, choice), rest > 0) if choice else (rule, False)
+        steps = [counts.get((name, k), (0, 0)) for k in range(len(own) + 1)]
+        total = (sum(p for p, _ in steps), sum(n for _, n in steps))
+        if not all(total):
+            return None, False
+        found = _best_cut([(cut, *steps[k + 1]) for k, cut in enumerate(own)], steps[0], total, [d for d in (False, True) if (name, d) not in barred])
+        if found and (best is None or found.gain > best.gain):
+            best, choice = found, name
+    if best is None:
+        return None, False
+    best, threshold = _zoomed(rows, choice, cuts[choice], best, total)
+    return (Condition(choice, best.at_least, threshold), best.good > 0) if best.gain > cost else (None, False)
+
+
+def _zoomed(rows: DataFrame, name: str, cuts: list[float], best: _Cut, total: tuple[int, int]) -> tuple[_Cut, float]:
+    """The best cut between the neighbours of a cut: ranges of many values are divided again, until each value is looked at."""
+    values = rows.groupBy(F.col(name).alias("x")).agg(F.count_if("bad").alias("p"), F.count_if(~F.col("bad")).alias("n"))
+    while True:
+        low, below = (cuts[best.at - 1], best.below[best.at - 1]) if best.at else (-math.inf, (0, 0))
+        high = cuts[best.at + 1] if best.at + 1 < len(cuts) else math.inf
+        inside = values.where((F.col("x") >= low) & (F.col("x") < high))
+        listed = inside.limit(LISTED + 1).collect()
+        done = len(listed) <= LISTED
+        if done:
+            points = sorted((r["x"], r["p"], r["n"]) for r in listed)
+        else:
+            edges = sorted(set(inside.agg(_quantiles("x").alias("q")).first()["q"]))
+            summed = {r["s"]: (r["p"], r["n"]) for r in inside.groupBy(_step("x", edges).alias("s")).agg(F.sum("p").alias("p"), F.sum("n").alias("n")).collect()}
+            first = summed.get(0, (0, 0))
+            below = (below[0] + first[0], below[1] + first[1])
+            points = [(edge, *summed.get(k + 1, (0, 0))) for k, edge in enumerate(edges)]
+        found = _best_cut(points, below, total, [best.at_least])
+        if done:
+            return (found, points[found.at][0]) if found and found.gain >= best.gain else (best, cuts[best.at])
+        if found is None:
+            return best, cuts[best.at]
+        # the range's own ends bound the next one
+        cuts, best = [low, *(x for x, _, _ in points), high], _Cut(found.gain, found.at + 1, found.at_least, found.good, [(below[0] - first[0], below[1] - first[1]), *found.below])
 
 
 def _pruned(rows: DataFrame, rule: Rule, of: dict[str, Column]) -> Rule:

@@ -282,6 +282,53 @@ def test_learned_rules(spark, labels, edge, nothing):
     assert rules.learn(rules.statistics(nothing), labels) == [] and rules.statistics(nothing).select(rules.verdict([])).count() == 0
 
 
+def test_rules_for_many_kinds_and_exact_cuts(spark, monkeypatch):
+    """More kinds of bad texts than the old number of rules, a rare kind, cuts at the value itself, and conditions that need each other."""
+    rng = np.random.default_rng(23)
+    monkeypatch.setattr(rules, "LISTED", 40)
+    rows, labels = [], []
+
+    def add(bad, **given):
+        base = {"n_words": int(rng.integers(100, 200)), "n_lines": 10, "n_dup_lines": 0, "n_repeat_words": 0, "n_symbols": 0, "n_capitals": 0, "n_marks": 0}
+        base |= given
+        base = {"word_chars": 5 * base["n_words"], "n_distinct_words": base["n_words"] // 2} | base
+        rows.append((len(rows), *(int(base[c]) for c in rules.STATISTICS)))
+        labels.append((len(labels), 0 if bad else 1))
+
+    for _ in range(3000):
+        add(False, n_symbols=rng.integers(0, 40), n_marks=rng.integers(0, 20))
+    kinds = 16
+    for k in range(kinds):  # each kind has a band of text lengths of its own
+        for _ in range(150):
+            add(True, n_words=10_000 * (k + 1) + rng.integers(0, 1000))
+            add(False, n_words=10_000 * (k + 1) + 5000 + rng.integers(0, 1000))
+    for _ in range(60):  # under two in a hundred of the bad
+        add(True, n_words=150, n_capitals=300 + rng.integers(0, 100))
+        add(False, n_words=150, n_capitals=200 + rng.integers(0, 100))
+    stats = spark.createDataFrame(rows, "doc_id long, " + ", ".join(f"{c} long" for c in rules.STATISTICS))
+    learned = rules.learn(stats, spark.createDataFrame(labels, "doc_id long, quality int"))
+    said = stats.join(spark.createDataFrame(labels, "doc_id long, quality int"), "doc_id").withColumn("rule", rules.verdict(learned))
+    of = {r["quality"]: (r["n"], r["caught"]) for r in said.groupBy("quality").agg(F.count("*").alias("n"), F.count("rule").alias("caught")).collect()}
+    assert of[0][1] >= 0.98 * of[0][0] and of[1][1] <= 0.02 * of[1][0], (of, [" AND ".join(map(str, r)) for r in learned])
+    assert said.where("n_capitals >= 300").where("rule IS NULL").count() <= 2
+    assert len(learned) > 12
+
+
+def test_zoom_finds_the_best_of_all_values(spark, monkeypatch):
+    rng = np.random.default_rng(29)
+    x = np.round(rng.gamma(2, 3, 4000), 3)
+    bad = rng.random(4000) < np.where(x >= 9.137, 0.9, 0.1)
+    rows = spark.createDataFrame([(float(a), bool(b)) for a, b in zip(x, bad, strict=True)], "words double, bad boolean").withColumn("steps", F.array(F.struct(F.lit("words").alias("measure"), rules._step("words", [3.0, 6.0, 9.0, 12.0]).alias("step"))))
+    total = (int(bad.sum()), int((~bad).sum()))
+    gains = {c: rules._gain(int(bad[x >= c].sum()), int((~bad[x >= c]).sum()), *total) for c in np.unique(x) if (x >= c).sum() >= rules.LEAST_COVERED and 6 <= c < 12}
+    for listed in (2000, 100_000, 50):
+        monkeypatch.setattr(rules, "LISTED", listed)
+        condition, more = rules._condition(rows, {"words": [3.0, 6.0, 9.0, 12.0]}, set())
+        assert more and condition.at_least
+        got = rules._gain(int(bad[x >= condition.threshold].sum()), int((~bad[x >= condition.threshold]).sum()), *total)
+        assert got == max(gains.values()) if listed > 50 else got >= 0.99 * max(gains.values())
+
+
 def test_repeated_windows(spark):
     rng = np.random.default_rng(8)
     texts = [" ".join(rng.choice(WORDS[:4], n)) + "\nx y\n \nx y\n" for n in range(0, 60, 3)]
