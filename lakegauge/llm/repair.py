@@ -1,8 +1,10 @@
 """Token-id files compressed by a Re-Pair grammar per shard, with random access.
 
 Documents are sorted by id into shards of about ``SHARD_IDS`` ids. In every shard
-frequent pairs of neighbouring ids are replaced by new symbols, again and again;
-pairs never cross a document. A shard is one row of a Parquet table:
+frequent pairs of neighbouring ids are replaced by new symbols, again and again:
+a pair is frequent if its uses outweigh its rule (``LEAST_USES``), a round replaces
+up to ``RULES_A_ROUND`` kinds of pairs, and the last round is the first that shortens
+the shard by less than ``LEAST_SAVED``. Pairs never cross a document. A shard is one row of a Parquet table:
 
     part, seq       place of the shard: its partition in id order, its number there
     doc_ids         ids of its documents, in order (null ids first)
@@ -38,38 +40,44 @@ from lakegauge.llm.wordbpe import encoder
 
 SHARD_IDS = 1_000_000
 PART_BYTES = 32 << 20
-ROUNDS = 5
+LEAST_SAVED = 0.02
 RULES_A_ROUND = 2048
 LEAST_USES = 8
 _NO = np.int64(1) << 62
+_SLOT_BITS = 18
 
 
 def grammar(symbols: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Start sequence, which of its symbols end a document, rules and their expansion lengths."""
     symbols, last = symbols.astype(np.int64), last.copy()
     rules, sizes = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
-    for _ in range(ROUNDS):
+    before = math.inf
+    while before - len(symbols) >= LEAST_SAVED * len(symbols):
+        before = len(symbols)
         pairs = np.where(last[:-1], _NO, symbols[:-1] << 31 | symbols[1:])
         ordered = np.sort(pairs)
         begins = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
         uses, kinds = np.diff(np.append(begins, len(ordered))), ordered[begins]
         frequent = np.flatnonzero((uses >= LEAST_USES) & (kinds != _NO))
-        frequent = frequent[np.argsort(-uses[frequent], kind="stable")[:RULES_A_ROUND]]
+        # ties by a hash: along a copied passage every third pair or so comes before both its neighbours, in whatever order its ids are
+        frequent = frequent[np.lexsort((_mixed(kinds[frequent]), -uses[frequent]))[:RULES_A_ROUND]]
         if not len(frequent):
             break
-        by_key = np.argsort(kinds[frequent])  # also the rank: 0 is used most
-        keys = kinds[frequent][by_key]
-        found = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
-        rank = np.where(keys[found] == pairs, by_key[found], len(keys))
+        keys, none = kinds[frequent], len(frequent)  # in the order of their ranks: 0 is used most
+        table = np.full(1 << _SLOT_BITS, none, np.int32)
+        table[_slots(keys)[::-1]] = np.arange(none, dtype=np.int32)[::-1]  # of two keys for a slot the one used less waits for another round
+        rank = table[_slots(pairs)]
+        hits = np.flatnonzero(rank < none)
+        rank[hits[keys[rank[hits]] != pairs[hits]]] = none
         # of overlapping pairs the more frequent one is replaced, of equal ones the first
-        taken = (rank < len(keys)) & (rank < np.append(len(keys), rank[:-1])) & (rank <= np.append(rank[1:], len(keys)))
-        used = np.bincount(found[taken], minlength=len(keys))
+        taken = (rank < none) & (rank < np.append(np.int32(none), rank[:-1])) & (rank <= np.append(rank[1:], np.int32(none)))
+        at = np.flatnonzero(taken)
+        used = np.bincount(rank[at], minlength=none)
         number = base + len(rules) + np.cumsum(used > 0) - 1
         made = keys[used > 0]
         new = np.stack([made >> 31, made & (1 << 31) - 1], axis=1)
         rules, sizes = np.concatenate([rules, new]), np.append(sizes, _sizes(new, sizes, base))
-        at = np.flatnonzero(taken)
-        symbols[at] = number[found[at]]
+        symbols[at] = number[rank[at]]
         last[at] = last[at + 1]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
@@ -77,6 +85,14 @@ def grammar(symbols: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarra
     return symbols, last, rules, sizes
 
 
+def _mixed(pairs: np.ndarray) -> np.ndarray:
+    return pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _slots(pairs: np.ndarray) -> np.ndarray:
+    return _mixed(pairs) >> np.uint64(64 - _SLOT_BITS)
+
+
 def _sizes(symbols: np.ndarray, sizes: np.ndarray, base: int) -> np.ndarray:
     """Tokens behind symbols, or behind rows of symbols."""
     known = np.append(sizes, 1)

@@ -165,6 +165,20 @@ def test_grammar_expands_to_what_it_was_made_of():
     assert (repair.window(symbols, made, sizes, 10, 1234, 777) == tokens[1234:2011]).all()
 
 
+def test_grammar_folds_copied_passages():
+    rng = np.random.default_rng(7)
+    for passage in (np.arange(1500), np.arange(1500)[::-1], rng.integers(0, 40_000, 1500)):
+        tokens = np.concatenate([x for _ in range(60) for x in (rng.integers(0, 40_000, 1000), passage)]).astype(np.int32)
+        last = np.zeros(len(tokens), bool)
+        last[2499::2500] = True
+        symbols, ends, made, sizes = repair.grammar(tokens, last, 40_000)
+        assert (repair.expand(symbols, made, 40_000) == tokens).all() and ends.sum() == 60
+        assert len(symbols) < 60 * 1000 + 0.1 * 60 * 1500 and sizes.max() > 30
+    for few in ([], [1], [1, 1, 1, 1]):
+        symbols, *_ = repair.grammar(np.array(few, np.int32), np.arange(len(few)) == len(few) - 1, 10)
+        assert symbols.tolist() == few
+
+
 def test_token_files_of_odd_rows(spark, edge, nothing, vocabulary, tmp_path):
     repair.write(edge, str(tmp_path / "e"), vocabulary)
     rows = repair.read(spark, str(tmp_path / "e")).orderBy("start").collect()
