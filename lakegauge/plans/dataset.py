@@ -83,13 +83,22 @@ def iri(value: Column, prefixes: Mapping[str, str] = PREFIXES) -> Column:
     out = value
     for prefix, whole in prefixes.items():
         out = F.when(value.startswith(f"{prefix}:"), F.concat(F.lit(whole), F.substr(value, F.lit(len(prefix) + 2)))).otherwise(out)
+    mended = out
     for bad in '<>"{}|^`\\':
-        out = F.replace(out, F.lit(bad), F.lit(f"%{ord(bad):02X}"))
+        mended = F.replace(mended, F.lit(bad), F.lit(f"%{ord(bad):02X}"))
     # blanks and control characters
-    out = F.array_join(F.transform(F.split(out, ""), lambda c: F.when(c.rlike(r"^[\x00-\x20]$"), F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(c)), 2, "0"))).otherwise(c)), "")
+    mended = F.array_join(F.transform(F.split(mended, ""), lambda c: F.when(c.rlike(r"^[\x00-\x20]$"), F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(c)), 2, "0"))).otherwise(c)), "")
+    # most hold none of these, and to go through their characters costs more than all else of a statement
+    out = F.when(out.rlike(r'[\x00-\x20<>"{}|^`\\]'), mended).otherwise(out)
     return F.concat(F.lit("<"), out, F.lit(">"))
 
 
+def _known(name: str) -> str:
+    """The whole IRI of a name of ours, ``prefix:name``."""
+    prefix, _, rest = name.partition(":")
+    return f"<{PREFIXES[prefix]}{rest}>"
+
+
 def literal(value: Column, type_iri: str | Column | None = None) -> Column:
     out = value
     for plain, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
@@ -107,16 +116,16 @@ def triples(long: DataFrame, base: str) -> DataFrame:
     sensor = F.concat(F.lit(f"<{home}/device/"), iri_part(F.col("tenant_id")), F.lit("/"), iri_part(F.col("device_id")), F.lit(">"))
     kind = None
     for type_name, type_iri in LITERAL_TYPES.items():
-        kind = (F if kind is None else kind).when(F.col("type") == type_name, f"<{PREFIXES['xsd']}{type_iri.removeprefix('xsd:')}>")
+        kind = (F if kind is None else kind).when(F.col("type") == type_name, _known(type_iri))
     about = {
-        "rdf:type": iri(F.lit("sosa:Observation")),
+        "rdf:type": F.lit(_known("sosa:Observation")),
         "sosa:madeBySensor": sensor,
         "sosa:observedProperty": iri(F.col("property_iri")),
-        "sosa:resultTime": literal(_time(F.col("event_time")), "xsd:dateTime"),
+        "sosa:resultTime": literal(_time(F.col("event_time")), F.lit(_known("xsd:dateTime"))),
         "sosa:hasSimpleResult": literal(F.col("value"), kind),
         "schema:unit": iri(F.col("unit")),
     }
-    lines = [F.struct(F.lit(p).alias("predicate"), F.concat_ws(" ", subject, iri(F.lit(p)), o, F.lit(".")).alias("line")) for p, o in about.items()]
+    lines = [F.struct(F.lit(p).alias("predicate"), F.concat_ws(" ", subject, F.lit(_known(p)), o, F.lit(".")).alias("line")) for p, o in about.items()]
     return long.select(F.explode(F.array(*lines)).alias("x")).select("x.*")
 
 
