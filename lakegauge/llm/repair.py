@@ -113,6 +113,14 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     return symbols
 
 
+def expand_all(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, base: int) -> np.ndarray:
+    """As ``expand``, for many symbols: every rule is expanded once, and copied to wherever it is used."""
+    spelled = np.concatenate([np.arange(base), expand(np.arange(base, base + len(rules)), rules, base)])
+    begins = np.concatenate([np.arange(base), base + np.cumsum(sizes) - sizes])[symbols]
+    counts = _sizes(symbols, sizes, base)
+    return spelled[np.repeat(begins - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())]
+
+
 def window(symbols: np.ndarray, rules: np.ndarray, sizes: np.ndarray, base: int, start: int, count: int) -> np.ndarray:
     """``count`` tokens from token ``start`` on; only the symbols that cover them are expanded."""
     ends = np.cumsum(_sizes(symbols, sizes, base))
@@ -190,7 +198,7 @@ def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
                 row = batch.slice(k, 1).to_pylist()[0]
                 rules, sizes, symbols = _numbers(row["rules"], 4).reshape(-1, 2), _numbers(row["expansions"], 4), _numbers(row["symbols"], row["width"])
                 ends = np.append(0, np.cumsum(_sizes(symbols, sizes, row["base"])))[row["doc_symbols"]]
-                tokens = expand(symbols, rules, row["base"]).astype("<u4")
+                tokens = expand_all(symbols, rules, sizes, row["base"]).astype("<u4")
                 starts, counts = ends[:-1], np.diff(ends)
                 crc = [zlib.crc32(tokens[a:b].tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
                 n = len(crc)
