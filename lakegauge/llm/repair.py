@@ -54,9 +54,11 @@ def grammar(symbols: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarra
     before = math.inf
     while before - len(symbols) >= LEAST_SAVED * len(symbols):
         before = len(symbols)
-        pairs = np.where(last[:-1], _NO, symbols[:-1] << 31 | symbols[1:])
+        pairs = symbols[:-1] << 31
+        pairs |= symbols[1:]
+        pairs[last[:-1]] = _NO
         ordered = np.sort(pairs)
-        begins = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
+        begins = np.append(0, np.flatnonzero(ordered[1:] != ordered[:-1]) + 1)[: len(ordered)]
         uses, kinds = np.diff(np.append(begins, len(ordered))), ordered[begins]
         frequent = np.flatnonzero((uses >= LEAST_USES) & (kinds != _NO))
         # ties by a hash: along a copied passage every third pair or so comes before both its neighbours, in whatever order its ids are
@@ -66,11 +68,13 @@ def grammar(symbols: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarra
         keys, none = kinds[frequent], len(frequent)  # in the order of their ranks: 0 is used most
         table = np.full(1 << _SLOT_BITS, none, np.int32)
         table[_slots(keys)[::-1]] = np.arange(none, dtype=np.int32)[::-1]  # of two keys for a slot the one used less waits for another round
-        rank = table[_slots(pairs)]
+        rank = table.take(_slots(pairs))
         hits = np.flatnonzero(rank < none)
         rank[hits[keys[rank[hits]] != pairs[hits]]] = none
         # of overlapping pairs the more frequent one is replaced, of equal ones the first
-        taken = (rank < none) & (rank < np.append(np.int32(none), rank[:-1])) & (rank <= np.append(rank[1:], np.int32(none)))
+        taken = rank < none
+        taken[1:] &= rank[1:] < rank[:-1]
+        taken[:-1] &= rank[:-1] <= rank[1:]
         at = np.flatnonzero(taken)
         used = np.bincount(rank[at], minlength=none)
         number = base + len(rules) + np.cumsum(used > 0) - 1
@@ -86,11 +90,13 @@ def grammar(symbols: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarra
 
 
 def _mixed(pairs: np.ndarray) -> np.ndarray:
-    return pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def _slots(pairs: np.ndarray) -> np.ndarray:
-    return _mixed(pairs) >> np.uint64(64 - _SLOT_BITS)
+    mixed = _mixed(pairs)
+    mixed >>= np.uint64(64 - _SLOT_BITS)
+    return mixed.view(np.int64)  # numpy would make a copy of an unsigned index
 
 
 def _sizes(symbols: np.ndarray, sizes: np.ndarray, base: int) -> np.ndarray:
