@@ -33,10 +33,8 @@ _CERTAIN = re.compile(f"(?=[{_BLANKS}])|(?<=[.,;:!?。、，；：！？])(?=[A-
 # fixed value: the pattern of the tokenizer's words
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NONE = np.int32(2**31 - 1)
-
-
-def _powers(size: int) -> np.ndarray:
-    return np.cumprod(np.full(size, 0x9E3779B97F4A7C15, np.uint64))
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 2**64)
 
 
 def byte_letters() -> list[str]:
@@ -92,13 +90,19 @@ class WordBpe:
         # words are known by a hash; its key is drawn anew by each process, and no text can be made to fit it
         self.secret = os.urandom(16)
         self.salt = np.random.default_rng(list(self.secret)).integers(1, 2**63, 0x110000, np.uint64)
-        self.powers = _powers(LONG_WORD + 1)
+        self.salt[self.kinds == _SPACE] = 0
+        self._powers_of(0)
+
+    def _powers_of(self, size: int) -> None:
+        """Powers of the hash's base for as many letters, and their inverses."""
+        self.powers, self.inverses = (np.cumprod(np.append(np.uint64(1), np.full(size, x, np.uint64))) for x in (_BASE, _INVERSE))
 
-    def _ask(self, codes: np.ndarray) -> None:
-        """Kinds of letters, by how the tokenizer's pattern parts each from a letter before it and a sign behind it."""
+    def _ask(self, codes: np.ndarray) -> np.ndarray:
+        """Kinds of letters, by how the tokenizer's pattern parts each from a letter before it and a sign behind it; those that are blanks."""
         of = {(2, 1): _LETTER, (1, 1, 1): _NUMBER, (1, 2): _SIGN, (1, 1): _SPACE}
         for c in codes.tolist():
             self.kinds[c] = of[tuple(len(piece) for piece, _ in self.parted.pre_tokenize_str(f"a{chr(c)}!"))]
+        return codes[self.kinds[codes] == _SPACE]
 
     def _plain(self, part: str) -> str:
         """A part of a text in composed small letters, with one mark for each special token; what ``lower`` can do is left to it."""
@@ -147,8 +151,9 @@ class WordBpe:
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         while len(symbols):
             rank = self._ranks(symbols, np.append(symbols[1:], 0))
-            rank[np.cumsum(lengths) - 1] = _NONE
-            best = np.minimum.reduceat(rank, np.cumsum(lengths) - lengths)
+            ends = np.cumsum(lengths)
+            rank[ends - 1] = _NONE
+            best = np.minimum.reduceat(rank, ends - lengths)
             alive = best != _NONE
             if not alive.all():
                 keep = np.repeat(alive, lengths)
@@ -156,13 +161,14 @@ class WordBpe:
                 symbols, rank, best, lengths, number = symbols[keep], rank[keep], best[alive], lengths[alive], number[alive]
                 if not len(symbols):
                     break
+                ends = np.cumsum(lengths)
             at = rank == np.repeat(best, lengths)
             if (at[1:] & at[:-1]).any():  # a pair of equal ids in a row: every second place, from the left
                 place = np.arange(len(at))
                 first = at & ~np.append(False, at[:-1])
                 at &= (place - np.maximum.accumulate(np.where(first, place, 0))) % 2 == 0
             symbols[at] = self.made[rank[at]]
-            lengths = lengths - np.add.reduceat(at, np.cumsum(lengths) - lengths)
+            lengths = lengths - np.add.reduceat(at, ends - lengths, dtype=np.int64)
             symbols = symbols[~np.append(False, at[:-1])]
         if not done:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
@@ -172,15 +178,20 @@ class WordBpe:
 
     def _forget(self) -> None:
         special = list(self.special.values())
-        self.flat, self.begin, self.count = np.array(special, np.int32), np.arange(len(special)), np.ones(len(special), np.int64)
+        self.pieces = self.ids = 0  # the arrays have room for more
+        self.flat, self.begin, self.count = np.zeros(1 << 12, np.int32), np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
+        self._remember(np.array(special, np.int32), np.ones(len(special), np.int64))
         self.key, self.piece = np.zeros(1 << _SLOTS, np.uint64), np.zeros(1 << _SLOTS, np.int32)
 
     def _remember(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Numbers of new pieces with these ids."""
-        first = len(self.count)
-        self.begin = np.append(self.begin, len(self.flat) + np.cumsum(counts) - counts)
-        self.flat, self.count = np.concatenate([self.flat, ids]), np.append(self.count, counts)
-        return np.arange(first, first + len(counts))
+        first, at = self.pieces, self.ids
+        self.pieces, self.ids = first + len(counts), at + len(ids)
+        self.flat, self.begin, self.count = _roomy(self.flat, self.ids), _roomy(self.begin, self.pieces), _roomy(self.count, self.pieces)
+        self.flat[at : self.ids] = ids
+        self.begin[first : self.pieces] = at + np.cumsum(counts) - counts
+        self.count[first : self.pieces] = counts
+        return np.arange(first, self.pieces)
 
     def _units(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of a text's pieces, learned where they are new, and the place where each begins."""
@@ -192,24 +203,29 @@ class WordBpe:
             codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
             kind, letters = self.kinds[codes], self.lower[codes]
             if (kind == _UNKNOWN).any():
-                self._ask(np.unique(codes[kind == _UNKNOWN]))
+                self.salt[self._ask(np.unique(codes[kind == _UNKNOWN]))] = 0
                 kind = self.kinds[codes]
         blank = kind == _SPACE
         before = np.append(np.uint8(_SPACE), kind[:-1])
         opens = ~blank & ((kind != before) | (kind == _NUMBER) | (kind == _SPECIAL))
         if "'" in text:
             self._shortened(letters, before, opens, blank)
-        body = np.flatnonzero(~blank)
-        if not len(body):
+        starts = np.flatnonzero(opens)
+        if not len(starts):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        starts, first = body[opens[body]], np.flatnonzero(opens[body])
-        lengths = np.diff(np.append(first, len(body)))
-        letters = letters[body]
-        place = np.arange(len(body)) - np.repeat(first, lengths)
-        keys = np.add.reduceat(self.salt[letters] * self.powers[np.minimum(place, LONG_WORD)], first)
+        closes = np.append(opens[1:] | blank[1:], True)
+        closes &= ~blank
+        lengths = np.flatnonzero(closes) - starts + 1
+        if len(letters) >= len(self.powers):
+            self._powers_of(2 * len(letters))
+        # blanks add nothing; the power a word begins at is divided out
+        keys = self.salt[letters]
+        keys *= self.powers[: len(letters)]
+        keys = np.add.reduceat(keys, starts)
+        keys *= self.inverses[starts]
         # the sum of a long word can be led to one value whatever the salt, by patterns of its letters
         for i in np.flatnonzero(lengths > LONG_WORD).tolist():
-            keys[i] = digest(letters[first[i] : first[i] + lengths[i]].astype(np.uint32).tobytes(), self.secret)
+            keys[i] = digest(letters[starts[i] : starts[i] + lengths[i]].astype(np.uint32).tobytes(), self.secret)
         keys ^= keys >> np.uint64(29)
         keys *= np.uint64(0xBF58476D1CE4E5B9)
         keys |= np.uint64(1)
@@ -224,7 +240,7 @@ class WordBpe:
         if len(new):
             distinct, example, which = np.unique(keys[new], return_index=True, return_inverse=True)
             example = new[example]
-            learned = self._learn(letters[ragged(first[example], lengths[example])], lengths[example])
+            learned = self._learn(letters[ragged(starts[example], lengths[example])], lengths[example])
             numbers[new] = learned[which]
             slot = distinct >> np.uint64(64 - _SLOTS)
             self.key[slot], self.piece[slot] = distinct, learned
@@ -268,14 +284,14 @@ class WordBpe:
         size = 0
 
         def flush() -> None:
-            if len(self.count) > self.known or len(self.flat) > 4 * self.known:
+            if self.pieces > self.known or self.ids > 4 * self.known:
                 self._forget()
             begins = np.cumsum([0, *(len(p) + 1 for p in parts)])
             numbers, starts = self._units("\n".join(parts))
             counts = self.count[numbers]
             found.append(self.flat[ragged(self.begin[numbers], counts)])
-            text = np.array(of, np.int64)[np.searchsorted(begins, starts, "right") - 1]
-            np.add(per_text, np.bincount(text, counts, len(texts)).astype(np.int64), out=per_text)
+            so_far = np.append(0, np.cumsum(counts))[np.searchsorted(starts, begins)]
+            np.add.at(per_text, of, np.diff(so_far))
 
         for k, text in enumerate(texts):
             for part in blocks(text, block):
@@ -296,6 +312,11 @@ class WordBpe:
         return " ".join([tokens[i] for i in ids if 0 <= i < size])
 
 
+def _roomy(x: np.ndarray, size: int) -> np.ndarray:
+    """An array with the same values and room for ``size``."""
+    return x if size <= len(x) else np.append(x, np.zeros(max(size - len(x), len(x) // 2), x.dtype))
+
+
 def blocks(text: str, size: int) -> Iterator[str]:
     """Parts of a text of about ``size`` characters, or up to the next place where a cut is certain."""
     begin = 0

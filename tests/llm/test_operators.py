@@ -94,6 +94,15 @@ def test_forgetting_changes_nothing(vocabulary, docs):
         assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
 
 
+def test_new_words_do_not_copy_the_known_ones(vocabulary):
+    own, plain = WordBpe(vocabulary), Tokenizer.from_file(vocabulary)
+    held = own.flat, own.begin, own.count
+    texts = ["jetty knoll", "larch mesa don't", "w" * 100 + " qzx é"]
+    for text in texts:
+        assert own.encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert all(a is b for a, b in zip(held, (own.flat, own.begin, own.count), strict=True))
+
+
 def test_round_trip(edge, nothing, vocabulary):
     rows = bpe.decode(bpe.encode(edge, vocabulary), vocabulary).collect()
     assert len(rows) == 8 and {r["decoded"] for r in rows if r["doc_id"] in (2, 3, 6)} == {""}
