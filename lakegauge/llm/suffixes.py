@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakegauge.llm.common import mixed, ragged
+from lakegauge.llm.common import give_back, mixed, ragged
 
 LENGTH = 50
 GRAM = 24
@@ -193,6 +193,7 @@ def _tell_values(bits: int):
     schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("found", pa.binary())])
 
     def run(key, docs):
+        give_back()
         own = Chunk(docs)
         values, which, uses = np.unique(own.value, return_inverse=True, return_counts=True)
         # distinct contents of each value, as the next power of two
@@ -247,6 +248,7 @@ def _send_runs(bits: int):
     schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("content", pa.binary()), ("size", pa.binary()), ("doc", pa.binary()), ("data", pa.binary())])
 
     def run(key, docs, shared):
+        give_back()
         if not docs.num_rows:
             return schema.empty_table()
         chunk = _marked(docs, shared, bits)
@@ -323,6 +325,7 @@ def _sort_bucket():
     schema = pa.schema([("__chunk", pa.int64()), ("content", pa.binary()), ("begin", pa.binary()), ("stop", pa.binary()), ("doc", pa.binary())])
 
     def run(key, sent):
+        give_back()
         rows = sent.sort_by("chunk").to_pylist()
         content, size, doc = (np.concatenate([_unpack(r[c], kind) for r in rows]).astype(np.int64) for c, kind in (("content", "<u4"), ("size", "<u4"), ("doc", "<i8")))
         counts = [len(_unpack(r["content"], "<u4")) for r in rows]
@@ -366,6 +369,7 @@ def _sort_bucket():
 
 def _remove(bits: int, names: list[str]):
     def run(key, docs, inbox):
+        give_back()
         told = inbox.filter(pc.is_valid(inbox.column("content")))
         chunk = _marked(docs, inbox.filter(pc.is_valid(inbox.column("values"))), bits)
         # all strings of all contents, followed by the distinct ones that were sent one by one

@@ -1,17 +1,19 @@
 """Each operator against a plain version on a small table, and on odd rows and empty tables."""
 
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lakegauge.llm import bpe, jaccard, langid, neighbours, packing, quality, repair, rules, secrets, suffixes
-from lakegauge.llm.common import components, word_hashes
+from lakegauge.llm import bpe, common, jaccard, langid, neighbours, packing, quality, repair, rules, secrets, suffixes
+from lakegauge.llm.common import components, text_batches, word_hashes
 from lakegauge.llm.wordbpe import WordBpe, blocks
 
 SF = "/root/testdata/sf0.001"
@@ -465,6 +467,34 @@ def test_components_of_a_path(spark):
     assert {r["node"]: r["root"] for r in components(edges, "path").collect()} == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
 
 
+def test_components_of_one_large_group_draw_few_edges(spark, monkeypatch):
+    pairs = [(a, b) for b in range(1, 400) for a in {b // 2, b * 7 % 400, b * 31 % 400} if a != b]
+    drawn, stored = [], common.stored
+
+    def counted(df, purpose):
+        out = stored(df, purpose)
+        if purpose.endswith("-edges"):
+            drawn.append(out.count())
+        return out
+
+    monkeypatch.setattr(common, "stored", counted)
+    found = components(spark.createDataFrame([*pairs, (500, 501), (7, 7), (None, 8)], "a long, b long"), "group").collect()
+    assert {r["node"]: r["root"] for r in found} == {**dict.fromkeys(range(400), 0), 500: 500, 501: 500} and len(found) == 402
+    # each edge once, and none inside what is joined already
+    assert drawn[0] == len({frozenset(p) for p in pairs}) + 1 and drawn[-1] == 0 and sum(drawn[1:]) < drawn[0]
+
+
+def test_texts_of_a_batch_are_not_all_strings_at_once():
+    texts = [chr(97 + k % 26) * 50_000 for k in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array([*texts, None, ""])], names=["text"])
+    tracemalloc.start()
+    got = [t for _, part in text_batches([batch], chars=200_000) for t in part[:1]]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == texts[::4] and peak < 6_000_000
+    assert [(part.num_rows, own) for part, own in text_batches([batch.slice(199)], chars=1)] == [(1, [texts[199]]), (2, ["", ""])]
+
+
 # --- neighbours ------------------------------------------------------------
 
 
