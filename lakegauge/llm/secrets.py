@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakegauge.llm.common import stored
+from lakegauge.operators.fence import fence
 
 _RUN = r"A-Za-z0-9+/_\-"
 _PLAIN = rf"(?<![{_RUN}])(?=[A-Za-z+/_\-]*[0-9])[{_RUN}]{{16,}}"
@@ -52,7 +53,18 @@ _QUOTED = "|".join(
     for q in "\"'`"
 )
 _BARE = rf"""(?<!["'`](?i:{_SCHEME}))[^\s"'`<>,;=][^\s"'`<>]*(?<![,;.])"""
-CANDIDATE = rf"""{SHAPES}|{_IN_URL}[^\s/"'<>?#]+(?=@)|{_ASSIGNED}(?:{_QUOTED}|{_BARE})|{_PLAIN}={{0,2}}"""
+_ANY = rf"""{SHAPES}|{_IN_URL}[^\s/"'<>?#]+(?=@)|{_ASSIGNED}(?:{_QUOTED}|{_BARE})|{_PLAIN}={{0,2}}"""
+# where no candidate can begin: inside a run of letters and digits, and at a short word that a sign or another word (no "key") ends
+_NOT_INSIDE = r"(?:(?<![A-Za-z0-9])|(?=-----|://))"
+_NO_PROSE = r"(?![A-Za-z]{1,15}+(?:[,;!?\n]|\.?(?: (?![Kk])[A-Za-z]|\n)))"
+CANDIDATE = rf"{_NOT_INSIDE}{_NO_PROSE}(?:{_ANY})"
+# stretches in which no candidate begins: other signs, and whole runs too short for one, or without a digit, that hold no known shape and are not assigned to or hold no name
+_DULL = (
+    rf"""(?<![{_RUN}.])(?:[A-Za-z]{{1,14}}+[.,]?+ (?=[A-JL-Za-jl-z]))++|[^{_RUN}.:]++|:(?!//[^\s/:@"'<>?#]*+:)|(?<![{_RUN}.])(?:[A-Za-z0-9+/_.]{{1,14}}+(?![{_RUN}.]|(?i: key)?+["'`\])]{{0,2}}+[ \t]*+[:=>])"""
+    rf"|(?!(?i:[{_RUN}.]*?{_NAME}))(?![{_RUN}.]*?(?:{SHAPES}))(?:[{_RUN}.]{{1,14}}+|[A-Za-z+/_\-.]++)(?![{_RUN}.]))"
+)
+# all of a text in pieces, with what CANDIDATE finds as group 1: dull stretches are passed at a run, not tried at every character
+PIECES = rf"(?:{_DULL})++|({_ANY})|[A-Za-z0-9]++|(?s:.)"
 LEAD = rf"^(?:{_IN_URL}|{_ASSIGNED})(?=[^=])"
 REFERENCE = r"^(?:\$[{(].*|\$?[A-Z]+(?:_[A-Z]+)+|\$[A-Z]+|%[A-Z_]+%|\{\{.*|<[A-Za-z_ \-]+>|[A-Za-z_][\w.]*[(\[].*|[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)+|(?i:none|null|true|false|undefined|str|string|int|bool))$"
 CREDENTIAL = r"(?i)(secret|token|passw|pwd|api.?key|access.?key|auth|credential|private|bearer)[^\s]*(\s+\S{1,2})?\s*\S{0,2}$"
@@ -96,7 +108,7 @@ def _features(c: Column, before: Column, after: Column, named: Column, path: Col
 def candidates(docs: DataFrame, known: list[str], text: str = "text", path: str = "source") -> DataFrame:
     """``docs`` with ``__parts`` (the text around its candidates) and ``__found`` (candidates with context and features)."""
     t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumn("__m", F.regexp_extract_all(t, F.lit(CANDIDATE), 0))
+    rows = docs.withColumn("__m", F.filter(F.regexp_extract_all(t, F.lit(PIECES), 1), lambda m: m != ""))
     rows = rows.withColumn("__lead", F.transform("__m", lambda m: F.regexp_extract(m, LEAD, 0)))
     rows = rows.withColumn("__c", F.transform("__m", lambda m, i: F.substring(m, F.length(F.get("__lead", i)) + 1, F.length(m))))
     # the names in front of assigned values are part of the text around
@@ -179,7 +191,8 @@ def train(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text"
     """A forest from labelled findings (features, label), of which ``sample`` distinct ones are used, both labels alike; from weak labels if none are given."""
     words, shapes = dictionary(docs, text), labelled is None
     if labelled is None:
-        labelled = weak_labels(candidates(docs, words, text, path).select(F.inline("__found")))
+        # without the fence the filters of inline() hold copies of the whole search
+        labelled = weak_labels(fence(candidates(docs, words, text, path).select("__found")).select(F.inline("__found")))
     rows = _bounded(labelled, sample).select(array_to_vector("features").alias("features"), "label", "weight")
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(counts) < 2:
