@@ -83,6 +83,25 @@ def test_cells_come_in_the_order_of_their_bounds():
         assert least <= scores.min() and scores.max() <= most
 
 
+@pytest.mark.parametrize("copies", [1, 30])
+def test_the_sample_of_vectors_is_put_together_by_a_task(spark, monkeypatch, copies):
+    """The first distinct vectors by a hash, whether few or many tasks hold them; the cut is raised where copies leave too few."""
+    monkeypatch.setattr(hardneg, "SAMPLE", 40)
+    rows = spark.range(900 * copies).selectExpr("id AS vec_id", "array(id % 900, -(id % 900) * 7) AS q").repartition(9).cache()
+    want = [r["q"] for r in rows.select("q").distinct().orderBy(F.xxhash64("q"), "q").limit(40).collect()]
+    assert hardneg._drawn(rows, 900 * copies).column("q").to_pylist() == want
+    assert hardneg._drawn(rows.limit(0), 1).num_rows == 0 and hardneg._drawn(rows.where("vec_id < 9"), 9).num_rows == 9
+
+
+def test_no_task_sends_the_driver_a_sample_of_its_own(spark, monkeypatch):
+    """What is collected to choose the codes comes from one task, not a whole sample from each."""
+    sent, kind = [], type(spark.range(1))
+    monkeypatch.setattr(kind, "collect", lambda self: sent.append(self.columns))
+    rows = spark.range(400).selectExpr("id AS vec_id", "id % 3 AS label", "array(id, id * 7 % 400) AS q").repartition(7)
+    cells, placed = hardneg.fit(rows)
+    assert placed.count() == 400 == cells.rows.sum() and ["q"] not in sent
+
+
 # --- block naming --------------------------------------------------------------
 
 
